@@ -1,0 +1,8 @@
+"""Imports every module that registers queries."""
+
+from __future__ import annotations
+
+from fleetstats.plans import efficiency  # noqa: F401
+from fleetstats.plans.registry import REGISTRY
+
+__all__ = ["REGISTRY"]
