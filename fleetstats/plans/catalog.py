@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fleetstats.plans import efficiency, search  # noqa: F401
+from fleetstats.plans import catalogue, efficiency, search  # noqa: F401
 from fleetstats.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]

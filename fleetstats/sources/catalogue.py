@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 # Fixed values of the dump format: comma, optional double quotes, backslash escape.
-CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": "\\"}
+CSV_OPTIONS = {
+    "sep": ",", "quote": '"', "escape": "\\",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
 
 
 def jdbc_options(
