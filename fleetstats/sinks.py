@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -53,9 +54,11 @@ def envelope(
     doc_id: Column | None = None,
     metadata: dict[str, str] | None = None,
     subfield: str | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Each row as a notification: headers, and a body of payload and metadata, as JSON in ``value``.
 
+    ``keep`` names columns to carry along, such as a message key.
     Null payload fields and an absent id or type leave no trace in the JSON.
     """
     reserved = sorted(set(metadata or {}) & set(RESERVED_METADATA))
@@ -73,7 +76,7 @@ def envelope(
         F.lit(producer).alias("producer"),
         F.struct(*body, F.struct(*meta).alias("metadata")).alias("body"),
     )
-    return df.select(F.to_json(note).alias("value"))
+    return df.select(*keep, F.to_json(note).alias("value"))
 
 
 def new_id() -> Column:
@@ -95,10 +98,10 @@ def chunk_records(df: DataFrame, size: int = 1000) -> DataFrame:
     )
 
 
-def bulk_documents(df: DataFrame, index: str, source: list[Column]) -> DataFrame:
+def bulk_documents(df: DataFrame, index: str, source: list[Column], keep: Sequence[str] = ()) -> DataFrame:
     """Bulk-index actions as JSON in ``value``."""
     action = F.struct(F.lit("index").alias("_op_type"), F.lit(index).alias("_index"), F.struct(*source).alias("_source"))
-    return df.select(F.to_json(action).alias("value"))
+    return df.select(*keep, F.to_json(action).alias("value"))
 
 
 def metric_lines(df: DataFrame, name: str, value: str, labels: list[str]) -> DataFrame:
