@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fleetstats.plans import catalogue, efficiency, messages, search  # noqa: F401
+from fleetstats.plans import catalogue, efficiency, messages, quality, reports, search  # noqa: F401
 from fleetstats.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]
