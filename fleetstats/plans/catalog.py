@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from fleetstats.plans import catalogue, efficiency, messages, quality, reports, search  # noqa: F401
+from fleetstats.plans import (  # noqa: F401
+    alerts, catalogue, efficiency, logs, messages, quality, reports, search, streams,
+)
 from fleetstats.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]
