@@ -93,25 +93,24 @@ def calendar_difference(a: Column, b: Column) -> list[tuple[str, Column]]:
     """Years, months, days, hours, minutes and seconds between two times, in either order.
 
     Differences are taken field by field with a borrow; a borrowed month is as long as the
-    month of the earlier time.
+    month of the earlier time. Fractions of a second do not count. The session zone is UTC, so
+    every day has the same length.
     """
     early, late = F.least(a, b), F.greatest(a, b)
-    borrow = F.lit(0)
-    parts: list[tuple[str, Column]] = []
-    steps = [
-        ("s", F.second, F.lit(60)),
-        ("m", F.minute, F.lit(60)),
-        ("h", F.hour, F.lit(24)),
-        ("D", F.day, F.day(F.last_day(early))),
-        ("M", F.month, F.lit(12)),
-        ("Y", F.year, F.lit(0)),
+    early_s, late_s = F.unix_seconds(early), F.unix_seconds(late)
+    clock = (late_s - early_s) % 86400
+    earlier_clock = (F.pmod(late_s, F.lit(86400)) < F.pmod(early_s, F.lit(86400))).cast("int")
+    days = F.day(late) - F.day(early) - earlier_clock
+    short = (days < 0).cast("int")
+    months = (F.year(late) - F.year(early)) * 12 + F.month(late) - F.month(early) - short
+    return [
+        ("Y", F.floor(months / 12).cast("int")),
+        ("M", months % 12),
+        ("D", days + short * F.day(F.last_day(early))),
+        ("h", F.floor(clock / 3600).cast("int")),
+        ("m", F.floor(clock % 3600 / 60).cast("int")),
+        ("s", (clock % 60).cast("int")),
     ]
-    for label, field, size in steps:
-        # second() of a timestamp is whole seconds
-        raw = field(late) - field(early) - borrow
-        borrow = (raw < 0).cast("int")
-        parts.append((label, raw + borrow * size))
-    return parts[::-1]
 
 
 def duration_text(a: Column, b: Column) -> Column:

@@ -45,9 +45,13 @@ INSTANCE_LAYOUT = r"(?s)^.*?/dbs/(\w+)/(\w+)/(\w+)/(\w*).*$"
 
 
 def _fields(df: DataFrame, line: Column, layout: str, names: list[str]) -> DataFrame:
-    """One column per group, all null where the line does not fit."""
+    """One column per group, all null where the line does not fit.
+
+    The match goes through a one-element explode: a filter on its fields then stays above it,
+    and the pattern is evaluated once per line instead of once per use.
+    """
     parts = split_by_pattern(line, layout, len(names))
-    split = df.withColumn("_parts", parts)
+    split = df.withColumn("_parts", F.explode(F.array(parts)))
     return split.select(
         "*", *[filled(F.get("_parts", F.lit(i + 1))).alias(name) for i, name in enumerate(names)],
         F.col("_parts").isNotNull().alias("_fits"),
@@ -72,12 +76,12 @@ def parse_request(df: DataFrame, request: str = "request") -> DataFrame:
     source = F.when(F.col("uri_params").isNotNull(), F.col("uri_path")).otherwise(F.col(request))
     last = filled(F.regexp_extract(source, r"/.*/(.*)$", 1))
     before = filled(F.regexp_extract(source, r"/.*/(.*)/$", 1))
-    found = F.when(F.col("_fits"), F.coalesce(last, before))
-    return split.withColumns({
+    found = F.col("_found")
+    return split.withColumn("_found", F.when(F.col("_fits"), F.coalesce(last, before))).withColumns({
         "api": F.coalesce(found, F.col(request)),
         "system": F.when(found.isNull(), F.col(request)).otherwise(F.col("system")),
         "api_found": found.isNotNull(),
-    }).drop("_fits")
+    }).drop("_fits", "_found")
 
 
 def parse_access_log(df: DataFrame, line: str = "value") -> tuple[DataFrame, DataFrame]:

@@ -26,22 +26,21 @@ def validate_enums(df: DataFrame, allowed: Mapping[str, Sequence], columns: Sequ
 # ---- types by example -----------------------------------------------------------------------
 
 
-def _kind(schema_text: Column) -> Column:
-    """Kind of a JSON value from the text of its schema."""
-    whole = schema_text.rlike(r"^DECIMAL\((19|[23]\d),0\)$")  # integers too long for 64 bits
-    return (
-        F.when((schema_text == "BIGINT") | whole, "int")
-        .when(schema_text.rlike(r"^(DECIMAL|DOUBLE|FLOAT)"), "float")
-        .when(schema_text == "STRING", "str")
-        .when(schema_text == "BOOLEAN", "bool")
-        .when(schema_text == "VOID", "null")
-        .when(schema_text.startswith("ARRAY"), "list")
-        .when(schema_text.startswith("OBJECT"), "dict")
-    )
+# The type names that JSON values of each kind have as variants.
+_TYPE_NAMES = {
+    "int": ["BIGINT"], "float": ["DECIMAL", "DOUBLE", "FLOAT"], "str": ["STRING"], "bool": ["BOOLEAN"],
+    "null": ["VOID"], "list": ["ARRAY"], "dict": ["OBJECT"],
+}
+
+
+def _type_of(value: Column) -> Column:
+    """Type name of a JSON value without its details; integers of any length are BIGINT."""
+    text = F.regexp_replace(F.schema_of_variant(value), r"^DECIMAL\((19|[23]\d),0\)$", "BIGINT")
+    return F.regexp_extract(text, "^[A-Z]+", 0)
 
 
-def _kind_of(value: Column) -> Column:
-    return _kind(F.schema_of_variant(value))
+def _is(type_name: Column, kinds: Sequence[str]) -> Column:
+    return type_name.isin(*[name for kind in kinds for name in _TYPE_NAMES[kind]])
 
 
 def _accepted(example) -> list[str]:
@@ -61,25 +60,33 @@ def _accepted(example) -> list[str]:
     return ["null"]
 
 
-def _member(value: Column, key: str) -> Column:
-    quoted = key.replace("\\", "\\\\").replace('"', '\\"')
-    return F.try_variant_get(value, f'$["{quoted}"]', "variant")
+def _path(*keys: str) -> str:
+    quoted = [key.replace("\\", "\\\\").replace('"', '\\"') for key in keys]
+    return "$" + "".join(f'["{key}"]' for key in quoted)
+
+
+def _member(doc: Column, *keys: str) -> Column:
+    return F.try_variant_get(doc, _path(*keys), "variant")
 
 
-def _offends(value: Column, example) -> Column:
+def _nodes(example: Mapping, above: tuple[str, ...] = ()) -> dict[tuple[str, ...], object]:
+    """All values of the example at any depth, by their path."""
+    nodes: dict[tuple[str, ...], object] = {}
+    for key, value in example.items():
+        nodes[(*above, key)] = value
+        if isinstance(value, Mapping):
+            nodes |= _nodes(value, (*above, key))
+    return nodes
+
+
+def _offends(type_name: Column, item_types: Column | None, example) -> Column:
     """Whether a value has another type than the example; absent and null values do not offend."""
-    kind = _kind_of(value)
-    wrong = ~kind.isin(*_accepted(example))
-    if isinstance(example, Mapping):
-        for key, inner in example.items():
-            wrong = wrong | F.coalesce(_offends(_member(value, key), inner), F.lit(False))
-    elif isinstance(example, (list, tuple)):
-        items = value.try_cast("array<variant>")
-        kinds = F.array_distinct(F.transform(items, _kind_of))
-        single = F.size(kinds) == 1
-        typed = F.get(kinds, F.lit(0)).isin(*_accepted(example[0])) if example else F.lit(False)
-        wrong = wrong | ((kind == "list") & ~(single & typed))
-    return F.coalesce(value.isNotNull() & (kind != "null") & wrong, F.lit(False))
+    wrong = ~_is(type_name, _accepted(example))
+    if item_types is not None:
+        # a list must have items, all of one type, the type of the example's items
+        typed = _is(F.get(item_types, F.lit(0)), _accepted(example[0])) if example else F.lit(False)
+        wrong = wrong | ~((F.size(item_types) == 1) & F.coalesce(typed, F.lit(False)))
+    return F.coalesce((type_name != "VOID") & wrong, F.lit(False))
 
 
 def validate_records(
@@ -95,25 +102,33 @@ def validate_records(
     example) and ``payload``, the document without the keys to drop. A text that is no JSON
     object has null in all three. Everything stays row-local.
     """
-    doc = F.col("_doc")
-    entries = doc.try_cast("map<string, variant>")
+    doc, nodes = F.col("_doc"), _nodes(example)
+    # types first, each computed once, then the rules over them
+    types: dict[str, Column] = {"_entries": doc.try_cast("map<string, variant>")}
+    for i, (path, value) in enumerate(nodes.items()):
+        types[f"_type{i}"] = _type_of(_member(doc, *path))
+        if isinstance(value, (list, tuple)):
+            items = F.try_variant_get(doc, _path(*path), "array<variant>")
+            types[f"_items{i}"] = F.array_distinct(F.transform(items, _type_of))
+    wrong_keys: dict[str, Column] = {}
+    for i, (path, value) in enumerate(nodes.items()):
+        items = F.col(f"_items{i}") if f"_items{i}" in types else None
+        bad = _offends(F.col(f"_type{i}"), items, value)
+        # an offence at any depth marks the top-level key
+        wrong_keys[path[0]] = wrong_keys[path[0]] | bad if path[0] in wrong_keys else bad
+    offending = [F.when(bad, F.lit(key)) for key, bad in wrong_keys.items()]
     known = F.array(*[F.lit(k) for k in example])
-    offending = [F.when(_offends(_member(doc, k), v), F.lit(k)) for k, v in example.items()]
-    checked = (
-        df.withColumn("_doc", F.try_parse_json(json_col))
-        .withColumn("_entries", entries)
-        .withColumns({
-            "offending_keys": F.when(F.col("_entries").isNotNull(), F.array_compact(F.array(*offending))),
-            "unknown_keys": F.sort_array(F.array_except(F.map_keys("_entries"), known)),
-        })
-    )
+    checked = df.withColumn("_doc", F.try_parse_json(json_col)).withColumns(types).withColumns({
+        "offending_keys": F.when(F.col("_entries").isNotNull(), F.array_compact(F.array(*offending))),
+        "unknown_keys": F.sort_array(F.array_except(F.map_keys("_entries"), known)),
+    })
     dropped = F.array().cast("array<string>")
     if drop_offending:
         dropped = F.concat(dropped, F.coalesce("offending_keys", F.array().cast("array<string>")))
     if drop_unknown:
         dropped = F.concat(dropped, F.coalesce("unknown_keys", F.array().cast("array<string>")))
     payload = F.map_filter("_entries", lambda k, _: ~F.array_contains(dropped, k))
-    return checked.withColumn("payload", F.to_json(payload)).drop("_doc", "_entries")
+    return checked.withColumn("payload", F.to_json(payload)).drop("_doc", *types)
 
 
 # ---- contracts ------------------------------------------------------------------------------
@@ -132,28 +147,28 @@ def validate_contract(df: DataFrame, json_col: str, contract: Mapping) -> DataFr
     """
     doc = F.col("_doc")
     keys = F.map_keys(doc.try_cast("map<string, variant>"))
+    rules = {
+        key: [rule["type"]] if isinstance(rule["type"], str) else rule["type"]
+        for key, rule in contract.get("properties", {}).items() if "type" in rule
+    }
+    types = {f"_type{i}": _type_of(_member(doc, key)) for i, key in enumerate(rules)}
     mistyped = []
-    for key, rule in contract.get("properties", {}).items():
-        names = rule.get("type")
-        if names is None:
-            continue
-        kinds = [k for n in ([names] if isinstance(names, str) else names) for k in _CONTRACT_KINDS[n]]
-        value = _member(doc, key)
-        kind = _kind_of(value)
-        good = kind.isin(*kinds)
+    for i, (key, names) in enumerate(rules.items()):
+        type_name, kinds = F.col(f"_type{i}"), [kind for name in names for kind in _CONTRACT_KINDS[name]]
+        good = _is(type_name, kinds)
         if "int" in kinds and "float" not in kinds:
             # 2.0 is an integer in this contract language
-            number = F.try_variant_get(doc, f'$["{key}"]', "double")
-            good = good | ((kind == "float") & (number == F.floor(number)))
-        mistyped.append(F.when(value.isNotNull() & ~good, F.lit(key)))
+            number = F.try_variant_get(doc, _path(key), "double")
+            good = good | (_is(type_name, ["float"]) & (number == F.floor(number)))
+        mistyped.append(F.when(~good, F.lit(key)))
     required = F.array(*[F.lit(k) for k in contract.get("required", [])]).cast("array<string>")
-    checked = df.withColumn("_doc", F.try_parse_json(json_col)).withColumns({
+    checked = df.withColumn("_doc", F.try_parse_json(json_col)).withColumns(types).withColumns({
         "missing_keys": F.array_except(required, F.coalesce(keys, F.array().cast("array<string>"))),
         "mistyped_keys": F.array_compact(F.array(*mistyped)).cast("array<string>"),
         "_is_object": keys.isNotNull(),
     })
     valid = F.col("_is_object") & (F.size("missing_keys") == 0) & (F.size("mistyped_keys") == 0)
-    return checked.withColumn("valid", valid).drop("_doc", "_is_object")
+    return checked.withColumn("valid", valid).drop("_doc", "_is_object", *types)
 
 
 # ---- common ---------------------------------------------------------------------------------
