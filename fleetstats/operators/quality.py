@@ -35,8 +35,10 @@ _TYPE_NAMES = {
 
 def _type_of(value: Column) -> Column:
     """Type name of a JSON value without its details; integers of any length are BIGINT."""
-    text = F.regexp_replace(F.schema_of_variant(value), r"^DECIMAL\((19|[23]\d),0\)$", "BIGINT")
-    return F.regexp_extract(text, "^[A-Z]+", 0)
+    text = F.schema_of_variant(value)
+    long_int = text.like("DECIMAL(%,0)") & text.rlike(r"^DECIMAL\((19|[23]\d),")
+    name = F.substring_index(F.substring_index(text, "<", 1), "(", 1)
+    return F.when(long_int, "BIGINT").otherwise(name)
 
 
 def _is(type_name: Column, kinds: Sequence[str]) -> Column:

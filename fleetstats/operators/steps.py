@@ -37,13 +37,15 @@ def flatten_steps(work: DataFrame) -> DataFrame:
     Done with array functions only, so nothing leaves the JVM.
     """
     payload = F.filter("steps", lambda s: F.lower(s["name"]).startswith(PAYLOAD_STEP))
+    # the outer form, because the plain one would evaluate the filter once more just to test
+    # for emptiness; rows without a step fall to the test of the stream count
     exploded = work.select(
         F.col("meta_data.ts").alias("ts"),
         F.col("task").alias("Task"),
         F.col("meta_data.fwjr_id").alias("fwjr_id"),
         F.col("meta_data.jobtype").alias("JobType"),
         payload.alias("payload"),
-    ).select("*", F.size("payload").alias("number_of_steps"), F.explode("payload").alias("step"))
+    ).withColumn("number_of_steps", F.size("payload")).withColumn("step", F.explode_outer("payload")).drop("payload")
 
     cpu, storage = F.col("step.performance.cpu"), F.col("step.performance.storage")
     threads, cpu_time, job_time = cpu["NumberOfThreads"], cpu["TotalJobCPU"], cpu["TotalJobTime"]
@@ -60,7 +62,6 @@ def flatten_steps(work: DataFrame) -> DataFrame:
         "cpu_time": cpu_time,
         "job_time": job_time,
         "threads_total_job_time": F.when(both, nonzero(job_time) * nonzero(threads)),
-        "era_length": F.size(eras),
         "write_total_mb": storage["writeTotalMB"],
         "read_total_mb": storage["readTotalMB"],
         "read_total_secs": filled(storage["readTotalSecs"]).try_cast("double"),
@@ -68,7 +69,9 @@ def flatten_steps(work: DataFrame) -> DataFrame:
         "peak_rss": F.col("step.performance.memory.PeakValueRss"),
         "peak_v_size": F.col("step.performance.memory.PeakValueVsize"),
     }
-    flat = exploded.withColumns(columns).where(F.col("nstreams").isNotNull())
+    flat = exploded.withColumns(columns).where(F.col("nstreams").isNotNull()).withColumn(
+        "era_length", F.size("acquisition_era")
+    )
     return flat.select(*[F.col(f.name).cast(f.dataType) for f in FLAT_STEP.fields]).distinct()
 
 

@@ -141,7 +141,7 @@ def work(spark: SparkSession, sf_dir: str, start: str | None = START, end: str |
         ),
         "steps": F.expr(steps),
     }
-    return base.select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in WORK_FIELDS.fields])
+    return base.select(*[columns[name].alias(name) for name in WORK_FIELDS.names])
 
 
 # Flattened steps in SQL.

@@ -38,8 +38,11 @@ def read_work(spark: SparkSession, path: str, start=None, end=None) -> DataFrame
 
 
 def write_archive(records: DataFrame, path: str, day, day_column: str = "dt") -> None:
-    """Records under ``data`` (and ``metadata`` if given) as JSON lines in one folder per day."""
-    records.withColumn(day_column, day).write.mode("overwrite").partitionBy(day_column).json(path)
+    """Records under ``data`` (and ``metadata`` if given) as JSON lines in one folder per day.
+
+    Rebalanced by day, so that a folder gets few files and a large day still has many writers.
+    """
+    records.withColumn(day_column, day).hint("rebalance", day_column).write.mode("overwrite").partitionBy(day_column).json(path)
 
 
 def read_one_or_many(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
