@@ -39,18 +39,19 @@ def _job_archive(spark, sf_dir):
 @query(f"""WITH jobs AS ({JOBS_SQL}) SELECT GlobalJobId, RecordTime, Workflow, WMAgent_RequestName, Tier, CpuTimeHr,
   RequestCpus, CpuEffOutlier FROM jobs""")
 def scan_jobs(spark, sf_dir):
-    jobs = archive.read_jobs(spark, _job_archive(spark, sf_dir))
-    return jobs.select(
+    fields = [
         "GlobalJobId", "RecordTime", "Workflow", "WMAgent_RequestName", "Tier", "CpuTimeHr", "RequestCpus",
         "CpuEffOutlier",
-    )
+    ]
+    return archive.read_jobs(spark, _job_archive(spark, sf_dir), fields=fields)
 
 
 @query(f"""WITH jobs AS ({JOBS_SQL}) SELECT Status, count(*) AS n, min(RecordTime) AS first, max(RecordTime) AS last
 FROM jobs WHERE RecordTime >= epoch_ms(TIMESTAMP '1997-03-01') AND RecordTime < epoch_ms(TIMESTAMP '1997-06-01')
 GROUP BY Status""")
 def partition_pruned_scan(spark, sf_dir):
-    jobs = archive.read_jobs(spark, _job_archive(spark, sf_dir), "1997-03-01", "1997-05-30")
+    path = _job_archive(spark, sf_dir)
+    jobs = archive.read_jobs(spark, path, "1997-03-01", "1997-05-30", ["Status", "RecordTime"])
     return jobs.groupBy("Status").agg(
         F.count("*").alias("n"), F.min("RecordTime").alias("first"), F.max("RecordTime").alias("last")
     )
@@ -63,7 +64,7 @@ def scan_steps(spark, sf_dir):
     work = views.work(spark, sf_dir, None, None)
     records = work.select(F.struct("*").alias("data"), F.struct(F.col("wmats").alias("timestamp")).alias("metadata"))
     archive.write_archive(records, path, _month(F.timestamp_seconds("data.wmats")))
-    return archive.read_work(spark, path).select(
+    return archive.read_work(spark, path, fields=["task", "meta_data", "steps"]).select(
         "meta_data.fwjr_id", "task", "timestamp", F.size("steps").alias("n_steps"),
         F.col("steps")[0]["output"][0]["acquisitionEra"].alias("era"),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,15 +14,21 @@ from fleetstats.schemas import JOB_ARCHIVE, WORK_ARCHIVE
 
 
 def read_archive(
-    spark: SparkSession, path: str, schema: StructType, start=None, end=None, margin_days: int = 1, day_column="dt"
+    spark: SparkSession, path: str, schema: StructType, start=None, end=None, fields: Sequence[str] | None = None,
+    margin_days: int = 1, day_column: str = "dt",
 ) -> DataFrame:
     """Records with a fixed schema; only the day folders of the period (and a margin) are listed.
 
-    Giving the schema saves the extra pass of type inference and lets the JSON reader skip the
-    fields nobody asks for.
+    Giving the schema saves the extra pass of type inference. The JSON reader does not prune
+    nested fields by itself, so ``fields`` names the record fields to parse.
     """
-    schema = StructType(schema.fields).add(day_column, "date")
-    df = spark.read.schema(schema).json(path)
+    wanted = StructType()
+    for field in schema.fields:
+        kind = field.dataType
+        if field.name == "data" and fields is not None:
+            kind = StructType([kind[name] for name in fields])
+        wanted.add(field.name, kind)
+    df = spark.read.schema(wanted.add(day_column, "date")).json(path)
     if start is not None:
         df = df.where(F.col(day_column) >= F.lit((utc(start) - timedelta(days=margin_days)).date()))
     if end is not None:
@@ -29,12 +36,12 @@ def read_archive(
     return df
 
 
-def read_jobs(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
-    return read_archive(spark, path, JOB_ARCHIVE, start, end).select("data.*")
+def read_jobs(spark: SparkSession, path: str, start=None, end=None, fields: Sequence[str] | None = None) -> DataFrame:
+    return read_archive(spark, path, JOB_ARCHIVE, start, end, fields).select("data.*")
 
 
-def read_work(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
-    return read_archive(spark, path, WORK_ARCHIVE, start, end).select("data.*", "metadata.timestamp")
+def read_work(spark: SparkSession, path: str, start=None, end=None, fields: Sequence[str] | None = None) -> DataFrame:
+    return read_archive(spark, path, WORK_ARCHIVE, start, end, fields).select("data.*", "metadata.timestamp")
 
 
 def write_archive(records: DataFrame, path: str, day, day_column: str = "dt") -> None:

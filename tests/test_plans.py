@@ -64,10 +64,10 @@ def test_day_folders_are_pruned(spark, sf_dir, tmp_path):
         jobs.select(F.struct("*").alias("data")), str(tmp_path / "a"),
         F.to_date(F.timestamp_millis("data.RecordTime")),
     )
-    scan = archive.read_jobs(spark, str(tmp_path / "a"), "1996-01-04", "1996-01-05")
-    plan = plan_text(scan.select("Site"))
+    scan = archive.read_jobs(spark, str(tmp_path / "a"), "1996-01-04", "1996-01-05", ["RecordTime"])
+    plan = plan_text(scan)
     assert re.search(r"PartitionFilters: \[[^\]]*dt", plan)
-    assert "ReadSchema: struct<data:struct<Site:string>>" in plan
+    assert "ReadSchema: struct<data:struct<RecordTime:bigint>>" in plan
     days = {r[0] for r in scan.select(F.to_date(F.timestamp_millis("RecordTime")).cast("string")).distinct().collect()}
     assert days == {"1996-01-03", "1996-01-04", "1996-01-05", "1996-01-06"}
 
