@@ -128,7 +128,7 @@ def annotation_filter(spark, sf_dir):
 
 @query(f"""WITH p AS (SELECT l_orderkey, l_linenumber, least(l_shipdate, o_orderdate) AS a, greatest(l_shipdate, o_orderdate) AS b
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey), {_difference_sql('SELECT * FROM p')}
-SELECT l_orderkey, l_linenumber, months // 12 AS years, months % 12 AS months, d AS days FROM texts""")
+SELECT l_orderkey, l_linenumber, CAST(months // 12 AS INT) AS years, CAST(months % 12 AS INT) AS months, CAST(d AS INT) AS days FROM texts""")
 def calendar_parts(spark, sf_dir):
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")

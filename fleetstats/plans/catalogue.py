@@ -128,7 +128,7 @@ def latest_snapshot(spark, sf_dir):
 @query("""WITH partitions AS (SELECT DISTINCT CASE o_orderpriority WHEN '1-URGENT' THEN 'replicas'
     WHEN '2-HIGH' THEN 'catalogue' WHEN '3-MEDIUM' THEN 'lumis' ELSE 'other' END AS family,
   CAST(o_orderdate AS DATE) AS dt FROM orders)
-SELECT * FROM partitions WHERE (family = 'replicas' AND dt < DATE '2001-08-01' - 540)
+SELECT family, CAST(dt AS VARCHAR) AS dt FROM partitions WHERE (family = 'replicas' AND dt < DATE '2001-08-01' - 540)
   OR (family = 'catalogue' AND dt < DATE '2001-08-01' - 180) OR (family = 'lumis' AND dt < DATE '2001-08-01' - 30)""")
 def expired_partitions(spark, sf_dir):
     priority = F.col("o_orderpriority")
@@ -139,7 +139,8 @@ def expired_partitions(spark, sf_dir):
     partitions = load(spark, sf_dir, "orders").select(
         family.alias("family"), F.col("o_orderdate").cast("date").alias("dt")
     ).distinct()
-    return cat.expired_partitions(partitions, {"replicas": 540, "catalogue": 180, "lumis": 30}, "2001-08-01")
+    expired = cat.expired_partitions(partitions, {"replicas": 540, "catalogue": 180, "lumis": 30}, "2001-08-01")
+    return expired.select("family", F.col("dt").cast("string").alias("dt"))
 
 
 @query(" UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS n FROM {t}" for t in TABLES))
@@ -228,7 +229,7 @@ def _small_dimensions(spark, sf_dir):
 @query("""SELECT o_orderkey AS "JobId", concat('file_', l_linenumber) AS "FileName", l_discount > 0.05 AS "IsParentFile",
   l_linestatus = 'F' AS "SuccessFlag", l_returnflag AS "FileType", s.s_suppkey AS "BlockId", s.s_name AS "BlockName",
   ic.r_name AS "InputCollection", app.n_name AS "Application", tt.r_name AS "Type", st.n_name AS "SubmissionTool",
-  si.n_name AS "SiteName", sch.n_name AS "SchedulerName", c_custkey AS "TaskId", c_nationkey AS "UserId",
+  si.n_name AS "SiteName", sch.n_name AS "SchedulerName", c_custkey AS "TaskId", CAST(c_nationkey AS BIGINT) AS "UserId",
   us.n_name AS "GridName", o_orderdate AS "FinishedTimeStamp"
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey
 JOIN supplier s ON s.s_suppkey = o_custkey // 16 JOIN region ic ON ic.r_regionkey = c_nationkey // 5

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
+
 from fleetstats.operators import efficiency as eff
 from fleetstats.operators import steps
+from fleetstats.operators.search import display
 from fleetstats.plans import views
 from fleetstats.plans.registry import query
 from fleetstats.plans.views import END, FLAT_STEPS_SQL, JOBS_SQL, PREPARED_JOBS_SQL, START
@@ -62,6 +66,12 @@ def flat_steps(spark, sf_dir):
     return steps.flatten_steps(steps.successful_work(views.work(spark, sf_dir), START, END))
 
 
+def texts(table):
+    """Arrays as text, so that rows compare across engines."""
+    arrays = [f.name for f in table.schema.fields if isinstance(f.dataType, ArrayType)]
+    return table.withColumns({name: display(F.col(name)) for name in arrays})
+
+
 def task_table(spark, sf_dir, level="task"):
     return steps.task_efficiency(steps.step_grain(flat_steps(spark, sf_dir)), level)
 
@@ -94,9 +104,9 @@ def workflow_efficiency(spark, sf_dir):
     return eff.sort_workflows(workflow_table(spark, sf_dir))
 
 
-@query(f"{SITE_TABLE_SQL} SELECT * FROM sites")
+@query(f"{SITE_TABLE_SQL} SELECT * REPLACE (array_to_string(Schedds, ', ') AS Schedds) FROM sites")
 def workflow_site_efficiency(spark, sf_dir):
-    return eff.sort_sites(site_table(spark, sf_dir))
+    return texts(eff.sort_sites(site_table(spark, sf_dir)))
 
 
 @query(f"{PREPARED_JOBS_SQL} {_TIERS}")
@@ -150,14 +160,15 @@ def successful_steps(spark, sf_dir):
     return found.select("meta_data.fwjr_id", "task", "meta_data.jobtype", "meta_data.ts")
 
 
-@query(f"{FLAT_STEPS_SQL} SELECT * FROM flat")
+@query(f"""{FLAT_STEPS_SQL}
+SELECT * REPLACE (array_to_string(acquisition_era, ', ') AS acquisition_era) FROM flat""")
 def step_flatten(spark, sf_dir):
-    return flat_steps(spark, sf_dir)
+    return texts(flat_steps(spark, sf_dir))
 
 
 def _task_sql(level: str) -> str:
     keys = ", ".join(steps.LEVEL_KEYS[level])
-    sites = ", list_sort(list(DISTINCT Site)) AS Sites, count(DISTINCT Site) AS SiteCount" if level != "site" else ""
+    sites = ", array_to_string(list_sort(list(DISTINCT Site)), ', ') AS Sites, CAST(count(DISTINCT Site) AS INT) AS SiteCount" if level != "site" else ""
     return f"""{FLAT_STEPS_SQL}, eras AS (
   SELECT {keys}, list_sort(list(DISTINCT era)) AS AcquisitionEra FROM (SELECT *, unnest(acquisition_era) AS era FROM flat)
   GROUP BY {keys}), totals AS (
@@ -171,19 +182,19 @@ SELECT {keys}, 100 * sum(cpu_time) / nullif(sum(threads_total_job_time), 0) AS C
   sum(write_total_mb) AS WriteTotalMB, sum(read_total_mb) AS ReadTotalMB,
   avg(peak_rss) AS MeanPeakRss, avg(peak_v_size) AS MeanPeakVSize {sites}
 FROM flat GROUP BY {keys})
-SELECT totals.*, AcquisitionEra, len(AcquisitionEra) AS EraCount FROM totals JOIN eras USING ({keys})"""
+SELECT totals.*, array_to_string(AcquisitionEra, ', ') AS AcquisitionEra, CAST(len(AcquisitionEra) AS INT) AS EraCount FROM totals JOIN eras USING ({keys})"""
 
 
 @query(_task_sql("task"))
 def task_efficiency(spark, sf_dir):
-    return steps.sort_tasks(task_table(spark, sf_dir, "task"), "task")
+    return texts(steps.sort_tasks(task_table(spark, sf_dir, "task"), "task"))
 
 
 @query(_task_sql("step"))
 def task_step_efficiency(spark, sf_dir):
-    return steps.sort_tasks(task_table(spark, sf_dir, "step"), "step")
+    return texts(steps.sort_tasks(task_table(spark, sf_dir, "step"), "step"))
 
 
 @query(_task_sql("site"))
 def task_step_site_efficiency(spark, sf_dir):
-    return steps.sort_tasks(task_table(spark, sf_dir, "site"), "site")
+    return texts(steps.sort_tasks(task_table(spark, sf_dir, "site"), "site"))

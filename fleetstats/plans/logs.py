@@ -42,7 +42,7 @@ SELECT event_id, strftime(ts, '%d/%b/%Y:%H:%M:%S +0200') AS tstamp, 'fe' || user
   '192.0.2.' || user_id % 250 AS clientip, 'GET' AS method,
   CASE event_type WHEN 'click' THEN '/dbs/prod/global/DBSReader/datasets?dataset=/A/' || k
     WHEN 'view' THEN '/reqmgr2/data/' || k || '/' ELSE '/couchdb/one/' || k || '/list/?x=' || k END AS request,
-  'HTTP/1.1' AS httpversion, CAST(k AS BIGINT) AS code, event_id AS bytes_sent, 20480 AS bytes_received, 1024 AS body_size,
+  'HTTP/1.1' AS httpversion, CAST(k AS BIGINT) AS code, event_id AS bytes_sent, CAST(20480 AS BIGINT) AS bytes_received, CAST(1024 AS BIGINT) AS body_size,
   user_id * 7 AS time_spent_us, 'TLSv1.2' AS tls, 'ECDHE-RSA' AS crypto, '/DC=ch/CN=u' || user_id || '/CN=Jane Doe' AS dn,
   'curl/' || k AS client, CASE WHEN user_id > 50 THEN CAST(user_id + 8000 AS VARCHAR) END AS fe_port,
   CASE event_type WHEN 'click' THEN 'dbs' WHEN 'view' THEN 'reqmgr2' ELSE 'couchdb' END AS system,

@@ -117,11 +117,12 @@ def exit_code_lookup(spark, sf_dir):
 
 @query(f"""{MESSAGES_SQL} SELECT "exitCode", count(*) AS n,
   coalesce(min(p_name || ' ' || p_brand), '') AS description
-FROM docs LEFT JOIN (SELECT * FROM part WHERE p_size > 25) ON CAST(p_partkey AS VARCHAR) = "exitCode"
+FROM docs LEFT JOIN (SELECT * FROM part WHERE p_size % 3 > 0) ON CAST(p_partkey AS VARCHAR) = "exitCode"
 GROUP BY "exitCode" ORDER BY n DESC, "exitCode" """)
 def exit_code_counts(spark, sf_dir):
-    lines = load(spark, sf_dir, "part").where("p_size > 25").select(
-        F.concat("p_partkey", F.lit(": "), "p_name", F.lit(" "), "p_brand").alias("value")
+    mark = F.when(F.col("p_size") % 3 == 0, "# ").otherwise("")
+    lines = load(spark, sf_dir, "part").select(
+        F.concat(mark, "p_partkey", F.lit(": "), "p_name", F.lit(" "), "p_brand").alias("value")
     )
     counts = msg.counts_by(decoded(spark, sf_dir), "exitCode")
     return msg.largest_first(msg.describe_codes(counts, lookup_table(lines)), "exitCode")
@@ -147,8 +148,8 @@ def distinct_sites_codes(spark, sf_dir):
 
 
 @query(f"""{_SITE_CODES_SQL}, best AS (
-  SELECT site, sum(n) AS site_total FROM pairs GROUP BY site ORDER BY site_total DESC, site LIMIT 3)
-SELECT site, "exitCode", n, site_total, row_number() OVER (PARTITION BY site ORDER BY n DESC, "exitCode") AS rank
+  SELECT site, CAST(sum(n) AS BIGINT) AS site_total FROM pairs GROUP BY site ORDER BY site_total DESC, site LIMIT 3)
+SELECT site, "exitCode", n, site_total, CAST(row_number() OVER (PARTITION BY site ORDER BY n DESC, "exitCode") AS INT) AS rank
 FROM pairs JOIN best USING (site) QUALIFY rank <= 5""")
 def top_codes_top_sites(spark, sf_dir):
     return msg.top_codes_of_top_sites(msg.failing_codes(decoded(spark, sf_dir)))

@@ -123,10 +123,10 @@ def record_fingerprint(spark, sf_dir):
 a AS (SELECT * FROM e WHERE user_id <> 7), b AS (SELECT * FROM e WHERE NOT (event_type = 'click' AND user_id < 20)),
 m AS (SELECT coalesce(a.day, b.day) AS day, a.event_id IS NOT NULL AS in_a, b.event_id IS NOT NULL AS in_b
   FROM a FULL JOIN b ON a.event_id = b.event_id AND a.day = b.day)
-SELECT day, count(*) FILTER (NOT in_b) AS only_a, count(*) FILTER (NOT in_a) AS only_b, count(*) FILTER (in_a) AS ids_a,
+SELECT CAST(day AS VARCHAR) AS day, count(*) FILTER (NOT in_b) AS only_a, count(*) FILTER (NOT in_a) AS only_b, count(*) FILTER (in_a) AS ids_a,
   count(*) FILTER (in_b) AS ids_b, count(*) FILTER (NOT in_a OR NOT in_b) AS missing FROM m GROUP BY day HAVING missing > 0""")
 def id_diff_by_day(spark, sf_dir):
-    events = load(spark, sf_dir, "events").withColumn("day", F.col("ts").cast("date"))
+    events = load(spark, sf_dir, "events").withColumn("day", F.col("ts").cast("date").cast("string"))
     a = events.where("user_id <> 7")
     b = events.where("NOT (event_type = 'click' AND user_id < 20)")
     return rec.id_diff(a, b, "event_id", "day")

@@ -151,7 +151,7 @@ _ELEMENTS_SQL = """elements AS (SELECT p_partkey, concat('T_', p_partkey) AS rse
 
 @query(f"""WITH {_ELEMENTS_SQL}, figures AS (SELECT l_partkey, max(l_extendedprice) FILTER (l_linestatus = 'F') * 1e9 AS static,
   max(l_extendedprice) FILTER (l_linestatus = 'O' AND l_returnflag = 'A') * 1e9 AS used FROM lineitem
-  WHERE l_quantity > 45 GROUP BY l_partkey)
+  GROUP BY l_partkey)
 SELECT rse, round(used * 1e-12, 1) AS used_tb, round(static * 1e-12, 1) AS total_tb,
   round(100.0 * (used * 1e-12) / (static * 1e-12), 1) AS used_percent, round(static * 1e-12 - used * 1e-12, 1) AS free_tb
 FROM elements JOIN figures ON p_partkey = l_partkey
@@ -162,7 +162,7 @@ def storage_quota(spark, sf_dir):
         "concat('T_', p_partkey) AS rse", "CASE WHEN p_size > 10 THEN 'DISK' ELSE 'TAPE' END AS rse_type",
         "CASE p_type WHEN 'SMALL' THEN 'test' ELSE 'real' END AS cms_type", "p_size % 4 AS tier",
     )
-    usage = load(spark, sf_dir, "lineitem").where("l_quantity > 45").selectExpr(
+    usage = load(spark, sf_dir, "lineitem").selectExpr(
         "concat('T_', l_partkey) AS rse",
         "CASE WHEN l_linestatus = 'F' THEN 'static' WHEN l_returnflag = 'A' THEN 'rucio' ELSE 'other' END AS source",
         "l_extendedprice * 1e9 AS used",
@@ -175,9 +175,10 @@ rows AS (SELECT quota_node, q AS max_logical_quota, r + e AS total_used_logical_
   r * 2 + e * 1.2::DOUBLE AS total_used_physical_bytes, r * 2 AS physical_rep_bytes, e * 1.2::DOUBLE AS physical_ec_bytes,
   q * 2 - (r * 2 + e * 1.2::DOUBLE) AS free_physical, round((q * 2 - (r * 2 + e * 1.2::DOUBLE)) / 1.2::DOUBLE, 3) AS free_physical_for_ec,
   (q * 2 - (r * 2 + e * 1.2::DOUBLE)) / 2 AS free_physical_for_rep, q - r - e AS free_logical FROM p)
-SELECT * FROM rows UNION ALL SELECT 'TOTAL', sum(max_logical_quota), sum(total_used_logical_bytes), sum(logical_rep_bytes),
-  sum(logical_ec_bytes), sum(total_used_physical_bytes), sum(physical_rep_bytes), sum(physical_ec_bytes), sum(free_physical),
-  round(sum(free_physical) / 1.2::DOUBLE, 3), sum(free_physical_for_rep), sum(free_logical) FROM rows""")
+SELECT * FROM rows UNION ALL SELECT 'TOTAL', CAST(sum(max_logical_quota) AS BIGINT), CAST(sum(total_used_logical_bytes) AS BIGINT),
+  CAST(sum(logical_rep_bytes) AS BIGINT), CAST(sum(logical_ec_bytes) AS BIGINT), sum(total_used_physical_bytes),
+  CAST(sum(physical_rep_bytes) AS BIGINT), sum(physical_ec_bytes), sum(free_physical),
+  round(sum(free_physical) / 1.2::DOUBLE, 3), sum(free_physical_for_rep), CAST(sum(free_logical) AS BIGINT) FROM rows""")
 def eos_quota_report(spark, sf_dir):
     paths = load(spark, sf_dir, "supplier").selectExpr(
         "s_name AS quota_node", "CAST(round(s_acctbal * 100) AS BIGINT) + 2000000 AS max_logical_quota",
@@ -227,7 +228,7 @@ def storage_usage(spark, sf_dir):
 # ---- accounting -----------------------------------------------------------------------------
 
 _BLOCKS_SQL = """SELECT c_name AS "openstackProjectName", c_custkey AS cores,
-  CASE WHEN c_nationkey > 12 THEN c_nationkey END AS ips,
+  CASE WHEN c_nationkey > 12 THEN CAST(c_nationkey AS BIGINT) END AS ips,
   CASE WHEN c_mktsegment = 'BUILDING' THEN concat('u', c_custkey, ', v@example.org') ELSE '' END AS contacts FROM customer"""
 
 
@@ -255,8 +256,8 @@ def block_text_records(spark, sf_dir):
 
 
 @query(f"""WITH b AS (SELECT "openstackProjectName" AS "Openstack Project Name", cores AS "Max Total Cores",
-  coalesce(ips, 0) AS "Total Floating Ips Used", 0 AS "Max Personality", contacts AS "Contacts" FROM ({_BLOCKS_SQL}))
-SELECT * FROM b UNION ALL SELECT 'TOTAL', sum("Max Total Cores"), sum("Total Floating Ips Used"), 0, '' FROM b""")
+  coalesce(ips, 0) AS "Total Floating Ips Used", CAST(0 AS BIGINT) AS "Max Personality", contacts AS "Contacts" FROM ({_BLOCKS_SQL}))
+SELECT * FROM b UNION ALL SELECT 'TOTAL', CAST(sum("Max Total Cores") AS BIGINT), CAST(sum("Total Floating Ips Used") AS BIGINT), 0, '' FROM b""")
 def accounting_totals(spark, sf_dir):
     counters = F.col("counters")
     projects = _projects(spark, sf_dir).select(

@@ -56,7 +56,7 @@ _WORDS_SQL = """SELECT doc_id, CASE WHEN lang <> 'de' THEN string_split(text, '
 
 
 @query(f"""WITH d AS ({_WORDS_SQL})
-SELECT doc_id, CASE WHEN words IS NULL THEN 0 ELSE len(words) END AS n_words FROM d
+SELECT doc_id, CAST(CASE WHEN words IS NULL THEN 0 ELSE len(words) END AS INT) AS n_words FROM d
 WHERE words IS NULL OR len(list_filter(words, lambda w: regexp_matches(w, '(?im)^in'))) = 0""")
 def search_array(spark, sf_dir):
     documents = load(spark, sf_dir, "documents").select(
@@ -145,7 +145,7 @@ def kv_query(spark, sf_dir):
 _LINK = "https://grid.example.org/report/[[__TASK_NAME_PREFIX__]]?from=[[__START_DATE_MSEC__]]&day=[[__END_DATE__]]"
 
 
-@query(f"""{_task_sql('task').replace('SELECT totals.*', 'SELECT Task').split(', AcquisitionEra, len')[0]},
+@query(f"""{_task_sql('task').replace('SELECT totals.*', 'SELECT Task').split(', array_to_string(AcquisitionEra')[0]},
   concat('https://grid.example.org/report/', string_split(Task, '/')[2], '?from=',
     (SELECT CAST(epoch_ms(date_trunc('day', min(o_orderdate))) AS VARCHAR) FROM orders), '&day=',
     (SELECT strftime(max(o_orderdate), '%Y-%m-%d') FROM orders)) AS Links FROM totals""")

@@ -17,6 +17,10 @@ TUNING_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join even where its partitioning was to serve the next operator
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # aggregates with sets keep this many groups in memory before they turn to sorting
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "10000",
 }
 
 

@@ -36,8 +36,11 @@ def write_searchable(df: DataFrame, path: str, keys: list[str], files: int | Non
 
 
 def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
-    """Write whole partitions, replacing those already there, so a rerun adds nothing twice."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    """Write whole partitions, replacing those already there, so a rerun adds nothing twice.
+
+    Rebalanced first: few files per partition, several writers for a large one.
+    """
+    df.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
 # Metadata keys only the sender may set.
