@@ -39,14 +39,14 @@ def task_prefix(task: Column) -> Column:
 
 
 def split_by_pattern(line: Column, pattern: str, groups: int) -> Column:
-    """All groups of one match as an array; null where the line does not match as a whole.
+    """What stands before the match and then all its groups, as an array of ``groups + 1``.
 
-    The line is matched once, however many groups are read from the result.
+    A line that does not match gives an array of one. The line is matched once, however many
+    groups are read from the result.
     """
     sep = "\u0001"
     joined = F.regexp_replace(line, pattern, sep + sep.join(f"${i}" for i in range(1, groups + 1)))
-    parts = F.split(joined, sep, -1)
-    return F.when(F.size(parts) == groups + 1, parts)
+    return F.split(joined, sep, -1)
 
 
 def absent_if_dash(col: Column) -> Column:

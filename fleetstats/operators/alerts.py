@@ -78,8 +78,8 @@ def latest_alerts(rows: DataFrame) -> DataFrame:
     """The newest row of every alert name. Maps have no order, so sorted entries stand in."""
     newest = F.max(F.struct(
         "startsAt", "endsAt",
-        F.array_sort(F.map_entries("labels")).alias("labels"),
-        F.array_sort(F.map_entries("annotations")).alias("annotations"),
+        F.sort_array(F.map_entries("labels")).alias("labels"),
+        F.sort_array(F.map_entries("annotations")).alias("annotations"),
     )).alias("_row")
     return rows.groupBy("name").agg(newest).select(
         "name", "_row.startsAt", "_row.endsAt",
@@ -93,7 +93,7 @@ def alert_detail(rows: DataFrame, name: str) -> DataFrame:
     labels = F.map_filter("labels", lambda k, _: k.isin(*SHOWN_LABELS))
 
     def lines(entries: Column) -> Column:
-        return F.transform(F.array_sort(F.map_entries(entries)), lambda e: F.concat_ws(": ", e["key"], e["value"]))
+        return F.transform(F.sort_array(F.map_entries(entries)), lambda e: F.concat_ws(": ", e["key"], e["value"]))
 
     return rows.where(F.col("name") == name).select(
         "name", lines(labels).alias("labels"), lines(F.col("annotations")).alias("annotations")

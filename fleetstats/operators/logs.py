@@ -51,11 +51,9 @@ def _fields(df: DataFrame, line: Column, layout: str, names: list[str]) -> DataF
     and the pattern is evaluated once per line instead of once per use.
     """
     parts = split_by_pattern(line, layout, len(names))
-    split = df.withColumn("_parts", F.explode(F.array(parts)))
-    return split.select(
-        "*", *[filled(F.get("_parts", F.lit(i + 1))).alias(name) for i, name in enumerate(names)],
-        F.col("_parts").isNotNull().alias("_fits"),
-    ).drop("_parts")
+    fits = F.coalesce(F.size("_parts") == len(names) + 1, F.lit(False))
+    fields = [F.when(fits, filled(F.get("_parts", F.lit(i + 1)))).alias(name) for i, name in enumerate(names)]
+    return df.withColumn("_parts", F.explode(F.array(parts))).select("*", *fields, fits.alias("_fits")).drop("_parts")
 
 
 def _times(df: DataFrame, text: Column, fmt: str) -> DataFrame:

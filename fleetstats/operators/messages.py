@@ -32,7 +32,7 @@ def attr_subset(record: Column, attrs: Sequence[str] | None) -> Column:
 
 def encode(record: Column, sep: str = PAIR_SEPARATOR) -> Column:
     """``key:value`` pairs in key order."""
-    pairs = F.transform(F.array_sort(F.map_entries(record)), lambda e: F.concat(e["key"], F.lit(":"), e["value"]))
+    pairs = F.transform(F.sort_array(F.map_entries(record)), lambda e: F.concat(e["key"], F.lit(":"), e["value"]))
     return F.array_join(pairs, sep)
 
 

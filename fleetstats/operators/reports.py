@@ -118,7 +118,7 @@ def prefix_matches(df: DataFrame, name: str, prefixes: DataFrame, prefix: str) -
     An equality join: each name is cut at the lengths that occur among the prefixes, so no
     name is compared with all prefixes.
     """
-    lengths = prefixes.agg(F.array_sort(F.collect_set(F.length(prefix))).alias("lengths")).scalar()
+    lengths = prefixes.agg(F.sort_array(F.collect_set(F.length(prefix))).alias("lengths")).scalar()
     cuts = df.withColumn("_lengths", lengths).withColumn(
         prefix,
         F.explode(F.transform(

@@ -16,7 +16,7 @@ DOCS_SQL = """SELECT event_id, ts, concat('campaign-', event_type) AS campaign,
   CASE WHEN CAST(json_extract_string(props, '$.k') AS INT) < 20 THEN '0'
     ELSE json_extract_string(props, '$.k') END AS "exitCode",
   concat('T3_US_', user_id) AS site,
-  CASE event_type WHEN 'click' THEN 'dbs' WHEN 'view' THEN '' ELSE 'crab' END AS system,
+  CASE event_type WHEN 'click' THEN 'dbs' WHEN 'view' THEN '' ELSE 'jobs' END AS system,
   CASE WHEN event_type <> 'error' THEN concat('/task', user_id, '/part:', json_extract_string(props, '$.k')) END AS task
 FROM events"""
 
@@ -42,7 +42,7 @@ def to_documents(events):
         F.concat(F.lit("campaign-"), kind).alias("campaign"),
         F.when(code.cast("int") < 20, F.lit("0")).otherwise(code).alias("exitCode"),
         F.concat(F.lit("T3_US_"), "user_id").alias("site"),
-        F.when(kind == "click", "dbs").when(kind == "view", "").otherwise("crab").alias("system"),
+        F.when(kind == "click", "dbs").when(kind == "view", "").otherwise("jobs").alias("system"),
         F.when(kind != "error", F.concat(F.lit("/task"), "user_id", F.lit("/part:"), code)).alias("task"),
     )
 
