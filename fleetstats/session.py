@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
@@ -24,12 +25,29 @@ TUNING_CONF = {
 }
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def shuffle_partitions(settings: Mapping[str, str], parallelism: int) -> int:
+    """Shuffle partitions to start from on a cluster: three per core it can grow to.
+
+    Run-time re-planning merges what turns out small; it cannot split an aggregate's partition
+    that was planned too large.
+    """
+    executors = settings.get("spark.dynamicAllocation.maxExecutors") or settings.get("spark.executor.instances")
+    cores = int(executors) * int(settings.get("spark.executor.cores", "1")) if executors else parallelism
+    return max(3 * cores, int(settings.get("spark.sql.shuffle.partitions", "200")))
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the result-relevant settings to an existing session."""
-    for key, value in SEMANTIC_CONF.items():
-        spark.conf.set(key, value)
-    for key, value in TUNING_CONF.items():
+    """Apply the settings above to an existing session; on a cluster also size its shuffles."""
+    for key, value in {**SEMANTIC_CONF, **TUNING_CONF}.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    if not context.master.startswith("local") and spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        settings = dict(context.getConf().getAll())
+        settings["spark.sql.shuffle.partitions"] = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set(INITIAL_PARTITIONS, str(shuffle_partitions(settings, context.defaultParallelism)))
     return spark
 
 

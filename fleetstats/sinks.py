@@ -43,6 +43,19 @@ def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
     df.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
+def write_snapshot(df: DataFrame, path: str, day: str, min_rows: int = 1, column: str = "snapshot_date") -> int:
+    """Write a dated full dump and return its number of rows; raises if it holds too few.
+
+    A dump that failed stays behind as an incomplete snapshot, which ``latest_snapshot`` passes
+    over, so the one before remains current.
+    """
+    replace_partitions(df.withColumn(column, F.lit(day)), path, column)
+    written = df.sparkSession.read.parquet(path).where(F.col(column) == F.lit(day).cast("date")).count()
+    if written < min_rows:
+        raise ValueError(f"snapshot {day} holds {written} rows, expected at least {min_rows}")
+    return written
+
+
 # Metadata keys only the sender may set.
 RESERVED_METADATA = ("type", "_id", "producer", "timestamp")
 

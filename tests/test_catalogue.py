@@ -68,6 +68,16 @@ def test_rerun_adds_nothing(spark, tmp_path):
     assert sorted(rows(spark.read.parquet(str(tmp_path)), "n", "dt")) == [(1, "a"), (2, "a"), (9, "b")]
 
 
+def test_dated_dumps(spark, tmp_path):
+    path = str(tmp_path)
+    assert sinks.write_snapshot(spark.range(10), path, "2024-01-01") == 10
+    assert sinks.write_snapshot(spark.range(12), path, "2024-01-02", min_rows=9) == 12
+    with pytest.raises(ValueError, match="3 rows"):
+        sinks.write_snapshot(spark.range(3), path, "2024-01-03", min_rows=9)
+    current = cat.latest_snapshot(spark.read.parquet(path), "snapshot_date", 0.9)
+    assert rows(current.groupBy("snapshot_date").count()) == [(date(2024, 1, 2), 12)]
+
+
 def test_searchable_layout(spark, tmp_path):
     sinks.write_searchable(spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k")), str(tmp_path), ["k"], 4)
     per_file = spark.read.parquet(str(tmp_path)).groupBy(F.input_file_name()).agg(F.min("k"), F.max("k"), F.count("*"))
