@@ -26,23 +26,21 @@ def validate_enums(df: DataFrame, allowed: Mapping[str, Sequence], columns: Sequ
 # ---- types by example -----------------------------------------------------------------------
 
 
-# The type names that JSON values of each kind have as variants.
-_TYPE_NAMES = {
-    "int": ["BIGINT"], "float": ["DECIMAL", "DOUBLE", "FLOAT"], "str": ["STRING"], "bool": ["BOOLEAN"],
-    "null": ["VOID"], "list": ["ARRAY"], "dict": ["OBJECT"],
+# How the type of a JSON value of each kind reads as a variant. Integers too long
+# for 64 bits are decimals without a scale.
+_LONG_INT = r"\((?:19|[23]\d),0\)"
+_TYPE_TEXTS = {
+    "int": rf"BIGINT|DECIMAL{_LONG_INT}", "float": rf"DECIMAL(?!{_LONG_INT})|DOUBLE|FLOAT", "str": "STRING",
+    "bool": "BOOLEAN", "null": "VOID", "list": "ARRAY", "dict": "OBJECT",
 }
 
 
-def _type_of(value: Column) -> Column:
-    """Type name of a JSON value without its details; integers of any length are BIGINT."""
-    text = F.schema_of_variant(value)
-    long_int = text.like("DECIMAL(%,0)") & text.rlike(r"^DECIMAL\((19|[23]\d),")
-    name = F.substring_index(F.substring_index(text, "<", 1), "(", 1)
-    return F.when(long_int, "BIGINT").otherwise(name)
+def _is(type_text: Column, kinds: Sequence[str]) -> Column:
+    return type_text.rlike("^(?:" + "|".join(_TYPE_TEXTS[kind] for kind in kinds) + ")")
 
 
-def _is(type_name: Column, kinds: Sequence[str]) -> Column:
-    return type_name.isin(*[name for kind in kinds for name in _TYPE_NAMES[kind]])
+def _all_are(type_texts: Column, kind: str) -> Column:
+    return F.forall(type_texts, lambda text: _is(text, [kind]))
 
 
 def _accepted(example) -> list[str]:
@@ -81,14 +79,16 @@ def _nodes(example: Mapping, above: tuple[str, ...] = ()) -> dict[tuple[str, ...
     return nodes
 
 
-def _offends(type_name: Column, item_types: Column | None, example) -> Column:
+def _offends(type_text: Column, item_types: Column | None, example) -> Column:
     """Whether a value has another type than the example; absent and null values do not offend."""
-    wrong = ~_is(type_name, _accepted(example))
+    wrong = ~_is(type_text, _accepted(example))
     if item_types is not None:
         # a list must have items, all of one type, the type of the example's items
-        typed = _is(F.get(item_types, F.lit(0)), _accepted(example[0])) if example else F.lit(False)
-        wrong = wrong | ~((F.size(item_types) == 1) & F.coalesce(typed, F.lit(False)))
-    return F.coalesce((type_name != "VOID") & wrong, F.lit(False))
+        alike = F.lit(False)
+        for kind in _accepted(example[0]) if example else []:
+            alike = alike | _all_are(item_types, kind)
+        wrong = wrong | ~F.coalesce((F.size(item_types) > 0) & alike, F.lit(False))
+    return F.coalesce((type_text != "VOID") & wrong, F.lit(False))
 
 
 def validate_records(
@@ -108,10 +108,10 @@ def validate_records(
     # types first, each computed once, then the rules over them
     types: dict[str, Column] = {"_entries": doc.try_cast("map<string, variant>")}
     for i, (path, value) in enumerate(nodes.items()):
-        types[f"_type{i}"] = _type_of(_member(doc, *path))
+        types[f"_type{i}"] = F.schema_of_variant(_member(doc, *path))
         if isinstance(value, (list, tuple)):
             items = F.try_variant_get(doc, _path(*path), "array<variant>")
-            types[f"_items{i}"] = F.array_distinct(F.transform(items, _type_of))
+            types[f"_items{i}"] = F.transform(items, F.schema_of_variant)
     wrong_keys: dict[str, Column] = {}
     for i, (path, value) in enumerate(nodes.items()):
         items = F.col(f"_items{i}") if f"_items{i}" in types else None
@@ -153,15 +153,15 @@ def validate_contract(df: DataFrame, json_col: str, contract: Mapping) -> DataFr
         key: [rule["type"]] if isinstance(rule["type"], str) else rule["type"]
         for key, rule in contract.get("properties", {}).items() if "type" in rule
     }
-    types = {f"_type{i}": _type_of(_member(doc, key)) for i, key in enumerate(rules)}
+    types = {f"_type{i}": F.schema_of_variant(_member(doc, key)) for i, key in enumerate(rules)}
     mistyped = []
     for i, (key, names) in enumerate(rules.items()):
-        type_name, kinds = F.col(f"_type{i}"), [kind for name in names for kind in _CONTRACT_KINDS[name]]
-        good = _is(type_name, kinds)
+        type_text, kinds = F.col(f"_type{i}"), [kind for name in names for kind in _CONTRACT_KINDS[name]]
+        good = _is(type_text, kinds)
         if "int" in kinds and "float" not in kinds:
             # 2.0 is an integer in this contract language
             number = F.try_variant_get(doc, _path(key), "double")
-            good = good | (_is(type_name, ["float"]) & (number == F.floor(number)))
+            good = good | (_is(type_text, ["float"]) & (number == F.floor(number)))
         mistyped.append(F.when(~good, F.lit(key)))
     required = F.array(*[F.lit(k) for k in contract.get("required", [])]).cast("array<string>")
     checked = df.withColumn("_doc", F.try_parse_json(json_col)).withColumns(types).withColumns({
