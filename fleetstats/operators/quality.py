@@ -124,13 +124,15 @@ def validate_records(
         "offending_keys": F.when(F.col("_entries").isNotNull(), F.array_compact(F.array(*offending))),
         "unknown_keys": F.sort_array(F.array_except(F.map_keys("_entries"), known)),
     })
-    dropped = F.array().cast("array<string>")
-    if drop_offending:
-        dropped = F.concat(dropped, F.coalesce("offending_keys", F.array().cast("array<string>")))
-    if drop_unknown:
-        dropped = F.concat(dropped, F.coalesce("unknown_keys", F.array().cast("array<string>")))
-    payload = F.map_filter("_entries", lambda k, _: ~F.array_contains(dropped, k))
-    return checked.withColumn("payload", F.to_json(payload)).drop("_doc", *types)
+    none = F.array().cast("array<string>")
+    dropped = [F.coalesce("offending_keys", none)] * drop_offending + [F.coalesce("unknown_keys", none)] * drop_unknown
+    kept = F.map_filter("_entries", lambda k, _: ~F.array_contains("_dropped", k))
+    payload = F.when(F.size("_dropped") == 0, F.to_json("_doc")).otherwise(F.to_json(kept))
+    return (
+        checked.withColumn("_dropped", F.concat(none, *dropped))
+        .withColumn("payload", F.when(F.col("_entries").isNotNull(), payload))
+        .drop("_doc", "_dropped", *types)
+    )
 
 
 # ---- contracts ------------------------------------------------------------------------------

@@ -63,7 +63,8 @@ def renamed_counters(df: DataFrame, columns: Mapping[str, str], required: Sequen
 def storage_quota(elements: DataFrame, usage: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """Used, total and free space in TB of real disk elements at tiers 1 and 2.
 
-    Elements that lack either the static or the used figure are left out.
+    Elements that lack either the static or the used figure are left out. Rounded to one
+    decimal, halves to even.
     """
     wanted = elements.where(
         (F.col("rse_type") == "DISK") & (F.col("cms_type") == "real") & (F.col("tier") > 0) & (F.col("tier") < 3)
@@ -77,10 +78,10 @@ def storage_quota(elements: DataFrame, usage: DataFrame, exclude: Sequence[str]
     static, used = F.col("static") * 1e-12, F.col("rucio") * 1e-12
     return wanted.join(figures, "rse").select(
         "rse",
-        F.round(used, 1).alias("used_tb"),
-        F.round(static, 1).alias("total_tb"),
-        F.round(percent(used, static), 1).alias("used_percent"),
-        F.round(static - used, 1).alias("free_tb"),
+        F.bround(used, 1).alias("used_tb"),
+        F.bround(static, 1).alias("total_tb"),
+        F.bround(percent(used, static), 1).alias("used_percent"),
+        F.bround(static - used, 1).alias("free_tb"),
     )
 
 

@@ -34,7 +34,7 @@ def successful_work(work: DataFrame, start, end) -> DataFrame:
 def flatten_steps(work: DataFrame) -> DataFrame:
     """One row per payload step; equal rows once, rows without a stream count dropped.
 
-    Done with array functions only, so nothing leaves the JVM.
+    Zero and empty values count as absent in products and times. Done with array functions only, so nothing leaves the JVM.
     """
     payload = F.filter("steps", lambda s: F.lower(s["name"]).startswith(PAYLOAD_STEP))
     # the outer form, because the plain one would evaluate the filter once more just to test
@@ -64,8 +64,8 @@ def flatten_steps(work: DataFrame) -> DataFrame:
         "threads_total_job_time": F.when(both, nonzero(job_time) * nonzero(threads)),
         "write_total_mb": storage["writeTotalMB"],
         "read_total_mb": storage["readTotalMB"],
-        "read_total_secs": filled(storage["readTotalSecs"]).try_cast("double"),
-        "write_total_secs": filled(storage["writeTotalSecs"]).try_cast("double"),
+        "read_total_secs": nonzero(filled(storage["readTotalSecs"]).try_cast("double")),
+        "write_total_secs": nonzero(filled(storage["writeTotalSecs"]).try_cast("double")),
         "peak_rss": F.col("step.performance.memory.PeakValueRss"),
         "peak_v_size": F.col("step.performance.memory.PeakValueVsize"),
     }

@@ -152,8 +152,8 @@ _ELEMENTS_SQL = """elements AS (SELECT p_partkey, concat('T_', p_partkey) AS rse
 @query(f"""WITH {_ELEMENTS_SQL}, figures AS (SELECT l_partkey, max(l_extendedprice) FILTER (l_linestatus = 'F') * 1e9 AS static,
   max(l_extendedprice) FILTER (l_linestatus = 'O' AND l_returnflag = 'A') * 1e9 AS used FROM lineitem
   GROUP BY l_partkey)
-SELECT rse, round(used * 1e-12, 1) AS used_tb, round(static * 1e-12, 1) AS total_tb,
-  round(100.0 * (used * 1e-12) / (static * 1e-12), 1) AS used_percent, round(static * 1e-12 - used * 1e-12, 1) AS free_tb
+SELECT rse, round_even(used * 1e-12, 1) AS used_tb, round_even(static * 1e-12, 1) AS total_tb,
+  round_even(100.0 * (used * 1e-12) / (static * 1e-12), 1) AS used_percent, round_even(static * 1e-12 - used * 1e-12, 1) AS free_tb
 FROM elements JOIN figures ON p_partkey = l_partkey
 WHERE rse_type = 'DISK' AND cms_type = 'real' AND tier > 0 AND tier < 3 AND rse NOT IN ('T_1', 'T_2')
   AND static IS NOT NULL AND used IS NOT NULL""")

@@ -53,9 +53,8 @@ def canonical(value):
     return "nan" if math.isnan(number) else repr(number + 0.0)
 
 
-def compare(spark, con, name: str, sf_dir: str) -> str | None:
-    """None if Spark and SQL agree, else what differs."""
-    df = queries()[name](spark, sf_dir)
+def compare(df, con, name: str) -> str | None:
+    """None if a query's rows and its SQL agree, else what differs."""
     columns = sorted(df.columns)
     ours = sorted(tuple(canonical(v) for v in row) for row in df.select(*[f"`{c}`" for c in columns]).collect())
     sql = oracle_sql().get(name)
@@ -86,7 +85,7 @@ def main() -> int:
     for name in wanted or queries():
         began = time.time()
         try:
-            problem = compare(spark, con, name, sf_dir)
+            problem = compare(queries()[name](spark, sf_dir), con, name)
         except Exception as error:  # noqa: BLE001
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         if problem:

@@ -62,7 +62,7 @@ def test_products_need_every_factor(spark):
 
 
 def test_texts_of_seconds(spark):
-    table = flat(spark, ([step("cmsRun1", secs="2.5"), step("cmsRun2", secs=""), step("cmsRun3", secs=None)], {}))
+    table = flat(spark, ([step("cmsRun1", secs="2.5"), step("cmsRun2", secs=""), step("cmsRun3", secs="0")], {}))
     assert sorted(rows(table, "StepName", "read_total_secs"))[0] == ("cmsRun1", 2.5)
     assert [r[1] for r in sorted(rows(table, "StepName", "read_total_secs"))[1:]] == [None, None]
 
