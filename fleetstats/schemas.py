@@ -98,3 +98,22 @@ SERIES_MATRIX = struct(
 
 # One line of a time-series export: parallel arrays, times in milliseconds.
 SERIES_EXPORT = struct(metric=LABELS, values=ArrayType(LongType()), timestamps=ArrayType(LongType()))
+
+# What the enumerated fields of a job document may hold.
+ALLOWED_JOB_VALUES = {
+    "Pool": ["Global", "CERN", "ITB", "Volunteer", "HEPCloud"],
+    "WMTool": ["WMAgent", "Unknown", "User", "HammerCloud"],
+    "SubmissionTool": ["CRAB", "WMAgent", "CMSConnect", "SiteSchedd"],
+    "Type": ["Production", "Analysis", "Test", "Tier0"],
+    "JobType": [
+        "LogCollect", "Merge", "Processing", "Production", "Harvesting", "Cleanup", "Skim", "Repack", "Express", "Analysis",
+    ],
+    "TaskType": ["Reco", "Digi", "Gen", "GenSimDigi", "scriptExe", "CMSRun", "HCtest", "HCother"],
+    "PrimaryInputType": ["MC", "Data", "NONE"],
+    "PrimaryInputLocation": ["Onsite", "Offsite", "Mixed", "NONE"],
+    "SecondaryInputType": ["MC", "Data", "NONE"],
+    "SecondaryInputLocation": ["Onsite", "Offsite", "Mixed", "NONE"],
+    "JobFailed": [0, 1],
+    "ErrorType": ["Env", "Exe", "Stageout", "Publication", "Internal", "FileOpen", "DataRead", "Others"],
+    "ErrorCategory": ["Site", "Application", "WMTool"],
+}

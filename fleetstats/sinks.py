@@ -103,7 +103,8 @@ def new_id() -> Column:
 def chunk_records(df: DataFrame, size: int = 1000) -> DataFrame:
     """Number the rows of every partition and group them into chunks of at most ``size``.
 
-    Chunks never cross partitions, so no row is moved.
+    Chunks never cross partitions, so no row is moved. Apply it to rows in a repeatable order
+    (a scan, or sorted within partitions), so that a repeated task makes the same chunks.
     """
     # monotonically_increasing_id() = partition number << 33 | row number in the partition
     row_id = F.monotonically_increasing_id()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fleetstats.operators import quality
 from fleetstats.operators import reconcile as rec
+from fleetstats.schemas import ALLOWED_JOB_VALUES
 
 EXAMPLE = {"s": "s", "i": 1, "d": {"ds": "s", "di": 1}, "l": [1, 2], "f": 0.5, "b": True, "n": None}
 
@@ -53,12 +54,11 @@ def test_bad_keys_can_be_dropped(spark):
 
 
 def test_allowed_values(spark):
-    allowed = {"Pool": ["Global", "ITB"], "JobFailed": [0, 1]}
     df = spark.createDataFrame(
         [("Global", 0, None), ("Bla", 1, None), (None, None, ""), (None, None, None)],
         "Pool STRING, JobFailed INT, P STRING",
     )
-    checked = quality.validate_enums(df, allowed, df.columns)
+    checked = quality.validate_enums(df, ALLOWED_JOB_VALUES, df.columns)
     assert [r[0] for r in rows(checked, "bad_keys")] == [[], ["Pool"], ["P"], []]
 
 
