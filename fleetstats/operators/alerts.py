@@ -52,6 +52,7 @@ def sort_key(by: str) -> Column:
 
 
 def sort_alerts(rows: DataFrame, by: str, *ties: str) -> DataFrame:
+    """Sorted rows; give ties a unique column, or all alerts of a severity are sorted by one task."""
     return rows.orderBy(sort_key(by), *ties)
 
 

@@ -260,7 +260,9 @@ def popularity_star(spark, sf_dir):
         "site": _dimension(nation, "n_nationkey", "n_name", "SiteId", "SiteName"),
         "users": _dimension(nation, "n_nationkey", "n_name", "UserId", "GridName"),
     }
-    return cat.popularity_star(tables, "96-01-01 00:00:00", "99-01-01 00:00:00").orderBy("JobId")
+    return cat.popularity_star(tables, "96-01-01 00:00:00", "99-01-01 00:00:00").orderBy(
+        "JobId", "FileName", "BlockId"
+    )
 
 
 @query("""WITH job AS (SELECT *, l_shipdate + to_hours(CAST(l_quantity AS INT)) AS finished,

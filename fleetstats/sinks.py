@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 
 def write_collections(tables: dict[str, DataFrame], path: str) -> DataFrame:
@@ -30,8 +31,13 @@ def run_record(start: Column, end: Column) -> list[Column]:
 
 
 def write_searchable(df: DataFrame, path: str, keys: list[str], files: int | None = None) -> None:
-    """Range-partitioned and sorted by the search keys, so that file statistics skip the rest."""
-    spread = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
+    """Range-partitioned and sorted by the search keys, so that file statistics skip the rest.
+
+    A hash of the row ends the range key, so that a frequent key spreads over several files.
+    """
+    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+    ranges = [*keys, F.xxhash64(*hashed)]
+    spread = df.repartitionByRange(files, *ranges) if files else df.repartitionByRange(*ranges)
     spread.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
 
 

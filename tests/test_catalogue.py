@@ -85,6 +85,13 @@ def test_searchable_layout(spark, tmp_path):
     assert len(ranges) == 4 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
 
 
+def test_searchable_layout_of_a_frequent_key(spark, tmp_path):
+    table = spark.range(3000).select(F.when(F.col("id") < 1000, 0).otherwise(F.col("id")).alias("k"), "id")
+    sinks.write_searchable(table, str(tmp_path), ["k"], 12)
+    with_key = spark.read.parquet(str(tmp_path)).where("k = 0").select(F.input_file_name().alias("f")).distinct()
+    assert with_key.count() >= 3
+
+
 def test_jdbc_options():
     assert dumps.jdbc_options("u", "t") == {"url": "u", "dbtable": "t", "fetchsize": "10000"}
     many = dumps.jdbc_options("u", "t", "id", 1, 9, 8, 3000, ("BLOB1", "BLOB2"), {"user": "me"})
