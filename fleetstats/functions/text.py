@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fleetstats.functions.numbers import filled
-
 
 def regex_any_case(col: Column, pattern: str) -> Column:
     """Case-insensitive search in which ``^`` and ``$`` match at every line."""
@@ -47,7 +45,3 @@ def split_by_pattern(line: Column, pattern: str, groups: int) -> Column:
     sep = "\u0001"
     joined = F.regexp_replace(line, pattern, sep + sep.join(f"${i}" for i in range(1, groups + 1)))
     return F.split(joined, sep, -1)
-
-
-def absent_if_dash(col: Column) -> Column:
-    return F.nullif(filled(col), F.lit("-"))

@@ -78,25 +78,34 @@ def _is_top() -> Column:
     return F.col("Tier").isin(*TOP_TIERS)
 
 
+def _job_sums() -> list[Column]:
+    """Everything the measures of a level are made of, over prepared jobs."""
+    return [
+        *[F.sum(c).alias(c) for c in _SUMMED],
+        *[F.sum(F.when(_is_top(), F.col(c))).alias(c + "T1T2") for c in _SUMMED_TOP],
+        F.sum("CommittedOverMaxWallTime").alias("ShareSum"),
+        F.count("CommittedOverMaxWallTime").alias("ShareCount"),
+    ]
+
+
+def _grain_sums() -> list[Column]:
+    """The same over the rows of the finest grain."""
+    names = _SUMMED + [c + "T1T2" for c in _SUMMED_TOP] + ["ShareSum", "ShareCount"]
+    return [F.sum(c).alias(c) for c in names]
+
+
 def finest_grain(prepared: DataFrame, with_ids: bool = True) -> DataFrame:
     """Sums and counts per site-level key, from which every level can be computed.
 
     The schedulers' names and the largest job id are only needed at site level; leaving them
     out keeps the aggregate in the fast hash form.
     """
-    sums = [F.sum(c).alias(c) for c in _SUMMED]
-    top = [F.sum(F.when(_is_top(), F.col(c))).alias(c + "T1T2") for c in _SUMMED_TOP]
-    share = [
-        F.sum("CommittedOverMaxWallTime").alias("ShareSum"),
-        F.count("CommittedOverMaxWallTime").alias("ShareCount"),
-    ]
     ids = [F.collect_set("ScheddName").alias("Schedds"), F.max("WMAgent_JobID").alias("MaxWmagentJobId")]
-    return prepared.groupBy(*SITE_KEYS).agg(*sums, *top, *share, *(ids if with_ids else []))
+    return prepared.groupBy(*SITE_KEYS).agg(*_job_sums(), *(ids if with_ids else []))
 
 
 def _regroup(grain: DataFrame, keys: list[str]) -> DataFrame:
-    sums = _SUMMED + [c + "T1T2" for c in _SUMMED_TOP] + ["ShareSum", "ShareCount"]
-    return grain.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+    return grain.groupBy(*keys).agg(*_grain_sums())
 
 
 def _measures() -> dict[str, Column]:
@@ -167,13 +176,7 @@ def workflow_site_efficiency(prepared: DataFrame) -> DataFrame:
 
 def workflow_efficiency(prepared: DataFrame) -> DataFrame:
     """Straight from the jobs: for one level alone a single shuffle is enough."""
-    sums = [F.sum(c).alias(c) for c in _SUMMED]
-    top = [F.sum(F.when(_is_top(), F.col(c))).alias(c + "T1T2") for c in _SUMMED_TOP]
-    share = [
-        F.sum("CommittedOverMaxWallTime").alias("ShareSum"),
-        F.count("CommittedOverMaxWallTime").alias("ShareCount"),
-    ]
-    grouped = prepared.groupBy(*WORKFLOW_KEYS).agg(*sums, *top, *share)
+    grouped = prepared.groupBy(*WORKFLOW_KEYS).agg(*_job_sums())
     return grouped.select(*WORKFLOW_KEYS, *_named(_measures()), *_named(_top_measures()))
 
 
@@ -189,12 +192,11 @@ def all_levels(prepared: DataFrame) -> DataFrame:
     The grouping sets expand the finest grain, not the jobs, so the tripled rows are few.
     """
     grain = finest_grain(prepared, with_ids=False)
-    sums = _SUMMED + [c + "T1T2" for c in _SUMMED_TOP] + ["ShareSum", "ShareCount"]
     sets = [[F.col(k) for k in keys] for keys in (SITE_KEYS, WORKFLOW_KEYS, TIER_KEYS)]
     grouped = grain.groupingSets(sets, *SITE_KEYS).agg(
         F.grouping("Workflow").alias("_no_workflow"),
         F.grouping("Site").alias("_no_site"),
-        *[F.sum(c).alias(c) for c in sums],
+        *_grain_sums(),
     )
     level = (
         F.when(F.col("_no_workflow") == 1, F.lit("tier")).when(F.col("_no_site") == 1, F.lit("workflow"))

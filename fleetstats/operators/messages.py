@@ -8,7 +8,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed values of the message format: pair separator, root topic, the attributes whose own
@@ -141,8 +141,6 @@ def top_codes_of_top_sites(
 
     Ranks the counts, not the messages; the selected sites are at most ``sites`` rows.
     """
-    from pyspark.sql import Window
-
     totals = counts.groupBy(site).agg(F.sum("n").alias("site_total"))
     best = totals.orderBy(F.desc("site_total"), site).limit(sites)
     rank = F.row_number().over(Window.partitionBy(site).orderBy(F.desc("n"), code))

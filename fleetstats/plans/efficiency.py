@@ -10,8 +10,11 @@ from fleetstats.operators import steps
 from fleetstats.operators.search import display
 from fleetstats.plans import views
 from fleetstats.plans.registry import query
-from fleetstats.plans.views import END, FLAT_STEPS_SQL, JOBS_SQL, PREPARED_JOBS_SQL, START
-from fleetstats.storage import materialize
+from fleetstats.plans.views import (
+    END, FLAT_STEPS_SQL, JOBS_SQL, PREPARED_JOBS_SQL, START, SUCCESSFUL_WORK_SQL,
+)
+from fleetstats.sinks import write_collections
+from fleetstats.storage import materialize, new_path
 
 _RATIOS = """
   100 * sum(CpuTimeHr) / nullif(sum(CoreTimeHr), 0) AS CpuEff,
@@ -140,9 +143,6 @@ UNION ALL SELECT 'condor_tiers', count(*) FROM (
   SELECT DISTINCT Tier, Type FROM prepared WHERE Tier <> 'UNKNOWN')""")
 def efficiency_collections(spark, sf_dir):
     """The whole batch: one pass over the jobs, one written grain, three result collections."""
-    from fleetstats.sinks import write_collections
-    from fleetstats.storage import new_path
-
     grain = materialize(eff.finest_grain(prepared_jobs(spark, sf_dir)), "grain")
     tables = {
         "condor_detailed": eff.site_level(grain),
@@ -152,9 +152,7 @@ def efficiency_collections(spark, sf_dir):
     return write_collections(tables, new_path(spark, "collections"))
 
 
-@query(f"""WITH work AS ({FLAT_STEPS_SQL.split('wanted AS', 1)[0].split('(', 1)[1].rsplit(')', 1)[0]})
-SELECT fwjr_id, task, jobtype, ts FROM work WHERE jobstate = 'success' AND task IS NOT NULL
-  AND jobtype IN ('Production', 'Processing', 'Merge', 'LogCollect', 'Harvesting')""")
+@query(f"{SUCCESSFUL_WORK_SQL} SELECT fwjr_id, task, jobtype, ts FROM wanted")
 def successful_steps(spark, sf_dir):
     found = steps.successful_work(views.work(spark, sf_dir), START, END)
     return found.select("meta_data.fwjr_id", "task", "meta_data.jobtype", "meta_data.ts")
@@ -166,12 +164,14 @@ def step_flatten(spark, sf_dir):
     return texts(flat_steps(spark, sf_dir))
 
 
-def _task_sql(level: str) -> str:
+def _totals_sql(level: str) -> str:
+    """The step levels in SQL, as the table ``totals``; the sets of eras come from ``eras``."""
     keys = ", ".join(steps.LEVEL_KEYS[level])
-    sites = ", array_to_string(list_sort(list(DISTINCT Site)), ', ') AS Sites, CAST(count(DISTINCT Site) AS INT) AS SiteCount" if level != "site" else ""
+    sites = """, array_to_string(list_sort(list(DISTINCT Site)), ', ') AS Sites,
+  CAST(count(DISTINCT Site) AS INT) AS SiteCount"""
     return f"""{FLAT_STEPS_SQL}, eras AS (
-  SELECT {keys}, list_sort(list(DISTINCT era)) AS AcquisitionEra FROM (SELECT *, unnest(acquisition_era) AS era FROM flat)
-  GROUP BY {keys}), totals AS (
+  SELECT {keys}, list_sort(list(DISTINCT era)) AS AcquisitionEra
+  FROM (SELECT *, unnest(acquisition_era) AS era FROM flat) GROUP BY {keys}), totals AS (
 SELECT {keys}, 100 * sum(cpu_time) / nullif(sum(threads_total_job_time), 0) AS CpuEfficiency,
   avg(number_of_steps) AS NumberOfStep, avg(nthreads) AS MeanThread, avg(nstreams) AS MeanStream,
   avg(cpu_time) / 3600 AS MeanCpuTimeHr, sum(cpu_time) / 3600 AS TotalCpuTimeHr,
@@ -180,9 +180,14 @@ SELECT {keys}, 100 * sum(cpu_time) / nullif(sum(threads_total_job_time), 0) AS C
   sum(write_total_secs) / 3600 AS WriteTotalHr, sum(read_total_secs) / 3600 AS ReadTotalHr,
   100 * sum(read_total_secs) / nullif(sum(job_time), 0) AS ReadTimePercentage,
   sum(write_total_mb) AS WriteTotalMB, sum(read_total_mb) AS ReadTotalMB,
-  avg(peak_rss) AS MeanPeakRss, avg(peak_v_size) AS MeanPeakVSize {sites}
-FROM flat GROUP BY {keys})
-SELECT totals.*, array_to_string(AcquisitionEra, ', ') AS AcquisitionEra, CAST(len(AcquisitionEra) AS INT) AS EraCount FROM totals JOIN eras USING ({keys})"""
+  avg(peak_rss) AS MeanPeakRss, avg(peak_v_size) AS MeanPeakVSize{sites if level != 'site' else ''}
+FROM flat GROUP BY {keys})"""
+
+
+def _task_sql(level: str) -> str:
+    return f"""{_totals_sql(level)}
+SELECT totals.*, array_to_string(AcquisitionEra, ', ') AS AcquisitionEra, CAST(len(AcquisitionEra) AS INT) AS EraCount
+FROM totals JOIN eras USING ({', '.join(steps.LEVEL_KEYS[level])})"""
 
 
 @query(_task_sql("task"))

@@ -8,7 +8,7 @@ from fleetstats.functions.text import task_prefix
 from fleetstats.operators import search
 from fleetstats.operators.search import Criterion, compile_criteria
 from fleetstats.plans.efficiency import (
-    SITE_TABLE_SQL, WORKFLOW_TABLE_SQL, _task_sql, site_table, task_table, workflow_table,
+    SITE_TABLE_SQL, WORKFLOW_TABLE_SQL, _task_sql, _totals_sql, site_table, task_table, workflow_table,
 )
 from fleetstats.plans.registry import load, query
 from fleetstats.sinks import run_record as run_record_columns
@@ -145,7 +145,7 @@ def kv_query(spark, sf_dir):
 _LINK = "https://grid.example.org/report/[[__TASK_NAME_PREFIX__]]?from=[[__START_DATE_MSEC__]]&day=[[__END_DATE__]]"
 
 
-@query(f"""{_task_sql('task').replace('SELECT totals.*', 'SELECT Task').split(', array_to_string(AcquisitionEra')[0]},
+@query(f"""{_totals_sql('task')} SELECT Task,
   concat('https://grid.example.org/report/', string_split(Task, '/')[2], '?from=',
     (SELECT CAST(epoch_ms(date_trunc('day', min(o_orderdate))) AS VARCHAR) FROM orders), '&day=',
     (SELECT strftime(max(o_orderdate), '%Y-%m-%d') FROM orders)) AS Links FROM totals""")

@@ -144,15 +144,16 @@ def work(spark: SparkSession, sf_dir: str, start: str | None = START, end: str |
     return base.select(*[columns[name].alias(name) for name in WORK_FIELDS.names])
 
 
-# Flattened steps in SQL.
-FLAT_STEPS_SQL = f"""
+# Successful production work in SQL, and its flattened steps.
+SUCCESSFUL_WORK_SQL = f"""
 WITH work AS (
   SELECT {_select_list(_WORK_COLUMNS)}, CAST(epoch(l_shipdate) AS BIGINT) AS ts FROM lineitem
   WHERE l_shipdate >= TIMESTAMP '{START}' AND l_shipdate < TIMESTAMP '{END}'),
 wanted AS (
-  SELECT * FROM work
-  WHERE jobstate = 'success' AND task IS NOT NULL AND streams IS NOT NULL
-    AND jobtype IN ('Production', 'Processing', 'Merge', 'LogCollect', 'Harvesting')),
+  SELECT * FROM work WHERE jobstate = 'success' AND task IS NOT NULL
+    AND jobtype IN ('Production', 'Processing', 'Merge', 'LogCollect', 'Harvesting'))"""
+
+FLAT_STEPS_SQL = f"""{SUCCESSFUL_WORK_SQL},
 flat AS (
   SELECT DISTINCT ts, task AS Task, fwjr_id, jobtype AS JobType, site AS Site,
     CASE WHEN era IS NULL OR era = '' THEN ['EraCommon'] ELSE list_sort([era, 'EraCommon']) END AS acquisition_era,
@@ -162,5 +163,5 @@ flat AS (
     mb AS write_total_mb, mb AS read_total_mb,
     CAST(nullif(read_secs, '') AS DOUBLE) AS read_total_secs,
     CAST(nullif(read_secs, '') AS DOUBLE) AS write_total_secs, rss AS peak_rss, rss AS peak_v_size
-  FROM wanted CROSS JOIN (VALUES ('cmsRun1'), ('CMSRUN2')) AS names(StepName))
+  FROM wanted CROSS JOIN (VALUES ('cmsRun1'), ('CMSRUN2')) AS names(StepName) WHERE streams IS NOT NULL)
 """

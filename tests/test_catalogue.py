@@ -109,6 +109,11 @@ def test_csv_escapes(spark, tmp_path):
     assert sorted(rows(dumps.read_csv_dump(spark, str(tmp_path), df.schema))) == sorted(rows(df))
 
 
+def test_binary_dumps(spark, tmp_path):
+    spark.range(3).write.orc(str(tmp_path / "t"))
+    assert dumps.read_dump(spark, str(tmp_path / "t"), "orc").count() == 3
+
+
 def test_one_object_or_a_list(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"x": 1,\n "y": "a"}')
     (tmp_path / "b.json").write_text('[{"x": 2}, {"x": 3}]')

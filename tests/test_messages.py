@@ -151,3 +151,8 @@ def test_metric_text(spark):
     assert rows(sinks.metric_lines(df, "m", "n", ["x", "y"])) == [('m{x="a",y=""} 3',)]
     assert rows(sinks.metric_lines(df, "m", "n", [])) == [("m 3",)]
     assert rows(sinks.keyed_metric_lines(df, "cms.site.>", "x", "n")) == [("cms_site_metric_a 3",)]
+
+
+def test_ids_are_unique(spark):
+    made = spark.range(50).select(sinks.new_id().alias("id"))
+    assert made.distinct().count() == 50
