@@ -178,14 +178,21 @@ def validate_contract(df: DataFrame, json_col: str, contract: Mapping) -> DataFr
 # ---- common ---------------------------------------------------------------------------------
 
 
-def split_rejects(df: DataFrame, reasons: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and bad rows with the names of the checks they failed.
+def mark_rejects(df: DataFrame, reasons: Mapping[str, Column]) -> DataFrame:
+    """Adds ``reject_reasons``, the names of the checks a row failed, in one pass.
 
     Each reason is true for a bad row; null counts as not bad.
     """
-    failed = F.array_compact(F.array(*[F.when(F.coalesce(bad, F.lit(False)), F.lit(name))
-                                       for name, bad in reasons.items()]))
-    marked = df.withColumn("reject_reasons", failed)
+    failed = [F.when(F.coalesce(bad, F.lit(False)), F.lit(name)) for name, bad in reasons.items()]
+    return df.withColumn("reject_reasons", F.array_compact(F.array(*failed)))
+
+
+def split_rejects(df: DataFrame, reasons: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """Good rows, and bad rows with their reasons, as two tables.
+
+    Each is computed from the input when used; write the marked rows once if checks are costly.
+    """
+    marked = mark_rejects(df, reasons)
     clean = F.size("reject_reasons") == 0
     return marked.where(clean).drop("reject_reasons"), marked.where(~clean)
 

@@ -87,12 +87,10 @@ def enum_validate(spark, sf_dir):
 @query("""SELECT doc_id, concat_ws(',', CASE WHEN n_chars < 100 THEN 'short' END, CASE WHEN lang <> 'en' THEN 'lang' END,
   CASE WHEN regexp_matches(text, '[0-9]{4}') THEN 'digits' END) AS reasons FROM documents""")
 def dead_letter_split(spark, sf_dir):
-    valid, rejected = quality.split_rejects(load(spark, sf_dir, "documents"), {
+    marked = quality.mark_rejects(load(spark, sf_dir, "documents"), {
         "short": F.col("n_chars") < 100, "lang": F.col("lang") != "en", "digits": F.col("text").rlike("[0-9]{4}"),
     })
-    return valid.select("doc_id", F.lit("").alias("reasons")).unionByName(
-        rejected.select("doc_id", F.array_join("reject_reasons", ",").alias("reasons"))
-    )
+    return marked.select("doc_id", F.array_join("reject_reasons", ",").alias("reasons"))
 
 
 @query("""SELECT o_orderkey, concat('{"status":"', o_orderstatus, '"',

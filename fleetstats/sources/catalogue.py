@@ -25,6 +25,8 @@ def jdbc_options(
 ) -> dict[str, str]:
     """Reader options of a parallel import.
 
+    ``table`` may also be a query in brackets with a name, so that a day's extract is filtered
+    by the database.
     ``parts`` readers share the range of the ``split`` column; rows outside the bounds still
     come with the first and last part. ``text_columns`` are read as text whatever the database
     calls them (large objects).
