@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetstats.llm import bpe, common
+from fleetstats.llm import bpe, common, simhash
+from fleetstats.llm import line_dedup as lines
 from fleetstats.llm import substring_dedup as substrings
 from fleetstats.llm import token_counts as counts
 
@@ -82,3 +83,35 @@ FROM kept
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.substring_dedup(common.documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", digest(F.col("kept")).alias("kept_sha256"))
+
+
+@query()
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.classes(common.documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("""
+WITH lines AS (
+  SELECT doc_id, CASE WHEN length(text) > 0 THEN string_split(text, chr(10)) ELSE [] END AS l FROM documents
+), windows AS (
+  SELECT doc_id, p, l[p] || chr(10) || l[p + 1] || chr(10) || l[p + 2] AS w
+  FROM (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS p FROM lines)
+), ranked AS (
+  SELECT doc_id, p, first_value(doc_id) OVER o AS fd, first_value(p) OVER o AS fp
+  FROM windows WINDOW o AS (PARTITION BY w ORDER BY doc_id, p)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(CASE WHEN doc_id = fd THEN greatest(p, fp + 3) ELSE p END, p + 3)) AS i
+  FROM ranked WHERE doc_id <> fd OR p <> fp
+), lists AS (
+  SELECT doc_id, list(i) AS g FROM gone GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines, CAST(coalesce(len(g), 0) AS BIGINT) AS n_removed,
+  sha256(array_to_string(list_filter(l, lambda x, i: NOT list_contains(coalesce(g, []), i)), chr(10))) AS kept_sha256
+FROM lines LEFT JOIN lists USING (doc_id)
+""")
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.line_dedup(common.documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_lines", "n_removed", digest(F.coalesce("text", F.lit(""))).alias("kept_sha256")
+    )
