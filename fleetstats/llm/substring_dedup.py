@@ -3,8 +3,8 @@
 Rabin-Karp hashes of all windows of a fixed number of words are counted in Spark. A task gathers the windows of
 some texts, keeps for each distinct window its smallest document and sends the sorted hashes, packed, to the task
 that owns their range of hashes. So a window that a third of all documents hold is one entry per part of the
-input. The owner answers, for each document, which of its windows start in a smaller document too; each text then
-merges its repeated windows into maximal intervals and drops the words they cover.
+input. The owner answers, by blocks of documents, which of their windows start in a smaller document too; each text
+then merges its repeated windows into maximal intervals and drops the words they cover.
 
 Ranges follow the number of words in the corpus; where there would be more of them than `FAN_OUT`, windows are
 dealt out in several rounds.
@@ -22,11 +22,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from fleetstats.llm.common import add_columns, chunks
 
-CHUNK_BYTES = 12 << 20  # texts whose windows are gathered before they are sent
-RANGE_CHARS = 12_000_000  # characters of the corpus to one range of hashes: about two million windows
+CHUNK_BYTES = 6 << 20  # texts whose windows are gathered before they are sent
+RANGE_CHARS = 6_000_000  # characters of the corpus to one range of hashes: about a million windows
 FAN_OUT = 512  # ranges that a task writes to at once
 
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse
@@ -136,38 +137,40 @@ def range_rows(values: np.ndarray, ids: np.ndarray, bits: int, done: int) -> Ite
         yield int(names[a]), packed(values[a:b], ids[a:b])
 
 
-def answer_rows(values: np.ndarray, ids: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """For each document the hashes of its windows that are to go."""
-    order = np.argsort(ids, kind="stable")
-    values, ids = values[order], ids[order]
-    starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else []
-    for a, b in zip(starts, [*starts[1:], len(ids)]):
-        yield int(ids[a]), values[a:b].tobytes()
+def block_rows(values: np.ndarray, ids: np.ndarray, blocks: int) -> Iterator[tuple[int, bytes]]:
+    """Answers, the windows of documents that are to go, by blocks of documents."""
+    names = (mixed(ids.astype(np.uint64)) % np.uint64(blocks)).astype(np.int64)
+    order = np.lexsort((values, names))
+    names, values, ids = names[order], values[order], ids[order]
+    starts = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]])) if len(names) else []
+    for a, b in zip(starts, [*starts[1:], len(names)]):
+        yield int(names[a]), packed(values[a:b], ids[a:b])
 
 
-# Rows that travel: entries of a range, or an answer for a document that a task could give by itself.
+# Rows that travel: entries of a range of hashes, or answers for a block of documents that are known already.
 TRAVELLING = T.StructType([
-    T.StructField("range", T.LongType(), False), T.StructField("doc", T.LongType(), True),
+    T.StructField("range", T.LongType(), False), T.StructField("known", T.BooleanType(), False),
     T.StructField("payload", T.BinaryType(), False),
 ])
+BLOCKS = T.StructType([T.StructField("block", T.LongType(), False), T.StructField("payload", T.BinaryType(), False)])
 ANSWERS = T.StructType([T.StructField("doc", T.LongType(), False), T.StructField("hashes", T.BinaryType(), False)])
 
 
-def travelling(names: list[int], docs: list[int | None], payloads: list[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(names, pa.int64()), pa.array(docs, pa.int64()), pa.array(payloads, pa.binary())],
-        names=TRAVELLING.fieldNames(),
-    )
+def rows_of(schema: T.StructType, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    types = to_arrow_schema(schema).types
+    for i in range(0, len(rows), 256):
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows[i:i + 256]), types)]
+        yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
 
-def sent(values: np.ndarray, ids: np.ndarray, bits: int, done: int) -> Iterator[pa.RecordBatch]:
+def sent(values: np.ndarray, ids: np.ndarray, bits: int, done: int, blocks: int) -> Iterator[pa.RecordBatch]:
     """Entries to the owners of their ranges; what is decided already goes along as answers."""
     (values, ids), later = split_by_smallest(*by_value(values, ids))
-    rows = [(name, None, p) for name, p in range_rows(values, ids, bits, done)]
-    # an answer rides to any range; spreading by document keeps them even
-    rows += [(doc % (1 << (done + bits)), doc, p) for doc, p in answer_rows(*later)]
-    for i in range(0, len(rows), 256):
-        yield travelling(*map(list, zip(*rows[i:i + 256])))
+    rows = [(name, False, p) for name, p in range_rows(values, ids, bits, done)]
+    # answers ride with any range: with the one that has the first bits of their block's number
+    rows += [(name * (1 << (done + bits)) // blocks, True, struct.pack("<q", name) + p)
+             for name, p in block_rows(*later, blocks)]
+    yield from rows_of(TRAVELLING, rows)
 
 
 def repeated_windows(docs: DataFrame, width: int, id_col: str, text: str) -> DataFrame:
@@ -176,50 +179,53 @@ def repeated_windows(docs: DataFrame, width: int, id_col: str, text: str) -> Dat
     total_bits = max(0, math.ceil(math.log2(max(1.0, chars / RANGE_CHARS))))
     rounds = max(1, math.ceil(total_bits / math.log2(FAN_OUT)))
     widths = [total_bits * (i + 1) // rounds - total_bits * i // rounds for i in range(rounds)]
+    blocks = 1 << total_bits
 
     def gather(batches):
         for table in chunks(batches, text, CHUNK_BYTES):
-            ids = table.column(id_col).to_pylist()
-            hashes = [text_windows(t, width) for t in table.column(text).to_pylist()]
-            if total := sum(map(len, hashes)):
-                values = np.concatenate(hashes)
-                owners = np.repeat(np.array(ids, dtype=np.int64), [len(h) for h in hashes])
-                assert len(owners) == total
-                yield from sent(values, owners, widths[0], 0)
+            ids = np.array(table.column(id_col).to_pylist(), dtype=np.int64)
+            hashes = [text_windows(t.as_py(), width) for t in table.column(text)]
+            if sum(map(len, hashes)):
+                yield from sent(np.concatenate(hashes), np.repeat(ids, list(map(len, hashes))), widths[0], 0, blocks)
 
     def resend(bits, done):
         def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held, size = [], 0
             for batch in batches:
-                for name, doc, payload in zip(*(c.to_pylist() for c in batch.columns)):
-                    if doc is not None:
-                        yield travelling([name << bits], [doc], [payload])
+                for name, known, payload in zip(*(c.to_pylist() for c in batch.columns)):
+                    if known:
+                        block = struct.unpack_from("<q", payload)[0]
+                        yield from rows_of(TRAVELLING, [(block * (1 << (done + bits)) // blocks, True, payload)])
                         continue
                     held.append(unpacked(payload))
                     size += len(held[-1][0])
-                    if size >= 2_000_000:
-                        yield from sent(*map(np.concatenate, zip(*held)), bits, done)
+                    if size >= 1_000_000:
+                        yield from sent(*map(np.concatenate, zip(*held)), bits, done, blocks)
                         held, size = [], 0
             if held:
-                yield from sent(*map(np.concatenate, zip(*held)), bits, done)
+                yield from sent(*map(np.concatenate, zip(*held)), bits, done, blocks)
         return deal
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
         for batch in batches:
-            known = []
-            for doc, payload in zip(batch.column("doc").to_pylist(), batch.column("payload").to_pylist()):
-                if doc is None:
-                    held.append(unpacked(payload))
+            for known, payload in zip(batch.column("known").to_pylist(), batch.column("payload").to_pylist()):
+                if known:
+                    yield from rows_of(BLOCKS, [(struct.unpack_from("<q", payload)[0], payload[8:])])
                 else:
-                    known.append((doc, payload))
-            if known:
-                yield answered(known)
+                    held.append(unpacked(payload))
         if held:
             _, later = split_by_smallest(*by_value(*map(np.concatenate, zip(*held))))
-            rows = list(answer_rows(*later))
-            for i in range(0, len(rows), 1000):
-                yield answered(rows[i:i + 1000])
+            yield from rows_of(BLOCKS, list(block_rows(*later, blocks)))
+
+    def by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [unpacked(p) for batch in batches for p in batch.column("payload").to_pylist()]
+        values, ids = map(np.concatenate, zip(*held))
+        order = np.argsort(ids, kind="stable")
+        values, ids = values[order], ids[order]
+        starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        rows = [(int(ids[a]), values[a:b].tobytes()) for a, b in zip(starts, [*starts[1:], len(ids)])]
+        yield from rows_of(ANSWERS, rows)
 
     texts = docs.select(F.col(id_col).cast("long").alias(id_col), text).where(F.col(id_col).isNotNull())
     sent_rows = texts.mapInArrow(gather, TRAVELLING)
@@ -227,23 +233,16 @@ def repeated_windows(docs: DataFrame, width: int, id_col: str, text: str) -> Dat
     for bits in widths[1:]:
         sent_rows = sent_rows.groupBy("range").applyInArrow(resend(bits, done), TRAVELLING)
         done += bits
-    return sent_rows.groupBy("range").applyInArrow(resolve, ANSWERS)
-
-
-def answered(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
-    docs, payloads = zip(*rows)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(docs, pa.int64()), pa.array(payloads, pa.binary())], names=ANSWERS.fieldNames()
-    )
+    return sent_rows.groupBy("range").applyInArrow(resolve, BLOCKS).groupBy("block").applyInArrow(by_document, ANSWERS)
 
 
-def kept_words(text: str | None, answers: list[bytes] | None, width: int) -> tuple[int, int, str, list[dict]]:
+def kept_words(text: str | None, answer: bytes | None, width: int) -> tuple[int, int, str, list[dict]]:
     """Number of words, of removed words, the kept words joined by spaces, and the removed intervals."""
     data = (text or "").encode("utf-8", "surrogatepass")
     words = data.split()
-    if not answers:
+    if not answer:
         return len(words), 0, b" ".join(words).decode("utf-8", "surrogatepass"), []
-    gone = np.unique(np.concatenate([np.frombuffer(a, dtype=np.uint64) for a in answers]))
+    gone = np.frombuffer(answer, dtype=np.uint64)
     starts = np.flatnonzero(np.isin(window_hashes(word_hashes(data), width), gone))
     cover = np.zeros(len(words) + 1, dtype=np.int64)
     np.add.at(cover, starts, 1)
@@ -266,11 +265,10 @@ def substring_dedup(docs: DataFrame, width: int = 13, id_col: str = "doc_id", te
     id_type = docs.schema[id_col].dataType
     if not isinstance(id_type, T.IntegralType):
         raise TypeError(f"{id_col} must be an integer column")
-    answers = repeated_windows(docs, width, id_col, text)
-    gone = answers.groupBy("doc").agg(F.collect_list("hashes").alias("_answers"))
-    held = docs.drop("n_words", "n_removed", "kept", "removed", "_answers")
+    gone = repeated_windows(docs, width, id_col, text).withColumnRenamed("hashes", "_answer")
+    held = docs.drop("n_words", "n_removed", "kept", "removed", "_answer")
     joined = held.join(gone, held[id_col] == gone["doc"], "left").drop("doc")
-    packed_text = joined.withColumn("_pair", F.struct(F.col(text), F.col("_answers"))).drop("_answers")
+    packed_text = joined.withColumn("_pair", F.struct(F.col(text), F.col("_answer"))).drop("_answer")
     added = T.StructType([
         T.StructField("n_words", T.LongType(), False), T.StructField("n_removed", T.LongType(), False),
         T.StructField("kept", T.StringType(), False),
@@ -280,6 +278,6 @@ def substring_dedup(docs: DataFrame, width: int = 13, id_col: str = "doc_id", te
     ])
 
     def compute(pairs):
-        return list(map(list, zip(*(kept_words(p[text], p["_answers"], width) for p in pairs))))
+        return list(map(list, zip(*(kept_words(p[text], p["_answer"], width) for p in pairs))))
 
     return add_columns(packed_text, "_pair", added, compute).drop("_pair")
