@@ -77,7 +77,8 @@ def line_dedup(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text
     joined = docs.withColumns({k1: high, k2: low}).join(found, [k1, k2], "left")
     split = joined.withColumn(lines, lines_of(F.col(text)))
     removed = F.coalesce(F.size(gone), F.lit(0))
-    kept = F.array_join(F.filter(F.col(lines), lambda x, i: ~F.array_contains(gone, i)), "\n")
+    places = F.sequence(F.lit(0), F.size(lines) - 1)
+    kept = F.array_join(F.transform(F.array_except(places, F.col(gone)), lambda i: F.get(F.col(lines), i)), "\n")
     return split.withColumns({
         "n_lines": F.size(lines).cast("long"),
         "n_removed": removed.cast("long"),

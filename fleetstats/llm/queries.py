@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetstats.llm import bpe, common, simhash
+from fleetstats.llm import bpe, common, decontaminate, simhash
 from fleetstats.llm import line_dedup as lines
 from fleetstats.llm import substring_dedup as substrings
 from fleetstats.llm import token_counts as counts
@@ -36,7 +36,7 @@ def digest(text) -> F.Column:
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     docs = common.documents(spark, sf_dir).select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, path).drop("text"), path)
+    coded = bpe.encode(docs, path, decoded="decoded")
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -115,3 +115,34 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_lines", "n_removed", digest(F.coalesce("text", F.lit(""))).alias("kept_sha256")
     )
+
+
+@query("""
+WITH masks(mask, o) AS (
+  VALUES (0, [0, 1, 2, 3, 4, 5]), (1, [0, 1, 4, 5, 8, 9]), (2, [0, 1, 3, 6, 7, 9])
+), dw AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM documents
+), iw AS (
+  SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM benchmark
+), ds AS (
+  SELECT doc_id, w, p, mask, o[6] AS last, array_to_string(list_transform(o, lambda k: w[p + k + 1]), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(len(w))) AS p FROM dw), masks WHERE p + o[6] < len(w)
+), si AS (
+  SELECT item_id, w, p, mask, array_to_string(list_transform(o, lambda k: w[p + k + 1]), ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(len(w))) AS p FROM iw WHERE len(w) >= 13), masks WHERE p + o[6] < len(w)
+), hits AS (
+  SELECT doc_id, item_id, ds.w AS dw, si.w AS iw, ds.p AS p, si.p AS q, last FROM ds JOIN si USING (mask, s)
+), shifted AS (
+  SELECT *, unnest(range(last - 12, 1)) AS k FROM hits
+), counted AS (
+  SELECT doc_id, item_id, p, q, last, max(len(list_filter(range(13), lambda j: dw[p + k + j + 1] = iw[q + k + j + 1]))) AS n
+  FROM shifted WHERE p + k >= 0 AND q + k >= 0 AND p + k + 13 <= len(dw) AND q + k + 13 <= len(iw)
+  GROUP BY ALL
+)
+SELECT doc_id, count(DISTINCT item_id) AS n_items, list_sort(list(DISTINCT item_id)) AS item_ids
+FROM counted WHERE n >= 11 GROUP BY doc_id
+""")
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir).select("doc_id", "text")
+    found = decontaminate.contaminated(docs, common.documents(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_items", "item_ids")
