@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetstats.llm import bpe, common, decontaminate, simhash
+from fleetstats.llm import bpe, common, decontaminate, pii, quality, simhash
 from fleetstats.llm import line_dedup as lines
 from fleetstats.llm import substring_dedup as substrings
 from fleetstats.llm import token_counts as counts
@@ -146,3 +146,30 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir).select("doc_id", "text")
     found = decontaminate.contaminated(docs, common.documents(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_items", "item_ids")
+
+
+@query()
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir).select("doc_id", "text")
+    model = quality.train(docs, common.documents(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select(
+        "doc_id", quality.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query()
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(common.documents(spark, sf_dir).select("doc_id", "text"))
+    written = F.transform("pii", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+    in_base = F.filter("pii", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    base = F.transform(in_base, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+
+    def number(kind):
+        return F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[number(k) for k in pii.BASE_KINDS], digest(F.array_join(base, ",")).alias("base_sha256"),
+        F.array_join(written, ",").alias("spans"),
+    )
