@@ -2,8 +2,8 @@
 
 The distinct words of a part of a partition stand in one array of symbols. Every pair of neighbours that the
 merge table knows is filed under its rank with all its positions. The active ranks are applied in ascending
-order, each to all its positions at once; a merge files the two new pairs it makes. A word is segmented once
-however often it occurs.
+order, each to all its positions at once, and ranks that cannot make each other's pairs together; a merge files
+the two new pairs it makes. A word is segmented once however often it occurs.
 
 Vocabulary files are given by path (see ``public_tokenizers``); ids, pieces and the treatment of special
 strings are those of the published tokenizers.
@@ -18,6 +18,7 @@ import unicodedata
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -32,8 +33,10 @@ BYTE_PATTERN = (
 )
 
 # Texts segmented together, and words whose pieces a worker remembers.
-CHUNK_BYTES = 24 << 20
-REMEMBERED = 400_000
+CHUNK_BYTES = 8 << 20
+REMEMBERED = 150_000
+
+UNKNOWN = np.iinfo(np.int32).max
 
 
 def byte_symbols() -> list[str]:
@@ -58,10 +61,11 @@ class Vocabulary:
     left: np.ndarray  # by rank
     right: np.ndarray
     merged: np.ndarray
+    block_of_rank: np.ndarray
     special: dict[str, int]
     words: regex.Pattern
     normalize: bool
-    pieces: dict[bytes, np.ndarray] = field(default_factory=dict)
+    pieces: dict[str, bytes] = field(default_factory=dict)
 
     @property
     def size(self) -> int:
@@ -72,6 +76,17 @@ class Vocabulary:
         return regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) or r"(?!)")
 
 
+def blocks(left: list[int], right: list[int], merged: list[int]) -> np.ndarray:
+    """For each rank its block: a new one begins where a rank uses a symbol that the current one makes."""
+    out, made, block = [], set(), 0
+    for a, b, m in zip(left, right, merged):
+        if a in made or b in made:
+            made, block = set(), block + 1
+        made.add(m)
+        out.append(block)
+    return np.array(out, dtype=np.int32)
+
+
 @functools.lru_cache(maxsize=4)
 def load(path: str) -> Vocabulary:
     """The vocabulary of a tokenizer file, once per process."""
@@ -85,109 +100,118 @@ def load(path: str) -> Vocabulary:
     for token, i in [*ids.items(), *special.items()]:
         tokens[i] = token
     pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-    left = np.array([ids[a] for a, _ in pairs], dtype=np.int64)
-    right = np.array([ids[b] for _, b in pairs], dtype=np.int64)
-    merged = np.array([ids[a + b] for a, b in pairs], dtype=np.int64)
-    keys = left * len(tokens) + right
-    order = np.argsort(keys)
+    left = np.array([ids[a] for a, _ in pairs], dtype=np.int32)
+    right = np.array([ids[b] for _, b in pairs], dtype=np.int32)
+    merged = np.array([ids[a + b] for a, b in pairs], dtype=np.int32)
+    keys = left.astype(np.int64) * len(tokens) + right
+    order = np.argsort(keys).astype(np.int32)
     symbols = byte_symbols()
     return Vocabulary(
         tokens=tokens,
-        first=np.array([ids[s] for s in symbols], dtype=np.int64),
-        last=np.array([ids[s + suffix] for s in symbols], dtype=np.int64),
-        keys=keys[order], rank_of_key=order, left=left, right=right, merged=merged, special=special,
+        first=np.array([ids[s] for s in symbols], dtype=np.int32),
+        last=np.array([ids[s + suffix] for s in symbols], dtype=np.int32),
+        keys=keys[order], rank_of_key=order, left=left, right=right, merged=merged,
+        block_of_rank=blocks(left.tolist(), right.tolist(), merged.tolist()), special=special,
         words=regex.compile(WORD_PATTERN if suffix else BYTE_PATTERN), normalize=spec.get("normalizer") is not None,
     )
 
 
 class PairIndex:
-    """Words as linked symbols, and for each active rank the positions of its pair."""
+    """Words as linked symbols, and for each block of ranks the positions of its pairs.
+
+    A block is a run of ranks of which none uses a symbol that another makes. The pairs a block makes belong to later
+    blocks, so its ranks can be applied together: of two pairs that share a symbol the lower rank goes first, and
+    of equal ranks the left one.
+    """
 
     def __init__(self, vocabulary: Vocabulary, words: list[bytes]):
         self.v = vocabulary
-        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        lengths = np.fromiter(map(len, words), dtype=np.int32, count=len(words))
         data = np.frombuffer(b"".join(words), dtype=np.uint8)
         self.ends = np.cumsum(lengths)
         n = len(data)
         self.symbol = vocabulary.first[data]
         self.symbol[self.ends - 1] = vocabulary.last[data[self.ends - 1]]
-        self.after = np.arange(1, n + 1, dtype=np.int64)
+        self.after = np.arange(1, n + 1, dtype=np.int32)
         self.after[self.ends - 1] = -1
-        self.before = np.arange(-1, n - 1, dtype=np.int64)
+        self.before = np.arange(-1, n - 1, dtype=np.int32)
         self.before[self.ends - lengths] = -1
-        self.filed: dict[int, list[np.ndarray]] = {}
+        self.due = np.full(n + 1, UNKNOWN, dtype=np.int32)  # the rank due at a position; the last one stands for none
+        self.filed: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         self.active: list[int] = []
-        self._file(np.flatnonzero(self.after >= 0))
+        self._file(np.flatnonzero(self.after >= 0).astype(np.int32))
 
     def _file(self, positions: np.ndarray) -> None:
-        """Put the pairs that begin at these positions under their ranks."""
-        if not len(positions):
-            return
-        key = self.symbol[positions] * self.v.size + self.symbol[self.after[positions]]
+        """Put the pairs that begin at these positions under the blocks of their ranks."""
+        key = self.symbol[positions].astype(np.int64) * self.v.size + self.symbol[self.after[positions]]
         at = np.minimum(np.searchsorted(self.v.keys, key), len(self.v.keys) - 1)
         known = self.v.keys[at] == key
         ranks, positions = self.v.rank_of_key[at[known]], positions[known]
         if not len(ranks):
             return
-        order = np.argsort(ranks, kind="stable")
-        ranks, positions = ranks[order], positions[order]
-        starts = np.flatnonzero(np.diff(ranks, prepend=-1))
-        for rank, group in zip(ranks[starts].tolist(), np.split(positions, starts[1:])):
-            if rank not in self.filed:
-                self.filed[rank] = []
-                heapq.heappush(self.active, rank)
-            self.filed[rank].append(group)
-
-    def _present(self, rank: int) -> np.ndarray:
-        """Positions where the pair of a rank still stands, without overlaps, the leftmost first."""
-        groups = self.filed.pop(rank)
-        at = groups[0] if len(groups) == 1 else np.unique(np.concatenate(groups))
-        a, b = self.v.left[rank], self.v.right[rank]
-        at = at[self.symbol[at] == a]
+        blocks = self.v.block_of_rank[ranks]
+        order = np.argsort(blocks, kind="stable")
+        blocks, ranks, positions = blocks[order], ranks[order], positions[order]
+        starts = np.flatnonzero(np.diff(blocks, prepend=-1))
+        for block, a, b in zip(blocks[starts].tolist(), starts, [*starts[1:], len(blocks)]):
+            if block not in self.filed:
+                self.filed[block] = []
+                heapq.heappush(self.active, block)
+            self.filed[block].append((positions[a:b], ranks[a:b]))
+
+    def _present(self, at: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs that still stand."""
         following = self.after[at]
-        at = at[(following >= 0) & (self.symbol[following] == b)]
-        if a != b or len(at) < 2:
-            return at
-        at = np.sort(at)  # a run of the same symbol: every second pair of it
-        heads = np.flatnonzero(np.concatenate([[True], at[1:] != self.after[at[:-1]]]))
-        offset = np.arange(len(at)) - np.repeat(heads, np.diff(np.append(heads, len(at))))
-        return at[offset % 2 == 0]
+        stands = (following >= 0) & (self.symbol[at] == self.v.left[ranks])
+        stands &= self.symbol[following] == self.v.right[ranks]
+        return at[stands], ranks[stands]
 
     def merge(self) -> None:
-        """Apply all active ranks in ascending order."""
+        """Apply the active ranks in ascending order."""
         while self.active:
-            rank = heapq.heappop(self.active)
-            at = self._present(rank)
-            if not len(at):
-                continue
-            gone = self.after[at]
-            beyond = self.after[gone]
-            self.symbol[at] = self.v.merged[rank]
-            self.symbol[gone] = -1
-            self.after[at] = beyond
-            self.before[beyond[beyond >= 0]] = at[beyond >= 0]
-            previous = self.before[at]
-            self._file(np.unique(np.concatenate([previous[previous >= 0], at[beyond >= 0]])))
-
-    def pieces(self) -> list[np.ndarray]:
-        """The ids of each word."""
+            groups = self.filed.pop(heapq.heappop(self.active))
+            at, ranks = self._present(*map(np.concatenate, zip(*groups)))
+            made = []
+            while len(at):
+                self.due[at] = ranks
+                ready = (self.due[self.before[at]] > ranks) & (self.due[self.after[at]] >= ranks)
+                self.due[at] = UNKNOWN
+                now, merged = at[ready], self.v.merged[ranks[ready]]
+                gone = self.after[now]
+                beyond = self.after[gone]
+                self.symbol[now] = merged
+                self.symbol[gone] = -1
+                self.after[now] = beyond
+                self.before[beyond[beyond >= 0]] = now[beyond >= 0]
+                made.append(now)
+                at, ranks = self._present(at[~ready], ranks[~ready])
+            if made:
+                new = np.concatenate(made)
+                new = new[self.symbol[new] >= 0]
+                new = np.unique(np.concatenate([new, self.before[new]]))
+                self._file(new[(new >= 0) & (self.after[new] >= 0)])
+
+    def pieces(self) -> list[bytes]:
+        """The ids of each word, as 32-bit numbers."""
         alive = self.symbol >= 0
-        counts = np.concatenate([[0], np.cumsum(alive)])[self.ends]
-        return np.split(self.symbol[alive].astype(np.int32), counts[:-1])
+        ends = (4 * np.concatenate([[0], np.cumsum(alive)])[self.ends]).tolist()
+        raw = self.symbol[alive].tobytes()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
 
-def segment(v: Vocabulary, words: list[bytes]) -> list[np.ndarray]:
+def segment(v: Vocabulary, words: list[str]) -> list[bytes]:
     """The ids of each of some distinct words; those a worker has met lately are looked up."""
-    new = [w for w in words if w not in v.pieces]
+    pieces = v.pieces
+    new = [w for w in words if w not in pieces]
     if new:
-        index = PairIndex(v, new)
+        index = PairIndex(v, [w.encode("utf-8", "surrogatepass") for w in new])
         index.merge()
-        if len(v.pieces) + len(new) > REMEMBERED:
-            met = {w: v.pieces[w] for w in words if w in v.pieces}
-            v.pieces.clear()
-            v.pieces.update(met)
-        v.pieces.update(zip(new, index.pieces()))
-    return [v.pieces[w] for w in words]
+        if len(pieces) + len(new) > REMEMBERED:
+            met = {w: pieces[w] for w in words if w in pieces}
+            pieces.clear()
+            pieces.update(met)
+        pieces.update(zip(new, index.pieces()))
+    return [pieces[w] for w in words]
 
 
 def lowered(text: str) -> str:
@@ -211,47 +235,49 @@ def prepared(v: Vocabulary, text: str) -> str:
     return lowered(text if text.isascii() else unicodedata.normalize("NFC", text))
 
 
+class Numbers(dict):
+    """Numbers words in the order they come."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Numbering:
-    """Numbers words in the order they come; special tokens get numbers of their own below zero."""
+    """The words of texts by number; special tokens have numbers of their own below zero."""
 
     def __init__(self, v: Vocabulary):
-        self.v, self.numbers = v, {}
+        self.v, self.numbers = v, Numbers()
 
     def of(self, text: str | None) -> np.ndarray:
-        numbers, out = self.numbers, []
+        out = []
         for special, words in parts(self.v, text or ""):
             if words is None:
-                out.append(-1 - special)
+                out.append(np.array([-1 - special], dtype=np.int64))
             else:
-                out += [numbers[w] if w in numbers else numbers.setdefault(w, len(numbers)) for w in words]
-        return np.array(out, dtype=np.int64)
+                out.append(np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words)))
+        return out[0] if len(out) == 1 else np.concatenate(out)
 
-    def segmented(self) -> list[np.ndarray]:
-        return segment(self.v, [w.encode("utf-8", "surrogatepass") for w in self.numbers])
+    def segmented(self) -> list[bytes]:
+        return segment(self.v, list(self.numbers))
 
 
 def encode_texts(path: str, texts: list[str | None]) -> list[np.ndarray]:
     """The ids of each text."""
-    numbering = Numbering(load(path))
+    v = load(path)
+    numbering = Numbering(v)
     numbered = [numbering.of(t) for t in texts]
-    pieces = numbering.segmented()
-    # pieces of special tokens stand at the end, so that -1 - id finds them from there
-    lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+    # special tokens stand at the end, so that -1 - id finds them from there
+    pieces = numbering.segmented() + [np.int32(i).tobytes() for i in range(v.size - 1, -1, -1)]
+    lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) // 4
     starts = np.cumsum(lengths) - lengths
-    flat = np.concatenate([*pieces, np.zeros(0, np.int32)])
+    flat = np.frombuffer(b"".join(pieces), dtype=np.int32)
     out = []
     for words in numbered:
-        own = np.where(words >= 0, lengths[words] if len(lengths) else 1, 1)
+        own = lengths[words]
         ends = np.cumsum(own)
         total = int(ends[-1]) if len(ends) else 0
-        within = np.arange(total) - np.repeat(ends - own, own)
-        source = np.repeat(np.where(words >= 0, starts[words] if len(starts) else 0, 0), own) + within
-        ids = flat[source] if len(flat) else np.zeros(total, np.int32)
-        special = np.repeat(words < 0, own)
-        if special.any():
-            ids = ids.copy()
-            ids[special] = (-1 - np.repeat(words, own)[special]).astype(np.int32)
-        out.append(ids)
+        out.append(flat[np.arange(total) + np.repeat(starts[words] - ends + own, own)])
     return out
 
 
@@ -261,14 +287,28 @@ def decode_ids(path: str, ids) -> str:
     return " ".join([tokens[i] for i in ids])
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """The rows with the token ids of their text.
+def list_array(rows: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *rows])))
+
+
+def encode(
+    docs: DataFrame, path: str, text: str = "text", out: str = "ids", decoded: str | None = None
+) -> DataFrame:
+    """The rows with the token ids of their text, and if asked for with the text that these ids decode to.
 
     A null text is encoded as an empty one; an empty text has no ids. Rows are independent of each other: repeated
     rows give repeated results, an empty table an empty one. Special strings inside a text become special ids.
     """
-    added = T.StructType([T.StructField(out, T.ArrayType(T.IntegerType(), False), False)])
-    return add_columns(docs, text, added, lambda texts: [encode_texts(path, texts)], CHUNK_BYTES)
+    fields = [T.StructField(out, T.ArrayType(T.IntegerType()), False)]
+    if decoded:
+        fields.append(T.StructField(decoded, T.StringType(), False))
+
+    def compute(texts):
+        ids = encode_texts(path, texts)
+        return [list_array(ids), *([[decode_ids(path, r.tolist()) for r in ids]] if decoded else [])]
+
+    return add_columns(docs, text, T.StructType(fields), compute, CHUNK_BYTES)
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:

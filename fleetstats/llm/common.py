@@ -83,11 +83,11 @@ def add_columns(
 ) -> DataFrame:
     """The rows with columns computed from a text column, in Python workers.
 
-    `compute` takes the texts of some rows and returns one list of values per added column. An input
+    `compute` takes the texts of some rows and returns a list or an Arrow array per added column. An input
     column of the name of an added one is replaced.
     """
     names = {f.name.lower() for f in added}
-    kept = [c for c in docs.columns if c.lower() not in names or c == text and c.lower() not in names]
+    kept = [c for c in docs.columns if c.lower() not in names]
     carried = docs.select(*[F.col(f"`{c}`") for c in kept])
     if text not in kept:
         raise ValueError(f"column {text} would be replaced by an added column")
@@ -100,7 +100,10 @@ def add_columns(
             if table.num_rows == 0:
                 continue
             values = compute(table.column(text).to_pylist())
-            arrays = [pa.array(v, type=arrow.field(f.name).type) for f, v in zip(added.fields, values)]
+            arrays = [
+                v.cast(arrow.field(f.name).type) if isinstance(v, pa.Array) else pa.array(v, type=arrow.field(f.name).type)
+                for f, v in zip(added.fields, values)
+            ]
             columns = [*table.columns, *arrays]
             yield from pa.Table.from_arrays(columns, names=arrow.names).to_batches(max_chunksize=BATCH_ROWS)
 

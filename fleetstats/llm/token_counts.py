@@ -20,7 +20,7 @@ def count_texts(path: str, texts: list[str | None]) -> list[int]:
     """The number of tokens of each text."""
     numbering = Numbering(load(path))
     frequencies = [np.unique(numbering.of(t), return_counts=True) for t in texts]
-    pieces = np.fromiter(map(len, numbering.segmented()), dtype=np.int64)
+    pieces = np.fromiter(map(len, numbering.segmented()), dtype=np.int64) // 4
     out = []
     for words, times in frequencies:
         special = words < 0  # a special token is one piece
