@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetstats.llm import bpe, common, decontaminate, pii, quality, simhash
+from fleetstats.llm import bpe, common, decontaminate, html_text, pii, quality, simhash
 from fleetstats.llm import line_dedup as lines
 from fleetstats.llm import substring_dedup as substrings
 from fleetstats.llm import token_counts as counts
@@ -173,3 +173,9 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[number(k) for k in pii.BASE_KINDS], digest(F.array_join(base, ",")).alias("base_sha256"),
         F.array_join(written, ",").alias("spans"),
     )
+
+
+@query()
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract_text(common.documents(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
