@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetstats.llm import bpe, common, decontaminate, html_text, pii, quality, simhash
+from fleetstats.llm import fingerprints as sketches
 from fleetstats.llm import line_dedup as lines
 from fleetstats.llm import substring_dedup as substrings
 from fleetstats.llm import token_counts as counts
@@ -179,3 +180,8 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_text.extract_text(common.documents(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query()
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.fingerprints(common.documents(spark, sf_dir).select("doc_id", "text"))
