@@ -44,8 +44,8 @@ def components(links: DataFrame) -> DataFrame:
     Order and direction of the links, repeated ones and links of a node to itself do not matter; nodes without a link
     to another one have no row, an empty table gives an empty result. Nulls link nothing.
     """
-    links = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"), (F.col("u") + F.col("v")).alias("_n"))
-    links = _step(links.where(F.col("_n").isNotNull()).drop("_n"))
+    links = links.where(F.col("u").isNotNull() & F.col("v").isNotNull())
+    links = _step(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
     mark = _mark(links)
     while True:
         links = _step(_small_star(_step(_large_star(links))))
