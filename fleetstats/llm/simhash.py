@@ -115,7 +115,7 @@ def in_sets(members: DataFrame) -> DataFrame:
 
 def spanning_links(fps: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     """Links that connect what pairs of at most `max_bits` differing bits connect."""
-    links, left = [], fps
+    links, left = [], fps.view(np.uint64)  # of signed numbers, the bits of the magnitude would be counted
     while len(left) > 1:
         queue, left = [left[0]], left[1:]
         while queue and len(left):
@@ -156,8 +156,8 @@ def linked(columns, inner: np.ndarray, end: int, max_bits: int):
     for a, b in zip(starts[(homes > 0) & (ends - starts > 1)], ends[(homes > 0) & (ends - starts > 1)]):
         links += spanning_links(columns[2][a:b], max_bits)
     if links:
-        u, v = zip(*links)
-        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+        ends_of_links = np.array(links, dtype=np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(e) for e in ends_of_links.T], names=["u", "v"])
 
 
 def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
