@@ -25,7 +25,7 @@ from fleetstats.storage import materialize
 TABLES = 4
 WIDTH, RETRY_WIDTH = 6, 12  # cells of a table in a fingerprint, and in a segment of a retry
 RETRIES = 9  # sizes that are tried; with segments by fours the last takes some millions of paragraphs
-FIRST_SEGMENTS, GROWTH = 2, 4
+FIRST_SEGMENTS, GROWTH_BITS = 2, 2
 ROUNDS = 20
 GROUP_BITS = 8
 
@@ -45,38 +45,34 @@ def check(digest: Column) -> Column:
     return F.xxhash64(F.lit(1), digest).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
-def places(digest: Column, level: int, width: int) -> Column:
+def places(digest: Column, level: Column, width: Column) -> Column:
     """One bit for each of the cells of a digest."""
     def bits(h):
         cells = [
             F.call_function("shiftleft", F.lit(1).cast("long"), (
-                F.shiftrightunsigned(h, 15 * t).bitwiseAND(F.lit(0x7FFF)) % width + t * width).cast("int"))
+                F.shiftrightunsigned(h, 15 * t).bitwiseAND(F.lit(0x7FFF)) % width + width * t).cast("int"))
             for t in range(TABLES)
         ]
         return cells[0] + cells[1] + cells[2] + cells[3]
-    return let(F.xxhash64(F.lit(level), digest), bits)
+    return let(F.xxhash64(level, digest), bits)
 
 
 def has(bits: Column, cell: Column) -> Column:
     return F.call_function("shiftright", bits, cell).bitwiseAND(F.lit(1).cast("long")) == 1
 
 
-def items(found: Column, level: int, width: int) -> Column:
-    """Digests with their checks and cells."""
-    return F.transform(found, lambda d: F.struct(
-        d.alias("d"), check(d).alias("c"), places(d, level, width).alias("p")))
-
-
 def cell(n: Column, d: Column, c: Column) -> Column:
     return F.struct(n.cast("int").alias("n"), d.cast("long").alias("d"), c.cast("long").alias("c"))
 
 
-def sketch(listed: Column, width: int) -> Column:
-    """The cells of some items."""
-    return F.transform(F.sequence(F.lit(0), F.lit(TABLES * width - 1)), lambda i: F.aggregate(
+def sketch(found: Column, level: Column, width: Column) -> Column:
+    """The cells of some digests."""
+    items = F.transform(found, lambda d: F.struct(
+        d.alias("d"), check(d).alias("c"), places(d, level, width).alias("p")))
+    return let(items, lambda listed: F.transform(F.sequence(F.lit(0), width * TABLES - 1), lambda i: F.aggregate(
         F.filter(listed, lambda x: has(x["p"], i)), cell(F.lit(0), F.lit(0), F.lit(0)),
         lambda s, x: cell(s["n"] + 1, s["d"].bitwiseXOR(x["d"]), s["c"].bitwiseXOR(x["c"])),
-    ))
+    )))
 
 
 def subtract(a: Column, b: Column) -> Column:
@@ -84,7 +80,7 @@ def subtract(a: Column, b: Column) -> Column:
         x["n"] - y["n"], x["d"].bitwiseXOR(y["d"]), x["c"].bitwiseXOR(y["c"])))
 
 
-def peel(cells: Column, level: int, width: int) -> Column:
+def peel(cells: Column, level: Column, width: Column) -> Column:
     """Of a difference: how many digests only the first and only the second has; null if it can't be emptied."""
     def state(left, a, b, done):
         return F.struct(left.alias("cells"), a.alias("a"), b.alias("b"), done.alias("done"))
@@ -115,28 +111,32 @@ def peel(cells: Column, level: int, width: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), state(cells, F.lit(0), F.lit(0), F.lit(False)), step, emptied)
 
 
-def retried(a: Column, b: Column, level: int) -> Column:
-    """The same by sketches of more cells: segments by digest."""
-    segments = FIRST_SEGMENTS * GROWTH ** (level - 1)
+def attempt(a: Column, b: Column, cells_a: Column, cells_b: Column, level: Column) -> Column:
+    """The differences of two texts by sketches of one size; null if it is too small.
 
-    def segment(d):
-        return F.pmod(F.xxhash64(F.lit(-level), d), F.lit(segments)).cast("int")
+    Level 0 is that of the fingerprints; each further one has four times as many segments, each a sketch of the
+    digests that fall into it.
+    """
+    width = F.when(level == 0, WIDTH).otherwise(RETRY_WIDTH)
+    segments = F.when(level == 0, 1).otherwise(
+        F.call_function("shiftleft", F.lit(FIRST_SEGMENTS), (level - 1) * GROWTH_BITS))
+
+    def own(found, i):
+        kept = F.filter(found, lambda d: F.pmod(F.xxhash64(-level, d), segments) == i)
+        return sketch(kept, level, width)
 
     def one(i):
-        own = [F.filter(x, lambda d: segment(d) == i) for x in (a, b)]
-        return peel(subtract(*[sketch_of(x, level, RETRY_WIDTH) for x in own]), level, RETRY_WIDTH)
+        cells = F.when(level == 0, subtract(cells_a, cells_b)).otherwise(subtract(own(a, i), own(b, i)))
+        return peel(cells, level, width)
 
     def total(peeled):
         none = F.exists(peeled, lambda x: x.isNull())
+
         def sums(name):
             return F.aggregate(peeled, F.lit(0), lambda s, x: s + x[name]).alias(name)
         return F.when(~none, F.struct(sums("a"), sums("b")))
 
-    return let(F.transform(F.sequence(F.lit(0), F.lit(segments - 1)), one), total)
-
-
-def sketch_of(found: Column, level: int, width: int) -> Column:
-    return let(items(found, level, width), lambda listed: sketch(listed, width))
+    return let(F.transform(F.sequence(F.lit(0), segments - 1), one), total)
 
 
 def differences(a: Column, b: Column, cells_a: Column, cells_b: Column) -> Column:
@@ -144,9 +144,11 @@ def differences(a: Column, b: Column, cells_a: Column, cells_b: Column) -> Colum
 
     What no size gives is counted from the digests themselves.
     """
-    tries = [peel(subtract(cells_a, cells_b), 0, WIDTH), *[retried(a, b, level) for level in range(1, RETRIES + 1)]]
+    none = F.lit(None).cast("struct<a: int, b: int>")
+    tried = F.aggregate(F.sequence(F.lit(0), F.lit(RETRIES)), none, lambda found, level: F.when(
+        found.isNull(), attempt(a, b, cells_a, cells_b, level)).otherwise(found))
     exact = F.struct(F.size(F.array_except(a, b)).alias("a"), F.size(F.array_except(b, a)).alias("b"))
-    return F.coalesce(*tries, exact)
+    return F.coalesce(tried, exact)
 
 
 def likeness(a: Column, found: Column) -> Column:
@@ -214,11 +216,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
         "id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), digests(F.col("next")).alias("x"),
     ), "paragraphs")
-    sketched = listed.withColumns({f"s{c}": sketch_of(F.col(c), 0, WIDTH) for c in "aex"})
+    sketched = listed.withColumns({f"s{c}": sketch(F.col(c), F.lit(0), F.lit(WIDTH)) for c in "aex"})
     a = F.col("a")
-    return sketched.select(
+    others = F.array(*[F.struct(F.col(c).alias("d"), F.col("s" + c).alias("s")) for c in "ex"])
+    near = F.transform(others, lambda o: let(differences(a, o["d"], F.col("sa"), o["s"]), lambda f: likeness(a, f)))
+    return sketched.withColumn("near", near).select(
         F.col("id").alias(id_col), "n_chars", "edited_sha256",
         written(a, F.col("sa")).alias("fingerprint"), written(F.col("e"), F.col("se")).alias("edited_fingerprint"),
-        let(differences(a, F.col("e"), F.col("sa"), F.col("se")), lambda f: likeness(a, f)).alias("near_edited"),
-        let(differences(a, F.col("x"), F.col("sa"), F.col("sx")), lambda f: likeness(a, f)).alias("near_next"),
+        F.get("near", 0).alias("near_edited"), F.get("near", 1).alias("near_next"),
     )
