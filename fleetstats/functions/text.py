@@ -40,8 +40,8 @@ def split_by_pattern(line: Column, pattern: str, groups: int) -> Column:
     """What stands before the match and then all its groups, as an array of ``groups + 1``.
 
     A line that does not match gives an array of one. The line is matched once, however many
-    groups are read from the result.
+    groups are read from the result. The control character that parts the groups is taken out of the line first.
     """
     sep = "\u0001"
-    joined = F.regexp_replace(line, pattern, sep + sep.join(f"${i}" for i in range(1, groups + 1)))
+    joined = F.regexp_replace(F.translate(line, sep, ""), pattern, sep + sep.join(f"${i}" for i in range(1, groups + 1)))
     return F.split(joined, sep, -1)

@@ -101,14 +101,12 @@ def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def latest_snapshot(df: DataFrame, date_column: str, min_share: float = 0.0) -> DataFrame:
-    """Rows of the newest snapshot that is complete.
+def latest_snapshot(df: DataFrame, complete: DataFrame, date_column: str = "snapshot_date") -> DataFrame:
+    """Rows of the newest snapshot among those that are marked as complete.
 
-    A snapshot counts as complete if it holds at least ``min_share`` of the rows of the largest
-    one. The date is found by a subquery, so only that snapshot's folder is read.
+    ``complete`` has a date per dump that passed its check, whatever its size (see ``sinks.write_snapshot``). The date is
+    found by a subquery over these marks, so only that snapshot's folder is read. Without a mark there are no rows.
     """
-    sizes = df.groupBy(date_column).agg(F.count("*").alias("n"))
-    complete = sizes.where(F.col("n") >= min_share * sizes.agg(F.max("n")).scalar())
     return df.where(F.col(date_column) == complete.agg(F.max(date_column)).scalar())
 
 

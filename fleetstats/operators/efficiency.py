@@ -57,21 +57,46 @@ def dedup_jobs(jobs: DataFrame) -> DataFrame:
 
 
 def derive_metrics(jobs: DataFrame) -> DataFrame:
-    """Core time, wasted CPU time, share of the wall-time limit; defaults for absent values."""
+    """Core time, wasted CPU time, share of the wall-time limit; defaults for absent values.
+
+    Only what the columns at hand allow.
+    """
     cpus = F.coalesce("RequestCpus", F.lit(1.0))
     core_time = F.col("WallClockHr") * cpus
-    return jobs.withColumns({
-        "WmagentRequestName": F.coalesce("WMAgent_RequestName", F.lit(NO_REQUEST)),
+    derived = {
         "Tier": F.upper("Tier"),
         "RequestCpus": cpus,
         "CoreTimeHr": core_time,
         "WastedCpuTimeHr": core_time - F.col("CpuTimeHr"),
-        "CommittedOverMaxWallTime": ratio(60.0 * F.col("CommittedWallClockHr"), F.col("MaxWallTimeMins")),
-    })
-
-
-def prepare_jobs(jobs: DataFrame, start, end) -> DataFrame:
-    return derive_metrics(dedup_jobs(completed_jobs(jobs, start, end)))
+    }
+    if "WMAgent_RequestName" in jobs.columns:
+        derived["WmagentRequestName"] = F.coalesce("WMAgent_RequestName", F.lit(NO_REQUEST))
+    if "MaxWallTimeMins" in jobs.columns:
+        derived["CommittedOverMaxWallTime"] = ratio(60.0 * F.col("CommittedWallClockHr"), F.col("MaxWallTimeMins"))
+    return jobs.withColumns(derived)
+
+
+# What each level reads of a job besides its id and time. The columns of a level are chosen before rows of one
+# id are reduced to the newest, so only they travel, and ties between equally new rows are broken by them alone.
+_TIER_COLUMNS = ["Tier", "Type", "WallClockHr", "CpuTimeHr", "RequestCpus"]
+_WORKFLOW_COLUMNS = [
+    "Workflow", "WMAgent_RequestName", "Tier", "Type", "WallClockHr", "CpuTimeHr", "CommittedCoreHr",
+    "CommittedWallClockHr", "MaxWallTimeMins", "RequestCpus", "ChirpCMSSWReadTimeMsecs", "ChirpCMSSWElapsed",
+    "CpuEffOutlier",
+]
+LEVEL_COLUMNS = {
+    "tier": _TIER_COLUMNS,
+    "workflow": _WORKFLOW_COLUMNS,
+    "levels": [*_WORKFLOW_COLUMNS, "Site"],
+    "site": [*_WORKFLOW_COLUMNS, "Site", "ScheddName", "WMAgent_JobID"],
+}
+
+
+def prepare_jobs(jobs: DataFrame, start, end, level: str = "site") -> DataFrame:
+    """The newest rows of completed jobs with the derived columns that a level needs."""
+    wanted = ["GlobalJobId", "RecordTime", *LEVEL_COLUMNS[level]]
+    done = completed_jobs(jobs, start, end)
+    return derive_metrics(dedup_jobs(done.select(*[c for c in jobs.columns if c in wanted])))
 
 
 def _is_top() -> Column:

@@ -11,10 +11,11 @@ from fleetstats.functions.text import one_line, plain_dn, split_by_pattern
 # The layouts of the lines. Each group is one field, named below it.
 _WORD, _HOST, _NUM = r"(\w+)", r"([\w.:\-]+)", r"([+-]?\d+(?:\.\d+)?)"
 
+# Each field takes only what cannot begin the text behind it, so a line that does not fit is given up in linear time.
 ACCESS_LAYOUT = (
-    r"(?s)^.*?\[(\d\d/\w+/\d{4}:\d\d:\d\d:\d\d [+-]\d{4})\] (.*?) " + _HOST
-    + rf' "{_WORD} (\S+) (.*?)" {_NUM} \[data: {_NUM} in {_NUM} out {_NUM} body {_NUM} us \]'
-    + r' \[auth: (.*?) (.*?) "(.*?)".*\] \[ref: ".*" "(.*?)" \](?: ' + _NUM + r")?.*$"
+    r"(?s)^[^\[]*\[(\d\d/\w+/\d{4}:\d\d:\d\d:\d\d [+-]\d{4})\] (\S*) " + _HOST
+    + rf' "{_WORD} (\S+) ([^"]*)" {_NUM} \[data: {_NUM} in {_NUM} out {_NUM} body {_NUM} us \]'
+    + r' \[auth: (\S*) (\S*) "([^"]*)"[^\]]*\] \[ref: "[^"]*" "([^"]*)" \](?: ' + _NUM + r")?.*$"
 )
 ACCESS_FIELDS = [
     "tstamp", "frontend", "clientip", "method", "request", "httpversion", "code", "bytes_sent", "bytes_received",
@@ -23,13 +24,13 @@ ACCESS_FIELDS = [
 ACCESS_NUMBERS = ["code", "bytes_sent", "bytes_received", "body_size", "time_spent_us"]
 
 DATABASE_LAYOUT = (
-    r"(?s)^.*?\[(.*)\] \[" + _WORD + r"\] \[<.*>\] " + _HOST + rf" - - {_WORD} (\S+) {_NUM}.*$"
+    r"(?s)^[^\[]*\[([^\]]*)\] \[" + _WORD + r"\] \[<[^>]*>\] " + _HOST + rf" - - {_WORD} (\S+) {_NUM}.*$"
 )
 DATABASE_FIELDS = ["tstamp", "log_level", "clientip", "method", "request", "code"]
 
 SERVICE_LAYOUT = (
-    r"(?s)^.*\[(\S+)\] (.*?) " + _HOST + rf' "{_WORD} (\S+) (.*?)" {_NUM} {_WORD} \[data:.*\]'
-    + rf' \[auth: {_WORD} "(.*?)" ".*" \] \[ref: ".*" "(.*?)" \].*$'
+    r"(?s)^[^\[]*\[([^\]\s]+)\] (\S*) " + _HOST + rf' "{_WORD} (\S+) ([^"]*)" {_NUM} {_WORD} \[data:[^\]]*\]'
+    + rf' \[auth: {_WORD} "([^"]*)" "[^"]*" \] \[ref: "[^"]*" "([^"]*)" \].*$'
 )
 SERVICE_FIELDS = [
     "tstamp", "backend", "clientip", "method", "request", "httpversion", "code", "status", "auth", "dn",
@@ -82,18 +83,26 @@ def parse_request(df: DataFrame, request: str = "request") -> DataFrame:
     }).drop("_fits", "_found")
 
 
-def parse_access_log(df: DataFrame, line: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Records of front-end access lines, and the lines that are none."""
+def mark_access_log(df: DataFrame, line: str = "value") -> DataFrame:
+    """Front-end access lines with the fields of their record and ``is_record``, in one pass over the lines."""
     fields = _fields(df, F.col(line), ACCESS_LAYOUT, ACCESS_FIELDS).withColumnRenamed("_fits", "_line_fits")
-    parsed = parse_request(fields)
-    good = F.col("_line_fits") & F.col("api_found")
-    records = _times(parsed.where(good), F.col("tstamp"), "dd/MMM/yyyy:HH:mm:ss Z").withColumns({
+    return _times(parse_request(fields), F.col("tstamp"), "dd/MMM/yyyy:HH:mm:ss Z").withColumns({
         **{name: F.col(name).try_cast("long") for name in ACCESS_NUMBERS},
         "dn": plain_dn(F.col("dn")),
         "message": one_line(F.col(line)),
         "type": F.lit("frontend"),
-    })
-    return records.drop("_line_fits", "api_found", line), parsed.where(~good).select(*df.columns)
+        "is_record": F.col("_line_fits") & F.col("api_found"),
+    }).drop("_line_fits", "api_found")
+
+
+def parse_access_log(df: DataFrame, line: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Records of front-end access lines, and the lines that are none.
+
+    To write both, write the marked lines once, partitioned by ``is_record`` (``mark_access_log``).
+    """
+    marked = mark_access_log(df, line)
+    records = marked.where("is_record").drop("is_record", line)
+    return records, marked.where(~F.col("is_record")).select(*df.columns)
 
 
 def _service_lines(df: DataFrame, line: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType, StringType
 
 # ---- allowed values -------------------------------------------------------------------------
 
@@ -201,15 +202,64 @@ def drop_null_keys(record: Column) -> Column:
     return F.map_filter(record, lambda _, v: v.isNotNull())
 
 
-def canonical_json(columns: Sequence[str]) -> Column:
-    """A flat record as JSON with sorted keys, ``", "`` between and ``": "`` inside the pairs."""
-    pairs = [
-        F.concat(F.lit(f'"{c}": '), F.regexp_replace(F.to_json(F.array(F.col(c)), {"ignoreNullFields": "false"}),
-                                                      r"^\[|\]$", ""))
-        for c in sorted(columns)
-    ]
+def _json_text(text: Column) -> Column:
+    """A text in quotes; everything beyond printable ASCII is escaped, in lower-case hex."""
+    def escape(unit: Column) -> Column:
+        return F.concat(F.lit("\\u"), F.lower(F.lpad(F.hex(unit), 4, "0")))
+
+    def written(char: Column) -> Column:
+        point = F.ascii(char)
+        rest = point - 0x10000
+        pair = F.concat(escape(F.lit(0xD800) + F.shiftright(rest, 10)), escape(F.lit(0xDC00) + rest.bitwiseAND(0x3FF)))
+        short = F.when(char == '"', '\\"').when(char == "\\", "\\\\")
+        for plain, letter in (("\b", "b"), ("\f", "f"), ("\n", "n"), ("\r", "r"), ("\t", "t")):
+            short = short.when(char == plain, "\\" + letter)
+        plain = (point >= 32) & (point <= 126)
+        return short.when(plain, char).when(point > 0xFFFF, pair).otherwise(escape(point))
+
+    odd = text.rlike(r'[^ -~]|["\\]')
+    chars = F.transform(F.filter(F.split(text, ""), lambda c: c != ""), written)
+    return F.concat(F.lit('"'), F.when(odd, F.array_join(chars, "")).otherwise(text), F.lit('"'))
+
+
+def _json_float(number: Column) -> Column:
+    """A float with the fewest digits, as an exponent below 1e-4 and from 1e16 on."""
+    text = F.abs(number).cast("string")
+    mantissa = F.substring_index(text, "E", 1)
+    whole = F.substring_index(mantissa, ".", 1)
+    digits = F.regexp_replace(F.replace(mantissa, F.lit("."), F.lit("")), r"^0+(?=\d)|0+$", "")
+    given = F.when(text.contains("E"), F.substring_index(text, "E", -1).cast("int")).otherwise(0)
+    leading = F.length(F.regexp_extract(F.replace(mantissa, F.lit("."), F.lit("")), r"^(0*)", 1))
+    power = given + F.length(whole) - 1 - leading  # of the first digit
+    n = F.length(digits)
+    positional = (
+        F.when(power < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits))
+        .when(n <= power + 1, F.concat(digits, F.repeat(F.lit("0"), power + 1 - n), F.lit(".0")))
+        .otherwise(F.concat(F.substring(digits, F.lit(1), power + 1), F.lit("."), F.substring(digits, power + 2, n)))
+    )
+    fraction = F.when(n > 1, F.concat(F.lit("."), F.substring(digits, F.lit(2), n))).otherwise("")
+    exponent = F.concat(
+        F.substring(digits, 1, 1), fraction, F.lit("e"), F.when(power < 0, "-").otherwise("+"),
+        F.when(F.abs(power) < 10, "0").otherwise(""), F.abs(power).cast("string"))
+    finite = F.when(number == 0, "0.0").when((power >= -4) & (power < 16), positional).otherwise(exponent)
+    negative = (number < 0) | number.cast("string").startswith("-")
+    return F.when(F.isnan(number), "NaN").otherwise(F.concat(
+        F.when(negative, "-").otherwise(""), F.when(text == "Infinity", "Infinity").otherwise(finite)))
+
+
+def canonical_json(df: DataFrame, columns: Sequence[str]) -> Column:
+    """A flat record as JSON with sorted keys, ``", "`` between and ``": "`` inside the pairs, all in ASCII."""
+    def value(name: str) -> Column:
+        col, kind = F.col(name), df.schema[name].dataType
+        if isinstance(kind, StringType):
+            return _json_text(col)
+        if isinstance(kind, (DoubleType, FloatType)):
+            return _json_float(col)
+        return col.cast("string")
+
+    pairs = [F.concat(F.lit(f'"{c}": '), F.coalesce(value(c), F.lit("null"))) for c in sorted(columns)]
     return F.concat(F.lit("{"), F.concat_ws(", ", *pairs), F.lit("}"))
 
 
-def fingerprint(columns: Sequence[str]) -> Column:
-    return F.md5(canonical_json(columns))
+def fingerprint(df: DataFrame, columns: Sequence[str]) -> Column:
+    return F.md5(canonical_json(df, columns))

@@ -35,17 +35,17 @@ def id_diff(a: DataFrame, b: DataFrame, id_col: str, day_col: str) -> DataFrame:
 def reconcile(sources: Mapping[str, tuple[DataFrame, Mapping[str, Column]]], threshold: float = 0.01) -> DataFrame:
     """Counts per status in every store, and how neighbouring stores differ.
 
-    Each store comes with its own predicate per status. The relative difference of a pair is
-    measured against the first store; it is flagged above the threshold, or if only the first
-    count is zero.
+    Each store comes with its own predicate per status; each status is counted by itself, so predicates may overlap,
+    and one without rows counts as zero. The relative difference of a pair is measured against the first store; it
+    is flagged above the threshold, or if only the first count is zero.
     """
     counts = []
     for name, (df, predicates) in sources.items():
-        status = reduce(lambda c, p: c.when(p[1], F.lit(p[0])), predicates.items(), F)
-        counts.append(
-            df.select(status.alias("status")).where("status IS NOT NULL").groupBy("status")
-            .agg(F.count("*").alias("n")).withColumn("source", F.lit(name))
-        )
+        counted = df.agg(*[F.count_if(p).alias(f"_{i}") for i, p in enumerate(predicates.values())])
+        pairs = [F.struct(F.lit(s).alias("status"), F.col(f"_{i}").alias("n")) for i, s in enumerate(predicates)]
+        if pairs:
+            rows = counted.select(F.explode(F.array(*pairs)).alias("_row"))
+            counts.append(rows.select("_row.status", "_row.n", F.lit(name).alias("source")))
     table = reduce(DataFrame.unionByName, counts).groupBy("status").agg(
         *[F.coalesce(F.max(F.when(F.col("source") == name, F.col("n"))), F.lit(0)).alias(name) for name in sources]
     )

@@ -125,31 +125,64 @@ def search_page(
 ) -> tuple[DataFrame, DataFrame]:
     """A page of the matching rows, and their total number as a one-row table.
 
-    The page is a bounded top-k, so no global sort of the matches takes place.
+    The page is a bounded top-k, so no global sort of the matches takes place. A length of zero or less means the
+    largest page; a larger one raises. For pages deep in a result see ``search_page_after``.
     """
+    if length > PAGE_CAP:
+        raise ValueError(f"a page holds at most {PAGE_CAP} rows, not {length}")
     found = table.where(predicate)
-    size = length if 0 < length <= PAGE_CAP else PAGE_CAP
+    size = length if length > 0 else PAGE_CAP
     page = found.orderBy(*order_columns(order, unique)).offset(max(start, 0)).limit(size)
     return page, found.agg(F.count("*").alias("recordsFiltered"))
 
 
+def search_page_after(
+    table: DataFrame, predicate: Column, order: Sequence[tuple[str, str]], unique: Sequence[str],
+    last: Mapping | None = None, length: int = PAGE_CAP,
+) -> DataFrame:
+    """The page behind a row: the first rows that come after ``last`` in the order.
+
+    ``last`` has the order and key columns of the last row of the page before. Rows before it are filtered out, so a
+    deep page costs no more than the first one.
+    """
+    if not 0 < length <= PAGE_CAP:
+        raise ValueError(f"a page holds 1 to {PAGE_CAP} rows, not {length}")
+    found = table.where(predicate)
+    ways = [(name, way) for name, way in order if way in ("asc", "desc")] + [(name, "asc") for name in unique]
+    if last is not None:
+        behind, same = F.lit(False), F.lit(True)
+        for name, way in ways:
+            col, at = F.col(name), F.lit(last[name])
+            # nulls come first in ascending and last in descending order
+            if way == "asc":
+                step = col.isNotNull() if last[name] is None else col > at
+            else:
+                step = F.lit(False) if last[name] is None else (col < at) | col.isNull()
+            behind, same = behind | (same & step), same & col.eqNullSafe(at)
+        found = found.where(behind)
+    return found.orderBy(*order_columns(order, unique)).limit(length)
+
+
 def drilldown(table: DataFrame, **keys) -> DataFrame:
     """Rows equal in every key that was given; keys that are None or empty are left open."""
     given = [F.col(k) == F.lit(v) for k, v in keys.items() if v is not None and v != ""]
     return table.where(reduce(Column.__and__, given)) if given else table
 
 
-def key_value_query(records: DataFrame, text: str, root: str = "data.payload", start: int = 0, size: int = 10,
-                    order: Sequence[str] = ()) -> DataFrame:
-    """``key:val,key:val``: rows equal in all keys below ``root``; a page of ``size`` rows."""
+def key_value_query(records: DataFrame, text: str, order: Sequence[str], root: str = "data.payload", start: int = 0,
+                    size: int = 10) -> DataFrame:
+    """``key:val,key:val``: rows equal in all keys below ``root``; a page of ``size`` rows.
+
+    A page needs an order, which should end with a unique column.
+    """
+    if not order:
+        raise ValueError("a page needs an order")
     found = records
     for pair in text.split(","):
         key, value = (part.strip() for part in pair.split(":", 1))
         path = key if key.startswith(root) else f"{root}.{key}"
         found = found.where(F.col(path).cast("string") == value)
-    if order:
-        found = found.orderBy(*order)
-    return found.offset(start).limit(size)
+    return found.orderBy(*order).offset(start).limit(size)
 
 
 def add_links(table: DataFrame, template: str, fields: Mapping[str, Column], name: str = "Links") -> DataFrame:

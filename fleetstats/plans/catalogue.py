@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from fleetstats import sinks
@@ -76,11 +78,13 @@ def json_path_limit(spark, sf_dir):
     return archive.nested_values(records.orderBy("data.k"), "data.k", 10)
 
 
-@query()
+@query(" UNION ALL ".join(f"SELECT '{t}.parquet' AS name, count(*) AS n_rows, true AS has_bytes FROM {t}" for t in TABLES))
 def file_inventory(spark, sf_dir):
-    return files.file_inventory(spark, sf_dir, ".parquet").select(
-        F.element_at(F.split("path", "/"), -1).alias("name"), "size"
-    )
+    """The files of each table with their rows; sizes are only checked to be there, SQL does not see them."""
+    tables = {t: load(spark, sf_dir, t) for t in TABLES}
+    listed = files.table_files(tables).groupBy("name").agg(
+        F.sum("n_rows").alias("n_rows"), (F.min("size") > 0).alias("has_bytes"))
+    return listed.withColumn("name", F.concat("name", F.lit(".parquet")))
 
 
 # ---- sinks ----------------------------------------------------------------------------------
@@ -109,20 +113,29 @@ def append_partition(spark, sf_dir):
     """Two extracts that overlap by a month; the second replaces the months it brings."""
     path = new_path(spark, "merged")
     orders = load(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM").alias("dt")
+        "o_orderkey", "o_totalprice", F.col("o_orderdate").cast("date").alias("day"),
+        F.date_format("o_orderdate", "yyyy-MM").alias("dt"),
     )
-    for extract in (orders.where(F.col("dt") <= "1998-06"), orders.where(F.col("dt") >= "1998-06")):
-        sinks.replace_partitions(extract, path, "dt")
-    return spark.read.schema(orders.schema).parquet(path)
+    for start, end in ((date(1900, 1, 1), date(1998, 7, 1)), (date(1998, 6, 1), date(2100, 1, 1))):
+        extract = orders.where((F.col("day") >= F.lit(start)) & (F.col("day") < F.lit(end)))
+        sinks.append_extract(extract, path, "dt", "day", start, end)
+    return spark.read.schema(orders.schema).parquet(path).drop("day")
 
 
-@query("""WITH snapshots AS (SELECT *, date_trunc('year', o_orderdate) AS taken FROM orders),
-sizes AS (SELECT taken, count(*) AS n FROM snapshots GROUP BY taken)
-SELECT o_orderkey, o_totalprice FROM snapshots
-WHERE taken = (SELECT max(taken) FROM sizes WHERE n >= 0.9 * (SELECT max(n) FROM sizes))""")
+@query("""SELECT o_orderkey, o_totalprice, '1997-01-01' AS taken FROM orders WHERE year(o_orderdate) = 1997""")
 def latest_snapshot(spark, sf_dir):
-    orders = load(spark, sf_dir, "orders").withColumn("taken", F.date_trunc("year", "o_orderdate"))
-    return cat.latest_snapshot(orders, "taken", 0.9).select("o_orderkey", "o_totalprice")
+    """Dumps of three years; the last one does not pass its check, so the one before is current."""
+    path = new_path(spark, "snapshots")
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    for year, least in ((1996, 1), (1997, 1), (1998, 1 << 62)):
+        dump = orders.where(F.year("o_orderdate") == year).drop("o_orderdate")
+        try:
+            sinks.write_snapshot(dump, path, f"{year}-01-01", least, "taken")
+        except ValueError:
+            if least == 1:
+                raise
+    current = cat.latest_snapshot(spark.read.parquet(path), spark.read.parquet(sinks.snapshot_marks(path)), "taken")
+    return current.withColumn("taken", F.col("taken").cast("string"))
 
 
 @query("""WITH partitions AS (SELECT DISTINCT CASE o_orderpriority WHEN '1-URGENT' THEN 'replicas'

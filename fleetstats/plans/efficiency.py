@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
@@ -11,7 +14,7 @@ from fleetstats.operators.search import display
 from fleetstats.plans import views
 from fleetstats.plans.registry import query
 from fleetstats.plans.views import (
-    END, FLAT_STEPS_SQL, JOBS_SQL, PREPARED_JOBS_SQL, START, SUCCESSFUL_WORK_SQL,
+    END, FLAT_STEPS_SQL, JOBS_SQL, START, SUCCESSFUL_WORK_SQL, prepared_jobs_sql,
 )
 from fleetstats.sinks import write_collections
 from fleetstats.storage import materialize, new_path
@@ -42,27 +45,31 @@ _TIERS = """
     sum(RequestCpus) AS TierCpus, sum(CpuTimeHr) AS TierCpuTimeHr, sum(WallClockHr) AS TierWallClockHr
   FROM prepared WHERE Tier <> 'UNKNOWN' GROUP BY Tier, Type"""
 
-WORKFLOW_TABLE_SQL = f"""{PREPARED_JOBS_SQL}, workflows AS (
+_TIER_JOBS, _WORKFLOW_JOBS, _LEVEL_JOBS, _SITE_JOBS = (
+    prepared_jobs_sql(eff.LEVEL_COLUMNS[level]) for level in ("tier", "workflow", "levels", "site")
+)
+
+WORKFLOW_TABLE_SQL = f"""{_WORKFLOW_JOBS}, workflows AS (
   SELECT Type, Workflow, WmagentRequestName, CpuEffOutlier, {_RATIOS}, {_T1T2}
   FROM prepared GROUP BY Type, Workflow, WmagentRequestName, CpuEffOutlier)"""
 
-SITE_TABLE_SQL = f"""{PREPARED_JOBS_SQL}, sites AS (
+SITE_TABLE_SQL = f"""{_SITE_JOBS}, sites AS (
   SELECT Type, Workflow, WmagentRequestName, Site, Tier, CpuEffOutlier, {_RATIOS},
     list_sort(coalesce(list(DISTINCT ScheddName) FILTER (ScheddName IS NOT NULL), [])) AS Schedds,
     max(WMAgent_JobID) AS MaxWmagentJobId
   FROM prepared GROUP BY Type, Workflow, WmagentRequestName, Site, Tier, CpuEffOutlier)"""
 
 
-def prepared_jobs(spark, sf_dir):
-    return eff.prepare_jobs(views.jobs(spark, sf_dir), START, END)
+def prepared_jobs(spark, sf_dir, level):
+    return eff.prepare_jobs(views.jobs(spark, sf_dir), START, END, level)
 
 
 def workflow_table(spark, sf_dir):
-    return eff.workflow_efficiency(prepared_jobs(spark, sf_dir))
+    return eff.workflow_efficiency(prepared_jobs(spark, sf_dir, "workflow"))
 
 
 def site_table(spark, sf_dir):
-    return eff.workflow_site_efficiency(prepared_jobs(spark, sf_dir))
+    return eff.workflow_site_efficiency(prepared_jobs(spark, sf_dir, "site"))
 
 
 def flat_steps(spark, sf_dir):
@@ -87,16 +94,16 @@ def completed_jobs(spark, sf_dir):
     return done.select("GlobalJobId", "RecordTime", "Type", "Site", "CpuTimeHr")
 
 
-@query(f"{PREPARED_JOBS_SQL} SELECT * FROM newest")
+@query(f"{prepared_jobs_sql()} SELECT * FROM newest")
 def dedup_jobs(spark, sf_dir):
     return eff.dedup_jobs(eff.completed_jobs(views.jobs(spark, sf_dir), START, END))
 
 
-@query(f"""{PREPARED_JOBS_SQL}
+@query(f"""{_WORKFLOW_JOBS}
 SELECT GlobalJobId, WmagentRequestName, Tier, RequestCpus, CoreTimeHr, WastedCpuTimeHr, CommittedOverMaxWallTime
 FROM prepared""")
 def derived_job_metrics(spark, sf_dir):
-    return prepared_jobs(spark, sf_dir).select(
+    return prepared_jobs(spark, sf_dir, "workflow").select(
         "GlobalJobId", "WmagentRequestName", "Tier", "RequestCpus", "CoreTimeHr", "WastedCpuTimeHr",
         "CommittedOverMaxWallTime",
     )
@@ -112,17 +119,17 @@ def workflow_site_efficiency(spark, sf_dir):
     return texts(eff.sort_sites(site_table(spark, sf_dir)))
 
 
-@query(f"{PREPARED_JOBS_SQL} {_TIERS}")
+@query(f"{_TIER_JOBS} {_TIERS}")
 def tier_overview(spark, sf_dir):
-    return eff.tier_overview(prepared_jobs(spark, sf_dir))
+    return eff.tier_overview(prepared_jobs(spark, sf_dir, "tier"))
 
 
-@query(f"{PREPARED_JOBS_SQL} {_TIERS} ORDER BY Type <> 'production', Type, Tier, TierCpuEff")
+@query(f"{_TIER_JOBS} {_TIERS} ORDER BY Type <> 'production', Type, Tier, TierCpuEff")
 def tier_sorted(spark, sf_dir):
-    return eff.sort_tiers(eff.tier_overview(prepared_jobs(spark, sf_dir)))
+    return eff.sort_tiers(eff.tier_overview(prepared_jobs(spark, sf_dir, "tier")))
 
 
-@query(f"""{PREPARED_JOBS_SQL}, leveled AS (
+@query(f"""{_LEVEL_JOBS}, leveled AS (
   SELECT CASE WHEN grouping(Workflow) = 1 THEN 'tier' WHEN grouping(Site) = 1 THEN 'workflow' ELSE 'site' END AS Level,
     Type, Workflow, WmagentRequestName, Site, Tier, CpuEffOutlier, {_RATIOS}, {_T1T2}
   FROM prepared GROUP BY GROUPING SETS (
@@ -130,26 +137,42 @@ def tier_sorted(spark, sf_dir):
     (Type, Workflow, WmagentRequestName, CpuEffOutlier), (Tier, Type)))
 SELECT * FROM leveled WHERE Level <> 'tier' OR Tier <> 'UNKNOWN'""")
 def efficiency_grouping_sets(spark, sf_dir):
-    return eff.all_levels(prepared_jobs(spark, sf_dir))
-
-
-@query(f"""{PREPARED_JOBS_SQL}, detail AS (
-  SELECT Type, Workflow, WmagentRequestName, Site, Tier, CpuEffOutlier, sum(CoreTimeHr) AS CoreTimeHr
-  FROM prepared GROUP BY ALL)
-SELECT 'condor_detailed' AS collection, count(*) AS n FROM detail
-UNION ALL SELECT 'condor_main', count(*) FROM (
-  SELECT DISTINCT Type, Workflow, WmagentRequestName, CpuEffOutlier FROM prepared)
-UNION ALL SELECT 'condor_tiers', count(*) FROM (
-  SELECT DISTINCT Tier, Type FROM prepared WHERE Tier <> 'UNKNOWN')""")
+    return eff.all_levels(prepared_jobs(spark, sf_dir, "levels"))
+
+
+def _contents(spark, tables, names):
+    """Collections written as JSON lines and read again: the number of lines written, and sums over their content."""
+    path = new_path(spark, "collections")
+    counts = write_collections(tables, path)
+    sums = []
+    for name, table in tables.items():
+        read = spark.read.schema(table.schema).json(f"{path}/{name}")
+        sums.append(read.agg(
+            F.lit(name).alias("collection"), F.sum(F.col(names[name][0]).cast("double")).alias("cpu"),
+            F.count_distinct(names[name][1]).alias("keys")))
+    return counts.join(reduce(DataFrame.unionByName, sums), "collection")
+
+
+@query(f"""{_SITE_JOBS}, detail AS (
+  SELECT Type, Workflow, WmagentRequestName, Site, Tier, CpuEffOutlier, sum(CpuTimeHr) AS CpuTimeHr
+  FROM prepared GROUP BY ALL),
+main AS (SELECT Type, Workflow, WmagentRequestName, CpuEffOutlier, sum(CpuTimeHr) AS CpuTimeHr FROM detail GROUP BY ALL),
+tiers AS (SELECT Tier, Type, sum(CpuTimeHr) AS CpuTimeHr FROM detail WHERE Tier <> 'UNKNOWN' GROUP BY ALL)
+SELECT 'condor_detailed' AS collection, count(*) AS n, sum(CpuTimeHr) AS cpu, count(DISTINCT Site) AS keys FROM detail
+UNION ALL SELECT 'condor_main', count(*), sum(CpuTimeHr), count(DISTINCT Workflow) FROM main
+UNION ALL SELECT 'condor_tiers', count(*), sum(CpuTimeHr), count(DISTINCT Tier) FROM tiers""")
 def efficiency_collections(spark, sf_dir):
     """The whole batch: one pass over the jobs, one written grain, three result collections."""
-    grain = materialize(eff.finest_grain(prepared_jobs(spark, sf_dir)), "grain")
+    grain = materialize(eff.finest_grain(prepared_jobs(spark, sf_dir, "site")), "grain")
     tables = {
         "condor_detailed": eff.site_level(grain),
         "condor_main": eff.workflow_level(grain),
         "condor_tiers": eff.tier_level(grain),
     }
-    return write_collections(tables, new_path(spark, "collections"))
+    return _contents(spark, tables, {
+        "condor_detailed": ("CpuTimeHr", "Site"), "condor_main": ("CpuTimeHr", "Workflow"),
+        "condor_tiers": ("TierCpuTimeHr", "Tier"),
+    })
 
 
 @query(f"{SUCCESSFUL_WORK_SQL} SELECT fwjr_id, task, jobtype, ts FROM wanted")
@@ -203,3 +226,20 @@ def task_step_efficiency(spark, sf_dir):
 @query(_task_sql("site"))
 def task_step_site_efficiency(spark, sf_dir):
     return texts(steps.sort_tasks(task_table(spark, sf_dir, "site"), "site"))
+
+
+@query(f"""{FLAT_STEPS_SQL}, detail AS (SELECT Task, StepName, JobType, Site, sum(write_total_mb) AS mb FROM flat GROUP BY ALL),
+steps AS (SELECT Task, StepName, JobType, sum(mb) AS mb FROM detail GROUP BY ALL),
+tasks AS (SELECT Task, sum(mb) AS mb FROM steps GROUP BY ALL)
+SELECT 'sc_task' AS collection, count(*) AS n, sum(mb) AS cpu, count(DISTINCT Task) AS keys FROM tasks
+UNION ALL SELECT 'sc_task_step', count(*), sum(mb), count(DISTINCT StepName) FROM steps
+UNION ALL SELECT 'sc_task_step_site', count(*), sum(mb), count(DISTINCT Site) FROM detail""")
+def step_collections(spark, sf_dir):
+    """The step batch: one written grain, three result collections; ``cpu`` is the data written, in MB."""
+    grain = materialize(steps.step_grain(flat_steps(spark, sf_dir)), "step-grain")
+    tables = {name: steps.task_efficiency(grain, level) for name, level in (
+        ("sc_task", "task"), ("sc_task_step", "step"), ("sc_task_step_site", "site"))}
+    return _contents(spark, tables, {
+        "sc_task": ("WriteTotalMB", "Task"), "sc_task_step": ("WriteTotalMB", "StepName"),
+        "sc_task_step_site": ("WriteTotalMB", "Site"),
+    })

@@ -51,13 +51,17 @@ SELECT event_id, strftime(ts, '%d/%b/%Y:%H:%M:%S +0200') AS tstamp, 'fe' || user
   CASE event_type WHEN 'click' THEN '?dataset=/A/' || k WHEN 'purchase' THEN '?x=' || k END AS uri_params,
   CASE event_type WHEN 'click' THEN 'datasets' WHEN 'view' THEN k ELSE 'list' END AS api,
   CAST(floor(epoch(ts)) AS BIGINT) - 7200 AS rec_timestamp, (CAST(floor(epoch(ts)) AS BIGINT) - 7200) * 1000 AS timestamp,
+  make_timestamp((CAST(floor(epoch(ts)) AS BIGINT) - 7200) * 1000000) AS rec_date,
+  concat('[', tstamp, '] ', frontend, ' ', clientip, ' GET ', request, ' HTTP/1.1 ', k, ' [data: ', event_id,
+    ' in 20480 out 1024 body ', user_id * 7, ' us ] [auth: TLSv1.2 ECDHE-RSA /DC=ch/CN=u', user_id,
+    '/CN=123456/CN=Jane Doe - ] [ref: - curl/', k, ' ]', coalesce(' ' || fe_port, '')) AS message,
   'frontend' AS type FROM e"""
 
 
 @query(_ACCESS_SQL)
 def parse_access_log(spark, sf_dir):
     records, _ = logs.parse_access_log(_lines(spark, sf_dir))
-    return records.drop("message", "rec_date")
+    return records
 
 
 @query("""SELECT event_id, event_type = 'error' AS unreadable FROM events WHERE event_type IN ('error', 'signup')""")
@@ -119,3 +123,20 @@ def parse_backend_log(spark, sf_dir):
         "event_id", "type", "backend", "clientip", "method", "request", "code", "dn",
         "api", "instance_kind", "system", "rec_timestamp",
     )
+
+
+def _long_lines(spark, sf_dir):
+    """Backend lines, those of one kind grown to many openings of their fields or holding control characters."""
+    lines = _backend_lines(spark, sf_dir)
+    grown = F.when(F.col("tag") == "dbs", F.concat("value", F.repeat(F.lit(' [a "GET '), 400)))
+    marked = F.when(F.col("tag") == "reqmgr2", F.concat(F.lit("\u0001"), "value", F.lit("\u0001")))
+    return lines.withColumn("value", F.coalesce(grown, marked, F.col("value")))
+
+
+@query("""SELECT event_id, 'dbs' AS tag, CAST(9 * 400 AS BIGINT) AS grown FROM events WHERE event_type = 'purchase'""")
+def backend_log_rejects(spark, sf_dir):
+    """Lines that fit no layout; long ends and control characters of the others do no harm."""
+    lines = _long_lines(spark, sf_dir)
+    _, rejects = logs.parse_backend_log(lines)
+    end = F.length(F.regexp_extract("value", r'((?: \[a "GET )*)$', 1)).cast("long")
+    return rejects.select("event_id", "tag", end.alias("grown"))

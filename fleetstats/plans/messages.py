@@ -104,25 +104,25 @@ def metric_points(spark, sf_dir):
     return msg.metric_points(sent(spark, sf_dir), "cms.*.>").select("event_id", "point")
 
 
-@query("""SELECT CAST(p_partkey AS VARCHAR) AS code, concat(p_name, ' of ', p_brand) AS description
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS code, concat(p_name, ': of ', p_brand) AS description
 FROM part WHERE p_size > 3""")
 def exit_code_lookup(spark, sf_dir):
     lines = load(spark, sf_dir, "part").select(
         F.when(F.col("p_size") == 1, "").when(F.col("p_size") == 2, "# comment: none")
         .when(F.col("p_size") == 3, "no colon")
-        .otherwise(F.concat(F.lit(" "), "p_partkey", F.lit(" : "), "p_name", F.lit(" of "), "p_brand")).alias("value")
+        .otherwise(F.concat(F.lit(" "), "p_partkey", F.lit(" : "), "p_name", F.lit(": of "), "p_brand")).alias("value")
     )
     return lookup_table(lines)
 
 
 @query(f"""{MESSAGES_SQL} SELECT "exitCode", count(*) AS n,
-  coalesce(min(p_name || ' ' || p_brand), '') AS description
+  coalesce(min(p_name || ':' || p_brand), '') AS description
 FROM docs LEFT JOIN (SELECT * FROM part WHERE p_size % 3 > 0) ON CAST(p_partkey AS VARCHAR) = "exitCode"
 GROUP BY "exitCode" ORDER BY n DESC, "exitCode" """)
 def exit_code_counts(spark, sf_dir):
     mark = F.when(F.col("p_size") % 3 == 0, "# ").otherwise("")
     lines = load(spark, sf_dir, "part").select(
-        F.concat(mark, "p_partkey", F.lit(": "), "p_name", F.lit(" "), "p_brand").alias("value")
+        F.concat(mark, "p_partkey", F.lit(": "), "p_name", F.lit(":"), "p_brand").alias("value")
     )
     counts = msg.counts_by(decoded(spark, sf_dir), "exitCode")
     return msg.largest_first(msg.describe_codes(counts, lookup_table(lines)), "exitCode")

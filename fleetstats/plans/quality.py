@@ -111,7 +111,7 @@ def record_fingerprint(spark, sf_dir):
         "c_nationkey", F.when(F.col("c_nationkey") <= 20, F.col("c_nationkey"))
     )
     names = ["c_name", "c_custkey", "c_nationkey", "c_mktsegment"]
-    return customer.select("c_custkey", quality.fingerprint(names).alias("print"))
+    return customer.select("c_custkey", quality.fingerprint(customer, names).alias("print"))
 
 
 # ---- stores ---------------------------------------------------------------------------------

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetstats.session import prepare
+from fleetstats.session import prepare, size_shuffles
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
@@ -29,7 +29,7 @@ def query(sql: str | None = None, name: str | None = None):
     def register(fn: Runner) -> Runner:
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(prepare(spark), sf_dir)
+            return size_shuffles(fn(prepare(spark), sf_dir))
 
         key = name or fn.__name__
         if key in REGISTRY:

@@ -41,7 +41,7 @@ def explode_series(spark, sf_dir):
     )
 
 
-_EXPORT_SQL = f"""SELECT concat('/', p_name, '/', o_orderpriority) AS dataset, p_type AS dataset_type, ts, value FROM (
+_EXPORT_SQL = f"""SELECT concat('/', p_name, '/', o_orderpriority) AS dataset, p_type AS dataset_type, ts, CAST(value AS DOUBLE) AS value FROM (
   SELECT p_name, p_type, o_orderpriority, {_DAY} AS ts, o_orderkey AS value FROM orders JOIN part ON p_partkey = o_custkey
   UNION ALL SELECT p_name, p_type, o_orderpriority, {_DAY} + 60, 1 FROM orders JOIN part ON p_partkey = o_custkey)"""
 
@@ -57,6 +57,31 @@ def _export(spark, sf_dir):
     return ts.explode_export(joined.select(line.alias("line")), "line", ["dataset", "dataset_type"])
 
 
+@query("""SELECT s_suppkey, 'answer' AS reject_reason, 1 AS n FROM supplier WHERE s_suppkey % 3 = 0
+UNION ALL SELECT s_suppkey, 'sample', 2 FROM supplier WHERE s_suppkey % 3 <> 0""")
+def series_rejects(spark, sf_dir):
+    """Samples that are no numbers and answers that are none, kept with a reason."""
+    answer = F.concat(
+        F.lit('{"status":"success","data":{"resultType":"matrix","result":[{"metric":{"rse":"x"},"values":[['),
+        "s_suppkey", F.lit(',"1.5"],["soon","2"],[7,"many"]]}]}}'))
+    text = F.when(F.col("s_suppkey") % 3 == 0, F.lit('{"status":"error"}')).otherwise(answer)
+    marked = ts.mark_series(load(spark, sf_dir, "supplier").select("s_suppkey", text.alias("j")), "j", ["rse"])
+    bad = marked.where("reject_reason IS NOT NULL")
+    return bad.groupBy("s_suppkey", "reject_reason").agg(F.count("*").cast("int").alias("n"))
+
+
+@query("""SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'line' WHEN 1 THEN 'sample' END AS reject_reason,
+  CASE WHEN s_suppkey % 3 = 2 THEN s_suppkey + 0.5 END AS value FROM supplier""")
+def export_rejects(spark, sf_dir):
+    """Export lines with fractional times and values, without a time, and unreadable ones."""
+    key = F.col("s_suppkey")
+    line = F.when(key % 3 == 0, F.concat(F.lit("no json "), key)).otherwise(F.concat(
+        F.lit('{"metric":{"a":"b"},"values":['), F.when(key % 3 == 2, F.concat(key, F.lit(".5"))).otherwise("null"),
+        F.lit('],"timestamps":['), F.when(key % 3 == 2, "1700000000123.5").otherwise("null"), F.lit("]}")))
+    return ts.mark_export(load(spark, sf_dir, "supplier").select("s_suppkey", line.alias("j")), "j", ["a"]).select(
+        "s_suppkey", "reject_reason", "value")
+
+
 @query(_EXPORT_SQL)
 def explode_parallel_arrays(spark, sf_dir):
     return _export(spark, sf_dir)

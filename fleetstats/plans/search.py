@@ -137,7 +137,7 @@ def kv_query(spark, sf_dir):
     events = load(spark, sf_dir, "events").select(
         "event_id", "user_id", F.struct(payload.alias("payload")).alias("data")
     )
-    found = search.key_value_query(events, "k:42, data.payload.kind:click", start=2, order=["event_id"])
+    found = search.key_value_query(events, "k:42, data.payload.kind:click", ["event_id"], start=2)
     return found.select("event_id", "user_id", F.col("data.payload.kind").alias("kind"))
 
 

@@ -12,12 +12,8 @@ from fleetstats.plans.registry import load, query
 from fleetstats.storage import new_path
 from fleetstats.streaming import runs
 
-_LATE = "INTERVAL 10 MINUTE"
-
-
-def _closed(last: str) -> str:
-    """The watermark after the given latest time; it has millisecond precision."""
-    return f"(date_trunc('millisecond', {last}) - {_LATE})"
+# The watermark after the given latest time; it has millisecond precision.
+_MARK = "(date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE)"
 
 
 def _event_stream(spark, sf_dir):
@@ -31,33 +27,35 @@ def _drain(stream, label):
     return runs.drain(stream, new_path(spark, label), new_path(spark, label + "-checkpoint"))
 
 
+def _drain_counts(stream, label):
+    spark, keys = stream.sparkSession, [c for c in stream.columns if c != "n"]
+    return runs.drain_latest(stream, keys, new_path(spark, label), new_path(spark, label + "-checkpoint"))
+
+
 @query(f"""{MESSAGES_SQL}, counted AS (
   SELECT time_bucket(INTERVAL 10 SECOND, ts) AS interval_start, campaign, count(*) AS n FROM docs GROUP BY ALL)
-SELECT interval_start, interval_start + INTERVAL 10 SECOND AS interval_end, campaign, n FROM counted
-WHERE interval_end <= (SELECT {_closed('max(ts)')} FROM docs)""")
+SELECT interval_start, interval_start + INTERVAL 10 SECOND AS interval_end, campaign, n FROM counted""")
 def stream_counts(spark, sf_dir):
-    """Intervals still open when the input ends are not in the table."""
+    """All intervals, those too that are still open when the input ends."""
     docs = to_documents(_event_stream(spark, sf_dir))
-    return _drain(msg.interval_counts(docs, "ts", ["campaign"]), "counts")
+    return _drain_counts(msg.interval_counts(docs, "ts", ["campaign"]), "counts")
 
 
 @query(f"""{MESSAGES_SQL}, counted AS (
   SELECT time_bucket(INTERVAL 1 HOUR, ts) AS interval_start, site, "exitCode", count(*) AS n FROM docs
   WHERE "exitCode" <> '0' GROUP BY ALL)
-SELECT interval_start, interval_start + INTERVAL 1 HOUR AS interval_end, site, "exitCode", n FROM counted
-WHERE interval_end <= (SELECT {_closed('max(ts)')} FROM docs WHERE "exitCode" <> '0')""")
+SELECT interval_start, interval_start + INTERVAL 1 HOUR AS interval_end, site, "exitCode", n FROM counted""")
 def stream_site_codes(spark, sf_dir):
     docs = to_documents(_event_stream(spark, sf_dir)).where(F.col("exitCode") != "0")
-    return _drain(msg.interval_counts(docs, "ts", ["site", "exitCode"], every="1 hour"), "site-codes")
+    return _drain_counts(msg.interval_counts(docs, "ts", ["site", "exitCode"], every="1 hour"), "site-codes")
 
 
-@query(f"""{MESSAGES_SQL}, first AS (SELECT {_closed('max(ts)')} AS mark FROM docs WHERE campaign <> 'campaign-signup'),
-final AS (SELECT {_closed('max(ts)')} AS mark FROM docs),
+@query(f"""{MESSAGES_SQL}, first AS (SELECT {_MARK} AS mark FROM docs WHERE campaign <> 'campaign-signup'),
 rows AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS interval_start, campaign FROM docs),
 kept AS (SELECT * FROM rows WHERE campaign <> 'campaign-signup'
   OR interval_start + INTERVAL 1 HOUR > (SELECT mark FROM first))
 SELECT interval_start, interval_start + INTERVAL 1 HOUR AS interval_end, count(*) AS n FROM kept
-GROUP BY interval_start HAVING interval_end <= (SELECT mark FROM final)""")
+GROUP BY interval_start""")
 def stream_late_data(spark, sf_dir):
     """The sign-ups arrive after all other events; those behind the watermark are dropped."""
     inbox, out, checkpoint = (new_path(spark, name) for name in ("inbox", "hours", "hours-checkpoint"))
@@ -66,7 +64,8 @@ def stream_late_data(spark, sf_dir):
     for part in (docs.where(~late), docs.where(late)):
         part.write.mode("append").parquet(inbox)
         arrived = runs.file_stream(spark, inbox, docs.schema)
-        table = runs.drain(msg.interval_counts(arrived, "ts", every="1 hour"), out, checkpoint)
+        counts = msg.interval_counts(arrived, "ts", every="1 hour")
+        table = runs.drain_latest(counts, ["interval_start", "interval_end"], out, checkpoint)
     return table
 
 
@@ -81,12 +80,15 @@ def stream_topic_fanout(spark, sf_dir):
 
 
 @query("""SELECT CAST(code AS BIGINT) AS code, api, count(*) AS n FROM (
-  SELECT json_extract_string(props, '$.k') AS code, event_type AS api FROM events WHERE event_type <> 'error') GROUP BY ALL""")
+  SELECT CASE WHEN event_type <> 'error' THEN json_extract_string(props, '$.k') END AS code,
+    CASE WHEN event_type <> 'error' THEN event_type END AS api FROM events) GROUP BY ALL""")
 def stream_access_log(spark, sf_dir):
-    """Log files as a stream: the batch parser, rejects left out."""
+    """Log files as a stream: the batch parser; rejects are kept in the same table, without code and API."""
     inbox = new_path(spark, "log")
     events = load(spark, sf_dir, "events")
     request = F.concat(F.lit("/dbs/prod/"), "event_type")
     events.select(access_line(request, F.lit("error")).alias("value")).write.text(inbox)
-    records, _ = logs.parse_access_log(runs.log_stream(spark, inbox))
-    return _drain(records.select("code", "api"), "access").groupBy("code", "api").agg(F.count("*").alias("n"))
+    marked = logs.mark_access_log(runs.log_stream(spark, inbox)).select("code", "api", "is_record", "value")
+    table = _drain(marked, "access")
+    known = [F.when(F.col("is_record"), F.col(c)).alias(c) for c in ("code", "api")]
+    return table.groupBy(*known).agg(F.count("*").alias("n"))

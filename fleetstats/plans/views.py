@@ -85,11 +85,11 @@ def jobs(spark: SparkSession, sf_dir: str, start: str | None = START, end: str |
 
 
 # Prepared jobs in SQL: filter, newest row per id, defaults, derived columns.
-# Ties are broken by all columns in their order, as in the operator, nulls last.
-_TIE_ORDER = ", ".join(
-    f"{f.name} DESC NULLS LAST" for f in JOB_FIELDS.fields if f.name not in ("GlobalJobId", "RecordTime")
-)
-PREPARED_JOBS_SQL = f"""
+# Ties are broken by the columns of the level in their order, as in the operator, nulls last.
+def prepared_jobs_sql(columns: list[str] | None = None) -> str:
+    wanted = [f for f in JOB_FIELDS.names if columns is None or f in columns]
+    ties = ", ".join(f"{f} DESC NULLS LAST" for f in wanted if f not in ("GlobalJobId", "RecordTime"))
+    return f"""
 WITH jobs AS ({JOBS_SQL}),
 completed AS (
   SELECT * FROM jobs
@@ -97,7 +97,7 @@ completed AS (
     AND RecordTime >= epoch_ms(TIMESTAMP '{START}') AND RecordTime < epoch_ms(TIMESTAMP '{END}')),
 newest AS (
   SELECT * FROM completed
-  QUALIFY row_number() OVER (PARTITION BY GlobalJobId ORDER BY RecordTime DESC, {_TIE_ORDER}) = 1),
+  QUALIFY row_number() OVER (PARTITION BY GlobalJobId ORDER BY RecordTime DESC, {ties}) = 1),
 prepared AS (
   SELECT * REPLACE (upper(Tier) AS Tier, coalesce(RequestCpus, 1) AS RequestCpus),
     coalesce(WMAgent_RequestName, 'NULL') AS WmagentRequestName,

@@ -6,7 +6,7 @@ of the results know the columns by them.
 
 from __future__ import annotations
 
-from pyspark.sql.types import ArrayType, DataType, LongType, MapType, StringType, StructType
+from pyspark.sql.types import ArrayType, DataType, DoubleType, MapType, StringType, StructType
 
 
 def struct(**fields: str | DataType) -> StructType:
@@ -97,7 +97,7 @@ SERIES_MATRIX = struct(
 )
 
 # One line of a time-series export: parallel arrays, times in milliseconds.
-SERIES_EXPORT = struct(metric=LABELS, values=ArrayType(LongType()), timestamps=ArrayType(LongType()))
+SERIES_EXPORT = struct(metric=LABELS, values=ArrayType(DoubleType()), timestamps=ArrayType(DoubleType()))
 
 # What the enumerated fields of a job document may hold.
 ALLOWED_JOB_VALUES = {

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results, so every entry point applies them to the session it is given.
 SEMANTIC_CONF = {
@@ -26,29 +26,48 @@ TUNING_CONF = {
 
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+PREPARED = "spark.fleetstats.prepared"
 
+# Bytes of the scanned tables to one shuffle partition.
+PARTITION_BYTES = 128 << 20
 
-def shuffle_partitions(settings: Mapping[str, str], parallelism: int) -> int:
-    """Shuffle partitions to start from on a cluster: three per core it can grow to.
+
+def shuffle_partitions(settings: Mapping[str, str], parallelism: int, scanned_bytes: int = 0) -> int:
+    """Shuffle partitions to start from on a cluster: by the data, and at least three per core it can grow to.
 
     Run-time re-planning merges what turns out small; it cannot split an aggregate's partition
     that was planned too large.
     """
     executors = settings.get("spark.dynamicAllocation.maxExecutors") or settings.get("spark.executor.instances")
     cores = int(executors) * int(settings.get("spark.executor.cores", "1")) if executors else parallelism
-    return max(3 * cores, int(settings.get("spark.sql.shuffle.partitions", "200")))
+    by_data = -(-scanned_bytes // PARTITION_BYTES)
+    return max(3 * cores, int(settings.get("spark.sql.shuffle.partitions", "200")), by_data)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings above to an existing session; on a cluster also size its shuffles."""
-    for key, value in {**SEMANTIC_CONF, **TUNING_CONF}.items():
-        spark.conf.set(key, value)
-    context = spark.sparkContext
-    if not context.master.startswith("local") and spark.conf.get(INITIAL_PARTITIONS, None) is None:
+    """Apply the settings above to a session, the first time; what its owner sets afterwards stays."""
+    if spark.conf.get(PREPARED, None) is None:
+        for key, value in {**SEMANTIC_CONF, **TUNING_CONF}.items():
+            spark.conf.set(key, value)
+        spark.conf.set(PREPARED, "true")
+    return spark
+
+
+def scanned_bytes(df: DataFrame) -> int:
+    """The size of the tables that a query reads, as its plan knows it."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def size_shuffles(df: DataFrame) -> DataFrame:
+    """On a cluster, start the query's shuffles with partitions that follow the data it reads."""
+    spark, context = df.sparkSession, df.sparkSession.sparkContext
+    if not context.master.startswith("local"):
         settings = dict(context.getConf().getAll())
         settings["spark.sql.shuffle.partitions"] = spark.conf.get("spark.sql.shuffle.partitions")
-        spark.conf.set(INITIAL_PARTITIONS, str(shuffle_partitions(settings, context.defaultParallelism)))
-    return spark
+        wanted = shuffle_partitions(settings, context.defaultParallelism, scanned_bytes(df))
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    return df
 
 
 def local_session(cpus: int | str = "*", name: str = "fleetstats") -> SparkSession:
@@ -60,6 +79,7 @@ def local_session(cpus: int | str = "*", name: str = "fleetstats") -> SparkSessi
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("FLEETSTATS_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.checkpoint.dir", os.environ.get("FLEETSTATS_CHECKPOINTS", "/tmp/fleetstats-checkpoints"))
     )
     for key, value in {**SEMANTIC_CONF, **TUNING_CONF}.items():
         builder = builder.config(key, value)

@@ -5,19 +5,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
 
 
 def write_collections(tables: dict[str, DataFrame], path: str) -> DataFrame:
-    """Each table as JSON lines in its own folder; returns the number of lines per collection."""
-    counts = []
+    """Each table as JSON lines in its own folder; returns the number of lines per collection, counted while writing."""
+    spark, counts = next(iter(tables.values())).sparkSession, []
     for name, table in tables.items():
-        table.write.mode("overwrite").json(f"{path}/{name}")
-        lines = table.sparkSession.read.text(f"{path}/{name}")
-        counts.append(lines.agg(F.count("*").alias("n")).select(F.lit(name).alias("collection"), "n"))
-    return reduce(DataFrame.unionByName, counts)
+        seen = Observation(name)
+        table.observe(seen, F.count("*").alias("n")).write.mode("overwrite").json(f"{path}/{name}")
+        counts.append((name, seen.get["n"]))
+    return reduce(DataFrame.unionByName, [
+        spark.range(1).select(F.lit(name).alias("collection"), F.lit(n).cast("long").alias("n")) for name, n in counts
+    ])
 
 
 def run_record(start: Column, end: Column) -> list[Column]:
@@ -44,21 +46,48 @@ def write_searchable(df: DataFrame, path: str, keys: list[str], files: int | Non
 def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
     """Write whole partitions, replacing those already there, so a rerun adds nothing twice.
 
-    Rebalanced first: few files per partition, several writers for a large one.
+    The rows must be all of their partitions; ``append_extract`` checks that. Rebalanced first: few files per
+    partition, several writers for a large one.
     """
     df.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
+def append_extract(df: DataFrame, path: str, partition: str, time: str, start, end) -> None:
+    """Add the extract of ``[start, end)`` to a table, replacing the partitions it brings.
+
+    Raises if rows already in one of these partitions, or rows of the extract, are outside the period: the partition
+    is wider than the extract then, and replacing it would delete the rest.
+    """
+    spark = df.sparkSession
+    outside = ~((F.col(time) >= F.lit(start)) & (F.col(time) < F.lit(end)))
+    if not df.where(outside).isEmpty():
+        raise ValueError(f"the extract holds rows outside {start} to {end}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        brought = df.select(partition).distinct()
+        there = spark.read.schema(df.schema).parquet(path)
+        if not there.where(outside).join(brought, partition, "left_semi").isEmpty():
+            raise ValueError(f"a partition of {path} holds rows outside {start} to {end}; extract it whole")
+    replace_partitions(df, path, partition)
+
+
+def snapshot_marks(path: str) -> str:
+    """Where the marks of a table's complete snapshots are."""
+    return path.rstrip("/") + ".complete"
+
+
 def write_snapshot(df: DataFrame, path: str, day: str, min_rows: int = 1, column: str = "snapshot_date") -> int:
-    """Write a dated full dump and return its number of rows; raises if it holds too few.
+    """Write a dated full dump, check it, mark it as complete, and return its number of rows.
 
-    A dump that failed stays behind as an incomplete snapshot, which ``latest_snapshot`` passes
-    over, so the one before remains current.
+    Raises if it holds too few. A dump that failed stays behind without a mark, and ``latest_snapshot`` passes over it,
+    so the one before remains current.
     """
     replace_partitions(df.withColumn(column, F.lit(day)), path, column)
     written = df.sparkSession.read.parquet(path).where(F.col(column) == F.lit(day).cast("date")).count()
     if written < min_rows:
         raise ValueError(f"snapshot {day} holds {written} rows, expected at least {min_rows}")
+    mark = df.sparkSession.range(1).select(F.lit(day).cast("date").alias(column), F.lit(written).alias("n_rows"))
+    mark.write.mode("append").parquet(snapshot_marks(path))
     return written
 
 
@@ -128,8 +157,17 @@ def bulk_documents(df: DataFrame, index: str, source: list[Column], keep: Sequen
 
 
 def metric_lines(df: DataFrame, name: str, value: str, labels: list[str]) -> DataFrame:
-    """``name{label="text",...} value``, the exposition format of metric gateways."""
-    pairs = [F.concat(F.lit(f'{c}="'), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit('"')) for c in labels]
+    """``name{label="text",...} value``, the exposition format of metric gateways.
+
+    Backslashes, quotes and line feeds of a label are written with a backslash before them.
+    """
+    def escaped(text: Column) -> Column:
+        for plain, written in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n")):
+            text = F.replace(text, F.lit(plain), F.lit(written))
+        return text
+
+    texts = [escaped(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in labels]
+    pairs = [F.concat(F.lit(f'{c}="'), text, F.lit('"')) for c, text in zip(labels, texts)]
     inside = F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}")) if labels else F.lit("")
     return df.select(F.concat(F.lit(name), inside, F.lit(" "), F.col(value).cast("string")).alias("line"))
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,18 @@ def file_inventory(spark: SparkSession, path: str, pattern: str | None = None) -
     return files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
 
 
+def table_files(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The files that tables are read from: name of the table, path, size, modification time, rows."""
+    found = [
+        df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+        .groupBy(F.lit(name).alias("name"), F.col("file_path").alias("path"), F.col("file_size").alias("size"),
+                 F.col("file_modification_time").alias("modified"))
+        .agg(F.count("*").alias("n_rows"))
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 def tagged_lines(spark: SparkSession, path: str, tag: str) -> DataFrame:
     return spark.read.text(path).select(F.lit(tag).alias("tag"), "value")
 
@@ -53,7 +67,7 @@ def block_records(blocks: DataFrame, name_key: str, contact_suffix: str = "@Defa
     )
     counters = F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull()))
     return blocks.select(
-        F.trim(F.substring(F.get(named, F.size(named) - 1), len(name_key) + 1, 1 << 20)).alias(name_key),
+        F.trim(F.substring(F.get(named, F.size(named) - 1), F.lit(len(name_key) + 1), F.length("value"))).alias(name_key),
         counters.alias("counters"),
         F.array_join(F.transform(contacts, lambda c: F.replace(c, F.lit(contact_suffix), F.lit(""))), ", ").alias(
             "contacts"
@@ -62,9 +76,9 @@ def block_records(blocks: DataFrame, name_key: str, contact_suffix: str = "@Defa
 
 
 def lookup_table(lines: DataFrame, line: Column | str = "value") -> DataFrame:
-    """``code: description`` lines without comments and blanks."""
+    """``code: description`` lines without comments and blanks; a description keeps its colons."""
     text = F.col(line) if isinstance(line, str) else line
-    parts = F.split(text, ":", -1)
+    parts = F.split(text, ":", 2)
     return lines.where(~text.startswith("#") & (text != "") & (F.size(parts) > 1)).select(
         F.trim(F.get(parts, F.lit(0))).alias("code"), F.trim(F.get(parts, F.lit(1))).alias("description")
     )

@@ -45,10 +45,24 @@ def test_job_states(spark):
         "success", "success", "failed", "failed"]
 
 
-def test_incomplete_snapshot_is_passed_over(spark):
-    df = spark.createDataFrame([("a", i) for i in range(10)] + [("b", i) for i in range(9)] + [("c", 1)], "d STRING, n INT")
-    assert cat.latest_snapshot(df, "d").count() == 1
-    assert {r[0] for r in rows(cat.latest_snapshot(df, "d", 0.9), "d")} == {"b"}
+def test_only_marked_snapshots_count(spark):
+    df = spark.createDataFrame([("a", i) for i in range(100)] + [("b", i) for i in range(60)] + [("c", 1)], "d STRING, n INT")
+    marks = spark.createDataFrame([("a",), ("b",)], "d STRING")
+    assert cat.latest_snapshot(df, marks, "d").count() == 60
+    assert cat.latest_snapshot(df, marks.limit(0), "d").count() == 0
+
+
+def test_extract_narrower_than_its_partition_is_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows_of = [(i, date(2024, 1, 1 + i), "2024-01") for i in range(30)]
+    month = spark.createDataFrame(rows_of, "n INT, day DATE, dt STRING")
+    for _ in range(2):
+        sinks.append_extract(month, path, "dt", "day", date(2024, 1, 1), date(2024, 2, 1))
+    with pytest.raises(ValueError, match="extract it whole"):
+        sinks.append_extract(month.where("n = 3"), path, "dt", "day", date(2024, 1, 4), date(2024, 1, 5))
+    with pytest.raises(ValueError, match="outside"):
+        sinks.append_extract(month, path, "dt", "day", date(2024, 1, 1), date(2024, 1, 5))
+    assert spark.read.parquet(path).count() == 30
 
 
 def test_expired(spark):
@@ -69,12 +83,12 @@ def test_rerun_adds_nothing(spark, tmp_path):
 
 
 def test_dated_dumps(spark, tmp_path):
-    path = str(tmp_path)
+    path = str(tmp_path / "dump")
     assert sinks.write_snapshot(spark.range(10), path, "2024-01-01") == 10
     assert sinks.write_snapshot(spark.range(12), path, "2024-01-02", min_rows=9) == 12
     with pytest.raises(ValueError, match="3 rows"):
         sinks.write_snapshot(spark.range(3), path, "2024-01-03", min_rows=9)
-    current = cat.latest_snapshot(spark.read.parquet(path), "snapshot_date", 0.9)
+    current = cat.latest_snapshot(spark.read.parquet(path), spark.read.parquet(sinks.snapshot_marks(path)))
     assert rows(current.groupBy("snapshot_date").count()) == [(date(2024, 1, 2), 12)]
 
 
@@ -133,7 +147,7 @@ def test_block_text(spark, tmp_path):
 
 def test_lookup_lines(spark):
     df = spark.createDataFrame([("# c: d",), ("",), (" 50 : site: error ",), ("none",)], "value STRING")
-    assert rows(files.lookup_table(df)) == [("50", "site")]
+    assert rows(files.lookup_table(df)) == [("50", "site: error")]
 
 
 def test_inventory_and_folders(spark, tmp_path):

@@ -105,7 +105,7 @@ def test_production_tiers_first(spark):
 
 
 def test_levels_agree_with_direct_aggregates(spark, sf_dir):
-    prepared_jobs = registered.prepared_jobs(spark, sf_dir)
+    prepared_jobs = registered.prepared_jobs(spark, sf_dir, "site")
     grain = eff.finest_grain(prepared_jobs)
     columns = ["Type", "Workflow", "WmagentRequestName", "CpuEffOutlier", "CpuEff", "Cpus", "CpuEffT1T2",
                "CommittedOverMaxWallTimeAvg"]

@@ -75,3 +75,19 @@ def test_backend_layouts(spark):
         201, "OK", "/CN=a/CN=b", "py/3", 1652659141)
     assert (couch.system, couch.uri_path, couch.uri_params, couch.api) == ("db", "/one/two", "?x=1", "two")
     assert (couch.log_level, couch.code, couch.rec_timestamp) == ("info", 200, 1652659141)
+
+
+def test_long_bad_lines_and_control_characters(spark):
+    """Lines that fit nothing are given up quickly, and the parser's own mark in a line changes nothing."""
+    import time
+
+    good = LINE.format(request=REQUEST, port=" 443")
+    bad = [good[:-12] + "x" * 16_000, "[" * 16_000, good.split('"')[0] * 200, '[15/May/2022:23:59:01 +0200] ' + '"a ' * 5000,
+           "[auth: " * 3000, good.split("[ref")[0] + '[ref: "' + '" "' * 4000]
+    began = time.time()
+    records, rejects = parsed(spark, *bad, "\u0001" * 16, good.replace("/A/B", "/A\u0001/B"))
+    assert rejects.count() == len(bad) + 1
+    assert rows(records, "request", "fe_port") == [(REQUEST, "443")]
+    backend = spark.createDataFrame([(t, v) for v in bad for t in ("dbs", "couchdb", "reqmgr2")], "tag STRING, value STRING")
+    assert logs.parse_backend_log(backend)[1].count() == 3 * len(bad)
+    assert time.time() - began < 30

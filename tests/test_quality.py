@@ -88,7 +88,7 @@ def test_fingerprint_is_that_of_sorted_json(spark):
 
     df = spark.createDataFrame([(1, "x\"y", None, 2.5)], "b INT, a STRING, c STRING, d DOUBLE")
     text = json.dumps({"b": 1, "a": 'x"y', "c": None, "d": 2.5}, sort_keys=True)
-    assert rows(df.select(quality.fingerprint(df.columns))) == [(hashlib.md5(text.encode()).hexdigest(),)]
+    assert rows(df.select(quality.fingerprint(df, df.columns))) == [(hashlib.md5(text.encode()).hexdigest(),)]
 
 
 def test_ids_missing_on_either_side(spark):
@@ -106,5 +106,22 @@ def test_threshold(spark):
     table = rec.reconcile({"a": store(10_000), "b": store(9_901), "c": store(9_801), "d": empty}, 0.01).first()
     assert (table.a_b_flag, table.b_c_flag, table.c_d_flag) == (False, True, True)
     assert table.a_b_diff == pytest.approx(0.0099)
+    df = spark.range(10)
+    overlapping = {"even": F.col("id") % 2 == 0, "small": F.col("id") < 3, "none": F.col("id") < 0}
+    counted = rec.reconcile({"a": (df, overlapping), "b": (df, {"even": F.lit(True)})})
+    assert sorted(rows(counted, "status", "a", "b")) == [("even", 5, 10), ("none", 0, 0), ("small", 3, 0)]
     back = rec.reconcile({"a": empty, "b": store(1)}).first()
     assert (back.a_b_diff, back.a_b_flag) == (None, True)
+
+
+def test_canonical_json_is_that_of_the_reference_language(spark):
+    import json
+
+    floats = [0.0, -0.0, 1.0, -1.5, 1e-7, 1.25e-5, 0.0001, 0.00012345, 123456.789, 1e7, 12345678.0, 1e15, 1e16, 1.5e16,
+              1.7976931348623157e308, 5e-324, 3.14159, 100.0, 0.1, 123e-10, 9007199254740993.0]
+    texts = ["plain", "é日本", 'q"\\', "\n\t\r\b\f", "\x01\x1f\x7f", "\U0001f600x", "", None, "a/b"]
+    data = [(texts[i % len(texts)], x, i, i % 2 == 0) for i, x in enumerate(floats)]
+    df = spark.createDataFrame(data, "s STRING, d DOUBLE, i INT, b BOOLEAN")
+    made = {r["i"]: r["j"] for r in df.select("i", quality.canonical_json(df, df.columns).alias("j")).collect()}
+    for s, d, i, b in data:
+        assert made[i] == json.dumps({"s": s, "d": d, "i": i, "b": b}, sort_keys=True)

@@ -88,6 +88,19 @@ def test_export_rows(spark):
     assert ts.filter_series(out, "x", "/b").count() == 2 and ts.filter_series(out, "y").count() == 0
 
 
+def test_unreadable_samples_are_kept_apart(spark):
+    answer = '{"status":"success","data":{"result":[{"metric":{"a":"b"},"values":[[1,"x"],["y","1"],[2,"3"],["NaN","1"]]}]}}'
+    df = spark.createDataFrame([(1, answer), (2, '{"status":"error"}'), (3, "bad"), (4, None)], "id INT, j STRING")
+    marked = ts.mark_series(df, "j", ["a"])
+    assert sorted(rows(marked, "id", "reject_reason", "value"), key=str) == sorted([
+        (1, "sample", None), (1, "sample", None), (1, None, 3.0), (1, "sample", None),
+        (2, "answer", None), (3, "answer", None), (4, "answer", None)], key=str)
+    line = '{"metric":{"a":"b"},"values":[1.5,2],"timestamps":[1700000000123.75,null]}'
+    exported = ts.mark_export(spark.createDataFrame([(line,), ("bad",)], "j STRING"), "j", ["a"])
+    assert sorted(rows(exported, "reject_reason", "ts", "value"), key=str) == sorted([
+        (None, 1700000000, 1.5), ("sample", None, 2.0), ("line", None, None)], key=str)
+
+
 def test_buckets_without_holes(spark):
     times = ["10:00:00", "10:11:59", "10:25:00", "10:36:00", "09:59:59"]
     df = spark.createDataFrame([(datetime.fromisoformat("2024-01-01T" + t), "j") for t in times], "t TIMESTAMP, id STRING")

@@ -90,6 +90,24 @@ def test_pages_cover_the_matches(spark, sf_dir):
     assert wanted and seen == wanted[: len(seen)] and len(seen) == min(len(wanted), 70)
 
 
+def test_pages_behind_a_row(spark):
+    data = [(i, [None, 1, 2][i % 3], ["a", None][i % 2]) for i in range(30)]
+    df = spark.createDataFrame(data, "id INT, n INT, s STRING")
+    for order in ([("n", "desc"), ("s", "asc")], [("n", "asc"), ("s", "desc")], []):
+        wanted = [r["id"] for r in df.orderBy(*search.order_columns(order, ["id"])).collect()]
+        seen, last = [], None
+        while page := search.search_page_after(df, F.lit(True), order, ["id"], last, 7).collect():
+            seen, last = seen + [r["id"] for r in page], page[-1].asDict()
+        assert seen == wanted
+
+
+def test_oversized_and_unordered_pages_are_refused(table):
+    with pytest.raises(ValueError, match="at most"):
+        search.search_page(table, F.lit(True), [], ["id"], 0, search.PAGE_CAP + 1)
+    with pytest.raises(ValueError, match="order"):
+        search.key_value_query(table, "a:1", [])
+
+
 def test_drilldown_leaves_empty_keys_open(table):
     assert search.drilldown(table, kind="Merge", name="").count() == 2
     assert search.drilldown(table, kind=None).count() == 3

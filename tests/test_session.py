@@ -8,16 +8,31 @@ from pyspark.sql import functions as F
 
 from fleetstats.functions.numbers import thousands
 from fleetstats.plans import views
-from fleetstats.session import prepare, shuffle_partitions
+from fleetstats.session import prepare, scanned_bytes, shuffle_partitions
 from fleetstats.sources import archive
 
 
 def test_shuffles_grow_with_the_cluster():
     assert shuffle_partitions({}, 8) == 200
     assert shuffle_partitions({"spark.executor.instances": "1000", "spark.executor.cores": "4"}, 2) == 12_000
+    assert shuffle_partitions({"spark.executor.instances": "1000"}, 2, 100 << 40) == 819_200
     assert shuffle_partitions({"spark.dynamicAllocation.maxExecutors": "100", "spark.sql.shuffle.partitions": "500"}, 2) == 500
 
 
+def test_size_of_what_is_read(spark, sf_dir):
+    size = sum(p.stat().st_size for p in [Path(f"{sf_dir}/orders.parquet")])
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    assert size <= scanned_bytes(orders.join(orders.alias("o"), "o_orderkey").groupBy().count()) <= 3 * size
+
+
+def test_own_settings_stay(spark):
+    prepare(spark)
+    before = spark.conf.get("spark.sql.objectHashAggregate.sortBased.fallbackThreshold")
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "77")
+    assert prepare(spark).conf.get("spark.sql.objectHashAggregate.sortBased.fallbackThreshold") == "77"
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", before)
+
+
 def test_settings_that_change_results(spark):
     prepare(spark)
     assert rows(spark.sql("SELECT map_from_entries(array(struct('a', 1), struct('a', 2)))['a'], current_timezone()")) == [
