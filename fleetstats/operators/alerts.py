@@ -59,11 +59,16 @@ def sort_alerts(rows: DataFrame, by: str, *ties: str) -> DataFrame:
 def time_texts(start: Column, end: Column, now: Column) -> dict[str, Column]:
     """Start, end and duration for people; an open end has neither end nor duration."""
     is_open = F.unix_seconds(end) == OPEN_END_SECONDS
+    pairs = F.array(*[F.struct(a.alias("a"), b.alias("b")) for a, b in ((now, start), (now, end), (start, end))])
+    # one expression for the three texts: three copies of it would be too large to compile
+    said = F.transform(pairs, lambda p: F.struct(
+        relative_text(p["a"], p["b"]).alias("relative"), duration_text(p["a"], p["b"]).alias("plain")))
+    starts, ends, length = (F.get(said, F.lit(i)) for i in range(3))
     # a reversed interval reads like a past time
-    length = F.when(start > end, relative_text(start, end)).otherwise(duration_text(start, end))
+    length = F.when(start > end, length["relative"]).otherwise(length["plain"])
     return {
-        "starts": relative_text(now, start),
-        "ends": F.when(is_open, F.lit(OPEN_END_TEXT)).otherwise(relative_text(now, end)),
+        "starts": starts["relative"],
+        "ends": F.when(is_open, F.lit(OPEN_END_TEXT)).otherwise(ends["relative"]),
         "duration": F.when(is_open, F.lit(OPEN_END_TEXT)).otherwise(length),
     }
 

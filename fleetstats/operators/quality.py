@@ -223,7 +223,10 @@ def _json_text(text: Column) -> Column:
 
 
 def _json_float(number: Column) -> Column:
-    """A float with the fewest digits, as an exponent below 1e-4 and from 1e16 on."""
+    """A float with the fewest digits, as an exponent below 1e-4 and from 1e16 on.
+
+    The digits are Spark's, which writes the least subnormal numbers with two of them.
+    """
     text = F.abs(number).cast("string")
     mantissa = F.substring_index(text, "E", 1)
     whole = F.substring_index(mantissa, ".", 1)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetstats.functions.numbers import percent
+from fleetstats.storage import materialize
 from fleetstats.functions.text import index_group
 
 TOTAL = "TOTAL"
@@ -39,7 +40,11 @@ def prefix_totals(sums: DataFrame) -> DataFrame:
 
 
 def with_total(df: DataFrame, name: str, sums: Sequence[str]) -> DataFrame:
-    """The rows and one more named TOTAL; its other text columns are empty."""
+    """The rows and one more named TOTAL; its other text columns are empty.
+
+    The rows are written once; the sums are taken from what was written.
+    """
+    df = materialize(df, "totalled")
     others = [c for c in df.columns if c != name and c not in sums]
     total = df.agg(*[F.sum(c).cast(df.schema[c].dataType).alias(c) for c in sums]).select(
         F.lit(TOTAL).alias(name), *sums, *[F.lit("").alias(c) for c in others]

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
 
 from fleetstats.functions.sizes import parse_size
 from fleetstats.functions.text import regex_any_case
@@ -48,9 +49,13 @@ def _any_match(col: Column, pattern: str) -> Column:
     return F.exists(col, lambda item: regex_any_case(item, pattern))
 
 
-def criterion_predicate(c: Criterion) -> Column:
-    """The predicate of one criterion; raises where it is malformed."""
+def criterion_predicate(c: Criterion, schema: StructType | None = None) -> Column:
+    """The predicate of one criterion; raises where it is malformed.
+
+    Dates are compared as epoch seconds, or, where the schema says that the column holds times, as times.
+    """
     col = F.col(c.column)
+    kind = schema[c.column].dataType if schema is not None and c.column in schema.names else None
     if c.condition in ("null", "!null") and c.type in ("date", "num", "array"):
         return col.isNull() if c.condition == "null" else col.isNotNull()
     try:
@@ -63,7 +68,10 @@ def criterion_predicate(c: Criterion) -> Column:
                     raise CriterionError("size is zero")
                 return _bounds(col, c.condition, [size], below="ends", above="starts")
             case "date":
-                return _bounds(col, c.condition, [epoch_seconds(v) for v in c.value], below="<", above=">")
+                times = [epoch_seconds(v) for v in c.value]
+                if isinstance(kind, (TimestampType, TimestampNTZType, DateType)):
+                    times = [F.timestamp_seconds(F.lit(t)).cast(kind) for t in times]
+                return _bounds(col, c.condition, times, below="<", above=">")
             case "num":
                 numbers = [int(v.replace(" ", "")) for v in c.value]
                 return _bounds(col, c.condition, numbers, below="<=", above=">=")
@@ -86,6 +94,7 @@ def compile_criteria(
     logic: str | None = "AND",
     bars: Mapping[str, str] | None = None,
     lenient: bool = False,
+    schema: StructType | None = None,
 ) -> Column:
     """One predicate from the criteria and the texts typed in the search bars.
 
@@ -95,7 +104,7 @@ def compile_criteria(
     parts = [regex_any_case(F.col(column), text) for column, text in (bars or {}).items() if text]
     for criterion in criteria:
         try:
-            parts.append(criterion_predicate(criterion))
+            parts.append(criterion_predicate(criterion, schema))
         except CriterionError:
             if not lenient:
                 raise

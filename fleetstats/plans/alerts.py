@@ -82,12 +82,29 @@ def alert_duration(spark, sf_dir):
     return table.select("event_id", texts["duration"].alias("duration"))
 
 
-@query(f"""{ALERTS_SQL}, {_difference_sql(
-    f'''SELECT *, least("startsAt", TIMESTAMP '{NOW}') AS a, greatest("startsAt", TIMESTAMP '{NOW}') AS b FROM alerts''')}
-SELECT name, service, tag, severity, trim(CASE WHEN "startsAt" < TIMESTAMP '{NOW}' THEN txt || ' AGO' ELSE 'IN ' || txt END) AS starts
-FROM texts""")
+def _span_sql(kind: str, a: str, b: str) -> str:
+    return f"SELECT event_id, '{kind}' AS kind, least({a}, {b}) AS a, greatest({a}, {b}) AS b FROM alerts"
+
+
+def _relative_sql(time: str, text: str) -> str:
+    return f"trim(CASE WHEN {time} < TIMESTAMP '{NOW}' THEN {text} || ' AGO' ELSE 'IN ' || {text} END)"
+
+
+_SPANS_SQL = " UNION ALL ".join([
+    _span_sql("starts", '"startsAt"', f"TIMESTAMP '{NOW}'"), _span_sql("ends", '"endsAt"', f"TIMESTAMP '{NOW}'"),
+    _span_sql("duration", '"startsAt"', '"endsAt"'),
+])
+
+
+@query(f"""{ALERTS_SQL}, {_difference_sql(_SPANS_SQL)}, t AS (
+  SELECT event_id, max(txt) FILTER (kind = 'starts') AS s, max(txt) FILTER (kind = 'ends') AS e,
+    max(txt) FILTER (kind = 'duration') AS d FROM texts GROUP BY event_id)
+SELECT name, service, tag, severity, {_relative_sql('"startsAt"', 's')} AS starts,
+  CASE WHEN epoch("endsAt") = 32516091806 THEN 'Undefined' ELSE {_relative_sql('"endsAt"', 'e')} END AS ends,
+  CASE WHEN epoch("endsAt") = 32516091806 THEN 'Undefined' ELSE d END AS duration
+FROM alerts JOIN t USING (event_id)""")
 def alert_table(spark, sf_dir):
-    return al.alert_table(rows(spark, sf_dir), F.lit(NOW).cast("timestamp")).drop("ends", "duration")
+    return al.alert_table(rows(spark, sf_dir), F.lit(NOW).cast("timestamp"))
 
 
 @query(f"""{ALERTS_SQL} SELECT name, event_id, "startsAt" FROM alerts

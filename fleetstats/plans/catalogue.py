@@ -87,6 +87,19 @@ def file_inventory(spark, sf_dir):
     return listed.withColumn("name", F.concat("name", F.lit(".parquet")))
 
 
+@query("""SELECT n_nationkey, n_name FROM nation""")
+def json_object_or_list(spark, sf_dir):
+    """Files of one JSON object each, and a file with a list of them, read alike."""
+    path, nation = new_path(spark, "objects"), load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    record = F.struct("n_nationkey", "n_name")
+    single = nation.where("n_nationkey < 5").select(F.col("n_nationkey").alias("file"), F.to_json(record).alias("value"))
+    single.write.partitionBy("file").text(f"{path}/one")
+    listed = nation.where("n_nationkey >= 5").agg(F.to_json(F.collect_list(record)).alias("value"))
+    listed.write.text(f"{path}/many")
+    one, many = (archive.read_one_or_many(spark, f"{path}/{kind}", nation.schema) for kind in ("one", "many"))
+    return one.select("n_nationkey", "n_name").unionByName(many)
+
+
 # ---- sinks ----------------------------------------------------------------------------------
 
 
@@ -168,9 +181,11 @@ _BLOCKS_SQL = """SELECT o_orderkey AS block_id, CAST(epoch(o_orderdate) AS BIGIN
     AS last_modification_date FROM orders"""
 
 
-def _blocks(spark, sf_dir):
+def _blocks(spark, sf_dir, before):
+    """Blocks created before a time, which the scan sees as a range of the stored date."""
     created = F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
-    return load(spark, sf_dir, "orders").select(
+    orders = load(spark, sf_dir, "orders").where(F.col("o_orderdate") < F.lit(before).cast("timestamp_ntz"))
+    return orders.select(
         F.col("o_orderkey").alias("block_id"),
         created.alias("creation_date"),
         F.when(F.col("o_orderpriority") != "5-LOW", created + F.col("o_custkey") * 3600)
@@ -182,14 +197,15 @@ def _blocks(spark, sf_dir):
   (creation_date >= epoch(TIMESTAMP '1997-04-01') OR last_modification_date >= epoch(TIMESTAMP '1997-04-01'))
   AND creation_date < epoch(TIMESTAMP '1997-06-01') AND last_modification_date < epoch(TIMESTAMP '1997-06-01')""")
 def incremental_extract(spark, sf_dir):
-    return cat.changed_between(_blocks(spark, sf_dir), epoch_seconds("1997-04-01"), epoch_seconds("1997-06-01"))
+    blocks = _blocks(spark, sf_dir, "1997-06-01")
+    return cat.changed_between(blocks, epoch_seconds("1997-04-01"), epoch_seconds("1997-06-01"))
 
 
 @query(f"""WITH b AS ({_BLOCKS_SQL}) SELECT * FROM b
 WHERE creation_date < epoch(TIMESTAMP '1998-01-01') AND last_modification_date < epoch(TIMESTAMP '1998-01-01')""")
 def snapshot_as_of(spark, sf_dir):
     return cat.snapshot_as_of(
-        _blocks(spark, sf_dir), epoch_seconds("1998-01-01"), modified="last_modification_date"
+        _blocks(spark, sf_dir, "1998-01-01"), epoch_seconds("1998-01-01"), modified="last_modification_date"
     )
 
 
@@ -210,7 +226,9 @@ WHERE (c >= epoch(TIMESTAMP '1998-03-01') AND c < epoch(TIMESTAMP '1998-04-01'))
 def changed_files_join(spark, sf_dir):
     created = F.unix_seconds(F.col("l_shipdate").cast("timestamp"))
     changed = F.when(F.col("l_linenumber") < 7, created + (F.col("l_quantity") * 86400).cast("long"))
-    lines = load(spark, sf_dir, "lineitem").select(
+    # nothing is changed before it is created
+    until = load(spark, sf_dir, "lineitem").where(F.col("l_shipdate") < F.lit("1998-04-01").cast("timestamp_ntz"))
+    lines = until.select(
         F.concat(F.lit("/store/"), "l_orderkey", F.lit("/"), "l_linenumber").alias("logical_file_name"),
         F.col("l_orderkey").alias("block_id"), F.col("l_partkey").alias("dataset_id"),
         created.alias("file_creation_date"), changed.alias("file_modification_date"),
@@ -273,9 +291,7 @@ def popularity_star(spark, sf_dir):
         "site": _dimension(nation, "n_nationkey", "n_name", "SiteId", "SiteName"),
         "users": _dimension(nation, "n_nationkey", "n_name", "UserId", "GridName"),
     }
-    return cat.popularity_star(tables, "96-01-01 00:00:00", "99-01-01 00:00:00").orderBy(
-        "JobId", "FileName", "BlockId"
-    )
+    return cat.popularity_star(tables, "96-01-01 00:00:00", "99-01-01 00:00:00")
 
 
 @query("""WITH job AS (SELECT *, l_shipdate + to_hours(CAST(l_quantity AS INT)) AS finished,
@@ -294,7 +310,9 @@ JOIN nation sch ON sch.n_nationkey = l_linenumber
 WHERE l_tax < 0.065 AND job_end IN ('S', 'F') AND NOT l_quantity = 50
   AND finished >= TIMESTAMP '1997-07-04' AND finished < TIMESTAMP '1998-07-05'""")
 def dashboard_star(spark, sf_dir):
-    lines = load(spark, sf_dir, "lineitem")
+    # jobs run for up to 50 hours, so those finished in the period started from two days and two hours before
+    lines = load(spark, sf_dir, "lineitem").where(
+        "l_shipdate >= TIMESTAMP_NTZ '1997-07-01 22:00:00' AND l_shipdate < TIMESTAMP_NTZ '1998-07-05'")
     tables = _small_dimensions(spark, sf_dir) | {
         "job": lines.selectExpr(
             "l_orderkey * 10 + l_linenumber AS JobId", "l_orderkey AS TaskId", "l_suppkey AS SiteId",

@@ -215,17 +215,17 @@ FROM totals JOIN eras USING ({', '.join(steps.LEVEL_KEYS[level])})"""
 
 @query(_task_sql("task"))
 def task_efficiency(spark, sf_dir):
-    return texts(steps.sort_tasks(task_table(spark, sf_dir, "task"), "task"))
+    return texts(task_table(spark, sf_dir, "task"))
 
 
 @query(_task_sql("step"))
 def task_step_efficiency(spark, sf_dir):
-    return texts(steps.sort_tasks(task_table(spark, sf_dir, "step"), "step"))
+    return texts(task_table(spark, sf_dir, "step"))
 
 
 @query(_task_sql("site"))
 def task_step_site_efficiency(spark, sf_dir):
-    return texts(steps.sort_tasks(task_table(spark, sf_dir, "site"), "site"))
+    return texts(task_table(spark, sf_dir, "site"))
 
 
 @query(f"""{FLAT_STEPS_SQL}, detail AS (SELECT Task, StepName, JobType, Site, sum(write_total_mb) AS mb FROM flat GROUP BY ALL),

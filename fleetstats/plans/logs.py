@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetstats.operators import logs
 from fleetstats.plans.registry import load, query
+from fleetstats.sources import files
+from fleetstats.storage import new_path
 
 _K = "json_extract_string(props, '$.k')"
 
@@ -140,3 +145,15 @@ def backend_log_rejects(spark, sf_dir):
     _, rejects = logs.parse_backend_log(lines)
     end = F.length(F.regexp_extract("value", r'((?: \[a "GET )*)$', 1)).cast("long")
     return rejects.select("event_id", "tag", end.alias("grown"))
+
+
+@query("""SELECT event_type AS tag, count(*) AS n, count(DISTINCT event_id) AS ids FROM events GROUP BY event_type""")
+def tagged_log_files(spark, sf_dir):
+    """Log files of several services, each read with its tag."""
+    path, events = new_path(spark, "logs"), load(spark, sf_dir, "events")
+    kinds = ["click", "error", "purchase", "signup", "view"]
+    for kind in kinds:
+        lines = events.where(F.col("event_type") == kind).select(F.concat(F.lit("id "), "event_id").alias("value"))
+        lines.write.text(f"{path}/{kind}")
+    read = reduce(DataFrame.unionByName, [files.tagged_lines(spark, f"{path}/{kind}", kind) for kind in kinds])
+    return read.groupBy("tag").agg(F.count("*").alias("n"), F.count_distinct("value").alias("ids"))

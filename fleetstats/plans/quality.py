@@ -148,3 +148,14 @@ def source_reconcile(spark, sf_dir):
         "Idle": F.col("o_orderstatus").rlike("P"),
     }
     return rec.reconcile({"search": (lines, by_line), "copy": (lines, by_line), "influx": (orders, by_order)}, 0.01)
+
+
+@query("""SELECT o_orderkey, concat_ws(',', CASE WHEN o_totalprice > 400000 THEN 'price' END,
+  CASE WHEN o_orderstatus = 'P' THEN 'status' END) AS reasons FROM orders""")
+def rejects_with_reasons(spark, sf_dir):
+    """Good and bad rows apart, brought together again: none is lost, the bad ones have their reasons."""
+    orders = load(spark, sf_dir, "orders")
+    good, bad = quality.split_rejects(orders, {
+        "price": F.col("o_totalprice") > 400_000, "status": F.col("o_orderstatus") == "P"})
+    reasons = F.array_join("reject_reasons", ",").alias("reasons")
+    return good.select("o_orderkey", F.lit("").alias("reasons")).unionByName(bad.select("o_orderkey", reasons))

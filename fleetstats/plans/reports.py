@@ -114,20 +114,31 @@ SELECT bucket_start, {columns} FROM spine LEFT JOIN hits USING (bucket_start) GR
 
 @query(_BUCKETS_SQL.format(minutes=5, where="", columns="count(event_id) AS n, count(DISTINCT user_id) AS distinct_user_id"))
 def status_histogram(spark, sf_dir):
-    events = load(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    events = load(spark, sf_dir, "events")
     return ts.bucket_counts(events, "ts", "2023-12-31 12:00:00", "2024-02-10", 300, "user_id", exact=True)
 
 
+@query(_BUCKETS_SQL.format(minutes=5, where="", columns="count(event_id) AS n, true AS near"))
+def status_histogram_approx(spark, sf_dir):
+    """The approximate distinct figure, held against the exact one: at most three times its error of 5 % away."""
+    events = load(spark, sf_dir, "events")
+    exact, approx = (
+        ts.bucket_counts(events, "ts", "2023-12-31 12:00:00", "2024-02-10", 300, "user_id", exact=e) for e in (True, False))
+    both = approx.withColumnRenamed("distinct_user_id", "estimate").join(exact.drop("n"), "bucket_start")
+    near = F.abs(F.col("estimate") - F.col("distinct_user_id")) <= F.greatest(F.lit(1), 0.15 * F.col("distinct_user_id"))
+    return both.select("bucket_start", "n", near.alias("near"))
+
+
 @query(_BUCKETS_SQL.format(minutes=12, where="WHERE event_type = 'error'", columns="nullif(count(event_id), 0) AS n"))
 def status_histogram_null(spark, sf_dir):
-    events = load(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    events = load(spark, sf_dir, "events")
     errors = events.where(F.col("event_type") == "error")
     return ts.bucket_counts(errors, "ts", "2023-12-31 12:00:00", "2024-02-10", 720, fill=None)
 
 
 @query("""SELECT count(*) AS n FROM events WHERE ts >= TIMESTAMP '2024-01-10 11:45:00' AND ts < TIMESTAMP '2024-01-10 12:00:00'""")
 def freshness_count(spark, sf_dir):
-    events = load(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    events = load(spark, sf_dir, "events")
     return ts.fresh_count(events, "ts", "2024-01-10 12:00:00")
 
 
@@ -308,7 +319,9 @@ sums AS (SELECT "Campaign", "WMAgent_SubTaskName", sum(hs06) AS "HS06CoreHr" FRO
 
 
 def _campaign_jobs(spark, sf_dir):
-    jobs = load(spark, sf_dir, "lineitem").select(
+    lines = load(spark, sf_dir, "lineitem").where(
+        "l_shipdate >= TIMESTAMP_NTZ '1997-01-01' AND l_shipdate <= TIMESTAMP_NTZ '1999-01-01'")
+    jobs = lines.select(
         F.expr("CASE l_returnflag WHEN 'N' THEN 'production' ELSE 'analysis' END").alias("Type"),
         F.expr("CASE l_linestatus WHEN 'F' THEN 'Completed' ELSE 'Running' END").alias("Status"),
         F.concat(F.lit("Campaign"), "l_linenumber").alias("Campaign"),

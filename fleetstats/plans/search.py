@@ -12,6 +12,8 @@ from fleetstats.plans.efficiency import (
 )
 from fleetstats.plans.registry import load, query
 from fleetstats.sinks import run_record as run_record_columns
+from fleetstats.sinks import write_searchable
+from fleetstats.storage import new_path
 
 
 @query(r"SELECT doc_id, lang, source FROM documents WHERE regexp_matches(text, '(?im)^th[a-z]+ en')")
@@ -33,13 +35,12 @@ def search_size(spark, sf_dir):
 @query("""SELECT o_orderkey, CAST(epoch(o_orderdate) AS BIGINT) AS LastAccess FROM orders
 WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate <= TIMESTAMP '1997-06-30'""")
 def search_date(spark, sf_dir):
-    orders = load(spark, sf_dir, "orders").select(
-        "o_orderkey", F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("LastAccess")
-    )
-    return orders.where(compile_criteria([
-        Criterion("LastAccess", "date", "between", ["1997-01-01", "1997-06-30"]),
-        Criterion("LastAccess", "date", "!null"),
-    ]))
+    orders = load(spark, sf_dir, "orders")
+    found = orders.where(compile_criteria([
+        Criterion("o_orderdate", "date", "between", ["1997-01-01", "1997-06-30"]),
+        Criterion("o_orderdate", "date", "!null"),
+    ], schema=orders.schema))
+    return found.select("o_orderkey", F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("LastAccess"))
 
 
 @query("SELECT p_partkey, p_size FROM part WHERE (p_size BETWEEN 5 AND 10) OR p_size >= 48 OR p_size IS NULL")
@@ -101,18 +102,50 @@ def search_builder(spark, sf_dir):
     return workflow_table(spark, sf_dir).where(found).select(*columns)
 
 
+_KEYS = ["Workflow", "Type", "WmagentRequestName", "CpuEffOutlier"]
+
+
+def _stored_workflows(spark, sf_dir):
+    """The result collection as searches find it: written, sorted by its keys."""
+    path = new_path(spark, "workflows")
+    write_searchable(workflow_table(spark, sf_dir).select(*_KEYS, "Cpus", "CpuEff"), path, _KEYS)
+    return spark.read.parquet(path)
+
+
 @query(f"""{WORKFLOW_TABLE_SQL}, found AS (SELECT * FROM workflows WHERE regexp_matches(Workflow, '(?im)7$'))
 SELECT Type, Workflow, WmagentRequestName, CpuEffOutlier, Cpus, CpuEff,
   (SELECT count(*) FROM found) AS recordsFiltered
 FROM found ORDER BY Cpus DESC NULLS LAST, Workflow, Type, WmagentRequestName, CpuEffOutlier LIMIT 25 OFFSET 50""")
 def search_page(spark, sf_dir):
-    keys = ["Workflow", "Type", "WmagentRequestName", "CpuEffOutlier"]
-    table = workflow_table(spark, sf_dir).select(*keys, "Cpus", "CpuEff")
     found = compile_criteria([], bars={"Workflow": "7$"})
-    page, total = search.search_page(table, found, [("Cpus", "desc"), ("CpuEff", "")], keys, start=50, length=25)
+    table = _stored_workflows(spark, sf_dir)
+    page, total = search.search_page(table, found, [("Cpus", "desc"), ("CpuEff", "")], _KEYS, start=50, length=25)
     return page.withColumn("recordsFiltered", total.scalar())
 
 
+@query(f"""{WORKFLOW_TABLE_SQL} SELECT Type, Workflow, WmagentRequestName, CpuEffOutlier, Cpus, CpuEff FROM workflows
+WHERE regexp_matches(Workflow, '(?im)7$') AND (Cpus < 20 OR Cpus IS NULL OR (Cpus = 20 AND (Workflow > 'wf_117'
+  OR (Workflow = 'wf_117' AND Type > 'production'))))
+ORDER BY Cpus DESC NULLS LAST, Workflow, Type, WmagentRequestName, CpuEffOutlier LIMIT 25""")
+def search_page_after(spark, sf_dir):
+    """The page behind a row, however deep it is."""
+    last = {"Cpus": 20.0, "Workflow": "wf_117", "Type": "production", "WmagentRequestName": "zzz", "CpuEffOutlier": 9}
+    found = compile_criteria([], bars={"Workflow": "7$"})
+    return search.search_page_after(_stored_workflows(spark, sf_dir), found, [("Cpus", "desc")], _KEYS, last, 25)
+
+
+@query("""SELECT p_partkey, concat_ws('+', substr(md5('{"q":"' || p_name || '"}'), 1, 8), 'main',
+  'and+' || replace(replace(p_name, '/', '_'), ' ', '') || '+Work_flow.contains:ab,c++') AS id FROM part""")
+def saved_query_id(spark, sf_dir):
+    """Ids of saved requests, one per part name typed in the search bar."""
+    tail = search.readable_request([Criterion("Work/flow", "string", "Contains", ["a b", "c"])], "AND")
+    bar = F.replace(F.replace(F.col("p_name"), F.lit("/"), F.lit("_")), F.lit(" "), F.lit(""))
+    readable = F.concat(F.lit("and+"), bar, F.lit("+"), F.lit(tail.removeprefix("and+")))
+    request = F.concat(F.lit('{"q":"'), "p_name", F.lit('"}'))
+    return load(spark, sf_dir, "part").select(
+        "p_partkey", search.saved_query_id(request, F.lit("main"), readable).alias("id"))
+
+
 @query(f"""{SITE_TABLE_SQL} SELECT Site, Tier, CpuEff, Cpus, array_to_string(Schedds, ', ') AS Schedds FROM sites
 WHERE Type = 'production' AND Workflow = 'wf_17' AND WmagentRequestName = 'req_17' AND CpuEffOutlier = 0""")
 def drilldown_workflow(spark, sf_dir):

@@ -92,3 +92,12 @@ def stream_access_log(spark, sf_dir):
     table = _drain(marked, "access")
     known = [F.when(F.col("is_record"), F.col(c)).alias(c) for c in ("code", "api")]
     return table.groupBy(*known).agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_id, event_type, true AS numbered FROM events")
+def stream_delivery(spark, sf_dir):
+    """Numbered batches handed to a receiver, which keeps each in its own folder."""
+    path = new_path(spark, "delivered")
+    stream = _event_stream(spark, sf_dir).select("event_id", "event_type")
+    runs.deliver(stream, runs.batch_folder(path), new_path(spark, "delivered-checkpoint"))
+    return spark.read.parquet(path).select("event_id", "event_type", (F.col("batch") >= 0).alias("numbered"))

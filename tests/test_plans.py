@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from conftest import plan_text
 from pyspark.sql import functions as F
 
@@ -63,3 +64,24 @@ def test_step_sums_stay_hash_aggregates(spark, sf_dir):
     grain = steps.step_grain(steps.flatten_steps(steps.successful_work(views.work(spark, sf_dir), views.START, views.END)))
     plan = plan_text(grain)
     assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
+@pytest.mark.parametrize("name", [
+    "freshness_count", "status_histogram", "incremental_extract", "snapshot_as_of", "changed_files_join", "search_date",
+    "campaign_hs06", "dashboard_star", "completed_jobs",
+])
+def test_time_ranges_reach_the_scan(spark, sf_dir, name):
+    plan = plan_text(queries()[name](spark, sf_dir))
+    pushed = [p for p in re.findall(r"PushedFilters: \[(.*?)\]", plan) if "Than" in p]
+    assert any(re.search(r"(Less|Greater)Than(OrEqual)?\((l_shipdate|o_orderdate|ts),", p) for p in pushed), plan
+
+
+def test_only_the_columns_of_a_level_are_deduplicated(spark, sf_dir):
+    plan = plan_text(queries()["tier_overview"](spark, sf_dir))
+    read = re.search(r"ReadSchema: struct<(.*?)>", plan)[1]
+    assert "l_partkey" not in read and "l_suppkey" not in read
+    assert "CpuEff" not in re.search(r"partial_max\(struct\((.*?)\)\)", plan)[1]
+
+
+def test_totals_read_their_rows_once(spark, sf_dir):
+    assert plan_text(queries()["accounting_totals"](spark, sf_dir)).count("FileScan text") == 0
