@@ -95,6 +95,7 @@ def replicated_quota(paths: DataFrame) -> DataFrame:
 
     Replicated files take twice, erasure-coded files 1.2 times their logical size.
     """
+    # The names of the source's columns.
     rep, ec, quota = F.col("logical_rep_bytes"), F.col("logical_ec_bytes"), F.col("max_logical_quota")
     physical = rep * 2 + ec * 1.2
     free = quota * 2 - physical

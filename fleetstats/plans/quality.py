@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fleetstats.operators import quality
 from fleetstats.operators import reconcile as rec
 from fleetstats.plans.registry import load, query
+from fleetstats.schemas import ALLOWED_JOB_VALUES
 
 _K = "CAST(json_extract_string(props, '$.k') AS INT)"
 
@@ -84,6 +85,20 @@ def enum_validate(spark, sf_dir):
     return checked.select("l_orderkey", "l_linenumber", F.array_join("bad_keys", ",").alias("bad"))
 
 
+@query("""SELECT l_orderkey, l_linenumber, concat_ws(',', CASE WHEN l_returnflag = 'R' THEN 'Type' END,
+  CASE WHEN l_linenumber % 3 = 2 THEN 'JobFailed' END, CASE WHEN l_linestatus = 'O' THEN 'Pool' END) AS bad FROM lineitem""")
+def job_value_check(spark, sf_dir):
+    """Job fields against the values that job documents may hold."""
+    jobs = load(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.expr("CASE l_returnflag WHEN 'A' THEN 'Analysis' WHEN 'N' THEN 'Production' ELSE 'Other' END").alias("Type"),
+        (F.col("l_linenumber") % 3).alias("JobFailed"),
+        F.expr("CASE l_linestatus WHEN 'F' THEN 'Global' ELSE 'Local' END").alias("Pool"),
+    )
+    checked = quality.validate_enums(jobs, ALLOWED_JOB_VALUES, ["Type", "JobFailed", "Pool"])
+    return checked.select("l_orderkey", "l_linenumber", F.array_join("bad_keys", ",").alias("bad"))
+
+
 @query("""SELECT doc_id, concat_ws(',', CASE WHEN n_chars < 100 THEN 'short' END, CASE WHEN lang <> 'en' THEN 'lang' END,
   CASE WHEN regexp_matches(text, '[0-9]{4}') THEN 'digits' END) AS reasons FROM documents""")
 def dead_letter_split(spark, sf_dir):

@@ -7,7 +7,7 @@ from conftest import plan_text
 from oracle import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
-from fleetstats.plans.catalog import REGISTRY
+from fleetstats.plans.all import REGISTRY
 
 # The text operators have tests of their own.
 NAMES = list(REGISTRY)
