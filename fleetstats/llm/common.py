@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
@@ -13,25 +13,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from fleetstats.storage import new_path
+
 # Rows and bytes a Python worker gets at once: whole texts may be long.
 BATCH_ROWS = 1000
 BATCH_BYTES = 16 << 20
 
-
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers of a session, once: they need not share a folder with the driver."""
+    """Send this package to the Python workers of a session, once, by way of the shared folder."""
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parent.parent
-    archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as out:
         for file in sorted(package.rglob("*.py")):
             out.write(file, file.relative_to(package.parent))
-    context.addPyFile(str(archive))
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{new_path(spark, 'package')}/{package.name}.zip")
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = files.create(target)
+    stream.write(bytearray(held.getvalue()))
+    stream.close()
+    context.addPyFile(files.makeQualified(target).toString())
     _shipped.add(context.applicationId)
 
 

@@ -177,13 +177,11 @@ def test_simhash_odd_rows(odd, none, odd_rows):
 
 
 def test_simhash_query(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").limit(300)
-    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    rows = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect())
     prints = [brute.simhash(t) for _, t in rows]
     classes = brute.classes_of(prints)
-    found = {r["doc_id"]: r for r in simhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    for (i, _), p, c in zip(rows, prints, classes):
-        assert (found[i]["fp"] & (1 << 64) - 1, found[i]["component_id"]) == (p, rows[c][0])
+    found = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in QUERIES["op5_simhash"](spark, sf_dir).collect()}
+    assert found == {i: (f"{p:016x}", rows[c][0]) for (i, _), p, c in zip(rows, prints, classes)}
 
 
 ITEM = " ".join(f"item{i}" for i in range(18))
@@ -236,8 +234,8 @@ def jaccard(a, b):
     return len(a & b) / len(a | b) if a | b else 1.0
 
 
-def check_fingerprints(rows, texts):
-    """`rows` by text and next text; all pairs that occur must be there."""
+def check_fingerprints(rows):
+    """Rows of a result with their text and the text after it."""
     for r, text, following in rows:
         n = len(text)
         edited = text[:n - n // 2] + following[:n // 2]
@@ -252,10 +250,20 @@ def test_fingerprints_of_sparse_ids(spark):
     ids = [-(1 << 40), -5, 3, 4, 300, 70000, 1 << 33, (1 << 33) + 1]
     docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").repartition(3)
     found = {r["doc_id"]: r for r in fingerprints.fingerprints(docs).collect()}
-    check_fingerprints([(found[i], t, n) for i, t, n in zip(ids, texts, texts[1:] + texts[:1])], texts)
+    check_fingerprints([(found[i], t, n) for i, t, n in zip(ids, texts, texts[1:] + texts[:1])])
     assert len({r["fingerprint"] for r in found.values()}) == len({frozenset(brute.lines(t)) for t in texts})
 
 
+def test_fingerprints_query(spark, sf_dir):
+    rows = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect())
+    found = {r["doc_id"]: r for r in QUERIES["op4_fingerprints"](spark, sf_dir).collect()}
+    assert len(found) == len(rows)
+    check_fingerprints([(found[i], t, n) for (i, t), (_, n) in zip(rows, rows[1:] + rows[:1])])
+    equal = {}
+    for i, text in rows:
+        assert equal.setdefault(text, found[i]["fingerprint"]) == found[i]["fingerprint"]
+
+
 def test_fingerprints_odd_rows(spark, odd, none, odd_rows):
     rows = fingerprints.fingerprints(odd).collect()
     assert len(rows) == len(odd_rows)

@@ -1,5 +1,6 @@
 """Operators on single texts: tokens, personal data, pages, quality."""
 
+import hashlib
 import html
 import random
 import re
@@ -75,6 +76,24 @@ def test_token_counts_odd_rows(odd, none):
     assert token_counts.token_counts(none, BYTES).collect() == []
 
 
+def test_token_queries(spark, sf_dir):
+    """Every row of both queries against the published tokenizers."""
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    words, pieces = Tokenizer.from_file(WORDS), Tokenizer.from_file(BYTES)
+
+    def digest(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    coded = {r["doc_id"]: tuple(r)[1:] for r in QUERIES["op3_bpe_codec"](spark, sf_dir).collect()}
+    counted = {r["doc_id"]: tuple(r)[1:] for r in QUERIES["op6_token_counts"](spark, sf_dir).collect()}
+    assert set(coded) == set(counted) == set(docs)
+    for i, text in docs.items():
+        ids = words.encode(text, add_special_tokens=False).ids
+        assert coded[i] == (len(ids), digest(" ".join(map(str, ids))), digest(words.decode(ids, skip_special_tokens=False)))
+        n = len(pieces.encode(text, add_special_tokens=False).ids)
+        assert counted[i] == (len(text.encode()), n, n > 1024)
+
+
 def base_spans(text):
     """The base kinds by their patterns."""
     text = text or ""
