@@ -39,9 +39,10 @@ ARTICLES = frozenset(("article", "main"))
 AROUND = frozenset("aside button dialog footer form head header menu nav noscript select textarea".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu navigation search".split())
 NAMES = frozenset(
-    "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
-    "disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices pagination popup "
-    "promo promoted related responses share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
+    "ad ads advert advertisement advertising adverts alert alerts banner breadcrumb breadcrumbs comment comments consent "
+    "cookie cookies disqus footer gdpr header masthead menu menus modal nav navbar navigation newsletter notice notices "
+    "pagination popup promo promoted related responses share sharing sidebar signup social sponsor sponsored submenu "
+    "subscribe toolbar widget".split()
 )
 
 TOKEN = re.compile(
@@ -64,15 +65,16 @@ class Line:
 
 
 def is_aside(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element is no part of an article by its name, role, class or id."""
+    """Whether an element is no part of an article by its name, role, class or id; an article may have a header."""
     if tag in ARTICLES or tag in ("html", "body"):
         return False
     if tag in AROUND and not (tag == "header" and in_article):
         return True
     for name, *values in ATTRIBUTE.findall(attributes):
-        words = re.split(r"[^a-z0-9]+", "".join(values).lower())
-        if any(w in (ROLES if name.lower() == "role" else NAMES) for w in words):
-            return not (tag == "header" and in_article)
+        parted = re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(values)).lower()
+        words = set(re.split(r"[^a-z0-9]+", parted)) - ({"header"} if in_article else set())
+        if words & (ROLES if name.lower() == "role" else NAMES):
+            return True
     return False
 
 

@@ -140,12 +140,12 @@ def test_pii_query(spark, sf_dir):
 PAGE = """<html><head><title>T</title><body class="home"><div class="cookie-notice">we use</div>
 <header><h1>Site</h1></header><main><h1>Head &amp; x</h1><p>One
  two&nbsp;three<p>Four <b>five</b><br>six<aside>side</aside><form><p>mail</p></form><script>var a="<p>no</p>";</script>
-<section class="reader comments"><p>nice</p></section><!-- <p>hidden --><p title="a > b">Last</p></main>
+<section class="readerComments"><p>nice</p></section><div class="post-header">Lead</div><!-- <p>hidden --><p title="a > b">Last</p></main>
 <div>after</div><footer>f</footer>"""
 
 
 def test_page_lines():
-    assert html_text.main_text(html_text.lines_of(PAGE), None) == "Head & x\nOne two three\nFour five\nsix\nLast"
+    assert html_text.main_text(html_text.lines_of(PAGE), None) == "Head & x\nOne two three\nFour five\nsix\nLead\nLast"
     assert html_text.lines_of(None) == [] and html_text.lines_of("") == []
 
 
