@@ -127,10 +127,15 @@ def alert_detail(spark, sf_dir):
     )
 
 
-@query(f"""WITH e AS (SELECT *, {_K} AS k FROM events)
-SELECT event_id AS id, k AS "dashboardId", 'note ' || k AS text, ['grid', event_type] AS tags FROM e
-WHERE event_type = 'error' AND k = 42 AND epoch_us(ts) // 1000 + 3600000 >= epoch_ms(TIMESTAMP '2024-01-10')
-  AND epoch_us(ts) // 1000 <= epoch_ms(TIMESTAMP '2024-01-25') ORDER BY epoch_us(ts) // 1000 DESC, id DESC LIMIT 10""")
+@query(f"""WITH e AS (SELECT *, {_K} AS k FROM events), kept AS (
+  SELECT event_id, k, event_type, date_trunc('second', ts) AS s, date_trunc('second', ts) + INTERVAL 1 HOUR AS e FROM e
+  WHERE event_type = 'error' AND k = 42 AND epoch_us(ts) // 1000 + 3600000 >= epoch_ms(TIMESTAMP '2024-01-10')
+    AND epoch_us(ts) // 1000 <= epoch_ms(TIMESTAMP '2024-01-25') ORDER BY epoch_us(ts) // 1000 DESC, event_id DESC LIMIT 10),
+{_difference_sql(" UNION ALL ".join(f"SELECT event_id, '{c}' AS kind, least({c}, TIMESTAMP '{NOW}') AS a, greatest({c}, TIMESTAMP '{NOW}') AS b FROM kept" for c in "se"))},
+t AS (SELECT event_id, max(txt) FILTER (kind = 's') AS ts, max(txt) FILTER (kind = 'e') AS te FROM texts GROUP BY event_id)
+SELECT event_id AS id, k AS "dashboardId", 'note ' || k AS text, ['grid', event_type] AS tags,
+  {_relative_sql('s', 'ts')} AS starts, {_relative_sql('e', 'te')} AS ends, '1h' AS duration
+FROM kept JOIN t USING (event_id)""")
 def annotation_filter(spark, sf_dir):
     k = F.get_json_object("props", "$.k").cast("int")
     start = F.unix_millis(F.col("ts").cast("timestamp"))
@@ -140,7 +145,7 @@ def annotation_filter(spark, sf_dir):
         F.array(F.lit("grid"), "event_type").alias("tags"),
     )
     kept = al.filter_annotations(notes, ["grid", " error"], 42, 1704844800000, 1706140800000, 10)
-    return al.annotation_table(kept, F.lit(NOW).cast("timestamp")).select("id", "dashboardId", "text", "tags")
+    return al.annotation_table(kept, F.lit(NOW).cast("timestamp"))
 
 
 @query(f"""WITH p AS (SELECT l_orderkey, l_linenumber, least(l_shipdate, o_orderdate) AS a, greatest(l_shipdate, o_orderdate) AS b
