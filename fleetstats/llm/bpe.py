@@ -36,6 +36,8 @@ BYTE_PATTERN = (
 CHUNK_BYTES = 8 << 20
 REMEMBERED = 150_000
 
+LONG_TEXT = 1 << 20
+
 UNKNOWN = np.iinfo(np.int32).max
 
 
@@ -219,14 +221,19 @@ def lowered(text: str) -> str:
     return text.lower() if text.isascii() else text.replace("Σ", "σ").lower()
 
 
+def words_of(v: Vocabulary, text: str):
+    """The words of a text; those of a long one are not all held at once."""
+    return v.words.findall(text) if len(text) < LONG_TEXT else (found[0] for found in v.words.finditer(text))
+
+
 def parts(v: Vocabulary, text: str):
-    """The words of a text in order, as (special id, None) or (None, list of words)."""
+    """The words of a text in order, as (special id, None) or (None, words)."""
     at = 0
     for found in v.special_pattern.finditer(text):
-        yield None, v.words.findall(prepared(v, text[at:found.start()]))
+        yield None, words_of(v, prepared(v, text[at:found.start()]))
         yield v.special[found[0]], None
         at = found.end()
-    yield None, v.words.findall(prepared(v, text[at:] if at else text))
+    yield None, words_of(v, prepared(v, text[at:] if at else text))
 
 
 def prepared(v: Vocabulary, text: str) -> str:
@@ -255,7 +262,7 @@ class Numbering:
             if words is None:
                 out.append(np.array([-1 - special], dtype=np.int64))
             else:
-                out.append(np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words)))
+                out.append(np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64))
         return out[0] if len(out) == 1 else np.concatenate(out)
 
     def segmented(self) -> list[bytes]:

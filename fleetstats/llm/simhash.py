@@ -13,7 +13,7 @@ connect it.
 
 from __future__ import annotations
 
-from itertools import accumulate
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -24,28 +24,29 @@ from pyspark.sql import types as T
 
 from fleetstats.llm.common import add_columns, fresh, row_key
 from fleetstats.llm.components import components
+from fleetstats.llm.substring_dedup import word_spans
 from fleetstats.storage import materialize
 
 SEED = 42
 MAX_BITS = 3  # what two halves with a threshold of one bit each can promise
 SLICE = 4000  # members of an anchor that are compared with as many others in one set
 SHINGLES_AT_ONCE = 1 << 17
+SPACES = re.compile(rb"[\x20\x09-\x0D]+")
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
     """The SimHash of a text: bits that are set in over half of the hashes of its shingles."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes: ASCII only
-    if not words:
+    joined = SPACES.sub(b" ", (text or "").encode("utf-8", "surrogatepass").lower()).strip(b" ")  # of bytes: ASCII only
+    if not joined:
         return 0
-    joined = b" ".join(words)
-    width = min(shingle, len(words))
-    ends = [e - 1 for e in accumulate(len(w) + 1 for w in words)]
-    starts = [0, *(e + 1 for e in ends[:-1])]
-    digest, n = xxhash.xxh64_intdigest, len(words) - width + 1
-    spans = list(zip(starts[:n], ends[width - 1:]))
+    starts, ends = word_spans(joined)
+    width = min(shingle, len(starts))
+    digest, n = xxhash.xxh64_intdigest, len(starts) - width + 1
     counts = np.zeros(64, dtype=np.int64)
     for i in range(0, n, SHINGLES_AT_ONCE):
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in spans[i:i + SHINGLES_AT_ONCE]], dtype="<u8")
+        j = min(i + SHINGLES_AT_ONCE, n)
+        spans = zip(starts[i:j].tolist(), ends[i + width - 1:j + width - 1].tolist())
+        hashes = np.array([digest(joined[a:b], SEED) for a, b in spans], dtype="<u8")
         counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 

@@ -13,6 +13,7 @@ dealt out in several rounds.
 from __future__ import annotations
 
 import math
+import re
 import struct
 from collections.abc import Iterator
 
@@ -30,6 +31,9 @@ CHUNK_BYTES = 6 << 20  # texts whose windows are gathered before they are sent
 RANGE_CHARS = 6_000_000  # characters of the corpus to one range of hashes: about a million windows
 FAN_OUT = 512  # ranges that a task writes to at once
 
+PIECE_BYTES = 1 << 20  # of a text that are hashed at once
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse
 BYTE_BASE = np.uint64(0x00000100000001B3)
 
@@ -69,8 +73,26 @@ def rolling(values: np.ndarray, base: np.uint64) -> np.ndarray:
     return np.concatenate([[np.uint64(0)], np.cumsum(values * powers(base, len(values)), dtype=np.uint64)])
 
 
+def pieces(data: bytes) -> Iterator[bytes]:
+    """A long text in pieces, cut between words."""
+    at = 0
+    while len(data) - at > PIECE_BYTES:
+        gap = SPACE.search(data, at + PIECE_BYTES)
+        if not gap:
+            break
+        yield data[at:gap.start()]
+        at = gap.end()
+    yield data[at:] if at else data
+
+
 def word_hashes(data: bytes) -> np.ndarray:
     """64 bits for each word of a text, the same wherever the word stands."""
+    if len(data) > PIECE_BYTES:
+        return np.concatenate([hashes_of_piece(p) for p in pieces(data)])
+    return hashes_of_piece(data)
+
+
+def hashes_of_piece(data: bytes) -> np.ndarray:
     starts, ends = word_spans(data)
     if not len(starts):
         return np.zeros(0, np.uint64)

@@ -57,6 +57,19 @@ def test_substrings_in_several_rounds(spark, monkeypatch):
         brute.kept_without_substrings(rows, 5), key=str)
 
 
+def test_long_texts_are_hashed_in_pieces(monkeypatch):
+    rng = random.Random(11)
+    text = " \n".join("".join(rng.choice("abcé") for _ in range(rng.randint(1, 9))) for _ in range(3000)).encode()
+    whole = substring_dedup.word_hashes(text)
+    monkeypatch.setattr(substring_dedup, "PIECE_BYTES", 50)
+    assert (substring_dedup.word_hashes(text) == whole).all()
+    assert (substring_dedup.word_hashes(b"x" * 200) == substring_dedup.hashes_of_piece(b"x" * 200)).all()
+    text = text.decode()
+    assert simhash.fingerprint(text) == brute.simhash(text)
+    monkeypatch.setattr(simhash, "SHINGLES_AT_ONCE", 7)
+    assert simhash.fingerprint(text) == brute.simhash(text)
+
+
 def test_packed_entries_come_back():
     rng = np.random.default_rng(1)
     values = np.sort(rng.integers(0, 1 << 63, 1000).astype(np.uint64) * np.uint64(2))

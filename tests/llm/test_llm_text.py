@@ -49,6 +49,14 @@ def test_a_worker_forgets_words_without_losing_any(monkeypatch):
         assert [o.tolist() for o in bpe.encode_texts(BYTES, texts[i:i + 30])] == [e.ids for e in expected[i:i + 30]]
 
 
+def test_long_texts(monkeypatch):
+    monkeypatch.setattr(bpe, "LONG_TEXT", 20)
+    texts = random_texts(500)
+    for path in (WORDS, BYTES):
+        expected = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+        assert [o.tolist() for o in bpe.encode_texts(path, texts)] == [e.ids for e in expected]
+
+
 def test_ranks_of_a_block_do_not_make_each_others_symbols():
     for path in (WORDS, BYTES):
         v = bpe.load(path)
