@@ -54,9 +54,11 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def scanned_bytes(df: DataFrame) -> int:
-    """The size of the tables that a query reads, as its plan knows it."""
+    """The size of the tables that a query reads, as its plan knows it; rows made in the session do not count."""
     leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    tables = [leaves.apply(i) for i in range(leaves.size())]
+    return sum(int(str(t.stats().sizeInBytes())) for t in tables if t.getClass().getSimpleName().endswith("Relation")
+               and t.getClass().getSimpleName() != "LocalRelation")
 
 
 def size_shuffles(df: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ def test_size_of_what_is_read(spark, sf_dir):
     size = sum(p.stat().st_size for p in [Path(f"{sf_dir}/orders.parquet")])
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     assert size <= scanned_bytes(orders.join(orders.alias("o"), "o_orderkey").groupBy().count()) <= 3 * size
+    assert scanned_bytes(spark.createDataFrame([(1,)], "a INT").union(spark.range(1).selectExpr("CAST(id AS INT)"))) == 0
 
 
 def test_own_settings_stay(spark):
