@@ -33,8 +33,8 @@ BYTE_PATTERN = (
 )
 
 # Texts segmented together, and words whose pieces a worker remembers.
-CHUNK_BYTES = 8 << 20
-REMEMBERED = 150_000
+CHUNK_BYTES = 4 << 20
+REMEMBERED = 100_000
 
 LONG_TEXT = 1 << 20
 
