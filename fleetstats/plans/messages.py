@@ -169,6 +169,13 @@ def notification_envelope(spark, sf_dir):
     )
 
 
+@query("""SELECT s_suppkey, md5(concat('{"s_name": "', s_name, '", "s_nationkey": ', s_nationkey, '}')) AS id FROM supplier""")
+def record_ids(spark, sf_dir):
+    """Ids for records that bring none."""
+    supplier = load(spark, sf_dir, "supplier")
+    return supplier.select("s_suppkey", sinks.content_id(supplier, ["s_name", "s_nationkey"]).alias("id"))
+
+
 @query("SELECT count(*) AS records, count(DISTINCT event_id) AS ids, true AS chunks_fit FROM events")
 def chunk_records(spark, sf_dir):
     chunks = sinks.chunk_records(load(spark, sf_dir, "events").select("event_id"), 1000)

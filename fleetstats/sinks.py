@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
 
+from fleetstats.operators.quality import fingerprint
+
 
 def write_collections(tables: dict[str, DataFrame], path: str) -> DataFrame:
     """Each table as JSON lines in its own folder; returns the number of lines per collection, counted while writing."""
@@ -131,10 +133,15 @@ def envelope(
 
 
 def new_id() -> Column:
-    """A random id, for records that bring none."""
+    """A random id, for records that bring none; a repeated task gives other ones."""
     return F.uuid()
 
 
+def content_id(df: DataFrame, columns: Sequence[str]) -> Column:
+    """An id that follows from the record, so that a record sent again has the same one."""
+    return fingerprint(df, columns)
+
+
 def chunk_records(df: DataFrame, size: int = 1000) -> DataFrame:
     """Number the rows of every partition and group them into chunks of at most ``size``.
 
