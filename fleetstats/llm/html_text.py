@@ -16,9 +16,7 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from urllib.parse import urlsplit
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -179,14 +177,10 @@ def main_text(lines: list[Line], neighbour: list[int] | None) -> str:
     return "\n".join(kept)
 
 
-def address(url: str | None) -> tuple[str | None, str | None]:
-    """Host and path of an address, without its query and fragment; null where there is none."""
-    try:
-        parts = urlsplit((url or "").strip())
-        host = parts.hostname
-    except ValueError:
-        return None, None
-    return (host.lower(), re.sub(r"/+$", "", parts.path) or "/") if host else (None, None)
+def address(url: Column) -> tuple[Column, Column]:
+    """Host and path of an address, without its query and fragment; a null host where it is no valid address."""
+    path = F.regexp_replace(F.try_parse_url(url, F.lit("PATH")), r"/+$", "")
+    return F.lower(F.try_parse_url(url, F.lit("HOST"))), F.coalesce(F.nullif(path, F.lit("")), F.lit("/"))
 
 
 def alike(path: Column, other: Column) -> Column:
@@ -257,8 +251,7 @@ def extract_text(pages: DataFrame, url: str = "url", page: str = "html", out: st
     """
     names = {n: fresh([*pages.columns, out], f"_{n}") for n in ("host", "path", "outside", "lines")}
     host, path, outside = names["host"], names["path"], names["outside"]
-    place = T.StructType([T.StructField(host, T.StringType()), T.StructField(path, T.StringType())])
-    placed = add_columns(pages, url, place, lambda urls: list(map(list, zip(*map(address, urls)))))
+    placed = pages.withColumns(dict(zip((host, path), address(F.col(url)))))
     held = T.StructType([T.StructField(outside, T.ArrayType(T.LongType()))])
 
     def hashes(htmls):
