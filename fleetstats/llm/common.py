@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -83,6 +84,13 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str, limit: int) -> Iterator
         yield pa.Table.from_batches(held)
 
 
+def release_memory() -> None:
+    """Give back what a finished task has freed: workers stay for later tasks, beside the executor's own memory."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def add_columns(
     docs: DataFrame, text: str, added: T.StructType, compute: Callable[[list[str | None]], list[list]],
     chunk_bytes: int = 0,
@@ -112,5 +120,6 @@ def add_columns(
             ]
             columns = [*table.columns, *arrays]
             yield from pa.Table.from_arrays(columns, names=arrow.names).to_batches(max_chunksize=BATCH_ROWS)
+        release_memory()
 
     return carried.mapInArrow(run, schema)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from fleetstats.llm.common import add_columns, chunks
+from fleetstats.llm.common import add_columns, chunks, release_memory
 
 CHUNK_BYTES = 6 << 20  # texts whose windows are gathered before they are sent
 RANGE_CHARS = 6_000_000  # characters of the corpus to one range of hashes: about a million windows
@@ -209,6 +209,7 @@ def repeated_windows(docs: DataFrame, width: int, id_col: str, text: str) -> Dat
             hashes = [text_windows(t.as_py(), width) for t in table.column(text)]
             if sum(map(len, hashes)):
                 yield from sent(np.concatenate(hashes), np.repeat(ids, list(map(len, hashes))), widths[0], 0, blocks)
+        release_memory()
 
     def resend(bits, done):
         def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
