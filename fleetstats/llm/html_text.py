@@ -1,10 +1,11 @@
 """Main text of web pages by differencing with the page of the nearest address.
 
 Pages of a host are ordered by the path of their address, and each is paired with the neighbour whose path shares the
-longer beginning. The lines of the two pages that stand outside their articles are aligned by a longest common
-subsequence; lines that both pages hold are the site's and go. What the markup itself names as no part of an
-article (menus, forms, adverts, comments and so on) goes too, and where a page marks its article, so do the lines
-around it. Text inside a marked article is never taken for a shared line: copies of an article stay whole.
+longer beginning. What the markup itself names as no part of an article (menus, forms, adverts, comments and so on)
+goes. The other lines of the two pages, inside marked articles and outside, are aligned by a longest common
+subsequence; lines that both pages hold are the site's and go. Where a page marks its article, so do the lines around
+it. Articles that share most of their lines are copies and stay whole, and paragraphs and titles of an `article`
+element are its own text even where the neighbour has them too.
 
 The order within hosts is made by a range partitioning, so that a host of a third of all pages is spread over many
 tasks; the rows at the borders of the ranges, two to a task, are matched afterwards.
@@ -34,6 +35,7 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = ("script", "style", "template", "svg", "iframe", "noembed", "object", "canvas", "math")
 ARTICLES = frozenset(("article", "main"))
+RUNNING = frozenset(("p", "h1"))  # blocks that inside an `article` hold its own text
 AROUND = frozenset("aside button dialog footer form head header menu nav noscript select textarea".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu navigation search".split())
 NAMES = frozenset(
@@ -55,11 +57,15 @@ ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 
 @dataclass
 class Line:
-    """A block of shown text: whether an article is open around it, and markup that is no part of one."""
+    """A block of shown text: whether an article is open around it, and markup that is no part of one.
+
+    `running` is a paragraph or title inside an `article` element.
+    """
 
     text: str
     in_article: bool
     aside: bool
+    running: bool = False
 
 
 def is_aside(tag: str, attributes: str, in_article: bool) -> bool:
@@ -81,13 +87,15 @@ def lines_of(page: str | None) -> list[Line]:
     out, held = [], []
     open_tags: list[tuple[str, bool, bool]] = []  # (tag, article, aside)
     articles = asides = at = 0
+    block = ""  # the tag that the text at hand stands in
 
     def close_block():
         if held:
             text = " ".join(html.unescape("".join(held)).split())
             held.clear()
             if text:
-                out.append(Line(text, articles > 0, asides > 0))
+                running = block in RUNNING and any(o[0] == "article" for o in open_tags)
+                out.append(Line(text, articles > 0, asides > 0, running))
 
     page = page or ""
     for token in TOKEN.finditer(page):
@@ -99,6 +107,8 @@ def lines_of(page: str | None) -> list[Line]:
             continue
         if tag in BLOCKS:
             close_block()
+            if tag not in VOID:
+                block = "" if token[2] else tag
         if token[2]:
             depth = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == tag), None)
             if depth is not None:
@@ -160,21 +170,31 @@ def shared(own: list[int], other: list[int]) -> list[bool]:
     return out
 
 
+def compared(lines: list[Line]) -> list[int]:
+    """What a neighbour is told of a page's lines: their hashes, the lowest bit set inside an article, less asides."""
+    return [line_hash(line.text) & ~1 | line.in_article for line in lines if not line.aside]
+
+
 def main_text(lines: list[Line], neighbour: list[int] | None) -> str:
-    """The article: lines that neither markup nor the neighbouring page tell to be the site's."""
-    marked = any(line.in_article and not line.aside for line in lines)
-    outside = [i for i, line in enumerate(lines) if not line.in_article]
-    gone = set()
+    """The article: lines that neither markup nor the neighbouring page (see `compared`) tell to be the site's.
+
+    Where most lines of both pages' articles are shared, one is a copy of the other and no line of it is the site's;
+    nor is a paragraph or title of an `article` element.
+    """
+    own = [line for line in lines if not line.aside]
+    marked = any(line.in_article for line in own)
+    found = [False] * len(own)
     if neighbour:
-        found = shared([line_hash(lines[i].text) for i in outside], neighbour)
-        gone = {i for i, is_shared in zip(outside, found) if is_shared}
-    kept = [
-        line.text for i, line in enumerate(lines)
-        if not line.aside and i not in gone and (line.in_article or not marked)
-    ]
-    if not kept and gone:  # nothing but shared lines: two addresses of one page
-        kept = [line.text for line in lines if not line.aside]
-    return "\n".join(kept)
+        found = shared([h & ~1 for h in compared(own)], [h & ~1 for h in neighbour])
+        inside = [s for line, s in zip(own, found) if line.in_article]
+        if 2 * sum(inside) > max(len(inside), sum(h & 1 for h in neighbour)):
+            found = [s and not line.in_article for line, s in zip(own, found)]
+        found = [s and not line.running for line, s in zip(own, found)]
+    offered = [(line, s) for line, s in zip(own, found) if line.in_article or not marked]
+    kept = [line for line, is_shared in offered if not is_shared]
+    if not kept:  # nothing but shared lines: two addresses of one page
+        kept = [line for line, _ in offered]
+    return "\n".join(line.text for line in kept)
 
 
 def address(url: Column) -> tuple[Column, Column]:
@@ -255,7 +275,7 @@ def extract_text(pages: DataFrame, url: str = "url", page: str = "html", out: st
     held = T.StructType([T.StructField(outside, T.ArrayType(T.LongType()))])
 
     def hashes(htmls):
-        return [[[line_hash(line.text) for line in lines_of(h) if not line.in_article] for h in htmls]]
+        return [[compared(lines_of(h)) for h in htmls]]
 
     high, low = row_key(f"`{url}`", f"`{page}`")
     keyed = placed.where(F.col(host).isNotNull()).select(

@@ -199,6 +199,20 @@ def test_pages_lose_what_their_neighbour_has(spark):
     assert html_text.extract_text(pages.limit(0)).collect() == []
 
 
+def test_shared_lines_inside_articles():
+    def text(own, other):
+        own, other = (html_text.lines_of(f"<body><div>Menu</div><main>{p}</main>") for p in (own, other))
+        return html_text.main_text(own, html_text.compared(other))
+
+    bar = "<div>Subscribe now for more</div>"
+    assert text(bar + "<p>x</p>", bar + "<p>y</p>") == "x"
+    assert text(bar + "<p>x</p><p>z</p>", "<p>y</p>") == "Subscribe now for more\nx\nz"
+    copy = "<p>a</p><p>b</p><p>c</p>"
+    assert text(copy + "<p>x</p>", copy + "<p>y</p>") == "a\nb\nc\nx"
+    assert text(copy, copy) == "a\nb\nc"
+    assert text(bar + "<p>x</p>", bar + copy) == "x"
+
+
 def test_neighbours_do_not_depend_on_the_partitions(spark):
     paths = spark.createDataFrame([(f"h{i % 3}", f"/{i // 7:03d}/{i}") for i in range(200)], "host string, path string")
     before = spark.conf.get("spark.sql.shuffle.partitions")
