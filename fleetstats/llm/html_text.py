@@ -5,7 +5,8 @@ longer beginning. What the markup itself names as no part of an article (menus,
 goes. The other lines of the two pages, inside marked articles and outside, are aligned by a longest common
 subsequence; lines that both pages hold are the site's and go. Where a page marks its article, so do the lines around
 it. Articles that share most of their lines are copies and stay whole, and paragraphs and titles of an `article`
-element are its own text even where the neighbour has them too.
+element are its own text even where the neighbour has them too. Inside an article a class or id is believed of a block
+that holds others; of a single paragraph, list item or word only if the neighbour has the same line.
 
 The order within hosts is made by a range partitioning, so that a host of a third of all pages is spread over many
 tasks; the rows at the borders of the ranges, two to a task, are matched afterwards.
@@ -44,6 +45,21 @@ NAMES = frozenset(
     "pagination popup promo promoted related responses share sharing sidebar signup social sponsor sponsored submenu "
     "subscribe toolbar widget".split()
 )
+# In an article, names alone tell what these hold; of other elements they are a hint that the neighbour must confirm.
+CONTAINERS = frozenset("aside blockquote center details dialog dir div dl fieldset figure ol section table ul".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# What ends an open element whose end tag may be left out, and the elements around it that bound this.
+CELLS = frozenset("td th tr tbody tfoot thead".split())
+ENDED_BY = {
+    "p": BLOCKS - {"br", "button", "legend", "optgroup", "option", "select", "title"},
+    "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": CELLS, "th": CELLS, "tr": CELLS - {"td", "th"},
+    "option": {"option", "optgroup"},
+}
+LISTS = frozenset("dir menu ol ul".split())
+BOUNDS = {
+    "p": {"button"}, "li": LISTS, "dt": {"dl"}, "dd": {"dl"}, "td": {"table"}, "th": {"table"}, "tr": {"table"},
+    "option": {"select"},
+}
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -59,43 +75,82 @@ ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 class Line:
     """A block of shown text: whether an article is open around it, and markup that is no part of one.
 
-    `running` is a paragraph or title inside an `article` element.
+    `running` is a paragraph or title inside an `article` element. What is `hinted` goes if the neighbour has it too.
+    `joint` stands before the text if the line before is kept: no line feed within a block.
     """
 
     text: str
     in_article: bool
     aside: bool
     running: bool = False
+    hinted: bool = False
+    joint: str = "\n"
 
 
-def is_aside(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element is no part of an article by its name, role, class or id; an article may have a header."""
+def is_aside(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is no part of an article by its tag, role, class or id, and whether it is only hinted to be.
+
+    An article may have a header. The id of a heading is made from its words and tells nothing.
+    """
     if tag in ARTICLES or tag in ("html", "body"):
-        return False
+        return False, False
     if tag in AROUND and not (tag == "header" and in_article):
-        return True
+        return True, False
+    hinted = False
     for name, *values in ATTRIBUTE.findall(attributes):
         parted = re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(values)).lower()
         words = set(re.split(r"[^a-z0-9]+", parted)) - ({"header"} if in_article else set())
-        if words & (ROLES if name.lower() == "role" else NAMES):
-            return True
-    return False
+        if name.lower() == "role":
+            if words & ROLES:
+                return True, False
+        elif words & NAMES and not (name.lower() == "id" and tag in HEADINGS):
+            if not in_article or tag in CONTAINERS:
+                return True, False
+            hinted = True
+    return False, hinted
 
 
 def lines_of(page: str | None) -> list[Line]:
     """The blocks of text of a page in order; white space inside one is a single space."""
     out, held = [], []
-    open_tags: list[tuple[str, bool, bool]] = []  # (tag, article, aside)
-    articles = asides = at = 0
-    block = ""  # the tag that the text at hand stands in
+    open_tags: list[tuple[str, bool, bool, bool]] = []  # (tag, article, aside, hinted)
+    articles = asides = hints = unended = at = 0  # unended: open elements whose end tag may be left out
+    block, joint = "", "\n"  # the tag that the text at hand stands in, and what joins it to the line before
 
-    def close_block():
+    def close_block(next_joint="\n"):
+        nonlocal joint
         if held:
-            text = " ".join(html.unescape("".join(held)).split())
+            raw = html.unescape("".join(held))
             held.clear()
-            if text:
+            if text := " ".join(raw.split()):
                 running = block in RUNNING and any(o[0] == "article" for o in open_tags)
-                out.append(Line(text, articles > 0, asides > 0, running))
+                before = " " if not joint and raw[0].isspace() else joint
+                out.append(Line(text, articles > 0, asides > 0, running, hints > 0, before))
+                joint = ""
+            if not joint and raw[-1:].isspace():
+                joint = " "
+        joint = next_joint if next_joint else joint
+
+    def close_tags(depth):
+        nonlocal articles, asides, hints, unended
+        inline = all(tag not in BLOCKS and not aside for tag, _, aside, _ in open_tags[depth:])
+        if not inline or any(o[3] for o in open_tags[depth:]):
+            close_block("" if inline else "\n")
+        for tag, article, aside, hinted in open_tags[depth:]:
+            unended -= tag in ENDED_BY
+            articles -= article
+            asides -= aside
+            hints -= hinted
+        del open_tags[depth:]
+
+    def depth_of(tag):
+        """Where an open element of this tag is that may be ended here."""
+        for i in range(len(open_tags) - 1, -1, -1):
+            if open_tags[i][0] == tag:
+                return i
+            if open_tags[i][0] in BOUNDS.get(tag, ()):
+                return None
+        return None
 
     page = page or ""
     for token in TOKEN.finditer(page):
@@ -107,30 +162,30 @@ def lines_of(page: str | None) -> list[Line]:
             continue
         if tag in BLOCKS:
             close_block()
+            if not token[2] and unended:
+                for ended, by in ENDED_BY.items():
+                    if tag in by and (depth := depth_of(ended)) is not None:
+                        close_tags(depth)
             if tag not in VOID:
                 block = "" if token[2] else tag
         if token[2]:
-            depth = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == tag), None)
-            if depth is not None:
-                close_block()
-                for _, article, aside in open_tags[depth:]:
-                    articles -= article
-                    asides -= aside
-                del open_tags[depth:]
+            if (depth := depth_of(tag)) is not None:
+                close_tags(depth)
             continue
         if tag == "body":  # a head that was not closed ends here
-            asides -= sum(o[2] for o in open_tags)
-            articles -= sum(o[1] for o in open_tags)
-            open_tags.clear()
+            close_tags(0)
         if tag in VOID or token[4].rstrip().endswith("/"):
             continue
-        article, aside = tag in ARTICLES, is_aside(tag, token[4], articles > 0)
-        if article or aside or open_tags or tag in ("html", "body"):
-            close_block() if article or aside else None
-            if tag not in ("p", "li", "dt", "dd", "option", "tr", "td", "th") or article or aside:
-                open_tags.append((tag, article, aside))
+        article, (aside, hinted) = tag in ARTICLES, is_aside(tag, token[4], articles > 0)
+        if article or aside or hinted or open_tags or tag in ("html", "body"):
+            if article or aside or hinted:
+                close_block("" if hinted and tag not in BLOCKS else "\n")
+            if tag not in ENDED_BY or article or aside or hinted:
+                open_tags.append((tag, article, aside, hinted))
+                unended += tag in ENDED_BY
                 articles += article
                 asides += aside
+                hints += hinted
     held.append(page[at:])
     close_block()
     return out
@@ -179,7 +234,7 @@ def main_text(lines: list[Line], neighbour: list[int] | None) -> str:
     """The article: lines that neither markup nor the neighbouring page (see `compared`) tell to be the site's.
 
     Where most lines of both pages' articles are shared, one is a copy of the other and no line of it is the site's;
-    nor is a paragraph or title of an `article` element.
+    nor is a paragraph or title of an `article` element, unless a name hints at it.
     """
     own = [line for line in lines if not line.aside]
     marked = any(line.in_article for line in own)
@@ -189,12 +244,18 @@ def main_text(lines: list[Line], neighbour: list[int] | None) -> str:
         inside = [s for line, s in zip(own, found) if line.in_article]
         if 2 * sum(inside) > max(len(inside), sum(h & 1 for h in neighbour)):
             found = [s and not line.in_article for line, s in zip(own, found)]
-        found = [s and not line.running for line, s in zip(own, found)]
-    offered = [(line, s) for line, s in zip(own, found) if line.in_article or not marked]
-    kept = [line for line, is_shared in offered if not is_shared]
+        found = [s and (line.hinted or not line.running) for line, s in zip(own, found)]
+    offered = [line.in_article or not marked for line in own]
+    kept = {id(line) for line, is_shared, o in zip(own, found, offered) if o and not is_shared}
     if not kept:  # nothing but shared lines: two addresses of one page
-        kept = [line for line, _ in offered]
-    return "\n".join(line.text for line in kept)
+        kept = {id(line) for line, o in zip(own, offered) if o}
+    out, gap = [], ""
+    for line in lines:
+        gap += line.joint
+        if id(line) in kept:
+            out += ["\n" if "\n" in gap else gap[:1], line.text] if out else [line.text]
+            gap = ""
+    return "".join(out)
 
 
 def address(url: Column) -> tuple[Column, Column]:

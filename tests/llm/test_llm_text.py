@@ -213,6 +213,25 @@ def test_shared_lines_inside_articles():
     assert text(bar + "<p>x</p>", bar + copy) == "x"
 
 
+def test_names_inside_articles():
+    def text(own, other=None):
+        return html_text.main_text(html_text.lines_of(own), other and html_text.compared(html_text.lines_of(other)))
+
+    heads = '<article><h2 id="related-work">Related work</h2><h3 id="api-responses">API responses</h3><p>x</p></article>'
+    assert text(heads) == "Related work\nAPI responses\nx"
+    unclosed = "<article><h1>T</h1><p class=ad>buy<p>Para one<p>Para two</article>"
+    assert text(unclosed) == "T\nbuy\nPara one\nPara two"
+    other = "<article><h1>S</h1><p class=ad>buy<p>another<p>and one</article>"
+    assert text(unclosed, other) == "T\nPara one\nPara two" and text(unclosed, unclosed) == text(unclosed)
+    inline = "<main>A <b>bold</b> word, an<span class=notice>ad</span>, no <i class=promo>go</i> more</main>"
+    assert text(inline) == "A bold word, anad, no go more"
+    assert text(inline, "<main><p>ad<p>B<p>go</main>") == "A bold word, an, no more"
+    assert text("<main><p>x</p><p><b class=ad>y</b> z</p></main>", "<main>y<p>u<p>v</main>") == "x\nz"
+    assert text("<article><p>x</p><div class=share>share</div></article>") == "x"
+    assert text("<div><ul><li class=ad>one<ul><li>in</li></ul>still<li>two</ul></div><p class=menu>a<table><tr><td class=ad>b<td>c<tr><td>d</table>") == "two\nc\nd"
+    assert text("<dl><dt class=ad>a<dd>b</dl><table><tr class=ad><td>x<tr><td>y</table>") == "b\ny"
+
+
 def test_neighbours_do_not_depend_on_the_partitions(spark):
     paths = spark.createDataFrame([(f"h{i % 3}", f"/{i // 7:03d}/{i}") for i in range(200)], "host string, path string")
     before = spark.conf.get("spark.sql.shuffle.partitions")
