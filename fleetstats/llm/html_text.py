@@ -1,7 +1,7 @@
 """Main text of web pages by differencing with the page of the nearest address.
 
-Pages of a host are ordered by the path of their address, and each is paired with the neighbour whose path shares the
-longer beginning. What the markup itself names as no part of an article (menus, forms, adverts, comments and so on)
+Pages of a host are ordered by the path and then the query of their address, and each is paired with the neighbour
+whose address shares the longer beginning. What the markup itself names as no part of an article (menus, forms, adverts, comments and so on)
 goes. The other lines of the two pages, inside marked articles and outside, are aligned by a longest common
 subsequence; lines that both pages hold are the site's and go. Where a page marks its article, so do the lines around
 it. Articles that share most of their lines are copies and stay whole, and paragraphs and titles of an `article`
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetstats.llm.common import add_columns, fresh, row_key
+from fleetstats.storage import materialize
 
 # The markup that begins a block, that is never shown, and that stands around articles.
 BLOCKS = frozenset(
@@ -70,6 +71,11 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 
+# Host, path and query of an address; what ends the steps of a place in the order of a host.
+ADDRESS = r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#]*@)?([^/?#@]*?)(?::[0-9]*)?\s*(?=[/?#]|$)([^?#]*)\??([^#]*)"
+STEP, ENDS = "[/\u0001]", "\u0001"
+VERSION = 0.1  # of an unmarked page's characters, not shared with another page of its path
+
 
 @dataclass
 class Line:
@@ -230,9 +236,10 @@ def compared(lines: list[Line]) -> list[int]:
     return [line_hash(line.text) & ~1 | line.in_article for line in lines if not line.aside]
 
 
-def main_text(lines: list[Line], neighbour: list[int] | None) -> str:
+def main_text(lines: list[Line], neighbour: list[int] | None, same_path: bool = False) -> str:
     """The article: lines that neither markup nor the neighbouring page (see `compared`) tell to be the site's.
 
+    Of pages of one path without a marked article, that differ in little, each is a version of the other and loses nothing.
     Where most lines of both pages' articles are shared, one is a copy of the other and no line of it is the site's;
     nor is a paragraph or title of an `article` element, unless a name hints at it.
     """
@@ -247,7 +254,11 @@ def main_text(lines: list[Line], neighbour: list[int] | None) -> str:
         found = [s and (line.hinted or not line.running) for line, s in zip(own, found)]
     offered = [line.in_article or not marked for line in own]
     kept = {id(line) for line, is_shared, o in zip(own, found, offered) if o and not is_shared}
-    if not kept:  # nothing but shared lines: two addresses of one page
+    chars = {True: 0, False: 0}
+    for line, is_shared in zip(own, found):
+        chars[is_shared] += len(line.text)
+    version = same_path and not marked and chars[False] < VERSION * sum(chars.values())
+    if not kept or version:  # nothing but shared lines: two addresses of one page
         kept = {id(line) for line, o in zip(own, offered) if o}
     out, gap = [], ""
     for line in lines:
@@ -258,15 +269,21 @@ def main_text(lines: list[Line], neighbour: list[int] | None) -> str:
     return "".join(out)
 
 
-def address(url: Column) -> tuple[Column, Column]:
-    """Host and path of an address, without its query and fragment; a null host where it is no valid address."""
-    path = F.regexp_replace(F.try_parse_url(url, F.lit("PATH")), r"/+$", "")
-    return F.lower(F.try_parse_url(url, F.lit("HOST"))), F.coalesce(F.nullif(path, F.lit("")), F.lit("/"))
+def address(url: Column) -> tuple[Column, Column, Column]:
+    """Host, path and query of an address; a null host where it has none.
+
+    What the strict reading refuses, such as a host with an underscore or an address with blanks, is cut by a pattern.
+    """
+    def part(name: str, group: int) -> Column:
+        return F.coalesce(F.try_parse_url(url, F.lit(name)), F.regexp_extract(url, ADDRESS, group))
+
+    path = F.regexp_replace(part("PATH", 2), r"/+$", "")
+    return F.nullif(F.lower(part("HOST", 1)), F.lit("")), F.coalesce(F.nullif(path, F.lit("")), F.lit("/")), part("QUERY", 3)
 
 
-def alike(path: Column, other: Column) -> Column:
-    """The number of leading path steps that two paths share."""
-    a, b = F.split(path, "/"), F.split(other, "/")
+def alike(place: Column, other: Column) -> Column:
+    """The number of leading steps that two places share: those of the path, then the query."""
+    a, b = F.split(place, STEP), F.split(other, STEP)
     same = F.transform(F.sequence(F.lit(0), F.least(F.size(a), F.size(b)) - 1), lambda i: F.get(a, i) == F.get(b, i))
     return F.coalesce(F.array_position(same, F.lit(False)), F.size(same))
 
@@ -324,34 +341,47 @@ def nearest(paths: DataFrame) -> DataFrame:
 def extract_text(pages: DataFrame, url: str = "url", page: str = "html", out: str = "text") -> DataFrame:
     """The rows with the main text of their page, its blocks joined by line feeds.
 
-    A null or empty page has the empty text. Pages without a usable address, and those alone on their host, have no
-    neighbour and lose only what their markup names. Addresses that differ in query, fragment or closing slashes only
-    are one path, for which the page of the smallest key stands; a page is never compared with its own path. A page
-    all of whose lines are its neighbour's keeps them. Repeated rows give repeated results, an empty table an
-    empty one.
+    A null or empty page has the empty text. Pages without a usable address, and those whose host has no other page,
+    have no neighbour and lose only what their markup names. Pages of a path are in the order of their queries; those
+    that also have the same lines are one page. A page all of whose lines are its neighbour's keeps them, as does an
+    unmarked page of which another page of its path has nine tenths. Repeated rows give repeated results, an empty
+    table an empty one.
     """
-    names = {n: fresh([*pages.columns, out], f"_{n}") for n in ("host", "path", "outside", "lines")}
-    host, path, outside = names["host"], names["path"], names["outside"]
-    placed = pages.withColumns(dict(zip((host, path), address(F.col(url)))))
-    held = T.StructType([T.StructField(outside, T.ArrayType(T.LongType()))])
+    names = {n: fresh([*pages.columns, out], f"_{n}") for n in ("a", "b", "theirs", "same", "both")}
+    held = T.StructType([T.StructField("lines", T.ArrayType(T.LongType()))])
 
     def hashes(htmls):
         return [[compared(lines_of(h)) for h in htmls]]
 
-    high, low = row_key(f"`{url}`", f"`{page}`")
-    keyed = placed.where(F.col(host).isNotNull()).select(
-        F.col(host).alias("host"), F.col(path).alias("path"), F.struct(high.alias("a"), low.alias("b")).alias("key"),
-        F.col(page).alias("page"))
-    hashed = add_columns(keyed, "page", held, hashes).drop("page")
-    by_path = hashed.groupBy("host", "path").agg(F.min_by(outside, "key").alias("theirs"))
-    pairs = nearest(by_path.select("host", "path"))
-    near = pairs.join(by_path.withColumnRenamed("path", "near"), ["host", "near"]).select("host", "path", "theirs")
-    near = near.toDF(host, path, names["lines"])
-    joined = placed.join(near, [host, path], "left").drop(host, path)
-    both = joined.withColumn(outside, F.struct(F.col(page), F.col(names["lines"]))).drop(names["lines"])
+    key = row_key(f"`{url}`", f"`{page}`")
+    host, path, query = address(F.col(f"`{url}`"))
+    keyed = pages.select(
+        host.alias("host"), path.alias("path"), query.alias("query"), key[0].alias("a"), key[1].alias("b"),
+        F.col(f"`{page}`").alias("page"))
+    hashed = add_columns(keyed.where(F.col("host").isNotNull()), "page", held, hashes).drop("page")
+    content = [F.xxhash64(*salt, F.col("host"), F.col("path"), F.col("lines")) for salt in ((), (F.lit(7),))]
+    hashed = materialize(hashed.where(F.size("lines") > 0).withColumns(dict(zip(("k1", "k2"), content))), "lines")
+    places = hashed.groupBy("host", "path", "k1", "k2").agg(F.min("query").alias("query"))
+    place = F.concat_ws(ENDS, "path", F.translate("query", ENDS, ""), F.concat(*[
+        F.lpad(F.hex(k), 16, "0") for k in ("k1", "k2")]))
+    pairs = nearest(places.select("host", place.alias("path")))
+
+    def keys_of(place: Column) -> list[Column]:
+        return [F.conv(F.substr(place, F.lit(at), F.lit(16)), 16, -10).cast("long") for at in (-32, -16)]
+
+    own, other = keys_of(F.col("path")), keys_of(F.col("near"))
+    same = F.substring_index("path", ENDS, 1) == F.substring_index("near", ENDS, 1)
+    pairs = pairs.select(own[0].alias("k1"), own[1].alias("k2"), other[0].alias("n1"), other[1].alias("n2"), same.alias("same"))
+    rows = hashed.select("a", "b", "k1", "k2").distinct().join(pairs, ["k1", "k2"]).drop("k1", "k2")
+    contents = hashed.groupBy(F.col("k1").alias("n1"), F.col("k2").alias("n2")).agg(F.any_value("lines").alias("theirs"))
+    told = rows.join(contents, ["n1", "n2"]).select(
+        *[F.col(c).alias(names[c]) for c in ("a", "b", "theirs", "same")])
+    joined = pages.withColumns({names["a"]: key[0], names["b"]: key[1]}).join(told, [names["a"], names["b"]], "left")
+    both = joined.withColumn(names["both"], F.struct(F.col(f"`{page}`"), F.col(names["theirs"]), F.col(names["same"])))
+    both = both.drop(names["a"], names["b"], names["theirs"], names["same"])
     added = T.StructType([T.StructField(out, T.StringType(), False)])
 
     def texts(rows):
-        return [[main_text(lines_of(r[page]), r[names["lines"]]) for r in rows]]
+        return [[main_text(lines_of(r[page]), r[names["theirs"]], bool(r[names["same"]])) for r in rows]]
 
-    return add_columns(both, outside, added, texts).drop(outside)
+    return add_columns(both, names["both"], added, texts).drop(names["both"])

@@ -232,6 +232,23 @@ def test_names_inside_articles():
     assert text("<dl><dt class=ad>a<dd>b</dl><table><tr class=ad><td>x<tr><td>y</table>") == "b\ny"
 
 
+def test_pages_of_one_path_and_odd_addresses(spark):
+    rows = [(f"http://q.org/index.php?id={i}", plain(f"<p>page {i}</p>")) for i in range(9)]
+    rows += [(f"http://q.org/index.php?id={i}&x=#top", plain(f"<p>page {i}</p>")) for i in range(9)]
+    rows += [(f"http://my_host.org:80/a/{i}", plain(f"<p>host {i}</p>")) for i in range(3)]
+    rows += [(f"HTTP://u@My-Host.org/b c/{i}|{i}", plain(f"<p>path {i}</p>")) for i in range(3)]
+    rows += [(f"http://v.org/x?utm={i}", plain(f"<p>{'long text ' * 50}</p><p>offer {i}</p>")) for i in range(2)]
+    pages = spark.createDataFrame(rows, "url string, html string")
+    out = {r["url"]: r["text"] for r in html_text.extract_text(pages).collect()}
+    assert len(out) == len(rows)
+    for url, page in rows:
+        alone = html_text.main_text(html_text.lines_of(page), None)
+        assert out[url] == (alone if "v.org" in url else re.search("<p>(.*)</p>", page)[1])
+    cut = spark.createDataFrame([("http://u:p@A_b.org:8/c d?e=f#g",), ("//x_y",), ("no address",), (None,)], "url string")
+    found = [tuple(r)[:2] for r in cut.select(*html_text.address(F.col("url"))).collect()]
+    assert found == [("a_b.org", "/c d"), ("x_y", "/"), (None, "/"), (None, "/")]
+
+
 def test_neighbours_do_not_depend_on_the_partitions(spark):
     paths = spark.createDataFrame([(f"h{i % 3}", f"/{i // 7:03d}/{i}") for i in range(200)], "host string, path string")
     before = spark.conf.get("spark.sql.shuffle.partitions")
