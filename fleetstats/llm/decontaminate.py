@@ -2,7 +2,8 @@
 
 A fixed mask names the tokens of a window that are hashed; the others may differ. The seeds of all windows of the
 benchmark and of the corpus meet by hash, and around each hit the tokens are compared: a window of `WINDOW` aligned
-tokens that holds the seed must agree in four fifths of them.
+tokens that holds the seed must agree in four fifths of them. Items of under a window are found whole, by the hash of
+all their tokens.
 
 The corpus has far more windows than hits. Two small bit tables of the benchmark, of fixed size whatever its length,
 tell most windows apart before they become rows; the join decides. The benchmark's side of the join is broadcast
@@ -25,14 +26,18 @@ AGREEING = 11  # at least 0.8 of the window
 BITS = 18  # a bit table has 2**18 bits
 BROADCAST_SEEDS = 100_000  # rows of the benchmark's side, of some 200 bytes each
 
+# Letters of scripts that are written without spaces are tokens of their own.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\u30FC\uFF70]"
+
 SPAN = max(m[-1] for m in MASKS) + 1
 BEFORE = WINDOW - min(m[-1] + 1 for m in MASKS)  # tokens before a seed that a window around it may hold
 
 
 def tokens(text: Column) -> Column:
-    """Runs of letters and digits, in lower case; a null text has none."""
+    """Runs of letters and digits, in lower case, single letters in scripts without spaces; a null text has none."""
+    apart = F.when(text.rlike(UNSPACED), F.regexp_replace(text, f"({UNSPACED})", " $1 ")).otherwise(text)
     return F.coalesce(
-        F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), ""), F.array().cast("array<string>")
+        F.array_remove(F.split(F.lower(apart), r"[^\p{L}\p{N}]+"), ""), F.array().cast("array<string>")
     )
 
 
@@ -87,6 +92,36 @@ def positions(w: Column) -> Column:
     return F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
 
 
+def short_hits(made: DataFrame, short: DataFrame, side: DataFrame) -> DataFrame:
+    """(id, k1, k2, item): where a document of tokens `w` holds all tokens of a short item (n, h, item, b) in their order."""
+    w = F.col("w")
+
+    def first(w, p):
+        return F.xxhash64(F.get(w, p))
+
+    start = F.when(F.col("n") == 1, first(F.col("b"), F.lit(0))).otherwise(opening(F.col("b"), F.lit(0)))
+    told = made.select(
+        "id", "k1", "k2", "w", bit_table(short.select(start.alias("h"))).alias("early"),
+        bit_table(short.select("h")).alias("table"), short.agg(F.collect_set("n")).scalar().alias("lengths"))
+    every = F.when(F.size(w) > 0, F.sequence(F.lit(0), F.greatest(F.size(w) - 1, F.lit(0)))).otherwise(
+        F.array().cast("array<int>"))
+    single = F.array_contains("lengths", 1)
+    spots = F.filter(every, lambda p: in_table(F.col("early"), opening(w, p)) | (
+        single & in_table(F.col("early"), first(w, p))))
+
+    def windows(p):
+        fitting = F.filter("lengths", lambda n: p + n <= F.size(w))
+        made = F.transform(fitting, lambda n: F.struct(
+            n.alias("n"), F.xxhash64(n, F.slice(w, p + 1, n)).alias("h"), p.alias("p")))
+        return F.filter(made, lambda s: in_table(F.col("table"), s["h"]))
+
+    found = told.withColumn("spots", spots).withColumn("found", F.flatten(F.transform("spots", windows)))
+    hits = found.select("id", "k1", "k2", F.explode(F.transform("found", lambda s: F.struct(
+        s["n"].alias("n"), s["h"].alias("h"), F.slice(w, s["p"] + 1, s["n"]).alias("a")))).alias("s"))
+    met = hits.select("id", "k1", "k2", "s.n", "s.h", "s.a").join(side, ["n", "h"])
+    return met.where(F.col("a") == F.col("b")).select("id", "k1", "k2", "item")
+
+
 def agreeing() -> tuple[Column, Column]:
     """Which compared tokens are the same, as column `same`, and whether a window around the hit agrees: at (mask, a, b), `a` the document's tokens and `b` the item's."""
     a, b = F.col("a"), F.col("b")
@@ -105,6 +140,11 @@ def agreeing() -> tuple[Column, Column]:
     return same, (back + ahead >= WINDOW) & counted
 
 
+def beside(counted: DataFrame) -> DataFrame:
+    """The benchmark's side of a join, broadcast where its rows are few."""
+    return F.broadcast(counted) if counted.count() <= BROADCAST_SEEDS else counted
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text",
     item_col: str = "item_id", item_text: str = "text",
@@ -112,14 +152,16 @@ def contaminated(
     """The documents that overlap with the benchmark: `id_col`, `n_items`, `item_ids` (in order), `n_hits`, `k1`, `k2`.
 
     An overlap is a window of 13 aligned tokens, runs of letters and digits in lower case, of which 11 agree and which
-    holds a seed: a masked window of the benchmark found in the document. Null and empty texts, and texts and items of
-    under 13 tokens, overlap with nothing. A null item id contaminates but is not listed. Rows alike in all columns are
+    holds a seed: a masked window of the benchmark found in the document. An item of under 13 tokens overlaps where all of
+    its tokens stand in a row, be it one. Null and empty texts and items overlap with nothing. A null item id contaminates but is not listed. Rows alike in all columns are
     one document; rows that share an id are told apart by `k1`, `k2`, the keys of the row. Repeated items change nothing
     but `n_hits`. Empty tables give an empty result.
     """
     items = benchmark.select(F.col(item_col).alias("item"), tokens(F.col(item_text)).alias("t"))
-    items = items.select("item", F.transform("t", lambda x: F.xxhash64(x)).alias("w")).where(F.size("w") >= WINDOW)
-    w = F.col("w")
+    every = items.select("item", F.transform("t", lambda x: F.xxhash64(x)).alias("w"))
+    items, w = every.where(F.size("w") >= WINDOW), F.col("w")
+    short = materialize(every.where((F.size(w) > 0) & (F.size(w) < WINDOW)).select(
+        F.size(w).alias("n"), F.xxhash64(F.size(w), w).alias("h"), "item", w.alias("b")), "short")
     item_seeds = materialize(
         items.select("item", "w", F.explode(seeds(w, positions(w))).alias("s"))
         .select("s.mask", "s.h", "item", around(w, F.col("s.p")).alias("b")), "seeds"
@@ -129,10 +171,8 @@ def contaminated(
 
     high, low = keys(docs)
     made = docs.select(F.col(id_col).alias("id"), high.alias("k1"), low.alias("k2"), tokens(F.col(text)).alias("t"))
-    made = made.select(
-        "id", "k1", "k2", F.transform("t", lambda x: F.xxhash64(x)).alias("w"),
-        early.alias("early"), table.alias("table"),
-    )
+    hashed = made.select("id", "k1", "k2", F.transform("t", lambda x: F.xxhash64(x)).alias("w"))
+    made = hashed.withColumns({"early": early, "table": table})
     spots = F.filter(positions(w), lambda p: in_table(F.col("early"), opening(w, p)))
     found = made.select("id", "k1", "k2", "w", "table", spots.alias("spots")).select(
         "id", "k1", "k2", "w", seeds(w, F.col("spots"), lambda h: in_table(F.col("table"), h)).alias("found")
@@ -143,9 +183,11 @@ def contaminated(
         F.explode(F.transform("found", lambda s: F.struct(
             s["mask"].alias("mask"), s["h"].alias("h"), around(w, s["p"]).alias("a")))).alias("s"),
     ).select("id", "k1", "k2", "s.mask", "s.h", "s.a")
-    side = F.broadcast(item_seeds) if item_seeds.count() <= BROADCAST_SEEDS else item_seeds
+    side = beside(item_seeds)
     same, agrees = agreeing()
-    met = hits.join(side, ["mask", "h"]).withColumn("same", same).where(agrees)
+    met = hits.join(side, ["mask", "h"]).withColumn("same", same).where(agrees).select("id", "k1", "k2", "item")
+    if not short.isEmpty():
+        met = met.unionByName(short_hits(hashed, short, beside(short)))
     return (
         met.groupBy("k1", "k2").agg(
             F.min("id").alias(id_col), F.sort_array(F.collect_set("item")).alias("item_ids"),

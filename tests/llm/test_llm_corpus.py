@@ -235,6 +235,26 @@ def test_decontamination_odd_rows(spark, odd, none):
     assert decontaminate.contaminated(docs, items.limit(0)).collect() == []
 
 
+def test_short_items_are_found_whole(spark, monkeypatch):
+    cjk = "中国的首都是哪一座城市请回答问题"
+    items = [(1, "Which river runs through Rome?"), (2, "Madrid"), (3, " ".join(f"t{i}" for i in range(12))), (4, cjk),
+             (5, "首都は東京"), (6, "two words"), (7, " ... "), (1, "Which river runs through Rome?"), (8, "two words more")]
+    texts = [
+        "Q: which RIVER runs through Rome", "which river runs through old Rome", "madrid", "In Madrid, two words", "words two",
+        "x " + items[2][1] + " y", " ".join(f"t{i}" for i in range(11)), "问:" + cjk.replace("座", "个") + "?", "首都は、東京", "首都が東京",
+        "two words more", None, "", "two", "t0 " * 2000 + "madrid two",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    expected = {0: [1], 2: [2], 3: [2, 6], 5: [3], 7: [4], 8: [5], 10: [6, 8], 14: [2]}
+    for rows in (100_000, 0):
+        monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", rows)
+        found = decontaminate.contaminated(docs, benchmark)
+        assert {r["doc_id"]: r["item_ids"] for r in found.collect()} == expected
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "CartesianProduct" not in plan
+
+
 def test_large_benchmarks_are_not_broadcast(spark, monkeypatch, sf_dir):
     monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", 0)
     docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
