@@ -27,7 +27,11 @@ IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 ADDRESS = re.compile(r"[A-Za-z0-9._~%+-]+(?:@[A-Za-z0-9.-]+)?(?::[0-9]+)?(?:[/?#][^\s<>\"'{}|\\^`]*)?")
-VALUE = re.compile(r"[\"']?[\x20\t]*[:=#][\x20\t]*[\"']?([A-Za-z0-9](?:[A-Za-z0-9_-]{5,127}))(?![A-Za-z0-9_-])")
+WORDS = r"(?:[\x20\t_-]*(?:number|num|no|nr|id|key|code|value|is|was)(?![A-Za-z0-9])\.?)"
+GAP = rf"[\"']?(?:{WORDS}*[\x20\t]*[\"']?[\x20\t]*[:=#]{WORDS}*[\x20\t]*[:=#]?|{WORDS}+)[\x20\t]*[\"']?"
+VALUE = re.compile(GAP + r"([A-Za-z0-9][A-Za-z0-9_-]{5,})", re.IGNORECASE | re.ASCII)
+IBAN = re.compile(
+    rf"(?:(?i:{GAP})|[\x20\t]+)([A-Z]{{2}}[0-9]{{2}}(?:[\x20-]?[A-Z0-9]){{11,30}}|[A-Za-z]{{2}}[0-9]{{2}}(?:[\x20-]?[A-Za-z0-9]){{11,30}})", re.ASCII)
 
 AT, PLUS, DIGIT, SCHEME, CUE = range(5)
 
@@ -77,6 +81,29 @@ def valid_phone(match: str) -> bool:
     return 8 <= len(digits_of(match)) <= 15
 
 
+def valid_iban(match: str) -> bool:
+    number = re.sub(r"[\x20-]", "", match).upper()
+    return int("".join(str(int(c, 36)) for c in number[4:] + number[:4])) % 97 == 1
+
+
+def iban(text: str, at: int) -> tuple[int, int] | None:
+    """The longest valid number of an account behind a cue, its groups apart or not."""
+    if found := IBAN.match(text, at):
+        start, end = found.span(1)
+        for stop in range(end, start + 14, -1):
+            if text[stop - 1].isalnum() and not text[stop:stop + 1].isalnum() and valid_iban(text[start:stop]):
+                return start, stop
+    return None
+
+
+def account(text: str, at: int, is_iban: bool) -> tuple[int, int] | None:
+    """The value behind a cue; words may stand between them."""
+    if is_iban and (found := iban(text, at)):
+        return found
+    value = VALUE.match(text, at)
+    return value.span(1) if value and any("0" <= c <= "9" for c in value[1]) else None
+
+
 def grown(pattern: re.Pattern, text: str, at: int, floor: int, valid, out: list) -> int:
     """Add the valid match that begins at an anchor; where the next one may begin."""
     if at < floor or not (found := pattern.match(text, at)):
@@ -119,9 +146,9 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
                     out["url"].append((at, stop))
                     floors["url"] = stop
         elif at >= floors["account"] and (at == 0 or not text[at - 1].isalnum()):
-            if (value := VALUE.match(text, end + 1)) and any("0" <= c <= "9" for c in value[1]):
-                out["account"].append(value.span(1))
-                floors["account"] = value.end()
+            if value := account(text, end + 1, text[at:end + 1].lower() == "iban"):
+                out["account"].append(value)
+                floors["account"] = value[1]
     return [(kind, a, b) for kind in KINDS for a, b in out[kind]]
 
 

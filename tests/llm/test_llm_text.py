@@ -129,6 +129,24 @@ def test_added_spans():
     assert found == [("url", "HTTPS://user.example.org/a?b=1"), ("account", "ab12cd34ef"), ("account", "none1234")]
 
 
+def test_accounts_of_all_lengths_and_wordings():
+    def accounts(text):
+        return [text[a:b] for k, a, b in pii.spans(text) if k == "account"]
+
+    for n in (6, 128, 129, 5000):
+        assert accounts(f"api_key={'a1' * n} next") == ["a1" * n]
+    found = {
+        "account number: 12345678": "12345678", "Account No. 12345678, ok": "12345678", "my password is hunter22!": "hunter22",
+        "account_id = '12345678'": "12345678", '"secret key": "ab-12-cd"': "ab-12-cd", "passport: no. X1234567": "X1234567",
+        "IBAN GB29 NWBK 6016 1331 9268 19 and more": "GB29 NWBK 6016 1331 9268 19",
+        "iban: GB29 NWBK 6016 1331 9268 19": "GB29 NWBK 6016 1331 9268 19", "iban is de89370400440532013000.": "de89370400440532013000",
+        "IBAN: ES91 2100 0418 4502 0005 1332 AND": "ES91 2100 0418 4502 0005 1332", "iban=GB30NWBK60161331926819": "GB30NWBK60161331926819",
+    }
+    assert {t: accounts(t) for t in found} == {t: [v] for t, v in found.items()}
+    for text in ("IBAN GB30 NWBK 6016 1331 9268 19", "token ring12345", "account number", "password is unknown", "token: a1"):
+        assert accounts(text) == []
+
+
 def test_pii_odd_rows(odd, none, odd_rows):
     rows = pii.find_pii(odd).collect()
     assert len(rows) == len(odd_rows)
