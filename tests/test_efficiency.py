@@ -1,7 +1,7 @@
 """Job efficiency on hand-made records."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from fleetstats.operators import efficiency as eff

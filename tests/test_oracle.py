@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import plan_text
+from helpers import plan_text
 from oracle import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries

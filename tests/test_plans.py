@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import plan_text
+from helpers import plan_text
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries

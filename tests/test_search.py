@@ -1,7 +1,7 @@
 """Search criteria, pages, drill-down, links."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from fleetstats.functions.sizes import parse_size

@@ -3,7 +3,7 @@
 import re
 from pathlib import Path
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from fleetstats.functions.numbers import thousands

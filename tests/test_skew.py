@@ -3,7 +3,7 @@
 import json
 from contextlib import contextmanager
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from fleetstats.operators import alerts as al

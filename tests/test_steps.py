@@ -1,7 +1,7 @@
 """Steps of work records on hand-made records."""
 
 import pytest
-from conftest import plan_text, rows
+from helpers import plan_text, rows
 
 from fleetstats.operators import steps
 from fleetstats.schemas import FLAT_STEP, WORK_FIELDS
