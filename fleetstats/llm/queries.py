@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetstats.llm import bpe, common, decontaminate, html_text, pii, quality, simhash
+from fleetstats.llm import bpe, common, decontaminate, html_text, pieces, pii, quality, simhash
 from fleetstats.llm import fingerprints as sketches
 from fleetstats.llm import line_dedup as lines
 from fleetstats.llm import substring_dedup as substrings
@@ -185,3 +185,16 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.fingerprints(common.documents(spark, sf_dir).select("doc_id", "text"))
+
+
+@query()
+def op11_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir).select("doc_id", "text")
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    coded = pieces.encode(docs, path, out=None, packed="packed", decoded="decoded")
+    return coded.select(
+        "doc_id",
+        (F.octet_length("packed") / 4).cast("long").alias("n_tokens"),
+        F.sha2("packed", 256).alias("ids_sha256"),
+        digest(F.col("decoded")).alias("decoded_sha256"),
+    )
