@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fleetstats.llm import bpe, common, decontaminate, html_text, pieces, pii, quality, simhash
 from fleetstats.llm import fingerprints as sketches
 from fleetstats.llm import line_dedup as lines
+from fleetstats.llm import periodic
 from fleetstats.llm import substring_dedup as substrings
 from fleetstats.llm import token_counts as counts
 
@@ -198,3 +199,38 @@ def op11_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("packed", 256).alias("ids_sha256"),
         digest(F.col("decoded")).alias("decoded_sha256"),
     )
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The documents; of those with a crc32 of the id divisible by ten, the words repeat from some word on.
+
+    With g a tenth of the checksum, n words and a = g % n, the words from a on are those of the first
+    1 + (n - a) / (3 + g % 8), over and over.
+    """
+    blanks = " \t\n\x0b\f\r"
+    bare = F.trim(F.coalesce("text", F.lit("")), F.lit(blanks))
+    checked = docs.withColumn("_h", F.crc32(F.col("doc_id").cast("string")))
+    chosen = (F.col("_h") % 10 == 0) & (bare != "")
+    split = checked.withColumn("_w", F.when(chosen, F.split(bare, r"[\x20\x09-\x0D]+")))
+    w, g, n = F.col("_w"), F.floor(F.col("_h") / 10), F.size("_w")
+    sized = split.withColumn("_a", (g % n).cast("int"))
+    a = F.col("_a")
+    sized = sized.withColumn("_p", (1 + F.floor((n - a) / (3 + g % 8))).cast("int"))
+    again = F.array_repeat(F.slice(w, a + 1, F.col("_p")), F.ceil((n - a) / F.col("_p")).cast("int"))
+    words = F.concat(F.slice(w, F.lit(1), a), F.slice(F.flatten(again), F.lit(1), n - a))
+    return sized.withColumn("text", F.when(w.isNull(), F.col("text")).otherwise(F.array_join(words, " "))).select("doc_id", "text")
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapse_runs(with_planted_runs(common.documents(spark, sf_dir).select("doc_id", "text")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    found = found.withColumn("longest", longest)
+    length, start, period = F.col("longest")["length"], -F.col("longest")["col2"], -F.col("longest")["col3"]
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(line, "\n"), F.lit("\n"))).otherwise("")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"),
+        period.alias("period"), F.floor(1000 * length / period).alias("exponent_milli"),
+        digest(listed).alias("runs_sha256"), digest(F.col("collapsed")).alias("collapsed_sha256"),
+    )
