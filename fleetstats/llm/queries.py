@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from fleetstats.llm import bpe, common, decontaminate, html_text, pieces, pii, quality, simhash
 from fleetstats.llm import fingerprints as sketches
 from fleetstats.llm import line_dedup as lines
-from fleetstats.llm import periodic
+from fleetstats.llm import periodic, prefix_trie
 from fleetstats.llm import substring_dedup as substrings
 from fleetstats.llm import token_counts as counts
+from fleetstats.session import prepare
+from fleetstats.storage import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -234,3 +236,79 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         period.alias("period"), F.floor(1000 * length / period).alias("exponent_milli"),
         digest(listed).alias("runs_sha256"), digest(F.col("collapsed")).alias("collapsed_sha256"),
     )
+
+
+def with_shared_heads(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns with positions, and lengths, of conversations of which each starts with turns of another.
+
+    With h the checksum of its id modulo 4, a conversation takes the first h turns of the one whose id is the
+    next multiple of 20 towards zero, in place of its own first h.
+    """
+    sizes = prefix_trie.lengths(rows)
+    convs = sizes.withColumns({
+        "h": F.crc32(F.col("conv_id").cast("string")) % 4, "head_id": F.col("conv_id") - F.col("conv_id") % 20,
+    })
+    heads = sizes.select(F.col("conv_id").alias("head_id"), F.col("turns").alias("head_turns"))
+    convs = convs.join(heads, "head_id", "left").withColumn(
+        "taken", F.least("h", F.coalesce("head_turns", F.lit(0)))
+    )
+    convs = materialize(convs.withColumn("own", F.greatest(F.col("turns") - F.col("h"), F.lit(0))), "conversations")
+    own = rows.join(convs, "conv_id").where(F.col("position") > F.col("h"))
+    own = own.withColumn("position", F.col("position") - F.col("h") + F.col("taken"))
+    first = rows.where((F.col("conv_id") % 20 == 0) & (F.col("position") <= 3)).withColumnRenamed("conv_id", "head_id")
+    borrowed = first.join(convs.where("taken > 0"), "head_id").where(F.col("position") <= F.col("taken"))
+    names = ["conv_id", "position", "k1", "k2", "words"]
+    return own.select(names).unionByName(borrowed.select(names)), convs.select("conv_id", (F.col("taken") + F.col("own")).alias("turns"))
+
+
+@query("""
+WITH ordered AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p,
+    {'r': coalesce(role, ''), 't': coalesce(text, '')} AS said
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, xor(list_reduce(
+      list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, (x & 1) * 3988292384))
+    ), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM ordered)
+), rebuilt AS (
+  SELECT c.conv_id, 0 AS part, p, said FROM convs c JOIN ordered o ON o.conv_id = c.conv_id - c.conv_id % 20 AND p <= h
+  UNION ALL
+  SELECT conv_id, 1 AS part, p, said FROM convs JOIN ordered USING (conv_id) WHERE p > h
+), seqs AS (
+  SELECT conv_id, coalesce(s, []) AS s
+  FROM convs LEFT JOIN (SELECT conv_id, list(said ORDER BY part, p) AS s FROM rebuilt GROUP BY conv_id) USING (conv_id)
+), paths AS (
+  SELECT conv_id, d, list_slice(s, 1, d) AS path, d = len(s) AS ends FROM (SELECT conv_id, s, unnest(range(len(s) + 1)) AS d FROM seqs)
+), nodes AS (
+  SELECT d, path, min(conv_id) AS node, count(*) AS n,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS listed,
+    CASE WHEN d = 0 THEN 0
+      ELSE len(list_filter(regexp_split_to_array(path[d]['t'], '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) END AS words
+  FROM paths GROUP BY d, path
+), placed AS (
+  SELECT conv_id, d, node FROM paths JOIN nodes USING (d, path)
+), tree AS (
+  SELECT n.*, a.node AS up FROM nodes n LEFT JOIN placed a ON a.conv_id = n.node AND a.d = n.d - 1
+), fanned AS (
+  SELECT t.*, coalesce(c.k, 0) AS k
+  FROM tree t LEFT JOIN (SELECT up, d - 1 AS d, count(*) AS k FROM tree WHERE d > 0 GROUP BY ALL) c ON c.up = t.node AND c.d = t.d
+), sums AS (
+  SELECT a.d, a.node, sum(CASE WHEN f.k = 0 THEN 1 ELSE 0 END) AS leaves, sum((f.n - 1) * f.words) AS saved
+  FROM fanned f JOIN placed a ON a.conv_id = f.node AND a.d <= f.d GROUP BY a.d, a.node
+)
+SELECT node AS conv_id, CAST(d AS BIGINT) AS depth, up AS parent_conv_id, n AS n_convs, CAST(k AS BIGINT) AS n_children,
+  CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(listed) AS ends_sha256
+FROM fanned JOIN sums USING (d, node)
+""")
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    turns = common.documents(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = materialize(prefix_trie.positions(prefix_trie.turn_keys(turns)), "positions")
+    found = prefix_trie.trie(*with_shared_heads(rows))
+    digests = prefix_trie.ends_digests(found.ends)
+    return found.nodes.join(digests, prefix_trie.PATH, "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"),
+    )
