@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetstats.functions.text import task_prefix
-from fleetstats.operators import search
+from fleetstats.operators import ranges, search, text_index
 from fleetstats.operators.search import Criterion, compile_criteria
 from fleetstats.plans.efficiency import (
     SITE_TABLE_SQL, WORKFLOW_TABLE_SQL, _task_sql, _totals_sql, site_table, task_table, workflow_table,
@@ -134,6 +137,35 @@ def search_page_after(spark, sf_dir):
     return search.search_page_after(_stored_workflows(spark, sf_dir), found, [("Cpus", "desc")], _KEYS, last, 25)
 
 
+@query("""WITH ranked AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus,
+  row_number() OVER (ORDER BY o_orderstatus DESC, o_custkey, o_orderkey) - 1 AS position, count(*) OVER () AS n FROM orders)
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, position FROM ranked WHERE position >= n // 2 AND position < n // 2 + 40""")
+def search_page_at(spark, sf_dir):
+    """A page from the middle of a result, of which three values of the first sort column make up all rows."""
+    path = new_path(spark, "ranked")
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    ranges.write_ranked(orders, path, [("o_orderstatus", "desc"), ("o_custkey", "asc")], ["o_orderkey"])
+    return ranges.page_at(spark, path, ranges.ranked_total(spark, path) // 2, 40)
+
+
+# With rare trigrams, with alternatives, with a trigram that no text has, and without any.
+_PATTERNS = ["licen[sc]e", "all rights (reserved|granted)|Copyright", "^th[a-z]+ en.*MIT", "qzx+", "[0-9]{3}-[0-9]{4}"]
+
+
+@query(f"""SELECT pattern, doc_id, lang FROM documents, (SELECT unnest({_PATTERNS!r}) AS pattern)
+WHERE regexp_matches(text, '(?im)' || pattern) AND lang <> 'fr'""")
+def search_text_index(spark, sf_dir):
+    """Patterns searched by the trigrams of a stored collection."""
+    path = new_path(spark, "indexed")
+    docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    text_index.write_text_index(docs, path, ["doc_id"], ["text"])
+    found = [
+        text_index.search_text(spark, path, {"text": p}, F.col("lang") != "fr").select(F.lit(p).alias("pattern"), "doc_id", "lang")
+        for p in _PATTERNS
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query("""SELECT p_partkey, concat_ws('+', substr(md5('{"q":"' || p_name || '"}'), 1, 8), 'main',
   'and+' || replace(replace(p_name, '/', '_'), ' ', '') || '+Work_flow.contains:ab,c++') AS id FROM part""")
 def saved_query_id(spark, sf_dir):
