@@ -132,17 +132,29 @@ def record_fingerprint(spark, sf_dir):
 # ---- stores ---------------------------------------------------------------------------------
 
 
-@query("""WITH e AS (SELECT CAST(ts AS DATE) AS day, event_id, event_type, user_id FROM events),
+_STORES_SQL = """WITH e AS (SELECT CAST(ts AS DATE) AS day, event_id, event_type, user_id FROM events),
 a AS (SELECT * FROM e WHERE user_id <> 7), b AS (SELECT * FROM e WHERE NOT (event_type = 'click' AND user_id < 20)),
 m AS (SELECT coalesce(a.day, b.day) AS day, a.event_id IS NOT NULL AS in_a, b.event_id IS NOT NULL AS in_b
   FROM a FULL JOIN b ON a.event_id = b.event_id AND a.day = b.day)
 SELECT CAST(day AS VARCHAR) AS day, count(*) FILTER (NOT in_b) AS only_a, count(*) FILTER (NOT in_a) AS only_b, count(*) FILTER (in_a) AS ids_a,
-  count(*) FILTER (in_b) AS ids_b, count(*) FILTER (NOT in_a OR NOT in_b) AS missing FROM m GROUP BY day HAVING missing > 0""")
-def id_diff_by_day(spark, sf_dir):
+  count(*) FILTER (in_b) AS ids_b, count(*) FILTER (NOT in_a OR NOT in_b) AS missing FROM m GROUP BY day HAVING missing > 0"""
+
+
+def _stores(spark, sf_dir):
+    """Two stores of events that lack some each."""
     events = load(spark, sf_dir, "events").withColumn("day", F.col("ts").cast("date").cast("string"))
-    a = events.where("user_id <> 7")
-    b = events.where("NOT (event_type = 'click' AND user_id < 20)")
-    return rec.id_diff(a, b, "event_id", "day")
+    return events.where("user_id <> 7"), events.where("NOT (event_type = 'click' AND user_id < 20)")
+
+
+@query(_STORES_SQL)
+def id_diff_by_day(spark, sf_dir):
+    return rec.id_diff(*_stores(spark, sf_dir), "event_id", "day")
+
+
+@query(_STORES_SQL)
+def id_diff_by_digest(spark, sf_dir):
+    """Digests of days and buckets first, then the ids of those that differ."""
+    return rec.id_diff_by_digest(*_stores(spark, sf_dir), "event_id", "day")
 
 
 @query("""WITH l AS (SELECT CASE l_linestatus WHEN 'F' THEN 'Completed' ELSE 'Running' END AS status FROM lineitem),
