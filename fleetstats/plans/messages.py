@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fleetstats import sinks
+from fleetstats import delivery, sinks
 from fleetstats.operators import messages as msg
 from fleetstats.plans.registry import load, query
 from fleetstats.sources.files import lookup_table
+from fleetstats.storage import new_path
 
 ATTRIBUTES = ["campaign", "exitCode", "site", "system", "task"]
 
@@ -169,6 +170,21 @@ def notification_envelope(spark, sf_dir):
     )
 
 
+@query(f"""{MESSAGES_SQL} SELECT event_id, CASE WHEN campaign = 'campaign-signup' THEN 'no sign-ups' END AS reason FROM docs""")
+def deliver_chunks(spark, sf_dir):
+    """Messages sent in chunks to a receiver that takes no sign-ups: what it keeps, and what came back."""
+    def refuse(record: str) -> str | None:
+        return "no sign-ups" if '"campaign":"campaign-signup"' in record else None
+
+    docs = documents(spark, sf_dir)
+    notes = sinks.envelope(docs, "grid", "0.1", ["campaign", "event_id"], F.unix_millis("ts"))
+    path = new_path(spark, "received")
+    outcome = delivery.deliver_chunks(notes, delivery.FolderReceiver(path, refuse), size=500)
+    kept = spark.read.schema("value string").text(path).select("value", F.lit(None).cast("string").alias("reason"))
+    every = kept.unionByName(outcome.rejects.select("value", "reason"))
+    return every.select(F.get_json_object("value", "$.body.event_id").cast("long").alias("event_id"), "reason")
+
+
 @query("""SELECT s_suppkey, md5(concat('{"s_name": "', s_name, '", "s_nationkey": ', s_nationkey, '}')) AS id FROM supplier""")
 def record_ids(spark, sf_dir):
     """Ids for records that bring none."""
