@@ -10,7 +10,7 @@ from fleetstats.plans.logs import access_line
 from fleetstats.plans.messages import ATTRIBUTES, MESSAGES_SQL, to_documents
 from fleetstats.plans.registry import load, query
 from fleetstats.storage import new_path
-from fleetstats.streaming import runs
+from fleetstats.streaming import dashboard, runs
 
 # The watermark after the given latest time; it has millisecond precision.
 _MARK = "(date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE)"
@@ -50,6 +50,18 @@ def stream_site_codes(spark, sf_dir):
     return _drain_counts(msg.interval_counts(docs, "ts", ["site", "exitCode"], every="1 hour"), "site-codes")
 
 
+@query(f"""{MESSAGES_SQL} SELECT CASE WHEN s = 1 AND c = 1 THEN 'total' WHEN s = 1 THEN 'code' WHEN c = 1 THEN 'site' ELSE 'site_code' END AS view,
+  site, code, n FROM (SELECT site, "exitCode" AS code, count(*) AS n, grouping(site) AS s, grouping("exitCode") AS c
+  FROM docs GROUP BY GROUPING SETS ((), ("exitCode"), (site), (site, "exitCode")))""")
+def stream_dashboard(spark, sf_dir):
+    """The four views of a dashboard whose counts start anew with each interval of arrival, added up."""
+    docs = to_documents(_event_stream(spark, sf_dir)).select("event_id", "site", F.col("exitCode").alias("code"))
+    out, checkpoint = new_path(spark, "dashboard"), new_path(spark, "dashboard-checkpoint")
+    counts = dashboard.interval_state(docs, every_s=2, buckets=8)
+    seen = dashboard.drain_dashboard(counts, out, checkpoint, 2)
+    return seen.groupBy("view", "site", "code").agg(F.sum("n").alias("n"))
+
+
 @query(f"""{MESSAGES_SQL}, first AS (SELECT {_MARK} AS mark FROM docs WHERE campaign <> 'campaign-signup'),
 rows AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS interval_start, campaign FROM docs),
 kept AS (SELECT * FROM rows WHERE campaign <> 'campaign-signup'
