@@ -11,11 +11,13 @@ from fleetstats.functions.text import one_line, plain_dn, split_by_pattern
 # The layouts of the lines. Each group is one field, named below it.
 _WORD, _HOST, _NUM = r"(\w+)", r"([\w.:\-]+)", r"([+-]?\d+(?:\.\d+)?)"
 
-# Each field takes only what cannot begin the text behind it, so a line that does not fit is given up in linear time.
+# A record begins at a time in brackets, wherever that stands in the line. From there each field takes only what cannot
+# begin the text behind it, so that a line that does not fit is given up soon; only the rest of the authorisation, and the
+# client, run up to the brackets that end them, whatever they hold.
 ACCESS_LAYOUT = (
-    r"(?s)^[^\[]*\[(\d\d/\w+/\d{4}:\d\d:\d\d:\d\d [+-]\d{4})\] (\S*) " + _HOST
+    r"(?s)^.*?\[(\d\d/\w+/\d{4}:\d\d:\d\d:\d\d [+-]\d{4})\] (\S*) " + _HOST
     + rf' "{_WORD} (\S+) ([^"]*)" {_NUM} \[data: {_NUM} in {_NUM} out {_NUM} body {_NUM} us \]'
-    + r' \[auth: (\S*) (\S*) "([^"]*)"[^\]]*\] \[ref: "[^"]*" "([^"]*)" \](?: ' + _NUM + r")?.*$"
+    + r' \[auth: (\S*) (\S*) "([^"]*)".*\] \[ref: "[^"]*" "(.*?)" \](?: ' + _NUM + r")?.*$"
 )
 ACCESS_FIELDS = [
     "tstamp", "frontend", "clientip", "method", "request", "httpversion", "code", "bytes_sent", "bytes_received",
@@ -24,13 +26,13 @@ ACCESS_FIELDS = [
 ACCESS_NUMBERS = ["code", "bytes_sent", "bytes_received", "body_size", "time_spent_us"]
 
 DATABASE_LAYOUT = (
-    r"(?s)^[^\[]*\[([^\]]*)\] \[" + _WORD + r"\] \[<[^>]*>\] " + _HOST + rf" - - {_WORD} (\S+) {_NUM}.*$"
+    r"(?s)^.*?\[([^\[\]]*)\] \[" + _WORD + r"\] \[<[^>]*>\] " + _HOST + rf" - - {_WORD} (\S+) {_NUM}.*$"
 )
 DATABASE_FIELDS = ["tstamp", "log_level", "clientip", "method", "request", "code"]
 
 SERVICE_LAYOUT = (
-    r"(?s)^[^\[]*\[([^\]\s]+)\] (\S*) " + _HOST + rf' "{_WORD} (\S+) ([^"]*)" {_NUM} {_WORD} \[data:[^\]]*\]'
-    + rf' \[auth: {_WORD} "([^"]*)" "[^"]*" \] \[ref: "[^"]*" "([^"]*)" \].*$'
+    r"(?s)^.*\[([^\[\]\s]+)\] (\S*) " + _HOST + rf' "{_WORD} (\S+) ([^"]*)" {_NUM} {_WORD} \[data:[^\]]*\]'
+    + rf' \[auth: {_WORD} "([^"]*)" "[^"]*" \] \[ref: "[^"]*" "(.*?)" \].*$'
 )
 SERVICE_FIELDS = [
     "tstamp", "backend", "clientip", "method", "request", "httpversion", "code", "status", "auth", "dn",

@@ -16,14 +16,18 @@ _K = "json_extract_string(props, '$.k')"
 
 
 def access_line(request, garbage_type):
-    """A front-end access line per event; events of one type give a line of another kind."""
+    """A front-end access line per event; events of one type give a line of another kind.
+
+    Some lines have a bracket ahead of their time, some a bracket in the authorisation, some quotes in the client.
+    """
     k = F.get_json_object("props", "$.k")
     line = F.concat(
-        F.lit("["), F.date_format(F.col("ts").cast("timestamp"), "dd/MMM/yyyy:HH:mm:ss"), F.lit(" +0200] fe"), "user_id",
+        F.when(k.cast("int") % 3 == 0, "web1 httpd[17]: ").otherwise(""), F.lit("["), F.date_format(F.col("ts").cast("timestamp"), "dd/MMM/yyyy:HH:mm:ss"), F.lit(" +0200] fe"), "user_id",
         F.lit(".example.org 192.0.2."), F.col("user_id") % 250, F.lit(' "GET '), request, F.lit(' HTTP/1.1" '), k,
         F.lit(" [data: "), F.col("event_id"), F.lit(" in 20480 out 1024 body "), F.col("user_id") * 7,
-        F.lit(' us ] [auth: TLSv1.2 ECDHE-RSA "/DC=ch/CN=u'), "user_id", F.lit('/CN=123456/CN=Jane Doe" "-" ] [ref: "-" "curl/'),
-        k, F.lit('" ]'), F.when(F.col("user_id") > 50, F.concat(F.lit(" "), F.col("user_id") + 8000)).otherwise(""),
+        F.lit(' us ] [auth: TLSv1.2 ECDHE-RSA "/DC=ch/CN=u'), "user_id", F.lit('/CN=123456/CN=Jane Doe" "-'),
+        F.when(F.col("user_id") % 4 == 0, "[x] [y").otherwise(""), F.lit('" ] [ref: "-" "curl/'), k,
+        F.when(k.cast("int") % 5 == 0, ' "beta" x').otherwise(""), F.lit('" ]'), F.when(F.col("user_id") > 50, F.concat(F.lit(" "), F.col("user_id") + 8000)).otherwise(""),
     )
     return F.when(F.col("event_type") == garbage_type, F.concat(F.lit("started "), k)).otherwise(line)
 
@@ -49,7 +53,7 @@ SELECT event_id, strftime(ts, '%d/%b/%Y:%H:%M:%S +0200') AS tstamp, 'fe' || user
     WHEN 'view' THEN '/reqmgr2/data/' || k || '/' ELSE '/couchdb/one/' || k || '/list/?x=' || k END AS request,
   'HTTP/1.1' AS httpversion, CAST(k AS BIGINT) AS code, event_id AS bytes_sent, CAST(20480 AS BIGINT) AS bytes_received, CAST(1024 AS BIGINT) AS body_size,
   user_id * 7 AS time_spent_us, 'TLSv1.2' AS tls, 'ECDHE-RSA' AS crypto, '/DC=ch/CN=u' || user_id || '/CN=Jane Doe' AS dn,
-  'curl/' || k AS client, CASE WHEN user_id > 50 THEN CAST(user_id + 8000 AS VARCHAR) END AS fe_port,
+  'curl/' || k || CASE WHEN CAST(k AS INT) % 5 = 0 THEN ' "beta" x' ELSE '' END AS client, CASE WHEN user_id > 50 THEN CAST(user_id + 8000 AS VARCHAR) END AS fe_port,
   CASE event_type WHEN 'click' THEN 'dbs' WHEN 'view' THEN 'reqmgr2' ELSE 'couchdb' END AS system,
   CASE event_type WHEN 'click' THEN '/prod/global/DBSReader/datasets' WHEN 'view' THEN '/data/' || k || '/'
     ELSE '/one/' || k || '/list/' END AS uri_path,
@@ -57,9 +61,10 @@ SELECT event_id, strftime(ts, '%d/%b/%Y:%H:%M:%S +0200') AS tstamp, 'fe' || user
   CASE event_type WHEN 'click' THEN 'datasets' WHEN 'view' THEN k ELSE 'list' END AS api,
   CAST(floor(epoch(ts)) AS BIGINT) - 7200 AS rec_timestamp, (CAST(floor(epoch(ts)) AS BIGINT) - 7200) * 1000 AS timestamp,
   make_timestamp((CAST(floor(epoch(ts)) AS BIGINT) - 7200) * 1000000) AS rec_date,
-  concat('[', tstamp, '] ', frontend, ' ', clientip, ' GET ', request, ' HTTP/1.1 ', k, ' [data: ', event_id,
+  concat(CASE WHEN CAST(k AS INT) % 3 = 0 THEN 'web1 httpd[17]: ' ELSE '' END, '[', tstamp, '] ', frontend, ' ', clientip, ' GET ', request, ' HTTP/1.1 ', k, ' [data: ', event_id,
     ' in 20480 out 1024 body ', user_id * 7, ' us ] [auth: TLSv1.2 ECDHE-RSA /DC=ch/CN=u', user_id,
-    '/CN=123456/CN=Jane Doe - ] [ref: - curl/', k, ' ]', coalesce(' ' || fe_port, '')) AS message,
+    '/CN=123456/CN=Jane Doe -', CASE WHEN user_id % 4 = 0 THEN '[x] [y' ELSE '' END, ' ] [ref: - curl/', k,
+    CASE WHEN CAST(k AS INT) % 5 = 0 THEN ' beta x' ELSE '' END, ' ]', coalesce(' ' || fe_port, '')) AS message,
   'frontend' AS type FROM e"""
 
 
@@ -94,13 +99,13 @@ def _backend_lines(spark, sf_dir):
     k, when = F.get_json_object("props", "$.k"), F.col("ts").cast("timestamp")
     kind = F.col("event_type")
     service = F.concat(
-        F.lit("INFO [" ), F.date_format(when, "dd/MMM/yyyy:HH:mm:ss"), F.lit("] be"), "user_id", F.lit(' 10.0.0.1 "PUT '),
+        F.when(k.cast("int") % 3 == 0, "be[9]: ").otherwise(""), F.lit("INFO ["), F.date_format(when, "dd/MMM/yyyy:HH:mm:ss"), F.lit("] be"), "user_id", F.lit(' 10.0.0.1 "PUT '),
         F.when(kind == "click", F.concat(F.lit("/dbs/int/global/DBSWriter/files?x="), k))
         .when(kind == "view", F.concat(F.lit("/reqmgr2/data/"), k)).otherwise("/dbs/nothing"),
-        F.lit(' HTTP/1.1" '), k, F.lit(' OK [data: 1 in 2 out] [auth: OK "/CN=a/CN=77/CN=b" "" ] [ref: "" "py" ]'),
+        F.lit(' HTTP/1.1" '), k, F.lit(' OK [data: 1 in 2 out] [auth: OK "/CN=a/CN=77/CN=b" "" ] [ref: "" "py "3"" ]'),
     )
     database = F.concat(
-        F.lit("["), F.date_format(when, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT] [info] [<0.1.2>] 10.1.1.1 - - GET /db/one/"),
+        F.when(k.cast("int") % 3 == 0, "couch[4]: ").otherwise(""), F.lit("["), F.date_format(when, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT] [info] [<0.1.2>] 10.1.1.1 - - GET /db/one/"),
         k, F.lit("/docs "), k,
     )
     tag = F.when(kind.isin("click", "purchase"), "dbs").when(kind == "view", "reqmgr2").when(kind == "error", "couchdb")

@@ -40,6 +40,19 @@ def test_no_port(spark):
     assert rows(good, "fe_port", "code") == [(None, 200)]
 
 
+def test_the_time_may_stand_anywhere(spark):
+    line = LINE.format(request=REQUEST, port=" 443")
+    odd = [
+        "host httpd[123]: " + line, "[a] [b c] " + line, line.replace('"curl/7.0"', '"curl "7" x"'),
+        line.replace('"-" ] [ref', '"-]" [x] ] [ref'), "[16/May/2022:00:00:00 +0200] cut off " + line,
+    ]
+    good, bad = parsed(spark, *odd)
+    assert bad.count() == 0
+    assert rows(good, "rec_timestamp", "client", "fe_port", "dn") == [
+        (1652651941, 'curl "7" x' if i == 2 else "curl/7.0", "443", "/DC=ch/CN=jdoe/CN=Jane Doe") for i in range(5)
+    ]
+
+
 @pytest.mark.parametrize(("request_text", "system", "api"), [
     ("/dbs/prod/x", "dbs", "x"), ("/dbs/prod/x/", "dbs", "x"), ("/dbs/x", "dbs", "x"), ("/a-b/c/d/?q=1", "a-b", "d"),
 ])
@@ -83,7 +96,8 @@ def test_long_bad_lines_and_control_characters(spark):
 
     good = LINE.format(request=REQUEST, port=" 443")
     bad = [good[:-12] + "x" * 16_000, "[" * 16_000, good.split('"')[0] * 200, '[15/May/2022:23:59:01 +0200] ' + '"a ' * 5000,
-           "[auth: " * 3000, good.split("[ref")[0] + '[ref: "' + '" "' * 4000]
+           "[auth: " * 3000, good.split("[ref")[0] + '[ref: "' + '" "' * 4000, "[15/May/2022:23:59:01 +0200] fe " * 500,
+           good[:120] * 130, good.split("[ref")[0] + '] [ref: "" "' * 1300, good.split("[ref")[0] * 70 + '] [ref: "" "' * 300]
     began = time.time()
     records, rejects = parsed(spark, *bad, "\u0001" * 16, good.replace("/A/B", "/A\u0001/B"))
     assert rejects.count() == len(bad) + 1
@@ -91,3 +105,6 @@ def test_long_bad_lines_and_control_characters(spark):
     backend = spark.createDataFrame([(t, v) for v in bad for t in ("dbs", "couchdb", "reqmgr2")], "tag STRING, value STRING")
     assert logs.parse_backend_log(backend)[1].count() == 3 * len(bad)
     assert time.time() - began < 30
+    began = time.time()
+    parsed(spark, *bad * 8)[1].count()
+    assert time.time() - began < 8 * len(bad)  # well under a second each
