@@ -139,12 +139,17 @@ def top_codes_of_top_sites(
 ) -> DataFrame:
     """The most frequent codes of the sites with the most failures.
 
-    Ranks the counts, not the messages; the selected sites are at most ``sites`` rows.
+    Ranks the counts, not the messages, in one pass; of a site ``codes`` rows are held together.
     """
-    totals = counts.groupBy(site).agg(F.sum("n").alias("site_total"))
-    best = totals.orderBy(F.desc("site_total"), site).limit(sites)
-    rank = F.row_number().over(Window.partitionBy(site).orderBy(F.desc("n"), code))
-    return counts.join(best, site).withColumn("rank", rank).where(F.col("rank") <= codes)
+    own = Window.partitionBy(site)
+    rank = F.row_number().over(own.orderBy(F.desc("n"), code))
+    ranked = counts.withColumns({"site_total": F.sum("n").over(own), "rank": rank}).where(F.col("rank") <= codes)
+    rest = [c for c in ranked.columns if c not in (site, "site_total")]
+    best = ranked.groupBy(site, "site_total").agg(F.collect_list(F.struct(*rest)).alias("_codes"))
+    best = best.orderBy(F.desc("site_total"), site).limit(sites)
+    return best.select(site, "site_total", F.explode("_codes").alias("_code")).select(
+        *[F.col(c) if c in (site, "site_total") else F.col(f"_code.{c}") for c in (*counts.columns, "site_total", "rank")]
+    )
 
 
 def distinct_sites_and_codes(df: DataFrame, site: str = "site", code: str = "exitCode") -> DataFrame:

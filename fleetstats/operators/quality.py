@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, StringType
+from pyspark.sql.types import (
+    ArrayType, BinaryType, BooleanType, DataType, DecimalType, DoubleType, FloatType, IntegralType, MapType, StructType,
+)
 
 # ---- allowed values -------------------------------------------------------------------------
 
@@ -250,19 +253,36 @@ def _json_float(number: Column) -> Column:
         F.when(negative, "-").otherwise(""), F.when(text == "Infinity", "Infinity").otherwise(finite)))
 
 
-def canonical_json(df: DataFrame, columns: Sequence[str]) -> Column:
-    """A flat record as JSON with sorted keys, ``", "`` between and ``": "`` inside the pairs, all in ASCII."""
-    def value(name: str) -> Column:
-        col, kind = F.col(name), df.schema[name].dataType
-        if isinstance(kind, StringType):
-            return _json_text(col)
-        if isinstance(kind, (DoubleType, FloatType)):
-            return _json_float(col)
-        return col.cast("string")
-
-    pairs = [F.concat(F.lit(f'"{c}": '), F.coalesce(value(c), F.lit("null"))) for c in sorted(columns)]
+def _json_value(col: Column, kind: DataType) -> Column:
+    """A value of any type as JSON; what JSON has no form for, such as a time, is the text Spark writes for it."""
+    if isinstance(kind, (DoubleType, FloatType)):
+        text = _json_float(col)
+    elif isinstance(kind, (IntegralType, DecimalType, BooleanType)):
+        text = col.cast("string")
+    elif isinstance(kind, ArrayType):
+        items = F.transform(col, lambda item: _json_value(item, kind.elementType))
+        text = F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
+    elif isinstance(kind, StructType):
+        fields = sorted(kind.fields, key=lambda f: f.name)
+        text = F.when(col.isNotNull(), _json_object([(f.name, _json_value(col[f.name], f.dataType)) for f in fields]))
+    elif isinstance(kind, MapType):
+        entries = F.transform(F.array_sort(F.map_keys(col)), lambda key: F.concat(
+            _json_text(key.cast("string")), F.lit(": "), _json_value(F.element_at(col, key), kind.valueType)))
+        text = F.concat(F.lit("{"), F.array_join(entries, ", "), F.lit("}"))
+    else:
+        text = _json_text(F.base64(col) if isinstance(kind, BinaryType) else col.cast("string"))
+    return F.coalesce(text, F.lit("null"))
+
+
+def _json_object(members: Sequence[tuple[str, Column]]) -> Column:
+    pairs = [F.concat(F.lit(json.dumps(name) + ": "), text) for name, text in members]
     return F.concat(F.lit("{"), F.concat_ws(", ", *pairs), F.lit("}"))
 
 
+def canonical_json(df: DataFrame, columns: Sequence[str]) -> Column:
+    """A record as JSON with sorted keys at all depths, ``", "`` between and ``": "`` inside the pairs, all in ASCII."""
+    return _json_object([(c, _json_value(F.col(f"`{c.replace('`', '``')}`"), df.schema[c].dataType)) for c in sorted(columns)])
+
+
 def fingerprint(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.md5(canonical_json(df, columns))

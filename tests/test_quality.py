@@ -125,3 +125,20 @@ def test_canonical_json_is_that_of_the_reference_language(spark):
     made = {r["i"]: r["j"] for r in df.select("i", quality.canonical_json(df, df.columns).alias("j")).collect()}
     for s, d, i, b in data:
         assert made[i] == json.dumps({"s": s, "d": d, "i": i, "b": b}, sort_keys=True)
+
+
+def test_canonical_json_of_times_and_nested_values(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    df = spark.createDataFrame(
+        [(dt.date(2022, 5, 15), dt.datetime(2022, 5, 15, 1, 2, 3, 500000), ["a\"", None], {"b": 1.5, "a": None}, (2, "é"), Decimal("1.50"), [(1,)]),
+         (None,) * 7],
+        'day DATE, at TIMESTAMP, list ARRAY<STRING>, map MAP<STRING, DOUBLE>, `in"ner é` STRUCT<z: INT, a: STRING>, money DECIMAL(5,2), '
+        "deep ARRAY<STRUCT<x: INT>>",
+    )
+    made = [r[0] for r in df.select(quality.canonical_json(df, df.columns)).collect()]
+    first = {"day": "2022-05-15", "at": "2022-05-15 01:02:03.5", "list": ['a"', None], "map": {"a": None, "b": 1.5},
+             'in"ner é': {"a": "é", "z": 2}, "money": 1.5, "deep": [{"x": 1}]}
+    assert made[0] == json.dumps(first, sort_keys=True).replace('"money": 1.5', '"money": 1.50')
+    assert made[1] == json.dumps(dict.fromkeys(first), sort_keys=True)
