@@ -12,7 +12,8 @@ from fleetstats.operators import catalogue as cat
 from fleetstats.plans import views
 from fleetstats.plans.registry import load, query
 from fleetstats.plans.views import _WORK_COLUMNS, JOBS_SQL
-from fleetstats.sources import archive, files
+from fleetstats.schemas import JOB_ARCHIVE
+from fleetstats.sources import archive, files, manifest, typed
 from fleetstats.sources import catalogue as dumps
 from fleetstats.storage import new_path
 
@@ -59,6 +60,26 @@ def partition_pruned_scan(spark, sf_dir):
     )
 
 
+@query(f"""WITH jobs AS ({JOBS_SQL}) SELECT Status, count(*) AS n, min(RecordTime) AS first, max(RecordTime) AS last,
+  true AS fewer_files FROM jobs
+WHERE RecordTime >= epoch_ms(TIMESTAMP '1997-03-10') AND RecordTime < epoch_ms(TIMESTAMP '1997-05-20') GROUP BY Status""")
+def manifest_scan(spark, sf_dir):
+    """A period read from the files whose record times overlap it."""
+    path, listed = _job_archive(spark, sf_dir), new_path(spark, "manifest")
+
+    def read(files):
+        return archive.read_archive(spark, files, JOB_ARCHIVE, fields=["Status", "RecordTime"])
+
+    time = F.col("data.RecordTime")
+    manifest.write_manifest(read([path]), time, listed)
+    start, end = (1000 * epoch_seconds(t) for t in ("1997-03-10", "1997-05-20"))
+    jobs = manifest.manifest_scan(spark, listed, read, read([path]).schema, time, start, end).select("data.*")
+    fewer = len(manifest.overlapping_files(spark, listed, start, end)) < manifest.read_manifest(spark, listed).count()
+    return jobs.groupBy("Status").agg(
+        F.count("*").alias("n"), F.min("RecordTime").alias("first"), F.max("RecordTime").alias("last")
+    ).withColumn("fewer_files", F.lit(fewer))
+
+
 @query(f"""SELECT {_WORK_COLUMNS['fwjr_id']} AS fwjr_id, {_WORK_COLUMNS['task']} AS task,
   CAST(epoch(l_shipdate) AS BIGINT) AS timestamp, 5 AS n_steps, {_WORK_COLUMNS['era']} AS era FROM lineitem""")
 def scan_steps(spark, sf_dir):
@@ -112,6 +133,30 @@ def csv_roundtrip(spark, sf_dir):
     return dumps.read_csv_dump(spark, path, table.schema)
 
 
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
+  CASE WHEN c_custkey % 50 <> 0 AND c_custkey % 70 <> 0 THEN CAST(CAST(c_acctbal AS DECIMAL(12, 2)) AS VARCHAR) END AS balance,
+  CASE WHEN c_custkey % 70 <> 0 AND c_custkey % 50 <> 0 THEN c_nationkey END AS c_nationkey,
+  concat_ws(',', CASE WHEN c_custkey % 50 = 0 THEN 'c_acctbal=n/a' END, CASE WHEN c_custkey % 70 = 0 THEN 'c_nationkey=1x' END) AS bad FROM customer""")
+def typed_dump(spark, sf_dir):
+    """A dump read with types of its own for some columns; rows with a value that has not its type come apart."""
+    customer = load(spark, sf_dir, "customer")
+    texts = customer.select(
+        "c_custkey", "c_name", F.when(F.col("c_custkey") % 50 == 0, "n/a").otherwise(F.format_string("%.2f", "c_acctbal")).alias("c_acctbal"),
+        F.when(F.col("c_custkey") % 70 == 0, "1x").otherwise(F.col("c_nationkey").cast("string")).alias("c_nationkey"),
+    )
+    path = new_path(spark, "typed")
+    dumps.write_csv_dump(texts, path)
+    table = customer.select("c_custkey", "c_name", "c_acctbal", "c_nationkey").schema
+    good, rejects = typed.read_typed_dump(spark, path, table, {"C_CUSTKEY": "string", "c_acctbal": "decimal(12,2)"})
+    text = F.col("c_acctbal").cast("string").alias("balance")
+    listed = F.transform("bad_columns", lambda c: F.concat(c, F.lit("="), F.element_at("raw_values", c)))
+    nothing = F.lit(None)
+    return good.select("c_custkey", "c_name", text, "c_nationkey", F.lit("").alias("bad")).unionByName(rejects.select(
+        "c_custkey", "c_name", nothing.cast("string").alias("balance"), nothing.cast(table["c_nationkey"].dataType).alias("c_nationkey"),
+        F.array_join(listed, ",").alias("bad"),
+    ))
+
+
 @query("SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS priority FROM orders")
 def write_json_roundtrip(spark, sf_dir):
     priority = F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority"))

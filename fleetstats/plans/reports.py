@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetstats.functions.sizes import bytes_from_text
 from fleetstats.functions.times import epoch_millis, flexible_epoch, period_chunks as chunks_of, seconds_text
 from fleetstats.operators import reports as rep
+from fleetstats.operators import rollups
 from fleetstats.operators import timeseries as ts
 from fleetstats.plans.registry import load, query
 from fleetstats.sources import files
@@ -129,6 +133,29 @@ def status_histogram_approx(spark, sf_dir):
     return both.select("bucket_start", "n", near.alias("near"))
 
 
+_ROLLED_SQL = """SELECT '{unit}' AS unit, date_trunc('{unit}', ts) AS bucket_start, {by} AS kind, count(*) AS n, true AS near
+FROM events GROUP BY ALL"""
+
+
+@query(" UNION ALL ".join([_ROLLED_SQL.format(unit="hour", by="event_type"), _ROLLED_SQL.format(unit="day", by="event_type"),
+                           _ROLLED_SQL.format(unit="day", by="NULL")]))
+def status_sketch_rollup(spark, sf_dir):
+    """Distinct users per hour and day from stored sketches of five minutes, held against the exact numbers: at most three
+    times the error of a sketch away."""
+    path, events = new_path(spark, "sketches"), load(spark, sf_dir, "events").withColumnRenamed("event_type", "kind")
+    rollups.write_sketches(rollups.interval_sketches(events, "ts", "user_id", ["kind"]), path)
+    stored, parts = rollups.read_sketches(spark, path), []
+    for unit, seconds, by in (("hour", 3600, ["kind"]), ("day", 86400, ["kind"]), ("day", 86400, [])):
+        rolled = rollups.estimates(rollups.roll_up(stored, seconds, by))
+        exact = events.groupBy(rollups.interval_start(F.col("ts"), seconds).alias("bucket_start"), *by).agg(
+            F.count_distinct("user_id").alias("exact"))
+        both = rolled.join(exact, ["bucket_start", *by])
+        near = F.abs(F.col("distinct") - F.col("exact")) <= F.greatest(F.lit(1), 3 * rollups.RELATIVE_ERROR * F.col("exact"))
+        kind = F.col("kind") if by else F.lit(None).cast("string")
+        parts.append(both.select(F.lit(unit).alias("unit"), "bucket_start", kind.alias("kind"), "n", near.alias("near")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(_BUCKETS_SQL.format(minutes=12, where="WHERE event_type = 'error'", columns="nullif(count(event_id), 0) AS n"))
 def status_histogram_null(spark, sf_dir):
     events = load(spark, sf_dir, "events")
