@@ -51,7 +51,7 @@ def time_range(text: str, now: datetime, future: bool = False) -> list[int]:
     Offsets point to the past when listing, to the future when planning.
     """
     if "--" in text:
-        return [int(datetime.fromisoformat(t).timestamp()) * 1000 for t in text.split("--")]
+        return [epoch_millis(t.strip()) for t in text.split("--")]
     base = int(now.timestamp())
     out = []
     for part in (p.strip() for p in text.split("-")):

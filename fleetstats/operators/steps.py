@@ -93,22 +93,13 @@ def step_grain(flat: DataFrame) -> DataFrame:
     )
 
 
-def task_efficiency(grain: DataFrame, level: str = "task") -> DataFrame:
-    """Efficiency per task, per step of a task, or per step and site."""
-    keys = LEVEL_KEYS[level]
-    with_sites = "Site" not in keys
-    sets = [F.sort_array(F.array_distinct(F.flatten(F.collect_set("acquisition_era")))).alias("AcquisitionEra")]
-    if with_sites:
-        sets.append(F.sort_array(F.collect_set("Site")).alias("Sites"))
-    grouped = grain.groupBy(*keys).agg(
-        *[F.sum(c).alias(c) for c in _SUMMED], *[F.sum(c + "_n").alias(c + "_n") for c in _COUNTED], *sets
-    )
-
+def _figures() -> dict[str, Column]:
+    """The figures of a group from its sums and counts."""
     def mean(name: str) -> Column:
         return ratio(F.col(name), F.col(name + "_n"))
 
     c = F.col
-    result = {
+    return {
         "CpuEfficiency": percent(c("cpu_time"), c("threads_total_job_time")),
         "NumberOfStep": mean("number_of_steps"),
         "MeanThread": mean("nthreads"),
@@ -125,13 +116,51 @@ def task_efficiency(grain: DataFrame, level: str = "task") -> DataFrame:
         "ReadTotalMB": c("read_total_mb"),
         "MeanPeakRss": mean("peak_rss"),
         "MeanPeakVSize": mean("peak_v_size"),
-        "AcquisitionEra": c("AcquisitionEra"),
-        "EraCount": F.size("AcquisitionEra"),
     }
+
+
+def _totals() -> list[Column]:
+    return [F.sum(c).alias(c) for c in (*_SUMMED, *(c + "_n" for c in _COUNTED))]
+
+
+def task_efficiency(grain: DataFrame, level: str = "task") -> DataFrame:
+    """Efficiency per task, per step of a task, or per step and site, with the eras and sites themselves."""
+    keys = LEVEL_KEYS[level]
+    with_sites = "Site" not in keys
+    sets = [F.sort_array(F.array_distinct(F.flatten(F.collect_set("acquisition_era")))).alias("AcquisitionEra")]
+    if with_sites:
+        sets.append(F.sort_array(F.collect_set("Site")).alias("Sites"))
+    grouped = grain.groupBy(*keys).agg(*_totals(), *sets)
+    result = {**_figures(), "AcquisitionEra": F.col("AcquisitionEra"), "EraCount": F.size("AcquisitionEra")}
     if with_sites:
-        result |= {"Sites": c("Sites"), "SiteCount": F.size("Sites")}
+        result |= {"Sites": F.col("Sites"), "SiteCount": F.size("Sites")}
     return grouped.select(*keys, *[col.alias(name) for name, col in result.items()])
 
 
+def task_counts(grain: DataFrame, level: str = "task") -> DataFrame:
+    """The figures of ``task_efficiency`` with the numbers of eras and sites, but not these themselves.
+
+    No set is held anywhere: a row of the grain becomes one with its sums, and one for each era and its site; equal eras and
+    sites of a group meet in one row, and those rows are counted. All aggregates are numeric, so a task with any number of
+    eras or sites is reduced on the map side like any other.
+    """
+    keys = LEVEL_KEYS[level]
+    eras = F.transform("acquisition_era", lambda e: F.struct(F.lit("era").alias("kind"), e.alias("element")))
+    own = F.array(F.struct(F.lit("sums").alias("kind"), F.lit(None).cast("string").alias("element")))
+    sites = F.array(F.struct(F.lit("site").alias("kind"), F.col("Site").alias("element")))
+    has_site = F.col("Site").isNotNull() & F.lit("Site" not in keys)
+    parts = F.concat(own, eras, F.when(has_site, sites).otherwise(F.filter(sites, lambda _: F.lit(False))))
+    names = [*_SUMMED, *(c + "_n" for c in _COUNTED)]
+    rows = grain.withColumn("part", F.explode(parts)).select(
+        *keys, F.col("part.kind").alias("kind"), F.col("part.element").alias("element"),
+        *[F.when(F.col("part.kind") == "sums", F.col(c)).alias(c) for c in names],
+    )
+    elements = rows.groupBy(*keys, "kind", "element").agg(*_totals())
+    counted = {"EraCount": "era"} if "Site" in keys else {"EraCount": "era", "SiteCount": "site"}
+    counts = [F.count_if(F.col("kind") == kind).cast("int").alias(name) for name, kind in counted.items()]
+    grouped = elements.groupBy(*keys).agg(*_totals(), *counts)
+    return grouped.select(*keys, *[col.alias(name) for name, col in _figures().items()], *counted)
+
+
 def sort_tasks(table: DataFrame, level: str = "task") -> DataFrame:
     return table.orderBy(*LEVEL_KEYS[level])

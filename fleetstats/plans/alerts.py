@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetstats.functions.times import calendar_difference
+from fleetstats.functions.times import UTC, calendar_difference, time_range
 from fleetstats.operators import alerts as al
 from fleetstats.plans.registry import load, query
 
@@ -137,15 +141,39 @@ SELECT event_id AS id, k AS "dashboardId", 'note ' || k AS text, ['grid', event_
   {_relative_sql('s', 'ts')} AS starts, {_relative_sql('e', 'te')} AS ends, '1h' AS duration
 FROM kept JOIN t USING (event_id)""")
 def annotation_filter(spark, sf_dir):
+    kept = al.filter_annotations(_annotations(spark, sf_dir), ["grid", " error"], 42, 1704844800000, 1706140800000, 10)
+    return al.annotation_table(kept, F.lit(NOW).cast("timestamp"))
+
+
+def _annotations(spark, sf_dir):
     k = F.get_json_object("props", "$.k").cast("int")
     start = F.unix_millis(F.col("ts").cast("timestamp"))
-    notes = load(spark, sf_dir, "events").select(
+    return load(spark, sf_dir, "events").select(
         F.col("event_id").alias("id"), k.alias("dashboardId"), start.alias("time"),
         (start + 3600000).alias("timeEnd"), F.concat(F.lit("note "), k, F.lit("\n<a href='x'>more</a>")).alias("text"),
         F.array(F.lit("grid"), "event_type").alias("tags"),
     )
-    kept = al.filter_annotations(notes, ["grid", " error"], 42, 1704844800000, 1706140800000, 10)
-    return al.annotation_table(kept, F.lit(NOW).cast("timestamp"))
+
+
+# Ranges as they are typed, seen from the first of the two times, and the bounds they stand for.
+_SEEN_FROM = datetime(2024, 1, 20, 12, tzinfo=UTC)
+_RANGES = {
+    "now-2h": ("2024-01-20 10:00:00", "2024-01-20 12:00:00"), "3d-90m": ("2024-01-17 12:00:00", "2024-01-20 10:30:00"),
+    "2024-01-10T06:00:00--2024-01-12": ("2024-01-10 06:00:00", "2024-01-12 00:00:00"),
+    "1705708800-now": ("2024-01-20 00:00:00", "2024-01-20 12:00:00"),
+}
+
+
+@query(" UNION ALL ".join(f"""SELECT '{text}' AS range, event_id AS id, epoch_us(ts) // 1000 AS time FROM events
+WHERE CAST(json_extract_string(props, '$.k') AS INT) = 42 AND epoch_us(ts) // 1000 + 3600000 >= epoch_ms(TIMESTAMP '{a}')
+  AND epoch_us(ts) // 1000 <= epoch_ms(TIMESTAMP '{b}')""" for text, (a, b) in _RANGES.items()))
+def annotation_range(spark, sf_dir):
+    """Annotations that touch a range of time typed as text."""
+    notes = _annotations(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [
+        al.filter_annotations(notes, ["grid"], 42, *sorted(time_range(text, _SEEN_FROM))).select(F.lit(text).alias("range"), "id", "time")
+        for text in _RANGES
+    ])
 
 
 @query(f"""WITH p AS (SELECT l_orderkey, l_linenumber, least(l_shipdate, o_orderdate) AS a, greatest(l_shipdate, o_orderdate) AS b

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from fleetstats.functions.times import reporting_window
 from fleetstats.operators import efficiency as eff
 from fleetstats.operators import steps
 from fleetstats.operators.search import display
@@ -94,6 +96,28 @@ def completed_jobs(spark, sf_dir):
     return done.select("GlobalJobId", "RecordTime", "Type", "Site", "CpuTimeHr")
 
 
+_WINDOWS = {
+    "neither": (None, None, "1997-05-15", "1997-06-14"), "start": ("1997-03-01", None, "1997-03-01", "1997-03-31"),
+    "late start": ("1997-06-01", None, "1997-06-01", "1997-06-14"), "end": (None, "1997-02-01", "1997-01-02", "1997-02-01"),
+    "both": ("1997-04-02", "1997-04-09", "1997-04-02", "1997-04-09"),
+}
+
+
+@query(" UNION ALL ".join(f"""SELECT * FROM (WITH jobs AS ({JOBS_SQL}) SELECT '{name}' AS bounds, count(*) AS n, min(RecordTime) AS first, max(RecordTime) AS last
+FROM jobs WHERE Status = 'Completed' AND JobFailed = 0
+  AND RecordTime >= epoch_ms(TIMESTAMP '{first}') AND RecordTime < epoch_ms(TIMESTAMP '{last}'))""" for name, (_, _, first, last) in _WINDOWS.items()))
+def reporting_windows(spark, sf_dir):
+    """Jobs of the period that the given bounds stand for, with some, all or none of them given as text."""
+    parts = []
+    for name, (start, end, _, _) in _WINDOWS.items():
+        first, last = reporting_window(start, end, 30, today=date(1997, 6, 15))
+        done = eff.completed_jobs(views.jobs(spark, sf_dir), first, last)
+        parts.append(done.agg(
+            F.lit(name).alias("bounds"), F.count("*").alias("n"), F.min("RecordTime").alias("first"), F.max("RecordTime").alias("last")
+        ))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(f"{prepared_jobs_sql()} SELECT * FROM newest")
 def dedup_jobs(spark, sf_dir):
     return eff.dedup_jobs(eff.completed_jobs(views.jobs(spark, sf_dir), START, END))
@@ -218,6 +242,13 @@ def task_efficiency(spark, sf_dir):
     return texts(task_table(spark, sf_dir, "task"))
 
 
+@query(f"""{_totals_sql('task')} SELECT totals.* EXCLUDE (Sites), CAST(len(AcquisitionEra) AS INT) AS EraCount
+FROM totals JOIN eras USING (Task)""")
+def task_counts(spark, sf_dir):
+    """Figures and numbers of eras and sites without a set of them."""
+    return steps.task_counts(steps.step_grain(flat_steps(spark, sf_dir)))
+
+
 @query(_task_sql("step"))
 def task_step_efficiency(spark, sf_dir):
     return texts(task_table(spark, sf_dir, "step"))

@@ -3,7 +3,7 @@
 import json
 from contextlib import contextmanager
 
-from helpers import rows
+from helpers import plan_text, rows
 from pyspark.sql import functions as F
 
 from fleetstats.operators import alerts as al
@@ -12,6 +12,7 @@ from fleetstats.operators import messages as msg
 from fleetstats.operators import quality
 from fleetstats.operators import reconcile as rec
 from fleetstats.operators import reports as rep
+from fleetstats.operators import steps
 
 N = 60_000
 
@@ -100,6 +101,18 @@ def test_hot_site_counts(spark):
     assert [(r.site, r["rank"]) for r in top.orderBy("rank").collect()] == [("0", 1), ("0", 2)]
 
 
+def test_hot_task_counts(spark):
+    """A task with a third of the rows, each of its sites and eras among them, is reduced before its counts move."""
+    sums = [F.lit(1.0).alias(c) for c in (*steps._SUMMED, *(c + "_n" for c in steps._COUNTED))]
+    grain = spark.range(0, N, 1, 8).select(
+        hot().cast("string").alias("Task"), F.lit("s").alias("StepName"), F.lit("j").alias("JobType"),
+        F.concat(F.lit("site"), F.col("id") % 300).alias("Site"), F.array(F.concat(F.lit("era"), F.col("id") % 90)).alias("acquisition_era"), *sums)
+    counted = steps.task_counts(grain)
+    assert rows(counted.where("Task = '0'"), "EraCount", "SiteCount") == [(30, 100)]
+    plan = plan_text(counted)
+    assert plan.count("partial_sum(cpu_time") == 2  # before each of the two exchanges
+
+
 def test_wide_contract(spark):
     """As many properties as a full job document has."""
     kinds = ["integer", "string", "number", "boolean"]

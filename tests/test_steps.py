@@ -2,6 +2,7 @@
 
 import pytest
 from helpers import plan_text, rows
+from pyspark.sql import functions as F
 
 from fleetstats.operators import steps
 from fleetstats.schemas import FLAT_STEP, WORK_FIELDS
@@ -99,3 +100,22 @@ def test_levels_have_their_keys(spark):
 
 def test_no_python_in_the_plan(spark):
     assert "Python" not in plan_text(flat(spark, ([step()], {}))).replace("PythonRDD", "")
+
+
+def test_counts_without_sets(spark):
+    many = [([step(eras=(f"E{i % 5}",), site=f"T{i % 7}_X"), step("cmsRun2", eras=None, site=None)], {"task": "/hot"}) for i in range(40)]
+    grain = steps.step_grain(flat(spark, *many, ([step(eras=())], {"task": "/none"})))
+    for level, keys in steps.LEVEL_KEYS.items():
+        with_sets, counted = steps.task_efficiency(grain, level), steps.task_counts(grain, level)
+        columns = [c for c in with_sets.columns if c not in ("AcquisitionEra", "Sites")]
+        assert counted.columns == columns
+        order = [F.col(k).asc_nulls_first() for k in keys]
+        for ours, theirs in zip(rows(counted.orderBy(*order)), rows(with_sets.select(columns).orderBy(*order)), strict=True):
+            assert ours == pytest.approx(theirs)
+    row = steps.task_counts(grain).where("Task = '/hot'").first()
+    assert (row.EraCount, row.SiteCount) == (5, 7)
+
+
+def test_counts_hold_no_sets(spark):
+    plan = plan_text(steps.task_counts(steps.step_grain(flat(spark, ([step()], {})))))
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan and "collect_set" not in plan
