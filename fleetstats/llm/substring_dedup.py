@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from fleetstats.llm.common import add_columns, chunks, release_memory
+from fleetstats.llm.common import add_columns, chunks, fresh, release_memory
 
 CHUNK_BYTES = 6 << 20  # texts whose windows are gathered before they are sent
 RANGE_CHARS = 6_000_000  # characters of the corpus to one range of hashes: about a million windows
@@ -288,10 +288,10 @@ def substring_dedup(docs: DataFrame, width: int = 13, id_col: str = "doc_id", te
     id_type = docs.schema[id_col].dataType
     if not isinstance(id_type, T.IntegralType):
         raise TypeError(f"{id_col} must be an integer column")
-    gone = repeated_windows(docs, width, id_col, text).withColumnRenamed("hashes", "_answer")
-    held = docs.drop("n_words", "n_removed", "kept", "removed", "_answer")
-    joined = held.join(gone, held[id_col] == gone["doc"], "left").drop("doc")
-    packed_text = joined.withColumn("_pair", F.struct(F.col(text), F.col("_answer"))).drop("_answer")
+    doc, answer, pair = (fresh([*docs.columns, "n_words", "n_removed", "kept", "removed"], c) for c in ("_doc", "_answer", "_pair"))
+    gone = repeated_windows(docs, width, id_col, text).select(F.col("doc").alias(doc), F.col("hashes").alias(answer))
+    joined = docs.drop("n_words", "n_removed", "kept", "removed").join(gone, F.col(id_col) == F.col(doc), "left").drop(doc)
+    packed_text = joined.withColumn(pair, F.struct(F.col(text).alias("text"), F.col(answer).alias("answer"))).drop(answer)
     added = T.StructType([
         T.StructField("n_words", T.LongType(), False), T.StructField("n_removed", T.LongType(), False),
         T.StructField("kept", T.StringType(), False),
@@ -301,6 +301,6 @@ def substring_dedup(docs: DataFrame, width: int = 13, id_col: str = "doc_id", te
     ])
 
     def compute(pairs):
-        return list(map(list, zip(*(kept_words(p[text], p["_answer"], width) for p in pairs))))
+        return list(map(list, zip(*(kept_words(p["text"], p["answer"], width) for p in pairs))))
 
-    return add_columns(packed_text, "_pair", added, compute).drop("_pair")
+    return add_columns(packed_text, pair, added, compute).drop(pair)

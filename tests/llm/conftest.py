@@ -23,7 +23,7 @@ ODD = [
     (10, f"Intro one. {PASSAGE} end one\nsecond line\nthird line\nfourth line"),
     (-3, "same line\n" * 9 + "same line"),
 ]
-CLASHES = "n_tokens ids decoded score places fp n_lines n_removed n_words kept removed _k1 _k2 _gone _answer pii h w".split()
+CLASHES = "n_tokens ids decoded score places fp n_lines n_removed n_words kept removed _k1 _k2 _gone _answer _pair _doc doc answer pii h w".split()
 SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
     *[T.StructField(c, T.StringType()) for c in CLASHES], T.StructField("tags", T.MapType(T.StringType(), T.StringType())),

@@ -42,6 +42,9 @@ def test_substrings_odd_rows(odd, none, odd_rows):
     for r in found.where("n_removed > 0").collect():
         assert sum(i["end"] - i["start"] for i in r["removed"]) == r["n_removed"]
         assert all(a["end"] < b["start"] for a, b in zip(r["removed"], r["removed"][1:]))
+    assert set(odd.columns) <= set(found.columns)
+    clashing = [c for c in odd.columns if c not in ("doc_id", "text", "n_words", "n_removed", "kept", "removed", "tags")]
+    assert {v for r in found.select(clashing).collect() for v in r} == {"clash"}
     assert substring_dedup.substring_dedup(none).collect() == []
 
 
