@@ -15,7 +15,9 @@ tasks; the rows at the borders of the ranges, two to a task, are matched afterwa
 from __future__ import annotations
 
 import html
+import math
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,7 +37,7 @@ BLOCKS = frozenset(
     "select summary table tbody td tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = ("script", "style", "template", "svg", "iframe", "noembed", "object", "canvas", "math")
+HIDDEN = ("script", "style", "template", "svg", "iframe", "noembed")
 ARTICLES = frozenset(("article", "main"))
 RUNNING = frozenset(("p", "h1"))  # blocks that inside an `article` hold its own text
 AROUND = frozenset("aside button dialog footer form head header menu nav noscript select textarea".split())
@@ -46,7 +48,9 @@ NAMES = frozenset(
     "pagination popup promo promoted related responses share sharing sidebar signup social sponsor sponsored submenu "
     "subscribe toolbar widget".split()
 )
-# In an article, names alone tell what these hold; of other elements they are a hint that the neighbour must confirm.
+# Words that stand in articles too: there they are a hint that the neighbour must confirm.
+DOUBTFUL = frozenset("alert alerts banner masthead menu menus modal notice notices popup related responses toolbar widget".split())
+# In an article, other names alone tell what these hold; of other elements they are a hint as well.
 CONTAINERS = frozenset("aside blockquote center details dialog dir div dl fieldset figure ol section table ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # What ends an open element whose end tag may be left out, and the elements around it that bound this.
@@ -62,11 +66,13 @@ BOUNDS = {
     "option": {"select"},
 }
 
+# What stands in a tag behind its name; a quote opens a value only behind an equals sign.
+INSIDE = r"(?:=\s*+(?:\"[^\"]*+\"|'[^']*+')|[^>])*+"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(" + "|".join(HIDDEN) + r")\b(?:[^\"'>]|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
+    r"|<(" + "|".join(HIDDEN) + r")\b" + INSIDE + r">.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)(" + INSIDE + r")(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
@@ -110,7 +116,7 @@ def is_aside(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
             if words & ROLES:
                 return True, False
         elif words & NAMES and not (name.lower() == "id" and tag in HEADINGS):
-            if not in_article or tag in CONTAINERS:
+            if not in_article or tag in CONTAINERS and words & NAMES - DOUBTFUL:
                 return True, False
             hinted = True
     return False, hinted
@@ -121,6 +127,7 @@ def lines_of(page: str | None) -> list[Line]:
     out, held = [], []
     open_tags: list[tuple[str, bool, bool, bool]] = []  # (tag, article, aside, hinted)
     articles = asides = hints = unended = at = 0  # unended: open elements whose end tag may be left out
+    opened: dict[str, int] = defaultdict(int)  # open elements by tag
     block, joint = "", "\n"  # the tag that the text at hand stands in, and what joins it to the line before
 
     def close_block(next_joint="\n"):
@@ -129,7 +136,7 @@ def lines_of(page: str | None) -> list[Line]:
             raw = html.unescape("".join(held))
             held.clear()
             if text := " ".join(raw.split()):
-                running = block in RUNNING and any(o[0] == "article" for o in open_tags)
+                running = block in RUNNING and opened["article"] > 0
                 before = " " if not joint and raw[0].isspace() else joint
                 out.append(Line(text, articles > 0, asides > 0, running, hints > 0, before))
                 joint = ""
@@ -143,6 +150,7 @@ def lines_of(page: str | None) -> list[Line]:
         if not inline or any(o[3] for o in open_tags[depth:]):
             close_block("" if inline else "\n")
         for tag, article, aside, hinted in open_tags[depth:]:
+            opened[tag] -= 1
             unended -= tag in ENDED_BY
             articles -= article
             asides -= aside
@@ -151,6 +159,8 @@ def lines_of(page: str | None) -> list[Line]:
 
     def depth_of(tag):
         """Where an open element of this tag is that may be ended here."""
+        if not opened[tag]:
+            return None
         for i in range(len(open_tags) - 1, -1, -1):
             if open_tags[i][0] == tag:
                 return i
@@ -188,6 +198,7 @@ def lines_of(page: str | None) -> list[Line]:
                 close_block("" if hinted and tag not in BLOCKS else "\n")
             if tag not in ENDED_BY or article or aside or hinted:
                 open_tags.append((tag, article, aside, hinted))
+                opened[tag] += 1
                 unended += tag in ENDED_BY
                 articles += article
                 asides += aside
@@ -197,6 +208,10 @@ def lines_of(page: str | None) -> list[Line]:
     return out
 
 
+# Places of a line that are put together anew each time; the bits of more are kept.
+FEW_PLACES = 64
+
+
 def line_hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
@@ -204,30 +219,56 @@ def line_hash(text: str) -> int:
 def shared(own: list[int], other: list[int]) -> list[bool]:
     """Which of one page's lines are in a longest common subsequence with the other's.
 
-    Bit i of a row is 0 where line i of the other page adds to the length of the subsequence with the lines so far.
+    Bit i of a row is 0 where line i of the other page adds to the length of the subsequence with the lines so far. Of the
+    rows, one for each line, as many are kept as their number's root; those between are made again on the way back.
     """
-    places: dict[int, int] = {}
+    at: dict[int, list[int]] = defaultdict(list)
     for i, h in enumerate(other):
-        places[h] = places.get(h, 0) | 1 << i
+        at[h].append(i)
+    often = {h: mask(places) for h, places in at.items() if len(places) > FEW_PLACES}
     every = (1 << len(other)) - 1
-    rows = [every]
-    for h in own:
-        v = rows[-1]
-        u = v & places.get(h, 0)
-        rows.append(((v + u) | (v - u)) & every)
+
+    def places_of(h: int) -> int:
+        return often[h] if h in often else mask(at.get(h, ()))
+
+    def next_row(v: int, h: int) -> int:
+        u = v & places_of(h) if h in at else 0
+        return ((v + u) | (v - u)) & every if u else v
+
+    step = max(1, math.isqrt(len(own)))
+    marks = [every]
+    row = every
+    for i, h in enumerate(own, 1):
+        row = next_row(row, h)
+        if i % step == 0:
+            marks.append(row)
     out, j = [False] * len(own), len(other)
-    for i in range(len(own), 0, -1):
-        here = ~rows[i] & ((1 << j) - 1)  # places before j where the length grows with i lines
-        before = ~rows[i - 1] & ((1 << j) - 1)
-        if here.bit_count() > before.bit_count():
-            # line i is needed: it takes the last of its places at which the length is reached
-            own_places = places[own[i - 1]] & ((1 << j) - 1)
-            while own_places:
-                place = own_places.bit_length() - 1
-                if (~rows[i - 1] & ((1 << place) - 1)).bit_count() + 1 == here.bit_count():
-                    out[i - 1], j = True, place
-                    break
-                own_places ^= 1 << place
+    for block in range((len(own) - 1) // step, -1, -1):
+        first = block * step
+        rows = [marks[block]]
+        for h in own[first:first + step]:
+            rows.append(next_row(rows[-1], h))
+        for i in range(len(rows) - 1, 0, -1):
+            if rows[i] == rows[i - 1]:
+                continue
+            here = ~rows[i] & ((1 << j) - 1)  # places before j where the length grows with i lines
+            before = ~rows[i - 1] & ((1 << j) - 1)
+            if here.bit_count() > before.bit_count():
+                # line i is needed: it takes the last of its places at which the length is reached
+                own_places = places_of(own[first + i - 1]) & ((1 << j) - 1)
+                while own_places:
+                    place = own_places.bit_length() - 1
+                    if (~rows[i - 1] & ((1 << place) - 1)).bit_count() + 1 == here.bit_count():
+                        out[first + i - 1], j = True, place
+                        break
+                    own_places ^= 1 << place
+    return out
+
+
+def mask(places) -> int:
+    out = 0
+    for p in places:
+        out |= 1 << p
     return out
 
 
@@ -318,7 +359,8 @@ def neighbours(batches) -> Iterator[pa.RecordBatch]:
 def nearest(paths: DataFrame) -> DataFrame:
     """(host, path, near): for distinct paths the neighbour in the order of their host that is most alike."""
     dealt = paths.repartitionByRange("host", "path").sortWithinPartitions("host", "path")
-    beside = dealt.mapInArrow(neighbours, NEIGHBOURS)
+    # written, since both its uses must see the same ranges
+    beside = materialize(dealt.mapInArrow(neighbours, NEIGHBOURS), "beside")
     inner = beside.where(~F.col("edge"))
     order = Window.orderBy("host", "path")  # two rows to a task
 

@@ -4,6 +4,8 @@ import hashlib
 import html
 import random
 import re
+import time
+import tracemalloc
 import zlib
 
 import public_tokenizers
@@ -183,6 +185,42 @@ def longest(a, b):
     return table[-1][-1]
 
 
+def article(page):
+    return html_text.main_text(html_text.lines_of(page), None)
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<main><p class=a'>One text</p><p>don't drop</p><p>Two</p></main>", "One text\ndon't drop\nTwo"),
+    ("<p title=\"a > b\">x</p><p title = 'c>d'>y</p><p \"odd\">z</p>", "x\ny\nz"),
+    ("<article><p>Let <math>x = 2</math> hold</p><object>still</object> <canvas>shown</canvas></article>", "Let x = 2 hold\nstill shown"),
+    ('<article><section id="notice">Stays</section><ul class="menu"><li>Soup</li></ul><div class="comments">No</div></article>',
+     "Stays\nSoup"),
+    ('x <script a="1" b="2" c="3" d="4" e="5" f="6" g="7" h="8" i="9" j="10" ' * 20, "x"),
+])
+def test_article_text_is_kept(page, text):
+    assert article(page) == text
+
+
+def test_doubtful_names_go_if_the_neighbour_has_the_line():
+    lines = html_text.lines_of('<article><div class="menu">Home and more</div><p>Own</p><p>Text</p><p>Here</p></article>')
+    other = html_text.lines_of('<article><div class="menu">Home and more</div><p>Other</p><p>Words</p><p>There</p></article>')
+    assert html_text.main_text(lines, html_text.compared(other)) == "Own\nText\nHere"
+
+
+def test_malformed_and_very_long_pages_take_linear_time():
+    began = time.perf_counter()
+    lines = html_text.lines_of("<article>" + "".join(f"<font><p>t{i}</p></b>" for i in range(10000)))
+    assert len(lines) == 10000 and time.perf_counter() - began < 5
+    rng = random.Random(2)
+    own = [rng.randrange(1 << 40) for _ in range(30000)]
+    other = own[:9000] + [rng.randrange(1 << 40) for _ in range(3000)] + own[10000:]
+    tracemalloc.start()
+    found = html_text.shared(own, other)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(found) == 29000 and found[:9000] == [True] * 9000 and peak < 50e6
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     rng = random.Random(2)
     for _ in range(3000):
