@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+import zlib
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,26 +75,72 @@ def _member(doc: Column, *keys: str) -> Column:
     return F.try_variant_get(doc, _path(*keys), "variant")
 
 
-def _nodes(example: Mapping, above: tuple[str, ...] = ()) -> dict[tuple[str, ...], object]:
-    """All values of the example at any depth, by their path."""
-    nodes: dict[tuple[str, ...], object] = {}
+# What parts the keys of a path, and stands for that character, and for itself, inside a key.
+_PART, _MARK = "\u0001", "\u0002"
+
+
+def _written(key: str) -> str:
+    return key.replace(_MARK, _MARK + "b").replace(_PART, _MARK + "a")
+
+
+def _written_key(key: Column) -> Column:
+    return F.replace(F.replace(key, F.lit(_MARK), F.lit(_MARK + "b")), F.lit(_PART), F.lit(_MARK + "a"))
+
+
+def _rules(example: Mapping, above: tuple[str, ...] = ()) -> dict[str, tuple[str, tuple[str, ...]]]:
+    """For each path of the example the kinds that pass there and, where it has a list, the kinds of the items."""
+    rules: dict[str, tuple[str, tuple[str, ...]]] = {}
     for key, value in example.items():
-        nodes[(*above, key)] = value
+        path = (*above, _written(key))
+        items = tuple(_accepted(value[0])) if isinstance(value, (list, tuple)) and value else ()
+        rules[_PART.join(path)] = (" ".join(_accepted(value)), items)
         if isinstance(value, Mapping):
-            nodes |= _nodes(value, (*above, key))
-    return nodes
+            rules |= _rules(value, path)
+    return rules
+
+
+def _lookup(table: Mapping[str, str]) -> Callable[[Column], Column]:
+    """Finds texts in a fixed table: by their checksum in one of as many small maps as the table has entries."""
+    n = max(1, len(table))
+    maps: list[list[Column]] = [[] for _ in range(n)]
+    for key, value in table.items():
+        maps[zlib.crc32(key.encode()) % n] += [F.lit(key), F.lit(value)]
+    kind = "map<string,string>"
+    held = F.array(*[(F.create_map(*m) if m else F.create_map()).cast(kind) for m in maps])
+    return lambda key: F.element_at(F.get(held, (F.crc32(key) % n).cast("int")), key)
 
 
-def _offends(type_text: Column, item_types: Column | None, example) -> Column:
-    """Whether a value has another type than the example; absent and null values do not offend."""
-    wrong = ~_is(type_text, _accepted(example))
-    if item_types is not None:
-        # a list must have items, all of one type, the type of the example's items
-        alike = F.lit(False)
-        for kind in _accepted(example[0]) if example else []:
-            alike = alike | _all_are(item_types, kind)
-        wrong = wrong | ~F.coalesce((F.size(item_types) > 0) & alike, F.lit(False))
-    return F.coalesce((type_text != "VOID") & wrong, F.lit(False))
+def _entry(path: Column, top: Column, value: Column, rule_of: Callable[[Column], Column]) -> Column:
+    return F.struct(
+        path.alias("path"), top.alias("top"), value.alias("value"), rule_of(path).alias("rule"),
+        F.schema_of_variant(value).alias("type"),
+    )
+
+
+def _offends(entry: Column, rules: Mapping[str, tuple[str, tuple[str, ...]]]) -> Column:
+    """Whether a value has another type than its rule admits; null values and those without a rule do not offend."""
+    rule, type_text = entry["rule"], entry["type"]
+    fine = F.lit(True)
+    for name, (kinds, items) in rules.items():
+        good = _is(type_text, kinds.split())
+        if kinds == "list":
+            # a list must have items, all of one type, the type of the example's items
+            item_types = F.transform(F.try_variant_get(entry["value"], "$", "array<variant>"), F.schema_of_variant)
+            alike = reduce(Column.__or__, [_all_are(item_types, kind) for kind in items], F.lit(False))
+            good = good & F.coalesce((F.size(item_types) > 0) & alike, F.lit(False))
+        fine = F.when(rule == name, good).otherwise(fine)
+    return F.coalesce(rule.isNotNull() & (type_text != "VOID") & ~fine, F.lit(False))
+
+
+def _entries_below(entries: Column, rule_of: Callable[[Column], Column], dicts: Sequence[str]) -> Column:
+    """The entries of the documents that some entries hold where the example has a document."""
+    def members(entry: Column) -> Column:
+        inner = F.map_entries(F.try_variant_get(entry["value"], "$", "map<string, variant>"))
+        below = F.transform(inner, lambda e: _entry(
+            F.concat(entry["path"], F.lit(_PART), _written_key(e["key"])), entry["top"], e["value"], rule_of))
+        return F.coalesce(below, F.filter(F.array(entry), lambda _: F.lit(False)))
+
+    return F.flatten(F.transform(F.filter(entries, lambda e: e["rule"].isin(*dicts)), members))
 
 
 def validate_records(
@@ -104,29 +152,29 @@ def validate_records(
 ) -> DataFrame:
     """Checks JSON documents against an example document whose value types are the contract.
 
-    Adds ``offending_keys`` (a wrong type somewhere under the key), ``unknown_keys`` (not in the
-    example) and ``payload``, the document without the keys to drop. A text that is no JSON
-    object has null in all three. Everything stays row-local.
+    Adds ``offending_keys`` (a wrong type somewhere under the key), ``unknown_keys`` (not in the example), both sorted, and
+    ``payload``, the document without the keys to drop. A text that is no JSON object has null in all three.
+
+    A document is taken apart once, a level at a time as deep as the example goes, and each of its values finds its rule by
+    its path. What the example has and a document has not costs nothing. Everything stays row-local.
     """
-    doc, nodes = F.col("_doc"), _nodes(example)
-    # types first, each computed once, then the rules over them
-    types: dict[str, Column] = {"_entries": doc.try_cast("map<string, variant>")}
-    for i, (path, value) in enumerate(nodes.items()):
-        types[f"_type{i}"] = F.schema_of_variant(_member(doc, *path))
-        if isinstance(value, (list, tuple)):
-            items = F.try_variant_get(doc, _path(*path), "array<variant>")
-            types[f"_items{i}"] = F.transform(items, F.schema_of_variant)
-    wrong_keys: dict[str, Column] = {}
-    for i, (path, value) in enumerate(nodes.items()):
-        items = F.col(f"_items{i}") if f"_items{i}" in types else None
-        bad = _offends(F.col(f"_type{i}"), items, value)
-        # an offence at any depth marks the top-level key
-        wrong_keys[path[0]] = wrong_keys[path[0]] | bad if path[0] in wrong_keys else bad
-    offending = [F.when(bad, F.lit(key)) for key, bad in wrong_keys.items()]
-    known = F.array(*[F.lit(k) for k in example])
-    checked = df.withColumn("_doc", F.try_parse_json(json_col)).withColumns(types).withColumns({
-        "offending_keys": F.when(F.col("_entries").isNotNull(), F.array_compact(F.array(*offending))),
-        "unknown_keys": F.sort_array(F.array_except(F.map_keys("_entries"), known)),
+    rules = _rules(example)
+    names = {rule: f"r{i}" for i, rule in enumerate(dict.fromkeys(rules.values()))}
+    rule_of = _lookup({path: names[rule] for path, rule in rules.items()})
+    dicts = [name for (kinds, _), name in names.items() if kinds == "dict"]
+    depth = 1 + max((path.count(_PART) for path in rules), default=0)
+    checked = df.withColumn("_doc", F.try_parse_json(json_col)).withColumn("_entries", F.col("_doc").try_cast("map<string, variant>"))
+    levels = [f"_level{i}" for i in range(depth)]
+    top = F.transform(F.map_entries("_entries"), lambda e: _entry(_written_key(e["key"]), e["key"], e["value"], rule_of))
+    for i, level in enumerate(levels):
+        checked = checked.withColumn(level, _entries_below(F.col(levels[i - 1]), rule_of, dicts) if i else top)
+    by_name = {name: rule for rule, name in names.items()}
+    # an offence at any depth marks the top-level key
+    bad = [F.transform(F.filter(level, lambda e: _offends(e, by_name)), lambda e: e["top"]) for level in levels]
+    unknown = F.transform(F.filter(levels[0], lambda e: e["rule"].isNull()), lambda e: e["top"])
+    checked = checked.withColumns({
+        "offending_keys": F.sort_array(F.array_distinct(F.concat(*bad))),
+        "unknown_keys": F.sort_array(unknown),
     })
     none = F.array().cast("array<string>")
     dropped = [F.coalesce("offending_keys", none)] * drop_offending + [F.coalesce("unknown_keys", none)] * drop_unknown
@@ -135,7 +183,7 @@ def validate_records(
     return (
         checked.withColumn("_dropped", F.concat(none, *dropped))
         .withColumn("payload", F.when(F.col("_entries").isNotNull(), payload))
-        .drop("_doc", "_dropped", *types)
+        .drop("_doc", "_dropped", "_entries", *levels)
     )
 
 

@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from helpers import rows
+from helpers import plan_text, rows
 from pyspark.sql import functions as F
 
 from fleetstats.operators import quality
@@ -46,6 +46,41 @@ def test_types_by_example(spark, doc, offending, unknown):
     assert json.loads(checked.payload) == doc
 
 
+def test_keys_that_look_like_paths(spark):
+    df = spark.createDataFrame([(json.dumps({"d\u0001ds": 1, "d": {"ds": "s"}, "d\u0002ads": 1, 'q"uote': 1}),)], "doc STRING")
+    checked = quality.validate_records(df, "doc", EXAMPLE | {'q"uote': "text"}).first()
+    assert (checked.offending_keys, checked.unknown_keys) == (['q"uote'], ["d\u0001ds", "d\u0002ads"])
+
+
+def test_deep_examples(spark):
+    example = {"a": {"b": {"c": {"d": 1}}, "x": "s"}}
+    docs = [{"a": {"b": {"c": {"d": "no"}}}}, {"a": {"b": {"c": {"d": 2}}, "x": "t"}}, {"a": {"b": {"c": 5}}}, {"a": {"x": None}}]
+    df = spark.createDataFrame([(json.dumps(d),) for d in docs], "doc STRING")
+    assert rows(quality.validate_records(df, "doc", example), "offending_keys") == [(["a"],), ([],), (["a"],), ([],)]
+
+
+def test_wide_examples_cost_what_the_document_has(spark):
+    import time
+
+    wide = {f"key{i}": [1, "x", 0.5, True][i % 4] for i in range(600)}
+    docs = [{"key0": "bad", "key1": "x", "new": 1}, {"key3": False}, wide]
+    df = spark.createDataFrame([(json.dumps(d),) for d in docs], "doc STRING")
+    found = quality.validate_records(df, "doc", wide)
+    assert rows(found, "offending_keys", "unknown_keys") == [(["key0"], ["new"]), ([], []), ([], [])]
+    # the expressions of the plan do not grow with the example: one lookup table, a rule for each kind of value
+    assert plan_text(found).count("schema_of_variant") == plan_text(quality.validate_records(df, "doc", dict(list(wide.items())[:4]))).count("schema_of_variant")
+
+    def seconds(example):
+        many = spark.range(20000).select(F.lit(json.dumps({"key0": 1, "key1": "x"})).alias("doc"))
+        checked = quality.validate_records(many, "doc", example)
+        checked.write.format("noop").mode("overwrite").save()
+        began = time.perf_counter()
+        checked.write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - began
+
+    assert seconds(wide) < 5 * seconds(dict(list(wide.items())[:4])) + 1
+
+
 def test_bad_keys_can_be_dropped(spark):
     df = spark.createDataFrame([('{"s":1,"i":2,"zz":3}',), ("nonsense",)], "doc STRING")
     both = quality.validate_records(df, "doc", EXAMPLE, True, True)
