@@ -115,19 +115,40 @@ def attempt(a: Column, b: Column, cells_a: Column, cells_b: Column, level: Colum
     """The differences of two texts by sketches of one size; null if it is too small.
 
     Level 0 is that of the fingerprints; each further one has four times as many segments, each a sketch of the
-    digests that fall into it.
+    digests that fall into it. A level takes a time in proportion to the digests, but for putting them in order.
     """
     width = F.when(level == 0, WIDTH).otherwise(RETRY_WIDTH)
     segments = F.when(level == 0, 1).otherwise(
         F.call_function("shiftleft", F.lit(FIRST_SEGMENTS), (level - 1) * GROWTH_BITS))
 
-    def own(found, i):
-        kept = F.filter(found, lambda d: F.pmod(F.xxhash64(-level, d), segments) == i)
-        return sketch(kept, level, width)
+    def segment(d):
+        return F.pmod(F.xxhash64(-level, d), segments)
 
-    def one(i):
-        cells = F.when(level == 0, subtract(cells_a, cells_b)).otherwise(subtract(own(a, i), own(b, i)))
-        return peel(cells, level, width)
+    def difference(items):
+        """The cells of tagged digests, those of the second text taken away."""
+        placed = F.transform(items, lambda x: F.struct(
+            x["n"].alias("n"), x["d"].alias("d"), check(x["d"]).alias("c"), places(x["d"], level, width).alias("p")))
+        return let(placed, lambda listed: F.transform(F.sequence(F.lit(0), width * TABLES - 1), lambda i: F.aggregate(
+            F.filter(listed, lambda x: has(x["p"], i)), cell(F.lit(0), F.lit(0), F.lit(0)),
+            lambda s, x: cell(s["n"] + x["n"], s["d"].bitwiseXOR(x["d"]), s["c"].bitwiseXOR(x["c"])))))
+
+    def tagged(found, n):
+        return F.transform(found, lambda d: F.struct(segment(d).alias("s"), F.lit(n).alias("n"), d.alias("d")))
+
+    def first_segment():
+        kept = [F.filter(tagged(found, n), lambda x: x["s"] == 0) for found, n in ((a, 1), (b, -1))]
+        return peel(difference(F.concat(*kept)), level, width)
+
+    def by_segment(listed):
+        """The digests in the order of their segments, cut where the next one begins."""
+        n = F.size(listed)
+        begins = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(listed, i)["s"] != F.get(listed, i - 1)["s"]))
+        return let(begins, lambda starts: F.transform(starts, lambda at, k: F.slice(
+            listed, at + 1, F.coalesce(F.get(starts, k + 1), n) - at)))
+
+    def every_segment():
+        groups = let(F.array_sort(F.concat(tagged(a, 1), tagged(b, -1))), by_segment)
+        return F.transform(groups, lambda items: peel(difference(items), level, width))
 
     def total(peeled):
         none = F.exists(peeled, lambda x: x.isNull())
@@ -136,7 +157,11 @@ def attempt(a: Column, b: Column, cells_a: Column, cells_b: Column, level: Colum
             return F.aggregate(peeled, F.lit(0), lambda s, x: s + x[name]).alias(name)
         return F.when(~none, F.struct(sums("a"), sums("b")))
 
-    return let(F.transform(F.sequence(F.lit(0), segments - 1), one), total)
+    # one segment that can't be emptied is enough to fail, so the first is tried before the digests are put in order
+    nothing = F.array(F.lit(None).cast("struct<a: int, b: int>"))
+    peeled = F.when(level == 0, F.array(peel(subtract(cells_a, cells_b), level, width))).when(
+        first_segment().isNull(), nothing).otherwise(every_segment())
+    return let(peeled, total)
 
 
 def differences(a: Column, b: Column, cells_a: Column, cells_b: Column) -> Column:

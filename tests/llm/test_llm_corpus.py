@@ -290,6 +290,14 @@ def test_fingerprints_of_sparse_ids(spark):
     assert len({r["fingerprint"] for r in found.values()}) == len({frozenset(brute.lines(t)) for t in texts})
 
 
+def test_fingerprints_of_many_lines(spark):
+    """Retries take a time in proportion to the lines, not to their square."""
+    texts = ["\n".join(f"a{i}" for i in range(5000)), "\n".join(f"{'ab'[i % 2]}{i}" for i in range(5000)), "short\ntext"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in fingerprints.fingerprints(docs).collect()}
+    check_fingerprints([(found[i], texts[i], texts[(i + 1) % 3]) for i in range(3)])
+
+
 def test_fingerprints_query(spark, sf_dir):
     rows = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect())
     found = {r["doc_id"]: r for r in QUERIES["op4_fingerprints"](spark, sf_dir).collect()}
