@@ -1,6 +1,6 @@
 """Stored sketches, file manifests, typed dumps."""
 
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -92,7 +92,7 @@ def test_a_refresh_reads_new_and_changed_files(spark, described, tmp_path):
     path, listed = described
     before = {r["path"]: r for r in manifest.read_manifest(spark, listed).collect()}
     assert {(r["n_rows"], r["least"], r["largest"]) for r in before.values()} == {(11, 0, 9), (13, 8, 19), (11, 20, 29), (2, 100, 100)}
-    assert all(r["size"] > 0 and abs(r["modified"] - datetime.utcnow()) < timedelta(hours=1) for r in before.values())
+    assert all(r["size"] > 0 and abs(r["modified"] - datetime.now(UTC).replace(tzinfo=None)) < timedelta(hours=1) for r in before.values())
     read = reader(spark)
     assert manifest.refresh_manifest(spark, path, read, F.col("t"), listed) == 0
     archive(spark, path, {"e": (200, 210)})
