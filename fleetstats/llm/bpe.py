@@ -68,6 +68,7 @@ class Vocabulary:
     words: regex.Pattern
     normalize: bool
     pieces: dict[str, bytes] = field(default_factory=dict)
+    counts: dict[str, int] = field(default_factory=dict)
 
     @property
     def size(self) -> int:
@@ -193,6 +194,10 @@ class PairIndex:
                 new = np.unique(np.concatenate([new, self.before[new]]))
                 self._file(new[(new >= 0) & (self.after[new] >= 0)])
 
+    def counts(self) -> list[int]:
+        """The number of symbols that each word has left."""
+        return np.diff(np.concatenate([[0], np.cumsum(self.symbol >= 0)])[self.ends], prepend=0).tolist()
+
     def pieces(self) -> list[bytes]:
         """The ids of each word, as 32-bit numbers."""
         alive = self.symbol >= 0
@@ -265,8 +270,8 @@ class Numbering:
                 out.append(np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64))
         return out[0] if len(out) == 1 else np.concatenate(out)
 
-    def segmented(self) -> list[bytes]:
-        return segment(self.v, list(self.numbers))
+    def words(self) -> list[str]:
+        return list(self.numbers)
 
 
 def encode_texts(path: str, texts: list[str | None]) -> list[np.ndarray]:
@@ -275,7 +280,7 @@ def encode_texts(path: str, texts: list[str | None]) -> list[np.ndarray]:
     numbering = Numbering(v)
     numbered = [numbering.of(t) for t in texts]
     # special tokens stand at the end, so that -1 - id finds them from there
-    pieces = numbering.segmented() + [np.int32(i).tobytes() for i in range(v.size - 1, -1, -1)]
+    pieces = segment(v, numbering.words()) + [np.int32(i).tobytes() for i in range(v.size - 1, -1, -1)]
     lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) // 4
     starts = np.cumsum(lengths) - lengths
     flat = np.frombuffer(b"".join(pieces), dtype=np.int32)

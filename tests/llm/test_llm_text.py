@@ -51,6 +51,30 @@ def test_a_worker_forgets_words_without_losing_any(monkeypatch):
         assert [o.tolist() for o in bpe.encode_texts(BYTES, texts[i:i + 30])] == [e.ids for e in expected[i:i + 30]]
 
 
+def test_counts_are_made_once_per_word_and_without_ids(monkeypatch):
+    def refused(*_):
+        raise AssertionError("ids were made")
+
+    bpe.load.cache_clear()
+    monkeypatch.setattr(bpe.PairIndex, "pieces", refused)
+    texts = random_texts(600)
+    for i in range(0, 600, 200):
+        token_counts.count_texts(BYTES, texts[i:i + 200])
+    assert bpe.load(BYTES).counts and not bpe.load(BYTES).pieces
+    monkeypatch.setattr(token_counts, "PairIndex", refused)
+    expected = Tokenizer.from_file(BYTES).encode_batch(texts, add_special_tokens=False)
+    assert token_counts.count_texts(BYTES, texts) == [len(e.ids) for e in expected]
+
+
+def test_a_worker_forgets_counts_without_losing_any(monkeypatch):
+    monkeypatch.setattr(token_counts, "KEPT_WORDS", 50)
+    monkeypatch.setattr(token_counts, "KEPT_LENGTH", 3)
+    texts = random_texts(300)
+    expected = Tokenizer.from_file(BYTES).encode_batch(texts, add_special_tokens=False)
+    for i in range(0, 300, 30):
+        assert token_counts.count_texts(BYTES, texts[i:i + 30]) == [len(e.ids) for e in expected[i:i + 30]]
+
+
 def test_long_texts(monkeypatch):
     monkeypatch.setattr(bpe, "LONG_TEXT", 20)
     texts = random_texts(500)
