@@ -20,7 +20,8 @@ from fleetstats.llm.common import add_columns
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "url", "account")
 SCHEMES = ("http://", "https://", "ftp://", "mailto:")
-CUES = ("account", "api_key", "apikey", "iban", "passport", "password", "secret", "ssn", "token")
+CUES = ("account", "api key", "api-key", "api_key", "apikey", "iban", "passport", "password", "secret", "ssn", "token")
+SECRETS = ("api key", "api-key", "api_key", "apikey", "password", "secret", "token")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
@@ -30,6 +31,10 @@ ADDRESS = re.compile(r"[A-Za-z0-9._~%+-]+(?:@[A-Za-z0-9.-]+)?(?::[0-9]+)?(?:[/?#
 WORDS = r"(?:[\x20\t_-]*(?:number|num|no|nr|id|key|code|value|is|was)(?![A-Za-z0-9])\.?)"
 GAP = rf"[\"']?(?:{WORDS}*[\x20\t]*[\"']?[\x20\t]*[:=#]{WORDS}*[\x20\t]*[:=#]?|{WORDS}+)[\x20\t]*[\"']?"
 VALUE = re.compile(GAP + r"([A-Za-z0-9][A-Za-z0-9_-]{5,})", re.IGNORECASE | re.ASCII)
+# what stands directly behind a separator up to a blank, quote, comma, semicolon or bracket, end punctuation apart
+SECRET = re.compile(
+    rf"[\"']?{WORDS}*[\x20\t]*[:=]{WORDS}*[\x20\t]*(?:\"([^\"\r\n]+)\"|'([^'\r\n]+)'|([^\s\"',;<>()\[\]{{}}:=][^\s\"',;<>()\[\]{{}}]*))",
+    re.IGNORECASE | re.ASCII)
 IBAN = re.compile(
     rf"(?:(?i:{GAP})|[\x20\t]+)([A-Z]{{2}}[0-9]{{2}}(?:[\x20-]?[A-Z0-9]){{11,30}}|[A-Za-z]{{2}}[0-9]{{2}}(?:[\x20-]?[A-Za-z0-9]){{11,30}})", re.ASCII)
 
@@ -96,12 +101,23 @@ def iban(text: str, at: int) -> tuple[int, int] | None:
     return None
 
 
-def account(text: str, at: int, is_iban: bool) -> tuple[int, int] | None:
-    """The value behind a cue; words may stand between them."""
-    if is_iban and (found := iban(text, at)):
+def account(text: str, at: int, cue: str) -> tuple[int, int] | None:
+    """The value behind a cue; words may stand between them.
+
+    A value is six or more letters, digits, hyphens and underscores with a digit among them. Behind the cue of a secret
+    and a colon or equals sign it may be anything and of any length, up to the closing quote or the next blank.
+    """
+    if cue == "iban" and (found := iban(text, at)):
         return found
     value = VALUE.match(text, at)
-    return value.span(1) if value and any("0" <= c <= "9" for c in value[1]) else None
+    if value and any("0" <= c <= "9" for c in value[1]):
+        return value.span(1)
+    if cue in SECRETS and (value := SECRET.match(text, at)):
+        start, end = value.span(value.lastindex)
+        if value.lastindex == 3:
+            end = start + len(text[start:end].rstrip(".!?"))
+        return (start, end) if start < end else None
+    return None
 
 
 def grown(pattern: re.Pattern, text: str, at: int, floor: int, valid, out: list) -> int:
@@ -146,7 +162,7 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
                     out["url"].append((at, stop))
                     floors["url"] = stop
         elif at >= floors["account"] and (at == 0 or not text[at - 1].isalnum()):
-            if value := account(text, end + 1, text[at:end + 1].lower() == "iban"):
+            if value := account(text, end + 1, text[at:end + 1].lower()):
                 out["account"].append(value)
                 floors["account"] = value[1]
     return [(kind, a, b) for kind in KINDS for a, b in out[kind]]
@@ -156,7 +172,7 @@ def find_pii(docs: DataFrame, text: str = "text", out: str = "pii") -> DataFrame
     """The rows with the list of spans of personal data in their text, each (kind, start, end) in code points.
 
     Spans are in the order of the kinds, then of their start; those of one kind do not overlap. A null or empty text has
-    none. Rows are independent: repeated rows give repeated results, an empty table an empty one.
+    none; a very long one is searched whole. What counts as the value of an account is told at `account`. Rows are independent: repeated rows give repeated results, an empty table an empty one.
     """
     span = T.StructType([
         T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()),

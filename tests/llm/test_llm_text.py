@@ -169,7 +169,15 @@ def test_accounts_of_all_lengths_and_wordings():
         "IBAN: ES91 2100 0418 4502 0005 1332 AND": "ES91 2100 0418 4502 0005 1332", "iban=GB30NWBK60161331926819": "GB30NWBK60161331926819",
     }
     assert {t: accounts(t) for t in found} == {t: [v] for t, v in found.items()}
-    for text in ("IBAN GB30 NWBK 6016 1331 9268 19", "token ring12345", "account number", "password is unknown", "token: a1"):
+    found = {  # secrets without a digit, short, quoted or with other characters
+        "password=correct-horse next": "correct-horse", "Password: hunter.": "hunter", "token: a1": "a1",
+        "api key: abcdefghij, more": "abcdefghij", "API-KEY = 'x y z' more": "x y z", "secret=pä$$": "pä$$",
+        "password is: geheim": "geheim", "password: is geheim!": "geheim", '"password": "let me in"': "let me in",
+        "api key 12345678": None, "api key is 12345678": "12345678",
+    }
+    assert {t: accounts(t) for t in found} == {t: [v] if v else [] for t, v in found.items()}
+    for text in ("IBAN GB30 NWBK 6016 1331 9268 19", "token ring12345", "account number", "password is unknown", "account: a1",
+                 "password:", "the secret; it is", "token == ", "password: ..."):
         assert accounts(text) == []
 
 
