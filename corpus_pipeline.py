@@ -18,14 +18,14 @@ SHINGLE, MAX_BITS = 3, 3
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the classifier's threshold; it learns from the labels."""
-    common.text_session(spark)
+    common.text_session(spark, docs)
     model = quality.train(docs, common.documents(spark, sf_dir, "labels"))
     return quality.keep_good(docs, model).select(docs.columns)
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their text less the lines of repeated windows, `n_chars` in step."""
-    common.text_session(spark)
+    common.text_session(spark, docs)
     found = line_dedup.line_dedup(docs)
     if "n_chars" in docs.columns:
         changed = F.length("text").cast(docs.schema["n_chars"].dataType)
@@ -35,19 +35,19 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near-duplicates by SimHash the document of the smallest id."""
-    common.text_session(spark)
+    common.text_session(spark, docs)
     return simhash.drop_near_duplicates(docs, shingle=SHINGLE, max_bits=MAX_BITS).select(docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without an overlap with the benchmark."""
-    common.text_session(spark)
+    common.text_session(spark, docs)
     return decontaminate.decontaminate(docs, common.documents(spark, sf_dir, "benchmark")).select(docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and the text they decode to."""
-    common.text_session(spark)
+    common.text_session(spark, docs)
     coded = bpe.encode(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), decoded="decoded")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 

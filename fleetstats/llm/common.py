@@ -14,12 +14,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from fleetstats.session import INITIAL_PARTITIONS, TUNING_CONF, size_shuffles
 from fleetstats.storage import new_path
 
 # Rows and bytes a Python worker gets at once: whole texts may be long.
 BATCH_ROWS = 1000
 BATCH_BYTES = 16 << 20
 
+# Of the library's settings one is left out: groups here hold lists, so few of them are kept before sorting.
+TEXT_CONF = {k: v for k, v in TUNING_CONF.items() if "objectHashAggregate" not in k} | {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES),
+}
+
+PREPARED = "spark.fleetstats.texts.prepared"
+
 _shipped: set[str] = set()
 
 
@@ -42,16 +51,29 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def text_session(spark: SparkSession) -> SparkSession:
-    """Make the package known to the workers and keep the Arrow batches of long texts small."""
+def text_session(spark: SparkSession, *tables: DataFrame) -> SparkSession:
+    """Make the package known to the workers, keep the Arrow batches of long texts small and split skewed joins.
+
+    What the owner of the session sets afterwards stays. On a cluster shuffles start with the partitions that the largest of the given tables asks for.
+    """
     ship_package(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    if spark.conf.get(PREPARED, None) is None:
+        for key, value in TEXT_CONF.items():
+            spark.conf.set(key, value)
+        spark.conf.set(PREPARED, "true")
+    wanted = []
+    for table in tables:
+        size_shuffles(table)
+        if partitions := spark.conf.get(INITIAL_PARTITIONS, None):
+            wanted.append(int(partitions))
+    if wanted:
+        spark.conf.set(INITIAL_PARTITIONS, str(max(wanted)))
     return spark
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
-    return text_session(spark).read.parquet(f"{sf_dir}/{table}.parquet")
+    """A table of the given folder. It does not change the shuffles: labels and benchmarks are read beside documents."""
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def row_key(*columns: str) -> tuple[Column, Column]:

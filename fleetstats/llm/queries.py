@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -21,12 +22,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
+def query(sql: str | None = None, table: str = "documents"):
+    """Register a query under its name; its shuffles are sized by its main table."""
     def register(run):
-        QUERIES[run.__name__] = run
+        @functools.wraps(run)
+        def sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+            common.text_session(spark, common.documents(spark, sf_dir, table))
+            return run(spark, sf_dir)
+
+        QUERIES[run.__name__] = sized
         if sql:
             ORACLE[run.__name__] = sql
-        return run
+        return sized
 
     return register
 
@@ -179,7 +186,7 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(table="pages")
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_text.extract_text(common.documents(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -301,7 +308,7 @@ WITH ordered AS (
 SELECT node AS conv_id, CAST(d AS BIGINT) AS depth, up AS parent_conv_id, n AS n_convs, CAST(k AS BIGINT) AS n_children,
   CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(listed) AS ends_sha256
 FROM fanned JOIN sums USING (d, node)
-""")
+""", table="conversations")
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     turns = common.documents(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")

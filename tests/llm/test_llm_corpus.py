@@ -10,7 +10,8 @@ from oracle import compare, connect
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fleetstats.llm import components, decontaminate, fingerprints, line_dedup, simhash, substring_dedup
+from fleetstats import session
+from fleetstats.llm import common, components, decontaminate, fingerprints, line_dedup, simhash, substring_dedup
 from fleetstats.llm.queries import ORACLE, QUERIES
 
 
@@ -30,6 +31,23 @@ def test_native_plans_have_no_python(spark, sf_dir, name):
     assert not [w for w in ("Python", "InArrow", "InPandas", "ExistingRDD", "CartesianProduct") if w in plan]
 
 
+def test_shuffles_of_text_queries_follow_their_tables(spark, sf_dir, monkeypatch):
+    """On a cluster, with a table of one terabyte."""
+    monkeypatch.setattr(session, "scanned_bytes", lambda df: 1 << 40)
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://cluster")
+    try:
+        plan = QUERIES["op1_line_dedup"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert ", 8192, " in plan or ", 8192)" in plan
+        monkeypatch.setattr(session, "scanned_bytes", lambda df: 100 << 40)
+        common.text_session(spark, common.documents(spark, sf_dir))
+        assert spark.conf.get(session.INITIAL_PARTITIONS) == "819200"
+        common.documents(spark, sf_dir, "labels")
+        assert spark.conf.get(session.INITIAL_PARTITIONS) == "819200"
+    finally:
+        spark.conf.unset(session.INITIAL_PARTITIONS)
+    assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+
+
 def as_tuples(df, *columns):
     return sorted(map(tuple, df.select(*columns).collect()), key=str)
 

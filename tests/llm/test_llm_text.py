@@ -8,6 +8,7 @@ import time
 import tracemalloc
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -367,6 +368,32 @@ def test_quality_on_held_out_rows(spark, sf_dir):
     assert all(p for p, q in judged if q)
 
 
+def test_weights_are_those_of_a_plain_dense_fit(monkeypatch):
+    """The dual of the hinge loss by projected gradients over dense rows, and a count of each n-gram by loops."""
+    monkeypatch.setattr(quality, "TABLE_BITS", 5)
+    monkeypatch.setattr(quality, "EPOCHS", 3000)
+    rng = np.random.default_rng(3)
+    rows = [np.flatnonzero(rng.random(32) < 0.3).astype(np.int32) for _ in range(40)]
+    positive = np.array([len(set(r.tolist()) & set(range(8))) + rng.random() > 3 for r in rows])
+    counts = [[1.0 + sum(k in r and p == label for r, p in zip(rows, positive)) for k in range(32)] for label in (0, 1)]
+    ratios = np.log(np.array(counts[1]) / sum(counts[1])) - np.log(np.array(counts[0]) / sum(counts[0]))
+    assert np.allclose(quality.log_count_ratios(rows, positive), ratios)
+
+    dense = np.zeros((40, 33))
+    for row, places in zip(dense, rows):
+        row[places] = ratios[places] / np.linalg.norm(ratios[places])
+        row[32] = 1.0
+    signs = np.where(positive, 1.0, -1.0)
+    signed = dense * signs[:, None]
+    alpha, kernel = np.zeros(40), signed @ signed.T
+    step = 1 / np.linalg.norm(kernel, 2)
+    for _ in range(50_000):
+        alpha = np.clip(alpha - step * (kernel @ alpha - 1), 0, quality.COST)
+    plain = signed.T @ alpha
+    weights, bias = quality.dual_coordinate_descent(rows, [d[r] for d, r in zip(dense, rows)], signs)
+    assert np.allclose([*weights, bias], plain, atol=0.02)
+
+
 def test_quality_odd_rows(spark, odd, none):
     labels = spark.createDataFrame(
         [(1, 1), (2, 0), (2, 1), (3, 0), (4, 1), (7, 0), (None, 1), (8, None), (9, 5), (10, 1), (10, 1)],
