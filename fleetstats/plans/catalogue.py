@@ -12,7 +12,7 @@ from fleetstats.operators import catalogue as cat
 from fleetstats.plans import views
 from fleetstats.plans.registry import load, query
 from fleetstats.plans.views import _WORK_COLUMNS, JOBS_SQL
-from fleetstats.schemas import JOB_ARCHIVE
+from fleetstats.schemas import JOB_ARCHIVE, JOB_FIELDS, WORK_FIELDS
 from fleetstats.sources import archive, files, manifest, typed
 from fleetstats.sources import catalogue as dumps
 from fleetstats.storage import new_path
@@ -33,9 +33,11 @@ def _month(col):
 def _job_archive(spark, sf_dir):
     """All jobs as JSON lines, one folder per month."""
     path = new_path(spark, "jobs")
-    jobs = views.jobs(spark, sf_dir, None, None)
-    archive.write_archive(jobs.select(F.struct("*").alias("data")), path,
-                          _month(F.timestamp_millis("data.RecordTime")))
+
+    def shape(lines):
+        return views.job_records(lines, "dt").select(F.struct(*JOB_FIELDS.names).alias("data"), "dt")
+
+    archive.write_archive(views.order_lines(spark, sf_dir, None, None), path, _month("l_shipdate"), shape=shape)
     return path
 
 
@@ -84,10 +86,13 @@ def manifest_scan(spark, sf_dir):
   CAST(epoch(l_shipdate) AS BIGINT) AS timestamp, 5 AS n_steps, {_WORK_COLUMNS['era']} AS era FROM lineitem""")
 def scan_steps(spark, sf_dir):
     path = new_path(spark, "work")
-    work = views.work(spark, sf_dir, None, None)
-    records = work.select(F.struct("*").alias("data"), F.struct(F.col("wmats").alias("timestamp")).alias("metadata"))
-    archive.write_archive(records, path, _month(F.timestamp_seconds("data.wmats")))
-    return archive.read_work(spark, path, fields=["task", "meta_data", "steps"]).select(
+
+    def shape(lines):
+        metadata = F.struct(F.col("wmats").alias("timestamp")).alias("metadata")
+        return views.work_records(lines, "dt").select(F.struct(*WORK_FIELDS.names).alias("data"), metadata, "dt")
+
+    archive.write_archive(views.order_lines(spark, sf_dir, None, None), path, _month("l_shipdate"), shape=shape)
+    return archive.read_work(spark, path, fields=["task", "meta_data.fwjr_id", "steps.output.acquisitionEra"]).select(
         "meta_data.fwjr_id", "task", "timestamp", F.size("steps").alias("n_steps"),
         F.col("steps")[0]["output"][0]["acquisitionEra"].alias("era"),
     )

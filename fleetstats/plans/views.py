@@ -69,19 +69,25 @@ def _select_list(columns: dict[str, str]) -> str:
 JOBS_SQL = f"SELECT {_select_list(_JOB_COLUMNS)}, epoch_ms(l_shipdate) AS RecordTime FROM lineitem"
 
 
-def jobs(spark: SparkSession, sf_dir: str, start: str | None = START, end: str | None = END) -> DataFrame:
-    """Job records, one per order line. Order and line number repeat, so ids do too.
-
-    A period prunes the scan by ship date, as the day folders of an archive would.
-    """
+def order_lines(spark: SparkSession, sf_dir: str, start: str | None = START, end: str | None = END) -> DataFrame:
+    """The rows that records are made from; a period prunes the scan by ship date, as the day folders of an archive would."""
     lines = load(spark, sf_dir, "lineitem")
     if start is not None:
         lines = lines.where(F.col("l_shipdate") >= F.lit(start).cast("timestamp_ntz"))
     if end is not None:
         lines = lines.where(F.col("l_shipdate") < F.lit(end).cast("timestamp_ntz"))
+    return lines
+
+
+def jobs(spark: SparkSession, sf_dir: str, start: str | None = START, end: str | None = END) -> DataFrame:
+    """Job records, one per order line. Order and line number repeat, so ids do too."""
+    return job_records(order_lines(spark, sf_dir, start, end))
+
+
+def job_records(lines: DataFrame, *keep: str) -> DataFrame:
     columns = {name: F.expr(expr) for name, expr in _JOB_COLUMNS.items()}
     columns["RecordTime"] = F.unix_millis(F.col("l_shipdate").cast("timestamp"))
-    return lines.select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in JOB_FIELDS.fields])
+    return lines.select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in JOB_FIELDS.fields], *keep)
 
 
 # Prepared jobs in SQL: filter, newest row per id, defaults, derived columns.
@@ -110,14 +116,13 @@ prepared AS (
 
 def work(spark: SparkSession, sf_dir: str, start: str | None = START, end: str | None = END) -> DataFrame:
     """Work records, one per order line: two payload steps, one other step, one without a name."""
-    lines = load(spark, sf_dir, "lineitem")
-    if start is not None:
-        lines = lines.where(F.col("l_shipdate") >= F.lit(start).cast("timestamp_ntz"))
-    if end is not None:
-        lines = lines.where(F.col("l_shipdate") < F.lit(end).cast("timestamp_ntz"))
+    return work_records(order_lines(spark, sf_dir, start, end))
+
+
+def work_records(lines: DataFrame, *keep: str) -> DataFrame:
     seconds = F.unix_seconds(F.col("l_shipdate").cast("timestamp"))
     base = lines.select(
-        *[F.expr(expr).alias("w_" + name) for name, expr in _WORK_COLUMNS.items()], seconds.alias("w_ts")
+        *[F.expr(expr).alias("w_" + name) for name, expr in _WORK_COLUMNS.items()], seconds.alias("w_ts"), *keep
     )
 
     def step(name: str | None) -> str:
@@ -141,7 +146,7 @@ def work(spark: SparkSession, sf_dir: str, start: str | None = START, end: str |
         ),
         "steps": F.expr(steps),
     }
-    return base.select(*[columns[name].alias(name) for name in WORK_FIELDS.names])
+    return base.select(*[columns[name].alias(name) for name in WORK_FIELDS.names], *keep)
 
 
 # Successful production work in SQL, and its flattened steps.

@@ -60,6 +60,30 @@ def test_day_folders_are_pruned(spark, sf_dir, tmp_path):
     assert days == {"1996-01-03", "1996-01-04", "1996-01-05", "1996-01-06"}
 
 
+def test_archives_are_compressed_in_bounded_files(spark, sf_dir, tmp_path):
+    from fleetstats.sources import archive
+
+    lines, seen = views.order_lines(spark, sf_dir, "1996-01-01", "1996-03-01"), []
+
+    def shape(rows):
+        seen.append(plan_text(rows))
+        return views.work_records(rows, "dt").select(F.struct("task", "wmats", "meta_data", "steps").alias("data"), "dt")
+
+    path = tmp_path / "w"
+    archive.write_archive(lines, str(path), F.trunc("l_shipdate", "MM"), shape=shape, file_records=20)
+    assert "Exchange" in seen[0] and "named_struct" not in seen[0]  # records are made behind the shuffle
+    files = list(path.glob("dt=*/part-*"))
+    assert {f.suffix for f in files} == {".lz4"}
+    assert max(spark.read.text(str(f)).count() for f in files[:4]) <= 20
+    assert sum(f.stat().st_size for f in files) * 2 < sum(spark.read.text(str(path)).selectExpr("sum(length(value))").first())
+    read = archive.read_work(spark, str(path), fields=["meta_data.fwjr_id", "task", "steps.output.acquisitionEra"])
+    assert "steps:array<struct<output:array<struct<acquisitionEra:string>>>>" in plan_text(read)
+    whole = views.work(spark, sf_dir, "1996-01-01", "1996-03-01").select(
+        "meta_data.fwjr_id", "task", F.size("steps"), F.col("steps")[0]["output"]["acquisitionEra"])
+    back = read.select("meta_data.fwjr_id", "task", F.size("steps"), F.col("steps")[0]["output"]["acquisitionEra"])
+    assert sorted(map(str, back.collect())) == sorted(map(str, whole.collect()))
+
+
 def test_step_sums_stay_hash_aggregates(spark, sf_dir):
     grain = steps.step_grain(steps.flatten_steps(steps.successful_work(views.work(spark, sf_dir), views.START, views.END)))
     plan = plan_text(grain)
