@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from datetime import date, datetime, time, timedelta, timezone
 
 from pyspark.sql import Column
@@ -89,42 +90,65 @@ def seconds_text(seconds: Column) -> Column:
     )
 
 
-def calendar_difference(a: Column, b: Column) -> list[tuple[str, Column]]:
-    """Years, months, days, hours, minutes and seconds between two times, in either order.
-
-    Differences are taken field by field with a borrow; a borrowed month is as long as the
-    month of the earlier time. Fractions of a second do not count. The session zone is UTC, so
-    every day has the same length.
-    """
-    early, late = F.least(a, b), F.greatest(a, b)
+def _unborrowed(early: Column, late: Column) -> dict[str, Column]:
+    """Differences field by field, days perhaps negative, and the length of the month to borrow."""
     early_s, late_s = F.unix_seconds(early), F.unix_seconds(late)
-    clock = (late_s - early_s) % 86400
     earlier_clock = (F.pmod(late_s, F.lit(86400)) < F.pmod(early_s, F.lit(86400))).cast("int")
-    days = F.day(late) - F.day(early) - earlier_clock
-    short = (days < 0).cast("int")
-    months = (F.year(late) - F.year(early)) * 12 + F.month(late) - F.month(early) - short
+    return {
+        "months": (F.year(late) - F.year(early)) * 12 + F.month(late) - F.month(early),
+        "days": F.day(late) - F.day(early) - earlier_clock,
+        "lent": F.day(F.last_day(early)),
+        "clock": (late_s - early_s) % 86400,
+    }
+
+
+def _borrowed(raw) -> list[tuple[str, Column]]:
+    clock, short = raw["clock"], (raw["days"] < 0).cast("int")
+    months = raw["months"] - short
     return [
         ("Y", F.floor(months / 12).cast("int")),
         ("M", months % 12),
-        ("D", days + short * F.day(F.last_day(early))),
+        ("D", raw["days"] + short * raw["lent"]),
         ("h", F.floor(clock / 3600).cast("int")),
         ("m", F.floor(clock % 3600 / 60).cast("int")),
         ("s", (clock % 60).cast("int")),
     ]
 
 
-def duration_text(a: Column, b: Column) -> Column:
-    """``1M 2D 3h``: the parts that are not zero."""
-    shown = [
-        F.when(value > 0, F.concat(value.cast("string"), F.lit(label)))
-        for label, value in calendar_difference(a, b)
-    ]
-    return F.concat_ws(" ", *shown)
+def calendar_difference(a: Column, b: Column) -> list[tuple[str, Column]]:
+    """Years, months, days, hours, minutes and seconds between two times, in either order.
+
+    Differences are taken field by field with a borrow; a borrowed month is as long as the
+    month of the earlier time. Fractions of a second do not count. The session zone is UTC, so
+    every day has the same length.
+    """
+    return _borrowed(_unborrowed(F.least(a, b), F.greatest(a, b)))
 
 
-def relative_text(now: Column, moment: Column) -> Column:
-    """``2h 5m AGO`` for the past, ``IN 3h`` otherwise."""
-    text = duration_text(now, moment)
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """An expression of a value that is worked out once per row, however often the expression names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _fields(columns) -> Column:
+    return F.struct(*[col.alias(name) for name, col in columns])
+
+
+def duration_text(a: Column, b: Column) -> Column:
+    """``1M 2D 3h``: the parts that are not zero."""
+    labels = ("Y", "M", "D", "h", "m", "s")
+    ends = F.struct(F.least(a, b).alias("early"), F.greatest(a, b).alias("late"))
+    return once(ends, lambda t: once(
+        _fields(_unborrowed(t["early"], t["late"]).items()), lambda raw: once(
+            _fields((f"n{i}", value) for i, (label, value) in enumerate(_borrowed(raw))), lambda n: F.concat_ws(" ", *[
+                F.when(n[f"n{i}"] > 0, F.concat(n[f"n{i}"].cast("string"), F.lit(label)))
+                for i, label in enumerate(labels)
+            ]))))
+
+
+def relative_text(now: Column, moment: Column, text: Column | None = None) -> Column:
+    """``2h 5m AGO`` for the past, ``IN 3h`` otherwise; ``text`` is their duration if it is known already."""
+    text = duration_text(now, moment) if text is None else text
     return F.trim(
         F.when(now > moment, F.concat(text, F.lit(" AGO"))).otherwise(F.concat(F.lit("IN "), text))
     )

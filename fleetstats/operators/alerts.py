@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetstats.functions.times import duration_text, relative_text
+from fleetstats.functions.times import duration_text, once, relative_text
 
 # Ranks of the severities (others rank zero), the labels shown, and the second
 # that stands for an open end.
@@ -56,28 +56,33 @@ def sort_alerts(rows: DataFrame, by: str, *ties: str) -> DataFrame:
     return rows.orderBy(sort_key(by), *ties)
 
 
-def time_texts(start: Column, end: Column, now: Column) -> dict[str, Column]:
-    """Start, end and duration for people; an open end has neither end nor duration."""
-    is_open = F.unix_seconds(end) == OPEN_END_SECONDS
+def time_texts(start: Column, end: Column, now: Column) -> Column:
+    """Start, end and duration for people, as fields; an open end has neither end nor duration.
+
+    Each text is worked out once a row. Keep the result as a column before taking several fields.
+    """
     pairs = F.array(*[F.struct(a.alias("a"), b.alias("b")) for a, b in ((now, start), (now, end), (start, end))])
     # one expression for the three texts: three copies of it would be too large to compile
-    said = F.transform(pairs, lambda p: F.struct(
-        relative_text(p["a"], p["b"]).alias("relative"), duration_text(p["a"], p["b"]).alias("plain")))
-    starts, ends, length = (F.get(said, F.lit(i)) for i in range(3))
-    # a reversed interval reads like a past time
-    length = F.when(start > end, length["relative"]).otherwise(length["plain"])
-    return {
-        "starts": starts["relative"],
-        "ends": F.when(is_open, F.lit(OPEN_END_TEXT)).otherwise(ends["relative"]),
-        "duration": F.when(is_open, F.lit(OPEN_END_TEXT)).otherwise(length),
-    }
+    said = F.transform(pairs, lambda p: once(duration_text(p["a"], p["b"]), lambda text: F.struct(
+        relative_text(p["a"], p["b"], text).alias("relative"), text.alias("plain"))))
+
+    def fields(texts: Column) -> Column:
+        starts, ends, length = (F.get(texts, F.lit(i)) for i in range(3))
+        is_open = F.unix_seconds(end) == OPEN_END_SECONDS
+        # a reversed interval reads like a past time
+        length = F.when(start > end, length["relative"]).otherwise(length["plain"])
+        return F.struct(
+            starts["relative"].alias("starts"),
+            F.when(is_open, F.lit(OPEN_END_TEXT)).otherwise(ends["relative"]).alias("ends"),
+            F.when(is_open, F.lit(OPEN_END_TEXT)).otherwise(length).alias("duration"),
+        )
+
+    return once(said, fields)
 
 
 def alert_table(rows: DataFrame, now: Column) -> DataFrame:
     texts = time_texts(F.col("startsAt"), F.col("endsAt"), now)
-    return rows.select(
-        "name", "service", "tag", "severity", *[col.alias(name) for name, col in texts.items()]
-    )
+    return rows.withColumn("_texts", texts).select("name", "service", "tag", "severity", "_texts.starts", "_texts.ends", "_texts.duration")
 
 
 def latest_alerts(rows: DataFrame) -> DataFrame:
@@ -129,8 +134,7 @@ def filter_annotations(
 
 def annotation_table(df: DataFrame, now: Column) -> DataFrame:
     start, end = F.timestamp_millis("time"), F.timestamp_millis("timeEnd")
-    texts = time_texts(start, end, now)
-    return df.select(
+    return df.withColumn("_texts", time_texts(start, end, now)).select(
         "id", "dashboardId", F.substring_index("text", "\n<a", 1).alias("text"), "tags",
-        *[col.alias(name) for name, col in texts.items()],
+        "_texts.starts", "_texts.ends", "_texts.duration",
     )

@@ -109,3 +109,10 @@ def test_only_the_columns_of_a_level_are_deduplicated(spark, sf_dir):
 
 def test_totals_read_their_rows_once(spark, sf_dir):
     assert plan_text(queries()["accounting_totals"](spark, sf_dir)).count("FileScan text") == 0
+
+
+@pytest.mark.parametrize("name", ["alert_table", "alert_duration"])
+def test_time_texts_are_worked_out_once(spark, sf_dir, name):
+    df = queries()[name](spark, sf_dir)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("last_day(") == 1
