@@ -1,14 +1,16 @@
 """The state of a message dashboard: counts of an interval of arrival, emitted and reset together.
 
-Messages are dealt over buckets, whatever they say, so a site that sends most of them is spread like any other. A bucket
-counts per site and code; when the interval ends, by the clock, all buckets emit their counts in one micro-batch and start
-anew. That batch is rolled up into the four views: total, by code, by site, by site and code.
+Each task counts its messages per site and code first, so a site that sends most of them is a row per code and task. These
+counts are dealt over buckets by their pair. A bucket adds them up; when the interval ends, by the clock, all buckets emit
+their counts in one micro-batch and start anew. That batch is rolled up into the four views: total, by code, by site, by site
+and code.
 """
 
 from __future__ import annotations
 
 import sys
 import time
+from collections import Counter
 from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import datetime, timedelta
@@ -23,6 +25,12 @@ from fleetstats.streaming.runs import batch_folder
 
 BUCKETS = 64
 
+# Pairs of site and code that a task holds in Python before it hands them on.
+PAIRS_HELD = 200_000
+
+# Pairs to a chunk of the state.
+CHUNK = 10_000
+
 COUNTS = "interval_end timestamp, site string, code string, n long"
 
 # The state store that keeps timers.
@@ -31,61 +39,84 @@ _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvid
 
 
 class IntervalCounts(StatefulProcessor):
-    """Counts per site and code of one bucket until its interval ends."""
+    """Counts per site and code of one bucket until its interval ends.
+
+    They are held in chunks, because each look at the state is a call to the JVM. A pair has a row for each micro-batch of the
+    interval that brought it, and more if a micro-batch has many pairs.
+    """
 
     def __init__(self, interval_ms: int):
         self.interval_ms = interval_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.counts = handle.getMapState("counts", "site string, code string", "n long")
-        self.due = handle.getValueState("due", "at long")
+        self.chunks = handle.getMapState("chunks", "number long", "site array<string>, code array<string>, n array<long>")
+        self.due = handle.getValueState("due", "at long, chunks long")
 
-    def emptied(self, due: int) -> pd.DataFrame:
+    def emptied(self, due: int) -> Iterator[pd.DataFrame]:
         """What has been counted up to the end of an interval; the counts start anew."""
-        rows = [(*key, n) for key, (n,) in self.counts.iterator()]
-        self.counts.clear()
-        out = pd.DataFrame(rows, columns=["site", "code", "n"])
-        out.insert(0, "interval_end", pd.Timestamp(due, unit="ms"))
-        return out
+        for _, (sites, codes, counts) in self.chunks.iterator():
+            out = pd.DataFrame({"site": list(sites), "code": list(codes), "n": list(counts)})
+            out.insert(0, "interval_end", pd.Timestamp(due, unit="ms"))
+            yield out
+        self.chunks.clear()
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentProcessingTimeInMs()
-        due = self.due.get()[0] if self.due.exists() else None
+        due, number = self.due.get() if self.due.exists() else (None, 0)
         if due is not None and due <= now:  # these messages belong to a later interval
-            yield self.emptied(due)
+            yield from self.emptied(due)
             self.handle.deleteTimer(due)
-            due = None
+            due, number = None, 0
         if due is None:
             due = (now // self.interval_ms + 1) * self.interval_ms
             self.handle.registerTimer(due)
-            self.due.update((due,))
-        for batch in rows:
-            for pair, n in batch.groupby(["site", "code"], dropna=False).size().items():
-                pair = tuple(None if pd.isna(v) else v for v in pair)
-                before = self.counts.getValue(pair)[0] if self.counts.containsKey(pair) else 0
-                self.counts.updateValue(pair, (before + int(n),))
+        for seen in summed(rows):
+            for i in range(0, len(seen), CHUNK):
+                part = seen[i:i + CHUNK]
+                self.chunks.updateValue((number,), tuple(list(values) for values in zip(*part)))
+                number += 1
+        self.due.update((due, number))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         due = expiredTimerInfo.getExpiryTimeInMs()
         if self.due.exists() and self.due.get()[0] == due:
-            yield self.emptied(due)
+            yield from self.emptied(due)
             self.due.clear()
 
     def close(self) -> None:
         pass
 
 
+def summed(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:
+    """Counts (site, code, n) added up per pair, handed on whenever there are ``PAIRS_HELD`` pairs."""
+    seen: Counter = Counter()
+    for batch in batches:
+        for site, code, n in zip(batch["site"], batch["code"], batch["n"]):
+            seen[site, code] += int(n)
+        if len(seen) >= PAIRS_HELD:
+            yield [(*pair, n) for pair, n in seen.items()]
+            seen.clear()
+    if seen:
+        yield [(*pair, n) for pair, n in seen.items()]
+
+
+def part_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The messages of a task as counts per site and code, several rows to a pair if there are many pairs."""
+    for seen in summed(batches):
+        yield pd.DataFrame(seen, columns=["site", "code", "n"])
+
+
 def interval_state(messages: DataFrame, site: str = "site", code: str = "code", every_s: int = 10, buckets: int = BUCKETS) -> DataFrame:
     """A stream of the counts per site and code of each interval of ``every_s`` seconds, several rows to a pair.
 
     A null site or code is counted as such.
     """
     cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not have this package
-    dealt = messages.select(
-        F.col(site).cast("string").alias("site"), F.col(code).cast("string").alias("code"),
-        F.pmod(F.xxhash64(*messages.columns), F.lit(buckets)).cast("int").alias("bucket"),
-    )
+    pairs = messages.select(F.col(site).cast("string").alias("site"), F.col(code).cast("string").alias("code"))
+    counted = pairs.withColumn("n", F.lit(1)).mapInPandas(part_counts, "site string, code string, n long")
+    # one pair's counts of many tasks go to one bucket, so that a state holds its share of the pairs and not all of them
+    dealt = counted.withColumn("bucket", F.pmod(F.xxhash64("site", "code"), F.lit(buckets)).cast("int"))
     return dealt.groupBy("bucket").transformWithStateInPandas(
         IntervalCounts(1000 * every_s), COUNTS, "Update", "ProcessingTime"
     )

@@ -67,3 +67,20 @@ def test_a_site_is_dealt_over_buckets(spark, tmp_path):
         F.pmod(F.xxhash64("site", "code", "id"), F.lit(8)).alias("b")).groupBy("b").count()
     counts = [n for _, n in rows(dealt)]
     assert len(counts) == 8 and max(counts) < 2 * sum(counts) / 8
+
+
+def test_the_state_is_written_by_chunks():
+    import pandas as pd
+    from unittest.mock import MagicMock
+
+    calls = dashboard.IntervalCounts(1000)
+    calls.init(MagicMock())
+    calls.chunks, calls.due = MagicMock(), MagicMock()
+    calls.due.exists.return_value = False
+    clock = MagicMock()
+    clock.getCurrentProcessingTimeInMs.return_value = 1500
+    batches = [pd.DataFrame({"site": [f"s{i}" for i in range(500)], "code": [None] * 500, "n": [2] * 500}) for _ in range(10)]
+    assert list(calls.handleInputRows((0,), iter(batches), clock)) == []
+    (key, (sites, codes, counts)), = [call.args for call in calls.chunks.updateValue.call_args_list]
+    assert key == (0,) and len(set(sites)) == len(sites) == 500 and set(codes) == {None} and set(counts) == {20}
+    calls.due.update.assert_called_once_with((2000, 1))
