@@ -29,7 +29,7 @@ def query(sql: str | None = None, name: str | None = None):
     def register(fn: Runner) -> Runner:
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return size_shuffles(fn(prepare(spark), sf_dir))
+            return size_shuffles(fn(prepare(spark), sf_dir), fine=True)
 
         key = name or fn.__name__
         if key in REGISTRY:

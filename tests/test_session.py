@@ -3,11 +3,13 @@
 import re
 from pathlib import Path
 
+import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
 from fleetstats.functions.numbers import thousands
 from fleetstats.plans import views
+from fleetstats import session
 from fleetstats.session import prepare, scanned_bytes, shuffle_partitions
 from fleetstats.sources import archive
 
@@ -34,6 +36,28 @@ def test_own_settings_stay(spark):
     spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", before)
 
 
+@pytest.mark.parametrize("key", [session.ADVISORY, session.SPLIT])
+def test_tasks_read_little(spark, key):
+    before = spark.conf.get(key)
+    for owners, kept in (("128m", session.MOST_BYTES[key]), ("8MB", 8 << 20)):
+        spark.conf.unset(session.PREPARED)
+        spark.conf.set(key, owners)
+        assert session.set_bytes(prepare(spark), key) == kept
+    spark.conf.set(key, before)
+
+
+def test_local_shuffles_follow_large_tables_only(spark, sf_dir, monkeypatch):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    spark.conf.unset(session.INITIAL_PARTITIONS)
+    session.size_shuffles(lines)
+    assert spark.conf.get(session.INITIAL_PARTITIONS, None) is None
+    monkeypatch.setattr(session, "FINE_BYTES", 10_000)
+    session.size_shuffles(lines, fine=True)
+    assert int(spark.conf.get(session.INITIAL_PARTITIONS)) == -(-scanned_bytes(lines) // 10_000)
+    session.size_shuffles(spark.range(1), fine=True)
+    assert spark.conf.get(session.INITIAL_PARTITIONS, None) is None
+
+
 def test_settings_that_change_results(spark):
     prepare(spark)
     assert rows(spark.sql("SELECT map_from_entries(array(struct('a', 1), struct('a', 2)))['a'], current_timezone()")) == [
