@@ -130,6 +130,9 @@ def task_efficiency(grain: DataFrame, level: str = "task") -> DataFrame:
     sets = [F.sort_array(F.array_distinct(F.flatten(F.collect_set("acquisition_era")))).alias("AcquisitionEra")]
     if with_sites:
         sets.append(F.sort_array(F.collect_set("Site")).alias("Sites"))
+    else:
+        # a group has a row of the grain for each set of eras that it collects, so combining before the shuffle saves nothing
+        grain = grain.repartition(*keys)
     grouped = grain.groupBy(*keys).agg(*_totals(), *sets)
     result = {**_figures(), "AcquisitionEra": F.col("AcquisitionEra"), "EraCount": F.size("AcquisitionEra")}
     if with_sites:

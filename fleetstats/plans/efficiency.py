@@ -167,7 +167,7 @@ def efficiency_grouping_sets(spark, sf_dir):
 def _contents(spark, tables, names):
     """Collections written as JSON lines and read again: the number of lines written, and sums over their content."""
     path = new_path(spark, "collections")
-    counts = write_collections(tables, path)
+    counts = write_collections(tables, path, compression="lz4")
     sums = []
     for name, table in tables.items():
         read = spark.read.schema(table.schema).json(f"{path}/{name}")

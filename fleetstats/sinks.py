@@ -12,12 +12,12 @@ from pyspark.sql.types import MapType, VariantType
 from fleetstats.operators.quality import fingerprint
 
 
-def write_collections(tables: dict[str, DataFrame], path: str) -> DataFrame:
+def write_collections(tables: dict[str, DataFrame], path: str, compression: str = "none") -> DataFrame:
     """Each table as JSON lines in its own folder; returns the number of lines per collection, counted while writing."""
     spark, counts = next(iter(tables.values())).sparkSession, []
     for name, table in tables.items():
         seen = Observation(name)
-        table.observe(seen, F.count("*").alias("n")).write.mode("overwrite").json(f"{path}/{name}")
+        table.observe(seen, F.count("*").alias("n")).write.mode("overwrite").json(f"{path}/{name}", compression=compression)
         counts.append((name, seen.get["n"]))
     return reduce(DataFrame.unionByName, [
         spark.range(1).select(F.lit(name).alias("collection"), F.lit(n).cast("long").alias("n")) for name, n in counts

@@ -119,3 +119,21 @@ def test_counts_without_sets(spark):
 def test_counts_hold_no_sets(spark):
     plan = plan_text(steps.task_counts(steps.step_grain(flat(spark, ([step()], {})))))
     assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan and "collect_set" not in plan
+
+
+def test_site_level_is_aggregated_behind_its_shuffle(spark):
+    """Its sets hold a member for each row of the grain; the sets of the other levels shrink before they move."""
+    grain = steps.step_grain(flat(spark, ([step()], {})))
+    for level, partial_first in (("site", False), ("step", True), ("task", True)):
+        plan = plan_text(steps.task_efficiency(grain, level))  # the top of a plan comes first
+        assert ("partial_collect_set" in plan[plan.index("Exchange"):]) == partial_first, level
+
+
+def test_step_collections_are_written_compressed(spark, sf_dir, tmp_path, monkeypatch):
+    from fleetstats.plans import efficiency
+
+    monkeypatch.setattr(efficiency, "new_path", lambda spark, label: str(tmp_path / label))
+    table = spark.range(3).selectExpr("CAST(id AS STRING) AS Task", "id AS n")
+    counted = efficiency._contents(spark, {"a": table}, {"a": ("n", "Task")})
+    assert rows(counted, "collection", "n", "cpu", "keys") == [("a", 3, 3.0, 3)]
+    assert {f.suffix for f in tmp_path.glob("*/a/part-*")} == {".lz4"}
