@@ -82,6 +82,25 @@ def test_search_equals_a_scan(spark, indexed, pattern):
     assert found.columns == table.columns and rows(found.orderBy("id")) == expected
 
 
+@pytest.mark.parametrize(("slice_", "places"), [(text_index.SLICE, text_index.PLACES), (50, 8)])
+def test_postings_are_lists_of_rows(spark, tmp_path, monkeypatch, slice_, places):
+    """Each row once for each of its trigrams, whatever its characters, in far fewer rows than that."""
+    monkeypatch.setattr(text_index, "SLICE", slice_)
+    monkeypatch.setattr(text_index, "PLACES", places)
+    rng = random.Random(5)
+    letters = "aabbcAÉß\n 🎉" + ("".join(map(chr, range(0x4e00, 0x4e00 + 300))) if places > 8 else "")
+    texts = [None, "", "ab", "aaaaaa", *("".join(rng.choice(letters[:rng.choice([4, len(letters)])]) for _ in range(rng.randint(0, 60))) for _ in range(400))]
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id INT, name STRING")
+    text_index.write_text_index(table, str(tmp_path), ["id"], ["name"], files=3, buckets=4)
+    stored = spark.read.parquet(f"{tmp_path}/grams/name")
+    listed = stored.select("gram", text_index.PART, F.explode(text_index.ROW).alias(text_index.ROW))
+    found = rows(listed.join(text_index.stored_rows(spark, str(tmp_path)), [text_index.PART, text_index.ROW]), "gram", "id")
+    fold = str.maketrans("ABC", "abc")
+    wanted = {(t.translate(fold)[k:k + 3], i) for i, t in enumerate(texts) if t for k in range(len(t) - 2)}
+    assert len(found) == len(wanted) and set(found) == wanted
+    assert stored.count() < len(wanted)
+
+
 def test_search_by_several_columns(spark, indexed):
     table, path = indexed
     also = F.col("id") > 1500
